@@ -63,7 +63,7 @@ def _prepared(phrases: DataFrame) -> DataFrame:
 
 def _nested(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
     d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), fold(text_col).alias("__ft"))
-    cond = F.col("__ft").contains(F.col("__fp")) & F.col("__t").rlike(F.col("__pat"))
+    cond = F.col("__ft").contains(F.col("__fp")) & F.regexp_like(F.col("__t"), F.col("__pat"))
     return d.join(F.broadcast(ph), cond, "inner").select(F.col("__id").alias(id_col), "kind", "phrase")
 
 
@@ -74,7 +74,7 @@ def _tokens(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataF
     )
     cand = toks.join(ph.where(F.col("__anchor") != ""), "__anchor").select("__id", "kind", "phrase", "__pat")
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
-    hit = cand.join(texts, "__id").where(F.col("__t").rlike(F.col("__pat")))
+    hit = cand.join(texts, "__id").where(F.regexp_like(F.col("__t"), F.col("__pat")))
     found = hit.select(F.col("__id").alias(id_col), "kind", "phrase")
     # phrases with no word character cannot be anchored
     loose = ph.where(F.col("__anchor") == "")

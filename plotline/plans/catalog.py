@@ -602,8 +602,9 @@ pp AS (SELECT kind, phrase,
          || regexp_replace(phrase, '([\\\\.^$|?*+()\\[\\]{{}}])', '\\\\\\1', 'g')
          || (CASE WHEN regexp_matches(phrase, '[{_W}]$') THEN '($|[^{_W}])' ELSE '[{_W}]' END) AS pat
        FROM phrases),
-hits AS (SELECT d.doc_id, p.kind, p.phrase FROM docs_routed d JOIN pp p
-         ON d.p_domains <> 2 AND contains(lower(d.text), lower(p.phrase)) AND regexp_matches(d.text, p.pat)),
+cand AS MATERIALIZED (SELECT d.doc_id, d.text, p.kind, p.phrase, p.pat FROM docs_routed d JOIN pp p
+         ON d.p_domains <> 2 AND contains(lower(d.text), lower(p.phrase))),
+hits AS (SELECT doc_id, kind, phrase FROM cand WHERE regexp_matches(text, pat)),
 per AS (SELECT doc_id,
           list_sort(list_distinct(list(phrase) FILTER (WHERE kind = 'narrative'))) AS n,
           list_sort(list_distinct(list(phrase) FILTER (WHERE kind = 'subnarrative'))) AS s
