@@ -77,6 +77,29 @@ def narrative_subnarrative_of(label) -> Column:
     return F.when(has_domain(label), joined).otherwise(_c(label))
 
 
+def label_parts(label) -> Column:
+    """``struct(label, has_domain, parts)``: one regex test and one split per
+    label, shared by the decoders below."""
+    return F.struct(_c(label).alias("l"), has_domain(label).alias("d"), _parts(label).alias("p"))
+
+
+def narrative_from_parts(x) -> Column:
+    """P4 on a ``label_parts`` struct."""
+    return F.when(x["d"], F.get(x["p"], 1)).otherwise(x["l"])
+
+
+def subnarrative_from_parts(x) -> Column:
+    """P5 on a ``label_parts`` struct."""
+    return F.when(x["d"], F.get(x["p"], 2)).otherwise(x["l"])
+
+
+def narrative_subnarrative_from_parts(x) -> Column:
+    """P6 on a ``label_parts`` struct."""
+    n = F.size(x["p"])
+    joined = F.when(n >= 2, F.array_join(F.slice(x["p"], 2, F.greatest(n - 1, F.lit(1))), PART_SEP))
+    return F.when(x["d"], joined).otherwise(x["l"])
+
+
 def map_labels(cell, fn) -> Column:
     """Apply a per-label expression to every label of a ``;``-cell."""
     return F.transform(split_list(cell), fn)
@@ -148,6 +171,15 @@ def theme_name(abbr) -> Column:
     return F.try_element_at(F.create_map(*pairs), strip_py(abbr))
 
 
+# Unicode White_Space (what Java's (?U)\s matches), for strip_py.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_py(col) -> Column:
-    """Python ``str.strip()``: trim Unicode white space on both ends."""
-    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: trim Unicode white space on both ends (a
+    character scan, no regex)."""
+    return F.btrim(_c(col), F.lit(WHITE_SPACE))

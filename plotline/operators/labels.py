@@ -23,13 +23,20 @@ def decode(lines: DataFrame, domain_from: str = "subnarrative") -> DataFrame:
     nar_cell, sub_cell = F.col("narrative"), F.col("subnarrative")
     first = F.get(L.split_list(sub_cell if domain_from == "subnarrative" else nar_cell), 0)
     extra = [c for c in lines.columns if c not in ("narrative", "subnarrative")]
+    # test and split every label once; the three decoded lists read the parts
     d = lines.select(
         *extra,
-        L.map_labels(nar_cell, L.narrative_of).alias("narratives"),
-        L.map_labels(sub_cell, L.subnarrative_of).alias("subnarratives"),
-        L.map_labels(sub_cell, L.narrative_subnarrative_of).alias("narratives_subnarratives"),
+        L.map_labels(nar_cell, L.label_parts).alias("__n"),
+        L.map_labels(sub_cell, L.label_parts).alias("__s"),
         L.domain_of(first).alias("domain"),
     )
+    d = d.select(
+        *extra,
+        F.transform("__n", L.narrative_from_parts).alias("narratives"),
+        F.transform("__s", L.subnarrative_from_parts).alias("subnarratives"),
+        F.transform("__s", L.narrative_subnarrative_from_parts).alias("narratives_subnarratives"),
+        "domain",
+    )
     reason = (
         F.when(F.col("narratives").isNull() | F.col("subnarratives").isNull(), F.lit("missing label cell"))
         .when(F.exists("narratives", lambda x: x.isNull()), F.lit("domain label without narrative part"))

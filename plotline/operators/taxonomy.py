@@ -118,17 +118,27 @@ def decode_count_labels(occ: DataFrame) -> DataFrame:
     )
 
 
-def label_cube(lines: DataFrame, columns: str = "both", language: str = "language") -> DataFrame:
-    """Pre-aggregate: ``theme, narrative, subnarrative, language, count`` over
-    valid-arity labels (partial aggregation combines hot keys map-side)."""
-    dec = decode_count_labels(count_labels(lines, columns, language))
+def cube_from_occurrences(occ: DataFrame) -> DataFrame:
+    """``language, label`` occurrences -> ``theme, narrative, subnarrative,
+    language, count`` over valid-arity labels.
+
+    Raw label strings are counted first (partial aggregation combines hot
+    keys map-side), so the string decoding runs once per distinct label and
+    language, not once per occurrence."""
+    raw = occ.groupBy("language", "label").agg(F.count(F.lit(1)).alias("count"))
+    dec = decode_count_labels(raw)
     return (
         dec.where(F.col("reject_reason").isNull())
         .groupBy("theme", "narrative", "subnarrative", "language")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("count").alias("count"))
     )
 
 
+def label_cube(lines: DataFrame, columns: str = "both", language: str = "language") -> DataFrame:
+    """Pre-aggregate of annotation lines (see ``cube_from_occurrences``)."""
+    return cube_from_occurrences(count_labels(lines, columns, language))
+
+
 def label_rejects(lines: DataFrame, columns: str = "both", language: str = "language") -> DataFrame:
     """labels skipped for their arity, with the reason."""
     dec = decode_count_labels(count_labels(lines, columns, language))

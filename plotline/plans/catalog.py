@@ -96,12 +96,7 @@ def _cube(spark, sf):
     occ = items.select(
         L.language_of("lang").alias("language"), F.explode(F.array("nar_label", "sub_label")).alias("label")
     )
-    dec = TX.decode_count_labels(occ)
-    return (
-        dec.where(F.col("reject_reason").isNull())
-        .groupBy("theme", "narrative", "subnarrative", "language")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    return TX.cube_from_occurrences(occ)
 
 
 # ---------------------------------------------------------------------------

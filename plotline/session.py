@@ -31,6 +31,11 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Keep planner broadcasts to sides that are small by nature (nation,
+        # taxonomy, class lists). At the default 10 MB a two-column lineitem
+        # projection of the small test tables qualifies, a side that grows
+        # with the data.
+        .config("spark.sql.autoBroadcastJoinThreshold", str(2 * 1024 * 1024))
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
