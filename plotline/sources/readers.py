@@ -33,7 +33,7 @@ def read_annotations(spark: SparkSession, path, quoted: bool = False, recursive:
 def read_articles(spark: SparkSession, root: str) -> DataFrame:
     """``{root}/{release}/{lang}/raw-documents/{article_id}`` -> one row
     per file ``release, lang, article_id, content``."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root)
+    df = spark.read.text(f"{root.rstrip('/')}/*/*/raw-documents/*", wholetext=True)
     fp = F.col("_metadata.file_path")
     pat = r"([^/]+)/([^/]+)/raw-documents/([^/]+)$"
     return df.select(
@@ -41,7 +41,7 @@ def read_articles(spark: SparkSession, root: str) -> DataFrame:
         F.regexp_extract(fp, pat, 2).alias("lang"),
         F.col("_metadata.file_name").alias("article_id"),
         F.col("value").alias("content"),
-    ).where(F.col("article_id") != "")
+    )
 
 
 def read_jsonl(spark: SparkSession, path, schema=schemas.NESTED_RECORD) -> DataFrame:
