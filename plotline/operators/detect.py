@@ -6,8 +6,9 @@ Two exact plans:
 * ``nested`` (phrase table within ``max_broadcast_phrases``): the phrase
   table is broadcast and joined with a non-equi condition. A cheap
   necessary test runs first: ``contains(fold(T), fold(P))`` with
-  ``fold = lower(upper(translate(x, 'İẞ', 'iß')))`` applied to both sides,
-  which maps characters the regex treats as case-equal to the same text.
+  ``fold`` (lower case after mapping the characters whose lower case
+  differs from that of their upper case) applied to both sides, which maps
+  characters the regex treats as case-equal to the same text.
   Only pairs that pass it run the regex.
 * ``tokens`` (any size): the first word run of every phrase (its anchor)
   must occur as a whole token of the folded text, so distinct text tokens
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
-from plotline.operators.joins import is_small
+from plotline.operators.joins import is_small, spread
 
 DEFAULT_MAX_BROADCAST_PHRASES = 4096
 _REGEX_META = r"([\\\[\]{}()*+?.^$|])"
@@ -31,10 +32,34 @@ _WORD_RUN = r"(?U)\w+"
 _NON_WORD = r"(?U)\W+"
 
 
+def _fold_table() -> tuple[str, str]:
+    """Characters whose lower case differs from the lower case of their
+    upper case (dotless i, long s, final sigma, Greek symbol forms, ...),
+    mapped to the latter, plus İ -> i and ẞ -> ß. Built from the Unicode
+    case rules of the BMP; ``lower(translate(x, FROM, TO))`` then maps
+    characters that ``(?iU)`` treats as equal to the same text."""
+    src, dst = ["İ", "ẞ", "Σ"], ["i", "ß", "σ"]
+    for cp in range(0x80, 0x10000):
+        c = chr(cp)
+        up = c.upper()
+        if len(up) != 1 or len(c.lower()) != 1 or c in src:
+            continue
+        target = up.lower()
+        if len(target) == 1 and target != c.lower():
+            src.append(c)
+            dst.append(target)
+    return "".join(src), "".join(dst)
+
+
+_FOLD_FROM, _FOLD_TO = _fold_table()
+
+
 def fold(col) -> Column:
-    """Case folding used by the cheap pre-test (both sides)."""
+    """Case folding used by the cheap pre-test (both sides). Catalyst turns
+    ``lower(upper(x))`` into ``lower(x)``, so the characters where the two
+    differ are mapped explicitly first."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.lower(F.upper(F.translate(c, "İẞ", "iß")))
+    return F.lower(F.translate(c, _FOLD_FROM, _FOLD_TO))
 
 
 def phrase_pattern(col) -> Column:
@@ -93,7 +118,7 @@ def find_phrases(
     ph = _prepared(phrases)
     if strategy == "auto":
         strategy = "nested" if is_small(phrases, max_broadcast_phrases) else "tokens"
-    docs = docs.where(F.col(text_col).isNotNull())
+    docs = spread(docs.where(F.col(text_col).isNotNull()))
     if strategy == "nested":
         return _nested(docs, ph, id_col, text_col)
     if strategy == "tokens":

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
-from plotline.operators.joins import sized_broadcast
+from plotline.operators.joins import sized_broadcast, spread
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's prompts.
@@ -150,7 +150,7 @@ def apply_model(
                 outs.extend(res)
             yield pd.DataFrame({id_col: ids, output_col: outs})
 
-    return df.select(id_col, input_col).mapInPandas(run, schema)
+    return spread(df.select(id_col, input_col)).mapInPandas(run, schema)
 
 
 def answer_routed(
@@ -221,7 +221,7 @@ def out_of_fold_predictions(
     tok = RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=r"(?U)\W+")
     tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
     feats = (
-        tf.transform(tok.transform(df.withColumn("__y", F.col(label_col).cast("double"))))
+        tf.transform(tok.transform(spread(df).withColumn("__y", F.col(label_col).cast("double"))))
         .drop("__tok")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )

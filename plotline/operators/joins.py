@@ -27,3 +27,12 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default:
+    the cluster's parallelism) when it has fewer, for CPU-heavy per-row work
+    (regex over texts, model calls). A large input already has many splits
+    and is returned as is, so this adds a shuffle only for small inputs."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

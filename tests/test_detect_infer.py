@@ -124,3 +124,14 @@ def test_apply_model_batches(spark):
     df = spark.range(40).select(F.col("id").cast("string").alias("id"), F.col("id").cast("string").alias("t")).coalesce(1)
     out = IN.apply_model(df, model, "id", "t", "o", batch_size=16)
     assert out.count() == 40
+
+
+@pytest.mark.parametrize("strategy", ["nested", "tokens"])
+def test_case_fold_edges(spark, strategy):
+    # the cheap pre-test must not drop matches the case-insensitive regex finds
+    phrases = spark.createDataFrame([("p", "sun"), ("p", "ΟΔΟΣ"), ("p", "µm"), ("p", "Istanbul")],
+                                    "kind string, phrase string")
+    docs = spark.createDataFrame([("1", "the ſun"), ("2", "η οδος."), ("3", "5 μM"), ("4", "İstanbul")],
+                                 "id string, text string")
+    hits = sorted((r["id"], r["phrase"]) for r in DT.find_phrases(docs, phrases, strategy=strategy).collect())
+    assert hits == [("1", "sun"), ("2", "ΟΔΟΣ"), ("3", "µm"), ("4", "Istanbul")]
