@@ -460,6 +460,31 @@ def q_fold_class_metrics(spark, sf):
     return long.unionByName(avg).select("fold", "metric", r6("value").alias("value"))
 
 
+@register(
+    "fold_metrics_log",
+    f"""WITH {_EMB_SQL}, {_fold_sql('emb', 'label', 'vec_id', cols=', pred')},
+src AS (SELECT fold, label, pred FROM f), {_class_metrics_sql('fold')},
+lng AS (UNPIVOT m ON accuracy, precision, recall, f1 INTO NAME metric VALUE value),
+allm AS (SELECT CAST(fold AS INTEGER) AS block, metric, value FROM lng
+         UNION ALL SELECT 1073741824, metric, avg(value) FROM lng GROUP BY metric),
+pos AS (SELECT * FROM (VALUES ('accuracy', 1), ('precision', 2), ('recall', 3), ('f1', 4)) t(metric, pos))
+SELECT block, CAST(pos AS INTEGER) AS pos, printf('%s: %.4f', metric, value) AS line FROM allm JOIN pos USING (metric)
+UNION ALL
+SELECT DISTINCT block, 0, CASE WHEN block = 1073741824 THEN 'Average Metrics Across All Folds:'
+                              ELSE printf('Fold %d Metrics:', block) END FROM allm
+UNION ALL
+SELECT DISTINCT block, 1048576, '' FROM allm WHERE block <> 1073741824""",
+)
+def q_fold_metrics_log(spark, sf):
+    from plotline.sources.sinks import metrics_log_lines
+
+    e = FO.stratified_folds(_emb(spark, sf), "label", "vec_id")
+    wide = SC.class_metrics(e, "label", "pred", keys=["fold"])
+    long = SC.metrics_long(wide, keys=["fold"]).withColumn("fold", F.col("fold").cast("string"))
+    avg = SC.metric_means(long).select(F.lit("avg").alias("fold"), "metric", "value")
+    return metrics_log_lines(long.unionByName(avg))
+
+
 # ---------------------------------------------------------------------------
 # Scoring (J4, J5, U4, A7, A8, A12, A15)
 # ---------------------------------------------------------------------------

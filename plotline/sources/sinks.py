@@ -45,13 +45,29 @@ def single_document(df: DataFrame, key: str = "articles", max_rows: int = 100_00
     )
 
 
-def metrics_log_lines(long: DataFrame) -> DataFrame:
-    """K5: ``fold, metric, value`` -> log text lines ``metric: 0.1234`` with
-    a ``Fold n Metrics:`` header per fold (fold ``avg`` last)."""
-    body = long.select(
-        "fold", "metric", F.format_string("%s: %.4f", F.col("metric"), F.col("value")).alias("line")
+def metrics_log_lines(long: DataFrame, metrics=("accuracy", "precision", "recall", "f1")) -> DataFrame:
+    """K5: ``fold, metric, value`` (fold ``avg`` for the means) -> ordered log
+    lines: ``Fold n Metrics:`` then ``metric: 0.1234`` per metric and a blank
+    line per fold, then ``Average Metrics Across All Folds:`` and the means.
+    Returns ``block, pos, line``; write with ``orderBy("block", "pos")``."""
+    order = F.create_map(*[x for i, m in enumerate(metrics) for x in (F.lit(m), F.lit(i + 1))])
+    is_avg = F.col("fold") == "avg"
+    line = F.struct(
+        F.coalesce(F.try_element_at(order, F.col("metric")), F.lit(len(metrics) + 1)).alias("pos"),
+        F.format_string("%s: %.4f", F.col("metric"), F.col("value")).alias("line"),
     )
-    return body
+    # one row per fold (a handful of metric lines each), then lines in order
+    g = long.groupBy("fold").agg(F.array_sort(F.collect_list(line)).alias("ls"))
+    block = F.when(is_avg, F.lit(1 << 30)).otherwise(F.col("fold").cast("int"))
+    head = F.struct(
+        F.lit(0).alias("pos"),
+        F.when(is_avg, F.lit("Average Metrics Across All Folds:"))
+        .otherwise(F.format_string("Fold %s Metrics:", F.col("fold")))
+        .alias("line"),
+    )
+    blank = F.struct(F.lit(1 << 20).alias("pos"), F.lit("").alias("line"))
+    lines = F.concat(F.array(head), F.col("ls"), F.when(is_avg, F.array().cast("array<struct<pos:int,line:string>>")).otherwise(F.array(blank)))
+    return g.select(block.alias("block"), F.inline(lines))
 
 
 def append_batch(df: DataFrame, path: str) -> None:

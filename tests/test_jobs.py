@@ -145,3 +145,17 @@ def test_predict_and_score(spark):
     assert acc["accuracy"] > 0.9
     m = {r["level"]: r for r in out["metrics"].collect()}
     assert m["narrative"]["f1"] > 0.9
+
+
+def test_metrics_log(spark):
+    long = spark.createDataFrame(
+        [("1", "accuracy", 0.5), ("1", "f1", 0.25), ("2", "accuracy", 1.0), ("2", "f1", 0.75),
+         ("avg", "accuracy", 0.75), ("avg", "f1", 0.5)],
+        "fold string, metric string, value double",
+    )
+    lines = [r["line"] for r in K.metrics_log_lines(long).orderBy("block", "pos").collect()]
+    assert lines == [
+        "Fold 1 Metrics:", "accuracy: 0.5000", "f1: 0.2500", "",
+        "Fold 2 Metrics:", "accuracy: 1.0000", "f1: 0.7500", "",
+        "Average Metrics Across All Folds:", "accuracy: 0.7500", "f1: 0.5000",
+    ]
