@@ -74,24 +74,29 @@ def align(gold: DataFrame, pred: DataFrame, id_col: str = "article_id", labels:
 # Sample F1 over a fixed class list (scorer variant)
 # --------------------------------------------------------------------------
 
-def sample_f1_by_class_list(aligned: DataFrame, classes: DataFrame, id_col: str = "article_id") -> DataFrame:
-    """Per article ``id, n_gold, n_pred, tp, f1``: labels outside ``classes``
-    (column ``class``) are ignored, repeats count once (P21, F5); F1 is 0
-    when both sides are empty."""
+def sample_f1_by_class_list(
+    aligned: DataFrame, classes: DataFrame, id_col: str = "article_id", keys=()
+) -> DataFrame:
+    """Per article ``keys..., id, n_gold, n_pred, tp, f1``: labels outside
+    ``classes`` (column ``class``, plus ``keys`` when the class list differs
+    per key) are ignored, repeats count once (P21, F5); F1 is 0 when both
+    sides are empty."""
+    keys = list(keys)
     g = F.array_distinct(F.coalesce(F.col("gold"), F.array().cast("array<string>")))
     p = F.array_distinct(F.coalesce(F.col("pred"), F.array().cast("array<string>")))
-    rows = aligned.select(id_col, g.alias("g"), p.alias("p"))
-    occ = rows.select(id_col, "g", "p", F.explode_outer(F.array_union("g", "p")).alias("label"))
+    rows = aligned.select(*keys, id_col, g.alias("g"), p.alias("p"))
+    occ = rows.select(*keys, id_col, "g", "p", F.explode_outer(F.array_union("g", "p")).alias("label"))
+    cls_keys = [c for c in keys if c in classes.columns]
     cls = sized_broadcast(
         classes.where(F.col("class").isNotNull() & (F.col("class") != "")).select(
-            F.col("class").alias("label"), F.lit(True).alias("__known")
+            *cls_keys, F.col("class").alias("label"), F.lit(True).alias("__known")
         ).distinct()
     )
-    occ = occ.join(cls, "label", "left")
+    occ = occ.join(cls, [*cls_keys, "label"], "left")
     known = F.coalesce(F.col("__known"), F.lit(False))
     in_g = known & F.array_contains("g", F.col("label"))
     in_p = known & F.array_contains("p", F.col("label"))
-    per = occ.groupBy(id_col).agg(
+    per = occ.groupBy(*keys, id_col).agg(
         F.count_if(in_g).alias("n_gold"),
         F.count_if(in_p).alias("n_pred"),
         F.count_if(in_g & in_p).alias("tp"),
@@ -102,9 +107,9 @@ def sample_f1_by_class_list(aligned: DataFrame, classes: DataFrame, id_col: str
     )
 
 
-def summarize_f1(per_article: DataFrame) -> DataFrame:
-    """``f1_mean, f1_sd`` (population sd) and ``n``."""
-    return per_article.agg(
+def summarize_f1(per_article: DataFrame, keys=()) -> DataFrame:
+    """``keys..., f1_mean, f1_sd`` (population sd) and ``n``."""
+    return per_article.groupBy(*keys).agg(
         F.avg("f1").alias("f1_mean"),
         F.stddev_pop("f1").alias("f1_sd"),
         F.count(F.lit(1)).alias("n"),
@@ -115,19 +120,20 @@ def summarize_f1(per_article: DataFrame) -> DataFrame:
 # Samples-averaged precision, recall, F1 over observed labels
 # --------------------------------------------------------------------------
 
-def sample_prf(aligned: DataFrame) -> DataFrame:
-    """Per-row set metrics, averaged: ``precision, recall, f1, n``. Undefined
-    values count as 0 (the library default)."""
+def sample_prf(aligned: DataFrame, keys=()) -> DataFrame:
+    """Per-row set metrics, averaged (per ``keys``): ``precision, recall,
+    f1, n``. Undefined values count as 0 (the library default)."""
     g = F.array_distinct(F.coalesce(F.col("gold"), F.array().cast("array<string>")))
     p = F.array_distinct(F.coalesce(F.col("pred"), F.array().cast("array<string>")))
     tp = F.size(F.array_intersect(g, p)).cast("double")
     ng, np_ = F.size(g).cast("double"), F.size(p).cast("double")
     per = aligned.select(
+        *keys,
         F.when(np_ > 0, tp / np_).otherwise(0.0).alias("p"),
         F.when(ng > 0, tp / ng).otherwise(0.0).alias("r"),
         F.when(ng + np_ > 0, 2.0 * tp / (ng + np_)).otherwise(0.0).alias("f"),
     )
-    return per.agg(
+    return per.groupBy(*keys).agg(
         F.avg("p").alias("precision"), F.avg("r").alias("recall"), F.avg("f").alias("f1"), F.count(F.lit(1)).alias("n")
     )
 

@@ -519,15 +519,19 @@ SELECT level, round(avg(f1), 6) AS f1_mean, round(stddev_pop(f1), 6) AS f1_sd, c
 def q_scorer_f1(spark, sf):
     gp = D.gold_and_predictions(spark, sf)
     classes = D.theme_abbr_labels(D.taxonomy(spark, sf))
-    out = None
-    for level, g, p in (("coarse", "narrative", "p_narrative"), ("fine", "subnarrative", "p_subnarrative")):
-        aligned = gp.select("article_id", L.split_list(g).alias("gold"), L.split_list(p).alias("pred"))
-        per = SC.sample_f1_by_class_list(aligned, classes.where(F.col("level") == level).select("class"))
-        s = SC.summarize_f1(per).select(
-            F.lit(level).alias("level"), r6("f1_mean").alias("f1_mean"), r6("f1_sd").alias("f1_sd"), "n"
+    # both levels in one pass over the gold / prediction lines
+    levels = F.explode(
+        F.array(
+            F.struct(F.lit("coarse").alias("level"), L.split_list("narrative").alias("gold"),
+                     L.split_list("p_narrative").alias("pred")),
+            F.struct(F.lit("fine").alias("level"), L.split_list("subnarrative").alias("gold"),
+                     L.split_list("p_subnarrative").alias("pred")),
         )
-        out = s if out is None else out.unionByName(s)
-    return out
+    )
+    aligned = gp.select("article_id", levels.alias("x")).select("article_id", "x.*")
+    per = SC.sample_f1_by_class_list(aligned, classes, keys=["level"])
+    s = SC.summarize_f1(per, keys=["level"])
+    return s.select("level", r6("f1_mean").alias("f1_mean"), r6("f1_sd").alias("f1_sd"), "n")
 
 
 def _decoded_list_sql(cell: str, part: str) -> str:
@@ -556,20 +560,21 @@ FROM per GROUP BY level""",
 )
 def q_sample_prf(spark, sf):
     gp = D.gold_and_predictions(spark, sf)
-    out = None
-    for level, g, p, fn in (
-        ("narrative", "narrative", "p_narrative", L.narrative_of),
-        ("subnarrative", "subnarrative", "p_subnarrative", L.subnarrative_of),
-    ):
-        def dec(c):
-            return F.array_remove(F.array_distinct(L.map_labels(c, fn)), "")
-
-        aligned = gp.select(dec(g).alias("gold"), dec(p).alias("pred"))
-        s = SC.sample_prf(aligned).select(
-            F.lit(level).alias("level"), *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "n"
+
+    def dec(c, fn):
+        return F.array_remove(F.array_distinct(L.map_labels(c, fn)), "")
+
+    levels = F.explode(
+        F.array(
+            F.struct(F.lit("narrative").alias("level"), dec("narrative", L.narrative_of).alias("gold"),
+                     dec("p_narrative", L.narrative_of).alias("pred")),
+            F.struct(F.lit("subnarrative").alias("level"), dec("subnarrative", L.subnarrative_of).alias("gold"),
+                     dec("p_subnarrative", L.subnarrative_of).alias("pred")),
         )
-        out = s if out is None else out.unionByName(s)
-    return out
+    )
+    aligned = gp.select(levels.alias("x")).select("x.*")
+    s = SC.sample_prf(aligned, keys=["level"])
+    return s.select("level", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "n")
 
 
 @register(
