@@ -134,12 +134,23 @@ def detect(
     class_col: str = "p_domains",
     other_class: int = L.OTHER_CLASS,
     strategy: str = "auto",
+    scoped: bool = False,
 ) -> DataFrame:
     """M3: ``docs`` + ``p_narrative``, ``p_subnarrative`` (sorted distinct
     arrays, P22 / Q16). Nothing found -> ``[Other]`` (P23); class
-    ``other_class`` -> ``[Other]`` / ``[Other]`` without a search (P24)."""
+    ``other_class`` -> ``[Other]`` / ``[Other]`` without a search (P24).
+
+    With ``scoped``, a subnarrative counts only when one of its narratives
+    was found in the same text (the reference matches them alone, Q14)."""
     searched = docs.where(F.col(class_col).isNull() | (F.col(class_col) != other_class))
     hits = find_phrases(searched, taxonomy_phrases(taxonomy), id_col, text_col, strategy)
+    if scoped:
+        nar = hits.where(F.col("kind") == "narrative").select(id_col, F.col("phrase").alias("narrative"))
+        pairs = taxonomy.select("narrative", F.col("subnarrative").alias("phrase")).distinct()
+        sub = hits.where(F.col("kind") == "subnarrative").join(pairs, "phrase").join(nar, [id_col, "narrative"])
+        hits = hits.where(F.col("kind") == "narrative").unionByName(
+            sub.select(id_col, "kind", "phrase").distinct()
+        )
     per_doc = hits.groupBy(id_col).agg(
         F.array_sort(F.collect_set(F.when(F.col("kind") == "narrative", F.col("phrase")))).alias("__n"),
         F.array_sort(F.collect_set(F.when(F.col("kind") == "subnarrative", F.col("phrase")))).alias("__s"),

@@ -76,14 +76,20 @@ def audit(
     outline_pages: DataFrame | None = None,
     columns: str = "both",
     by_theme: bool = False,
+    release: str | None = None,
     out_dir: str | None = None,
 ) -> dict[str, DataFrame]:
-    """E2. Give either a taxonomy table or outline pages (parsed with W2 / W3)."""
+    """E2. Give either a taxonomy table or outline pages (parsed with W2 / W3).
+    ``release`` keeps only label files under that release folder (Q5: the
+    reference counts every nested release); ``columns`` picks the label
+    cells counted."""
     if taxonomy is None:
         if outline_pages is None:
             raise ValueError("give a taxonomy or outline pages")
         taxonomy = TX.parse_outline(outline_pages).select("theme", "narrative", "subnarrative")
     lines = R.read_annotations(spark, annotations_root, recursive=True)
+    if release is not None:
+        lines = lines.where(F.col("file_path").contains(f"/{release}/"))
     checkpoint_dir(spark)
     cube = TX.label_cube(lines, columns=columns).checkpoint()  # small, read five times
     nar = TX.narrative_counts(cube, taxonomy, by_theme)

@@ -135,3 +135,12 @@ def test_case_fold_edges(spark, strategy):
                                  "id string, text string")
     hits = sorted((r["id"], r["phrase"]) for r in DT.find_phrases(docs, phrases, strategy=strategy).collect())
     assert hits == [("1", "sun"), ("2", "ΟΔΟΣ"), ("3", "µm"), ("4", "Istanbul")]
+
+
+def test_detect_scoped(spark):
+    tax = spark.createDataFrame(TAX, schemas.TAXONOMY)
+    docs = spark.createDataFrame(DOCS, "article_id string, gpt_output string, p_domains int")
+    out = {r["article_id"]: (r["p_narrative"], r["p_subnarrative"]) for r in DT.detect(docs, tax, scoped=True).collect()}
+    assert out["3"] == (["Other"], ["Other"])  # no narrative found, so its subnarratives do not count
+    # 'Climate cycles are natural' belongs to another narrative than the one found
+    assert out["1"] == (["Criticism of climate policies"], ["Other"])

@@ -159,3 +159,12 @@ def test_metrics_log(spark):
         "Fold 2 Metrics:", "accuracy: 1.0000", "f1: 0.7500", "",
         "Average Metrics Across All Folds:", "accuracy: 0.7500", "f1: 0.5000",
     ]
+
+
+def test_audit_release_filter(spark, layout):
+    write(f"{layout}/other/EN/subtask-2-annotations.txt", "EN_x.txt\tOther\tOther\n")
+    tax = spark.createDataFrame([("Other", "Other", "Other")], schemas.TAXONOMY)
+    all_ = {(r["theme"], r["language"]): r["count"] for r in jobs.audit(spark, layout, taxonomy=tax)["theme_counts"].collect()}
+    one = {(r["theme"], r["language"]): r["count"]
+           for r in jobs.audit(spark, layout, taxonomy=tax, release="rel")["theme_counts"].collect()}
+    assert all_[("Other", "EN")] == one[("Other", "EN")] + 2
