@@ -163,6 +163,13 @@ def default_other(col) -> Column:
     return F.when(F.coalesce(F.size(x), F.lit(0)) <= 0, F.array(F.lit("Other"))).otherwise(x)
 
 
+def multi_hot(labels, classes) -> Column:
+    """0/1 vector over a caller's class list (unknown labels ignored,
+    repeats count once). Only for output; scoring uses set functions."""
+    arr = F.array(*[F.lit(c) for c in classes])
+    return F.transform(arr, lambda c: F.array_contains(_c(labels), c).cast("int"))
+
+
 def theme_name(abbr) -> Column:
     """Theme abbreviation (trimmed) -> long name; unknown -> null."""
     pairs = []

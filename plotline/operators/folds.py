@@ -66,6 +66,9 @@ def fold_split(df: DataFrame, fold: int, col: str = "fold") -> tuple[DataFrame,
     return df.where(F.col(col) != fold), df.where(F.col(col) == fold)
 
 
-def fold_value_counts(df: DataFrame, col: str, fold_col: str = "fold") -> DataFrame:
-    """Value counts of ``col`` in the validation part of each fold."""
+def fold_value_counts(df: DataFrame, col: str, fold_col: str = "fold", pivot: bool = False) -> DataFrame:
+    """Value counts of ``col`` in the validation part of each fold; with
+    ``pivot`` one row per fold and one column per value."""
+    if pivot:
+        return df.groupBy(fold_col).pivot(col).agg(F.count(F.lit(1))).na.fill(0)
     return df.groupBy(fold_col, col).agg(F.count(F.lit(1)).alias("count"))

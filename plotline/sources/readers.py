@@ -62,6 +62,18 @@ def read_csv_records(spark: SparkSession, path, schema=schemas.FLAT_RECORD) -> D
     return df.withColumn("fold_file", F.col("_metadata.file_name"))
 
 
+def read_fold_files(spark: SparkSession, folder: str, schema=None, pattern: str = "fold*_predictions.csv") -> DataFrame:
+    """Every ``fold{i}_predictions.csv`` of a folder in one read,
+    stacked by column name, with ``fold`` taken from the file name."""
+    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    if schema is not None:
+        r = r.schema(schema)
+    df = r.option("pathGlobFilter", pattern).csv(folder)
+    return df.withColumn(
+        "fold", F.regexp_extract(F.col("_metadata.file_name"), r"fold(\d+)", 1).cast("int")
+    )
+
+
 def read_class_list(spark: SparkSession, path) -> DataFrame:
     """One class per line; blank lines dropped (Q10)."""
     return spark.read.text(path).select(F.col("value").alias("class")).where(F.trim("class") != "")

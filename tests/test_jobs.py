@@ -168,3 +168,13 @@ def test_audit_release_filter(spark, layout):
     one = {(r["theme"], r["language"]): r["count"]
            for r in jobs.audit(spark, layout, taxonomy=tax, release="rel")["theme_counts"].collect()}
     assert all_[("Other", "EN")] == one[("Other", "EN")] + 2
+
+
+def test_read_fold_files(spark, tmp_path):
+    for i in (1, 2):
+        write(f"{tmp_path}/folds/fold{i}_predictions.csv",
+              f'article_id,content,p_domains\nA{i},"two\nlines, ""q""",{i}\n')
+    write(f"{tmp_path}/folds/other.csv", "article_id\nx\n")
+    df = R.read_fold_files(spark, f"{tmp_path}/folds")
+    got = sorted((r["article_id"], r["content"], r["fold"]) for r in df.collect())
+    assert got == [("A1", 'two\nlines, "q"', 1), ("A2", 'two\nlines, "q"', 2)]

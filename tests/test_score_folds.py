@@ -123,3 +123,16 @@ def test_fold_equals_single_window_definition(spark):
         acc += r["count"]
     want = {r["id"]: (offs[r["c"]] + r["rn"] - 1) % 5 + 1 for r in ref.collect()}
     assert {r["id"]: r["fold"] for r in got.collect()} == want
+
+
+def test_fold_pivot(spark):
+    f = folds(spark)
+    p = FO.fold_value_counts(f, "cls", pivot=True).orderBy("fold").collect()
+    assert [r["A"] + r["B"] for r in p] == [r["count"] for r in f.groupBy("fold").count().orderBy("fold").collect()]
+
+
+def test_multi_hot(spark):
+    from plotline.functions.labels import multi_hot
+
+    df = spark.createDataFrame([(["b", "z", "b"],)], "l array<string>")
+    assert df.select(multi_hot("l", ["a", "b", "c"])).first()[0] == [0, 1, 0]
