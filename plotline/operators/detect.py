@@ -10,9 +10,10 @@ Two exact plans:
   differs from that of their upper case) applied to both sides, which maps
   characters the regex treats as case-equal to the same text.
   Only pairs that pass it run the regex.
-* ``tokens`` (any size): the first word run of every phrase (its anchor)
-  must occur as a whole token of the folded text, so distinct text tokens
-  are equi-joined with phrase anchors; only candidate pairs are verified.
+* ``tokens`` (any size): a whole word run of every phrase (its longest,
+  the anchor) must occur as a whole token of the folded text, so distinct
+  text tokens are equi-joined with phrase anchors; only candidate pairs are
+  verified.
   Phrases without any word character (rare) go through the nested plan.
 
 Both return ``id, kind, phrase`` for every match.
@@ -76,13 +77,22 @@ def taxonomy_phrases(taxonomy: DataFrame) -> DataFrame:
     return nar.unionByName(sub).where(F.col("phrase").isNotNull() & (F.col("phrase") != "")).distinct()
 
 
+def _longest_word(col: Column) -> Column:
+    """The longest word run of a phrase ('' when it has none). Every whole
+    word run of a phrase is a whole token of any text the phrase matches
+    (it is bounded by non-word characters of the phrase or by ``\b``);
+    the longest is usually the rarest, so it makes the fewest candidates."""
+    words = F.regexp_extract_all(col, F.lit(_WORD_RUN), 0)
+    return F.aggregate(words, F.lit(""), lambda acc, w: F.when(F.length(w) > F.length(acc), w).otherwise(acc))
+
+
 def _prepared(phrases: DataFrame) -> DataFrame:
     return phrases.select(
         "kind",
         "phrase",
         fold("phrase").alias("__fp"),
         phrase_pattern("phrase").alias("__pat"),
-        F.regexp_extract(fold("phrase"), _WORD_RUN, 0).alias("__anchor"),
+        _longest_word(fold("phrase")).alias("__anchor"),
     )
 
 
