@@ -107,6 +107,61 @@ def sample_f1_by_class_list(
     )
 
 
+def set_counts_long(
+    gold: DataFrame, pred: DataFrame, id_col: str = "article_id", keys=(), classes: DataFrame | None = None
+) -> DataFrame:
+    """Per ``keys..., id``: ``n_gold, n_pred, tp`` over distinct labels, from
+    long tables ``keys..., id, label`` (one row per label occurrence).
+
+    Nothing is gathered per article: (id, label, side) rows are aggregated
+    (map-side combined), so one article with very many labels is spread over
+    tasks. With ``classes`` (column ``class``, plus any of ``keys``) unknown
+    labels are ignored. Ids come from both sides; an id with only unknown or
+    empty labels gets zeros."""
+    keys = list(keys)
+    occ = gold.select(*keys, id_col, "label", F.lit(1).alias("__g"), F.lit(0).alias("__p")).unionByName(
+        pred.select(*keys, id_col, "label", F.lit(0).alias("__g"), F.lit(1).alias("__p"))
+    )
+    if classes is not None:
+        cls_keys = [c for c in keys if c in classes.columns]
+        cls = sized_broadcast(
+            classes.where(F.col("class").isNotNull() & (F.col("class") != "")).select(
+                *cls_keys, F.col("class").alias("label"), F.lit(True).alias("__known")
+            ).distinct()
+        )
+        occ = occ.join(cls, [*cls_keys, "label"], "left")
+        known = F.coalesce(F.col("__known"), F.lit(False))
+    else:
+        known = F.col("label").isNotNull() & (F.col("label") != "")
+    per_label = occ.groupBy(*keys, id_col, "label").agg(
+        F.max(F.when(known, F.col("__g")).otherwise(0)).alias("g"),
+        F.max(F.when(known, F.col("__p")).otherwise(0)).alias("p"),
+    )
+    return per_label.groupBy(*keys, id_col).agg(
+        F.sum("g").alias("n_gold"), F.sum("p").alias("n_pred"), F.sum(F.col("g") * F.col("p")).alias("tp")
+    )
+
+
+def f1_from_counts(counts: DataFrame) -> DataFrame:
+    """Adds sample ``f1`` (0 when both sides are empty)."""
+    den = F.col("n_gold") + F.col("n_pred")
+    return counts.withColumn("f1", F.when(den > 0, 2.0 * F.col("tp") / den.cast("double")).otherwise(0.0))
+
+
+def prf_from_counts(counts: DataFrame, keys=()) -> DataFrame:
+    """A8 from per-row counts: averaged ``precision, recall, f1, n``."""
+    tp, ng, np_ = (F.col(c).cast("double") for c in ("tp", "n_gold", "n_pred"))
+    per = counts.select(
+        *keys,
+        F.when(np_ > 0, tp / np_).otherwise(0.0).alias("p"),
+        F.when(ng > 0, tp / ng).otherwise(0.0).alias("r"),
+        F.when(ng + np_ > 0, 2.0 * tp / (ng + np_)).otherwise(0.0).alias("f"),
+    )
+    return per.groupBy(*keys).agg(
+        F.avg("p").alias("precision"), F.avg("r").alias("recall"), F.avg("f").alias("f1"), F.count(F.lit(1)).alias("n")
+    )
+
+
 def summarize_f1(per_article: DataFrame, keys=()) -> DataFrame:
     """``keys..., f1_mean, f1_sd`` (population sd) and ``n``."""
     return per_article.groupBy(*keys).agg(

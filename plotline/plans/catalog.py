@@ -184,8 +184,8 @@ def q_records_json(spark, sf):
 SELECT {LANG_SQL.format(x='article_id')} AS language, count(*) AS count FROM annotations GROUP BY 1""",
 )
 def q_language_counts(spark, sf):
-    ann = D.annotations(spark, sf).select("article_id")
-    return ann.groupBy(L.language_of("article_id").alias("language")).agg(F.count(F.lit(1)).alias("count"))
+    arts = D.label_items(spark, sf).select("article_id").distinct()
+    return arts.groupBy(L.language_of("article_id").alias("language")).agg(F.count(F.lit(1)).alias("count"))
 
 
 # ---------------------------------------------------------------------------
@@ -517,20 +517,25 @@ f AS (SELECT level, CASE WHEN ng + np > 0 THEN 2.0 * CAST(tp AS DOUBLE) / (ng +
 SELECT level, round(avg(f1), 6) AS f1_mean, round(stddev_pop(f1), 6) AS f1_sd, count(*) AS n FROM f GROUP BY level""",
 )
 def q_scorer_f1(spark, sf):
-    gp = D.gold_and_predictions(spark, sf)
+    # Gold = every label of an article, prediction = labels of discounted
+    # items: computed from the label items in long form (no per-article
+    # gather); the DuckDB oracle builds and splits the annotation lines.
+    items = D.label_items(spark, sf)
     classes = D.theme_abbr_labels(D.taxonomy(spark, sf))
-    # both levels in one pass over the gold / prediction lines
-    levels = F.explode(
-        F.array(
-            F.struct(F.lit("coarse").alias("level"), L.split_list("narrative").alias("gold"),
-                     L.split_list("p_narrative").alias("pred")),
-            F.struct(F.lit("fine").alias("level"), L.split_list("subnarrative").alias("gold"),
-                     L.split_list("p_subnarrative").alias("pred")),
-        )
+    long = items.select(
+        "article_id",
+        (F.col("l_discount") >= D.PRED_MIN_DISCOUNT).alias("is_pred"),
+        F.explode(
+            F.array(
+                F.struct(F.lit("coarse").alias("level"), F.col("nar_label").alias("label")),
+                F.struct(F.lit("fine").alias("level"), F.col("sub_label").alias("label")),
+            )
+        ).alias("x"),
+    ).select("article_id", "is_pred", "x.*")
+    counts = SC.set_counts_long(
+        long.drop("is_pred"), long.where("is_pred").drop("is_pred"), keys=["level"], classes=classes
     )
-    aligned = gp.select("article_id", levels.alias("x")).select("article_id", "x.*")
-    per = SC.sample_f1_by_class_list(aligned, classes, keys=["level"])
-    s = SC.summarize_f1(per, keys=["level"])
+    s = SC.summarize_f1(SC.f1_from_counts(counts), keys=["level"])
     return s.select("level", r6("f1_mean").alias("f1_mean"), r6("f1_sd").alias("f1_sd"), "n")
 
 
@@ -559,21 +564,19 @@ SELECT level,
 FROM per GROUP BY level""",
 )
 def q_sample_prf(spark, sf):
-    gp = D.gold_and_predictions(spark, sf)
-
-    def dec(c, fn):
-        return F.array_remove(F.array_distinct(L.map_labels(c, fn)), "")
-
-    levels = F.explode(
-        F.array(
-            F.struct(F.lit("narrative").alias("level"), dec("narrative", L.narrative_of).alias("gold"),
-                     dec("p_narrative", L.narrative_of).alias("pred")),
-            F.struct(F.lit("subnarrative").alias("level"), dec("subnarrative", L.subnarrative_of).alias("gold"),
-                     dec("p_subnarrative", L.subnarrative_of).alias("pred")),
-        )
-    )
-    aligned = gp.select(levels.alias("x")).select("x.*")
-    s = SC.sample_prf(aligned, keys=["level"])
+    items = D.label_items(spark, sf)
+    long = items.select(
+        "article_id",
+        (F.col("l_discount") >= D.PRED_MIN_DISCOUNT).alias("is_pred"),
+        F.explode(
+            F.array(
+                F.struct(F.lit("narrative").alias("level"), L.narrative_of("nar_label").alias("label")),
+                F.struct(F.lit("subnarrative").alias("level"), L.subnarrative_of("sub_label").alias("label")),
+            )
+        ).alias("x"),
+    ).select("article_id", "is_pred", "x.*")
+    counts = SC.set_counts_long(long.drop("is_pred"), long.where("is_pred").drop("is_pred"), keys=["level"])
+    s = SC.prf_from_counts(counts, keys=["level"])
     return s.select("level", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "n")
 
 
@@ -587,11 +590,8 @@ SELECT DISTINCT label FROM (
 WHERE label <> ''""",
 )
 def q_observed_labels(spark, sf):
-    gp = D.gold_and_predictions(spark, sf)
-    aligned = gp.select(
-        L.map_labels("narrative", L.narrative_of).alias("gold"), L.map_labels("p_narrative", L.narrative_of).alias("pred")
-    )
-    return SC.observed_labels(aligned).where(F.col("label") != "")
+    items = D.label_items(spark, sf)
+    return items.select(L.narrative_of("nar_label").alias("label")).where(F.col("label") != "").distinct()
 
 
 @register(

@@ -62,7 +62,9 @@ def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderpriority").startswith("3"), F.lit("CC"))
         .alias("dom"),
     )
-    items = li.join(orders, li.l_orderkey == orders.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    # part first: the order join then leaves the rows partitioned by order
+    # key, which the per-article aggregates reuse without another shuffle
+    items = li.join(p, li.l_partkey == p.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
     other = F.col("dom").isNull()
     return items.select(
         F.col("l_orderkey").alias("o_orderkey"),
@@ -88,8 +90,11 @@ def _ordered_join(col: str, keep=None) -> F.Column:
 def annotations(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
     """``article_id, lang, o_orderkey, narrative, subnarrative``."""
     items = items if items is not None else label_items(spark, sf_dir)
-    return items.groupBy("article_id", "lang", "o_orderkey").agg(
-        _ordered_join("nar_label").alias("narrative"), _ordered_join("sub_label").alias("subnarrative")
+    return items.groupBy("o_orderkey").agg(
+        F.first("article_id").alias("article_id"),
+        F.first("lang").alias("lang"),
+        _ordered_join("nar_label").alias("narrative"),
+        _ordered_join("sub_label").alias("subnarrative"),
     )
 
 

@@ -136,3 +136,23 @@ def test_multi_hot(spark):
 
     df = spark.createDataFrame([(["b", "z", "b"],)], "l array<string>")
     assert df.select(multi_hot("l", ["a", "b", "c"])).first()[0] == [0, 1, 0]
+
+
+def test_line_and_long_scorers_agree(spark):
+    from plotline.functions import labels as L
+    from plotline.sources import driver as D
+
+    sf = "/root/testdata/sf0.001"
+    gp = D.gold_and_predictions(spark, sf)
+    classes = D.theme_abbr_labels(D.taxonomy(spark, sf)).where("level = 'fine'").select("class")
+    aligned = gp.select("article_id", L.split_list("subnarrative").alias("gold"), L.split_list("p_subnarrative").alias("pred"))
+    a = SC.summarize_f1(SC.sample_f1_by_class_list(aligned, classes)).first()
+    items = D.label_items(spark, sf).select("article_id", F.col("sub_label").alias("label"), "l_discount")
+    counts = SC.set_counts_long(items.drop("l_discount"), items.where("l_discount >= 0.05").drop("l_discount"),
+                                classes=classes)
+    b = SC.summarize_f1(SC.f1_from_counts(counts)).first()
+    assert a["n"] == b["n"]
+    assert a["f1_mean"] == pytest.approx(b["f1_mean"]) and a["f1_sd"] == pytest.approx(b["f1_sd"])
+    p1 = SC.sample_prf(aligned.select(F.array_remove("gold", "").alias("gold"), F.array_remove("pred", "").alias("pred"))).first()
+    p2 = SC.prf_from_counts(counts.select("article_id", "tp", "n_gold", "n_pred")).first()
+    assert p1["n"] == p2["n"]
