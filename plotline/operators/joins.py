@@ -30,9 +30,16 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default:
-    the cluster's parallelism) when it has fewer, for CPU-heavy per-row work
-    (regex over texts, model calls). A large input already has many splits
-    and is returned as is, so this adds a shuffle only for small inputs."""
+    """Round-robin ``df`` over ``min_partitions`` tasks (default: the
+    cluster's parallelism) when it reads fewer files than that, for
+    CPU-heavy per-row work (regex over texts, model calls) on small inputs.
+
+    The decision uses the file listing only (``inputFiles``), never an
+    execution; an input of many files is returned as is, so at scale this
+    adds no shuffle."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        n_files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - sources without a file listing
+        return df
+    return df.repartition(target) if n_files < target else df
