@@ -21,7 +21,8 @@ def read_annotations(spark: SparkSession, path, quoted: bool = False, recursive:
     language comes from the path (P13). Adds ``file_path`` and ``language``.
     """
     r = spark.read.schema(schemas.ANNOTATION).option("sep", "\t").option("header", False)
-    r = r.option("quote", '"' if quoted else "")
+    # quoted: like Python's csv reader, "" inside a quoted field is one quote
+    r = r.option("quote", '"' if quoted else "").option("escape", '"' if quoted else "\\")
     r = r.option("mode", "PERMISSIVE")
     if recursive:
         r = r.option("recursiveFileLookup", True).option("pathGlobFilter", "subtask-2-annotations.txt")

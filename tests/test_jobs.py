@@ -178,3 +178,9 @@ def test_read_fold_files(spark, tmp_path):
     df = R.read_fold_files(spark, f"{tmp_path}/folds")
     got = sorted((r["article_id"], r["content"], r["fold"]) for r in df.collect())
     assert got == [("A1", 'two\nlines, "q"', 1), ("A2", 'two\nlines, "q"', 2)]
+
+
+def test_tsv_quoted_doubled_quote(spark, tmp_path):
+    write(f"{tmp_path}/b.tsv", 'x\t"a ""q"" b;c"\td\n')
+    row = R.read_annotations(spark, f"{tmp_path}/b.tsv", quoted=True).first()
+    assert row["narrative"] == 'a "q" b;c'
