@@ -111,17 +111,28 @@ def set_counts_long(
     gold: DataFrame, pred: DataFrame, id_col: str = "article_id", keys=(), classes: DataFrame | None = None
 ) -> DataFrame:
     """Per ``keys..., id``: ``n_gold, n_pred, tp`` over distinct labels, from
-    long tables ``keys..., id, label`` (one row per label occurrence).
+    long tables ``keys..., id, label`` (one row per label occurrence). See
+    ``set_counts_flagged``."""
+    occ = gold.select(*keys, id_col, "label", F.lit(True).alias("in_gold"), F.lit(False).alias("in_pred")).unionByName(
+        pred.select(*keys, id_col, "label", F.lit(False).alias("in_gold"), F.lit(True).alias("in_pred"))
+    )
+    return set_counts_flagged(occ, id_col, keys, classes)
+
+
+def set_counts_flagged(
+    occ: DataFrame, id_col: str = "article_id", keys=(), classes: DataFrame | None = None,
+    gold_flag: str = "in_gold", pred_flag: str = "in_pred",
+) -> DataFrame:
+    """Per ``keys..., id``: ``n_gold, n_pred, tp`` over distinct labels, from
+    one long table ``keys..., id, label, in_gold, in_pred`` (a label row may
+    be on both sides, so gold and prediction come from one pass).
 
-    Nothing is gathered per article: (id, label, side) rows are aggregated
+    Nothing is gathered per article: (id, label) rows are aggregated
     (map-side combined), so one article with very many labels is spread over
     tasks. With ``classes`` (column ``class``, plus any of ``keys``) unknown
-    labels are ignored. Ids come from both sides; an id with only unknown or
-    empty labels gets zeros."""
+    labels are ignored; without, empty labels are. Every id seen gets a row
+    (zeros when it has no known label)."""
     keys = list(keys)
-    occ = gold.select(*keys, id_col, "label", F.lit(1).alias("__g"), F.lit(0).alias("__p")).unionByName(
-        pred.select(*keys, id_col, "label", F.lit(0).alias("__g"), F.lit(1).alias("__p"))
-    )
     if classes is not None:
         cls_keys = [c for c in keys if c in classes.columns]
         cls = sized_broadcast(
@@ -134,8 +145,8 @@ def set_counts_long(
     else:
         known = F.col("label").isNotNull() & (F.col("label") != "")
     per_label = occ.groupBy(*keys, id_col, "label").agg(
-        F.max(F.when(known, F.col("__g")).otherwise(0)).alias("g"),
-        F.max(F.when(known, F.col("__p")).otherwise(0)).alias("p"),
+        F.max((known & F.col(gold_flag)).cast("int")).alias("g"),
+        F.max((known & F.col(pred_flag)).cast("int")).alias("p"),
     )
     return per_label.groupBy(*keys, id_col).agg(
         F.sum("g").alias("n_gold"), F.sum("p").alias("n_pred"), F.sum(F.col("g") * F.col("p")).alias("tp")
@@ -205,14 +216,21 @@ def observed_labels(aligned: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def class_counts(df: DataFrame, true_col: str = "label", pred_col: str = "pred", keys=()) -> DataFrame:
-    """Per class (and ``keys``): ``tp, n_true, n_pred``."""
+    """Per class (and ``keys``): ``tp, n_true, n_pred`` in one pass (each
+    row adds to its true class and to its predicted class)."""
     keys = list(keys)
-    t = df.select(*keys, F.col(true_col).alias("class"), F.lit(1).alias("t"), F.lit(0).alias("p"),
-                  (F.col(true_col) == F.col(pred_col)).cast("int").alias("tp"))
-    p = df.select(*keys, F.col(pred_col).alias("class"), F.lit(0).alias("t"), F.lit(1).alias("p"),
-                  F.lit(0).alias("tp"))
-    return t.unionByName(p).groupBy(*keys, "class").agg(
-        F.sum("tp").alias("tp"), F.sum("t").alias("n_true"), F.sum("p").alias("n_pred")
+    sides = F.explode(
+        F.array(
+            F.struct(F.col(true_col).alias("class"), F.lit(1).alias("t"), F.lit(0).alias("p"),
+                     (F.col(true_col) == F.col(pred_col)).cast("int").alias("tp")),
+            F.struct(F.col(pred_col).alias("class"), F.lit(0).alias("t"), F.lit(1).alias("p"), F.lit(0).alias("tp")),
+        )
+    )
+    return (
+        df.select(*keys, sides.alias("s"))
+        .select(*keys, "s.*")
+        .groupBy(*keys, "class")
+        .agg(F.sum("tp").alias("tp"), F.sum("t").alias("n_true"), F.sum("p").alias("n_pred"))
     )
 
 
@@ -248,3 +266,14 @@ def metrics_long(wide: DataFrame, keys=("fold",)) -> DataFrame:
 def metric_means(long: DataFrame) -> DataFrame:
     """A10: mean of each metric over folds."""
     return long.groupBy("metric").agg(F.avg("value").alias("value"))
+
+
+def with_metric_means(long: DataFrame, fold_col: str = "fold", avg_label: str = "avg") -> DataFrame:
+    """Per-fold rows plus one ``avg`` row per metric, in one pass (grouping
+    sets over (metric, fold) and (metric)); ``fold`` becomes a string."""
+    r = long.rollup("metric", fold_col).agg(F.avg("value").alias("value"), F.grouping_id().alias("__g"))
+    return r.where(F.col("__g") < 3).select(
+        F.when(F.col("__g") == 1, F.lit(avg_label)).otherwise(F.col(fold_col).cast("string")).alias(fold_col),
+        "metric",
+        "value",
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
 from plotline.operators.joins import sized_broadcast
-from plotline.operators.scan import carry_forward
+from plotline.operators.scan import carry_forward_many
 
 CAPTION_WORD = "Figure"  # fixed: a line containing it names the page theme and ends the page
 
@@ -63,8 +63,9 @@ def parse_outline(pages: DataFrame, doc: str = "doc", page: str = "page", text:
             ),
         ).alias("cells"),
     )
-    p = carry_forward(p, ["doc"], "page", "page_theme", "theme", inclusive=True)
-    p = carry_forward(p, ["doc"], "page", "page_last_head", "head_before", inclusive=False)
+    p = carry_forward_many(
+        p, ["doc"], "page", [("page_theme", "theme", True), ("page_last_head", "head_before", False)]
+    )
     lines = p.select("doc", "page", "theme", "head_before", F.posexplode("cells").alias("line_no", "c"))
     line = F.col("c.line")
     narrative = F.coalesce(F.col("c.head"), F.col("head_before"))

@@ -455,9 +455,8 @@ SELECT 'avg', metric, round(avg(value), 6) FROM lng GROUP BY metric""",
 def q_fold_class_metrics(spark, sf):
     e = FO.stratified_folds(_emb(spark, sf), "label", "vec_id")
     wide = SC.class_metrics(e, "label", "pred", keys=["fold"])
-    long = SC.metrics_long(wide, keys=["fold"]).withColumn("fold", F.col("fold").cast("string"))
-    avg = SC.metric_means(long).select(F.lit("avg").alias("fold"), "metric", "value")
-    return long.unionByName(avg).select("fold", "metric", r6("value").alias("value"))
+    both = SC.with_metric_means(SC.metrics_long(wide, keys=["fold"]))
+    return both.select("fold", "metric", r6("value").alias("value"))
 
 
 @register(
@@ -480,9 +479,7 @@ def q_fold_metrics_log(spark, sf):
 
     e = FO.stratified_folds(_emb(spark, sf), "label", "vec_id")
     wide = SC.class_metrics(e, "label", "pred", keys=["fold"])
-    long = SC.metrics_long(wide, keys=["fold"]).withColumn("fold", F.col("fold").cast("string"))
-    avg = SC.metric_means(long).select(F.lit("avg").alias("fold"), "metric", "value")
-    return metrics_log_lines(long.unionByName(avg))
+    return metrics_log_lines(SC.with_metric_means(SC.metrics_long(wide, keys=["fold"])))
 
 
 # ---------------------------------------------------------------------------
@@ -532,9 +529,8 @@ def q_scorer_f1(spark, sf):
             )
         ).alias("x"),
     ).select("article_id", "is_pred", "x.*")
-    counts = SC.set_counts_long(
-        long.drop("is_pred"), long.where("is_pred").drop("is_pred"), keys=["level"], classes=classes
-    )
+    occ = long.select("level", "article_id", "label", F.lit(True).alias("in_gold"), F.col("is_pred").alias("in_pred"))
+    counts = SC.set_counts_flagged(occ, keys=["level"], classes=classes)
     s = SC.summarize_f1(SC.f1_from_counts(counts), keys=["level"])
     return s.select("level", r6("f1_mean").alias("f1_mean"), r6("f1_sd").alias("f1_sd"), "n")
 
@@ -575,7 +571,8 @@ def q_sample_prf(spark, sf):
             )
         ).alias("x"),
     ).select("article_id", "is_pred", "x.*")
-    counts = SC.set_counts_long(long.drop("is_pred"), long.where("is_pred").drop("is_pred"), keys=["level"])
+    occ = long.select("level", "article_id", "label", F.lit(True).alias("in_gold"), F.col("is_pred").alias("in_pred"))
+    counts = SC.set_counts_flagged(occ, keys=["level"])
     s = SC.prf_from_counts(counts, keys=["level"])
     return s.select("level", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "n")
 

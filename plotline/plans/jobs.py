@@ -127,7 +127,7 @@ def predict_and_score(
     d = d.checkpoint()  # folds are reused by every fold fit
     oof = IN.out_of_fold_predictions(d, text_col, "class_id", id_col, k=k)
     fold_metrics = SC.class_metrics(oof, "class_id", "p_domains", keys=["fold"])
-    long = SC.metrics_long(fold_metrics, keys=["fold"]).withColumn("fold", F.col("fold").cast("string"))
+    long = SC.metrics_long(fold_metrics, keys=["fold"])
     prompts = IN.route_prompts(oof, taxonomy, text_col=text_col, class_col="p_domains")
     answers = IN.answer_routed(prompts, model, id_col, finished=finished)
     results = oof.join(answers, id_col)
@@ -142,7 +142,7 @@ def predict_and_score(
     return {
         "folds": d,
         "predictions": detected,
-        "fold_metrics": long.unionByName(SC.metric_means(long).select(F.lit("avg").alias("fold"), "metric", "value")),
+        "fold_metrics": SC.with_metric_means(long),
         "metrics": metrics,
         "other_counts": DT.other_counts(detected),
     }
