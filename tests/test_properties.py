@@ -176,3 +176,73 @@ def test_explode_then_collect_is_identity(spark):
     back = ex.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "label"))),
                                                          lambda s: s["label"]), ";").alias("cell"))
     assert sorted(map(tuple, back.collect())) == rows
+
+
+# -- scoring ------------------------------------------------------------------
+
+lab = st.sampled_from(["a", "b", "c", "d", "", "zz"])
+labset = st.lists(lab, max_size=4)
+
+
+def f1_rule(g, p, classes):
+    g = {x for x in g if x in classes}
+    p = {x for x in p if x in classes}
+    return 0.0 if not g and not p else 2 * len(g & p) / (len(g) + len(p))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(labset, labset), min_size=1, max_size=15))
+def test_scorers_match_rules(spark, pairs):
+    from plotline.operators import score as SC
+
+    rows = [(str(i), g, p) for i, (g, p) in enumerate(pairs)]
+    al = spark.createDataFrame(rows, "article_id string, gold array<string>, pred array<string>")
+    classes = ["a", "b", "c"]
+    cls = spark.createDataFrame([(c,) for c in classes], "class string")
+    s = SC.summarize_f1(SC.sample_f1_by_class_list(al, cls)).first()
+    f1s = [f1_rule(g, p, set(classes)) for _, g, p in rows]
+    mean = sum(f1s) / len(f1s)
+    sd = (sum((x - mean) ** 2 for x in f1s) / len(f1s)) ** 0.5
+    assert abs(s["f1_mean"] - mean) < 1e-9 and abs(s["f1_sd"] - sd) < 1e-9
+
+    # long form gives the same per-article counts
+    occ = spark.createDataFrame(
+        [(a, x, True, False) for a, g, _ in rows for x in g] + [(a, x, False, True) for a, _, p in rows for x in p]
+        + [(a, "", True, True) for a, _, _ in rows],
+        "article_id string, label string, in_gold boolean, in_pred boolean",
+    )
+    s2 = SC.summarize_f1(SC.f1_from_counts(SC.set_counts_flagged(occ, classes=cls))).first()
+    assert abs(s2["f1_mean"] - mean) < 1e-9 and s2["n"] == len(rows)
+
+    # observed-label variant: undefined -> 0
+    def prf(g, p):
+        g, p = set(g), set(p)
+        tp = len(g & p)
+        return (tp / len(p) if p else 0.0, tp / len(g) if g else 0.0, 2 * tp / (len(g) + len(p)) if g or p else 0.0)
+
+    m = SC.sample_prf(al).first()
+    want = [prf(g, p) for _, g, p in rows]
+    for i, k in enumerate(("precision", "recall", "f1")):
+        assert abs(m[k] - sum(w[i] for w in want) / len(want)) < 1e-9
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), min_size=1, max_size=30))
+def test_class_metrics_match_rules(spark, pairs):
+    from plotline.operators import score as SC
+
+    df = spark.createDataFrame(pairs, "label int, pred int")
+    m = SC.class_metrics(df).first()
+    classes = sorted({t for t, _ in pairs} | {p for _, p in pairs})
+    prec, rec, f1 = [], [], []
+    for c in classes:
+        tp = sum(1 for t, p in pairs if t == c and p == c)
+        npred = sum(1 for _, p in pairs if p == c)
+        ntrue = sum(1 for t, _ in pairs if t == c)
+        prec.append(tp / npred if npred else 1.0)
+        rec.append(tp / ntrue if ntrue else 1.0)
+        f1.append(2 * tp / (npred + ntrue))
+    assert abs(m["accuracy"] - sum(1 for t, p in pairs if t == p) / len(pairs)) < 1e-9
+    assert abs(m["precision"] - sum(prec) / len(prec)) < 1e-9
+    assert abs(m["recall"] - sum(rec) / len(rec)) < 1e-9
+    assert abs(m["f1"] - sum(f1) / len(f1)) < 1e-9
