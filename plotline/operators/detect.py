@@ -10,6 +10,9 @@ Two exact plans:
   differs from that of their upper case) applied to both sides, which maps
   characters the regex treats as case-equal to the same text.
   Only pairs that pass it run the regex.
+* ``anchored`` (phrase table within the bound): as ``tokens`` below, but the
+  bounded anchor list is intersected with each text's tokens in-row, so
+  only hits are exploded and verified in the same stage: no shuffle.
 * ``tokens`` (any size): a whole word run of every phrase (its longest,
   the anchor) must occur as a whole token of the folded text, so distinct
   text tokens are equi-joined with phrase anchors; only candidate pairs are
@@ -28,6 +31,7 @@ from plotline.functions import labels as L
 from plotline.operators.joins import is_small, spread
 
 DEFAULT_MAX_BROADCAST_PHRASES = 4096
+NESTED_MAX_PHRASES = 32
 _REGEX_META = r"([\\\[\]{}()*+?.^$|])"
 _WORD_RUN = r"(?U)\w+"
 _NON_WORD = r"(?U)\W+"
@@ -102,6 +106,25 @@ def _nested(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataF
     return d.join(F.broadcast(ph), cond, "inner").select(F.col("__id").alias(id_col), "kind", "phrase")
 
 
+def _anchored(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str, anchors: list[str]) -> DataFrame:
+    """Token plan for a size-checked phrase table, without any shuffle: each
+    text's distinct folded tokens are intersected in-row with the (bounded)
+    anchor list, only the hits are exploded (with their text), joined to the
+    broadcast phrases and verified by the regex in the same stage."""
+    toks = F.array_distinct(F.split(fold(text_col), _NON_WORD, -1))
+    d = docs.select(
+        F.col(id_col).alias("__id"),
+        F.col(text_col).alias("__t"),
+        F.explode(F.array_intersect(toks, F.lit(anchors))).alias("__anchor"),
+    )
+    hit = d.join(F.broadcast(ph.where(F.col("__anchor") != "")), "__anchor").where(
+        F.regexp_like(F.col("__t"), F.col("__pat"))
+    )
+    found = hit.select(F.col("__id").alias(id_col), "kind", "phrase")
+    loose = ph.where(F.col("__anchor") == "")  # no word character: nested plan
+    return found.unionByName(_nested(docs, loose, id_col, text_col))
+
+
 def _tokens(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
     toks = docs.select(
         F.col(id_col).alias("__id"),
@@ -124,13 +147,23 @@ def find_phrases(
     strategy: str = "auto",
     max_broadcast_phrases: int = DEFAULT_MAX_BROADCAST_PHRASES,
 ) -> DataFrame:
-    """Every (document, phrase) whole-phrase match -> ``id, kind, phrase``."""
+    """Every (document, phrase) whole-phrase match -> ``id, kind, phrase``.
+
+    ``auto`` picks ``nested`` for a handful of phrases, ``anchored`` up to
+    ``max_broadcast_phrases`` (both keep the documents in place), and the
+    shuffle-join ``tokens`` plan beyond."""
     ph = _prepared(phrases)
+    small = is_small(phrases, max_broadcast_phrases)
     if strategy == "auto":
-        strategy = "nested" if is_small(phrases, max_broadcast_phrases) else "tokens"
+        strategy = "tokens" if not small else ("nested" if is_small(phrases, NESTED_MAX_PHRASES) else "anchored")
     docs = spread(docs.where(F.col(text_col).isNotNull()))
     if strategy == "nested":
         return _nested(docs, ph, id_col, text_col)
+    if strategy == "anchored":
+        if not small:
+            raise ValueError("anchored plan needs a phrase table within max_broadcast_phrases")
+        anchors = [r[0] for r in ph.select("__anchor").where(F.col("__anchor") != "").distinct().collect()]
+        return _anchored(docs, ph, id_col, text_col, sorted(anchors))
     if strategy == "tokens":
         return _tokens(docs, ph, id_col, text_col)
     raise ValueError(f"unknown strategy {strategy!r}")

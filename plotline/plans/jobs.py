@@ -58,6 +58,11 @@ def annotate(
         "release", "lang", "article_id", F.lit("article text missing").alias("reject_reason")
     )
     decoded = LB.decode(joined.where(F.col("content").isNotNull()), domain_from=domain_from)
+    if out_csv and out_jsonl:
+        # two outputs share the read, join and decode: write it once to the
+        # shared checkpoint folder and read both outputs from there
+        checkpoint_dir(spark)
+        decoded = decoded.checkpoint()
     good, bad = LB.split_rejects(decoded)
     rejects = missing.unionByName(bad.select("release", "lang", "article_id", "reject_reason"))
     flat = LB.flat_records(good)

@@ -26,7 +26,7 @@ DOCS = [
 ]
 
 
-@pytest.mark.parametrize("strategy", ["nested", "tokens"])
+@pytest.mark.parametrize("strategy", ["nested", "anchored", "tokens"])
 def test_detect(spark, strategy):
     tax = spark.createDataFrame(TAX, schemas.TAXONOMY)
     docs = spark.createDataFrame(DOCS, "article_id string, gpt_output string, p_domains int")
@@ -39,7 +39,7 @@ def test_detect(spark, strategy):
     assert out["6"] == (["Other"], ["Other"])  # class 2 never searched
 
 
-@pytest.mark.parametrize("strategy", ["nested", "tokens"])
+@pytest.mark.parametrize("strategy", ["nested", "anchored", "tokens"])
 def test_phrase_edges(spark, strategy):
     phrases = spark.createDataFrame(
         [("p", "a.b"), ("p", "x+"), ("p", "Ärger"), ("p", "(c)"), ("p", "ok.")], "kind string, phrase string"
@@ -65,6 +65,8 @@ def test_strategies_agree_on_random_text(spark):
     p = spark.createDataFrame(phrases, "kind string, phrase string").distinct()
     a = sorted(map(tuple, DT.find_phrases(d, p, strategy="nested").collect()))
     b = sorted(map(tuple, DT.find_phrases(d, p, strategy="tokens").collect()))
+    c = sorted(map(tuple, DT.find_phrases(d, p, strategy="anchored").collect()))
+    assert b == c
     import re
 
     want = sorted(
@@ -126,7 +128,7 @@ def test_apply_model_batches(spark):
     assert out.count() == 40
 
 
-@pytest.mark.parametrize("strategy", ["nested", "tokens"])
+@pytest.mark.parametrize("strategy", ["nested", "anchored", "tokens"])
 def test_case_fold_edges(spark, strategy):
     # the cheap pre-test must not drop matches the case-insensitive regex finds
     phrases = spark.createDataFrame([("p", "sun"), ("p", "ΟΔΟΣ"), ("p", "µm"), ("p", "Istanbul")],

@@ -164,7 +164,7 @@ def test_detection_matches_python_re(spark, texts, phrases):
     want = sorted(
         (i, x) for i, t in enumerate(texts) for x in phrases if re.search(r"\b" + re.escape(x) + r"\b", t, re.I)
     )
-    for strategy in ("nested", "tokens"):
+    for strategy in ("nested", "anchored", "tokens"):
         got = sorted((r["id"], r["phrase"]) for r in DT.find_phrases(d, p, strategy=strategy).collect())
         assert got == want, strategy
 
