@@ -218,3 +218,22 @@ def subnarrative_gaps(taxonomy: DataFrame, counts: DataFrame) -> DataFrame:
         .join(seen, keys, "left_anti")
         .select("theme", "narrative", "subnarrative", F.lit(0).cast("long").alias("count"))
     )
+
+
+def gaps_by_language(taxonomy: DataFrame, counts: DataFrame, level: str = "narrative") -> DataFrame:
+    """J6 per language (Q8): taxonomy entries with no count in a language
+    that occurs in ``counts``; ``theme, narrative[, subnarrative], language,
+    count`` with count 0.
+
+    No taxonomy x language product is joined: the (small) set of languages
+    is a scalar subquery, and each entry's missing languages are the set
+    difference with the languages it was counted in."""
+    entry = ["theme", "narrative"] + (["subnarrative"] if level == "subnarrative" else [])
+    keys = [k for k in entry if k in counts.columns] if "theme" in counts.columns else [level]
+    all_langs = counts.select(F.array_sort(F.collect_set("language"))).scalar()
+    seen = counts.groupBy(*keys).agg(F.collect_set("language").alias("__langs"))
+    tax = taxonomy.select(*entry).distinct()
+    missing = F.array_except(all_langs, F.coalesce(F.col("__langs"), F.array().cast("array<string>")))
+    return tax.join(seen, keys, "left").select(
+        *entry, F.explode(missing).alias("language"), F.lit(0).cast("long").alias("count")
+    )

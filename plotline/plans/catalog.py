@@ -303,6 +303,40 @@ def q_subnarrative_gaps_by_theme(spark, sf):
     return TX.subnarrative_gaps(tax, TX.subnarrative_counts(_cube(spark, sf), tax, by_theme=True))
 
 
+@register(
+    "narrative_gaps_by_language",
+    SQL_CUBE
+    + ","
+    + D.SQL_TAXONOMY
+    + f""",
+counted AS (SELECT DISTINCT narrative, language FROM cube WHERE {_VALID_N}),
+langs AS (SELECT DISTINCT language FROM counted)
+SELECT t.theme, t.narrative, l.language, CAST(0 AS BIGINT) AS count
+FROM (SELECT DISTINCT theme, narrative FROM taxonomy) t CROSS JOIN langs l
+WHERE NOT EXISTS (SELECT 1 FROM counted c WHERE c.narrative = t.narrative AND c.language = l.language)""",
+)
+def q_narrative_gaps_by_language(spark, sf):
+    tax = D.taxonomy(spark, sf)
+    return TX.gaps_by_language(tax, TX.narrative_counts(_cube(spark, sf), tax), "narrative")
+
+
+@register(
+    "subnarrative_gaps_by_language",
+    SQL_CUBE
+    + ","
+    + D.SQL_TAXONOMY
+    + f""",
+counted AS (SELECT DISTINCT subnarrative, language FROM cube WHERE subnarrative IS NOT NULL AND {_VALID_S}),
+langs AS (SELECT DISTINCT language FROM counted)
+SELECT t.theme, t.narrative, t.subnarrative, l.language, CAST(0 AS BIGINT) AS count
+FROM (SELECT DISTINCT theme, narrative, subnarrative FROM taxonomy) t CROSS JOIN langs l
+WHERE NOT EXISTS (SELECT 1 FROM counted c WHERE c.subnarrative = t.subnarrative AND c.language = l.language)""",
+)
+def q_subnarrative_gaps_by_language(spark, sf):
+    tax = D.taxonomy(spark, sf)
+    return TX.gaps_by_language(tax, TX.subnarrative_counts(_cube(spark, sf), tax), "subnarrative")
+
+
 @register(
     "top_narratives",
     SQL_CUBE

@@ -120,3 +120,20 @@ def test_carry_forward_matches_window_across_blocks(spark):
         assert res[(k, p)] == last.get(k)
         if v is not None:
             last[k] = v
+
+
+def test_gaps_by_language(spark):
+    ann = spark.createDataFrame(
+        [("EN_1.txt", "URW: Praise of Russia", "URW: Praise of Russia: Other", "EN"),
+         ("PT_2.txt", "URW: Discrediting Ukraine", "URW: Discrediting Ukraine: Other", "PT")],
+        "article_id string, narrative string, subnarrative string, language string",
+    )
+    tax = spark.createDataFrame(TAX, schemas.TAXONOMY)
+    cube = TX.label_cube(ann)
+    got = rows(TX.gaps_by_language(tax, TX.narrative_counts(cube, tax), "narrative"))
+    assert got == [
+        (URW, "Discrediting Ukraine", "EN", 0),
+        (URW, "Praise of Russia", "PT", 0),
+        (URW, "Russia is the Victim", "EN", 0),
+        (URW, "Russia is the Victim", "PT", 0),
+    ]
