@@ -121,8 +121,7 @@ def _anchored(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str, anchor
         F.regexp_like(F.col("__t"), F.col("__pat"))
     )
     found = hit.select(F.col("__id").alias(id_col), "kind", "phrase")
-    loose = ph.where(F.col("__anchor") == "")  # no word character: nested plan
-    return found.unionByName(_nested(docs, loose, id_col, text_col))
+    return _with_loose(found, docs, ph, id_col, text_col)
 
 
 def _tokens(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -134,8 +133,16 @@ def _tokens(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataF
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
     hit = cand.join(texts, "__id").where(F.regexp_like(F.col("__t"), F.col("__pat")))
     found = hit.select(F.col("__id").alias(id_col), "kind", "phrase")
-    # phrases with no word character cannot be anchored
+    return _with_loose(found, docs, ph, id_col, text_col)
+
+
+def _with_loose(found: DataFrame, docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Phrases with no word character cannot be anchored; the (rare) ones
+    that exist go through the nested plan. Checked on the phrase table, so
+    the texts are not scanned a second time when there are none."""
     loose = ph.where(F.col("__anchor") == "")
+    if loose.limit(1).count() == 0:
+        return found
     return found.unionByName(_nested(docs, loose, id_col, text_col))
 
 

@@ -42,16 +42,17 @@ def test_detect(spark, strategy):
 @pytest.mark.parametrize("strategy", ["nested", "anchored", "tokens"])
 def test_phrase_edges(spark, strategy):
     phrases = spark.createDataFrame(
-        [("p", "a.b"), ("p", "x+"), ("p", "Ärger"), ("p", "(c)"), ("p", "ok.")], "kind string, phrase string"
+        [("p", "a.b"), ("p", "x+"), ("p", "Ärger"), ("p", "(c)"), ("p", "ok."), ("p", "--")],
+        "kind string, phrase string",
     )
     docs = spark.createDataFrame(
         [("1", "say A.B now"), ("2", "aXb"), ("3", "x+ y"), ("4", "kein ärger"), ("5", "see (c) here"),
-         ("6", "ok.go"), ("7", "ok. go")],
+         ("6", "ok.go"), ("7", "ok. go"), ("8", "a--b"), ("9", "a -- b")],
         "id string, text string",
     )
     hits = sorted((r["id"], r["phrase"]) for r in DT.find_phrases(docs, phrases, strategy=strategy).collect())
-    # \b after a trailing '.' needs a word character next; '(c)' needs word chars around
-    assert hits == [("1", "a.b"), ("4", "Ärger"), ("6", "ok.")]
+    # \b after a trailing '.' needs a word character next; '(c)' and '--' need word chars around
+    assert hits == [("1", "a.b"), ("4", "Ärger"), ("6", "ok."), ("8", "--")]
 
 
 def test_strategies_agree_on_random_text(spark):

@@ -184,3 +184,16 @@ def test_tsv_quoted_doubled_quote(spark, tmp_path):
     write(f"{tmp_path}/b.tsv", 'x\t"a ""q"" b;c"\td\n')
     row = R.read_annotations(spark, f"{tmp_path}/b.tsv", quoted=True).first()
     assert row["narrative"] == 'a "q" b;c'
+
+
+def test_stack_languages_and_merge(spark, layout, tmp_path):
+    from plotline.operators import labels as LB
+
+    for lang in ("EN", "PT"):
+        res = jobs.annotate(spark, f"{layout}/rel/{lang}/subtask-2-annotations.txt", layout)
+        K.write_jsonl(res["nested"], f"{tmp_path}/json/{lang}")
+    both = R.read_jsonl(spark, [f"{tmp_path}/json/EN", f"{tmp_path}/json/PT"])  # U2: one multi-path read
+    merged = {r["article_id"]: r for r in LB.merge_records(both).collect()}
+    assert merged["PT_9.txt"]["language"] == "PT"
+    assert merged["PT_9.txt"]["label"] == ["Downplaying_climate_change__Ice_is_not_melting"]
+    assert merged["EN_UA_1.txt"]["label"][1] == "Praise_of_Russia__Other"
