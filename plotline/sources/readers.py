@@ -6,6 +6,8 @@ to the labels (J1), never opened per row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,13 @@ def read_annotations(spark: SparkSession, path, quoted: bool = False, recursive:
         r = r.option("recursiveFileLookup", True).option("pathGlobFilter", "subtask-2-annotations.txt")
     df = r.csv(path)
     fp = F.col("_metadata.file_path")
-    return df.select("*", fp.alias("file_path"), L.language_of(fp).alias("language"))
+    rel = fp
+    if recursive and isinstance(path, str):
+        # language from the path below the searched folder, not from the
+        # folder's own location
+        below = F.get(F.split(fp, re.escape(path.rstrip("/")) + "/", 2), 1)
+        rel = F.coalesce(below, fp)
+    return df.select("*", fp.alias("file_path"), L.language_of(rel).alias("language"))
 
 
 def read_articles(spark: SparkSession, root: str) -> DataFrame:

@@ -197,3 +197,11 @@ def test_stack_languages_and_merge(spark, layout, tmp_path):
     assert merged["PT_9.txt"]["language"] == "PT"
     assert merged["PT_9.txt"]["label"] == ["Downplaying_climate_change__Ice_is_not_melting"]
     assert merged["EN_UA_1.txt"]["label"][1] == "Praise_of_Russia__Other"
+
+
+def test_language_from_path_below_root(spark, tmp_path):
+    root = str(tmp_path / "BG_data")  # a code in the root's own name is ignored
+    write(f"{root}/rel/PT/subtask-2-annotations.txt", "PT_1.txt\tOther\tOther\n")
+    write(f"{root}/rel/RU/subtask-2-annotations.txt", "RU_1.txt\tOther\tOther\n")
+    got = {r["article_id"]: r["language"] for r in R.read_annotations(spark, root, recursive=True).collect()}
+    assert got == {"PT_1.txt": "PT", "RU_1.txt": "Unknown"}
