@@ -202,6 +202,24 @@ def q_theme_counts(spark, sf):
     return TX.theme_counts(_cube(spark, sf))
 
 
+@register(
+    "label_rejects",
+    "WITH "
+    + D.SQL_ITEMS
+    + f""",
+occ AS (SELECT {LANG_SQL.format(x='lang')} AS language, unnest([nar_label, sub_label]) AS label FROM label_items)
+SELECT language, label, 'more than three '':'' parts' AS reject_reason FROM occ
+WHERE len(string_split(label, ':')) >= 4""",
+)
+def q_label_rejects(spark, sf):
+    items = D.label_items(spark, sf)
+    occ = items.select(
+        L.language_of("lang").alias("language"), F.explode(F.array("nar_label", "sub_label")).alias("label")
+    )
+    dec = TX.decode_count_labels(occ)
+    return dec.where(F.col("reject_reason").isNotNull()).select("language", "label", "reject_reason")
+
+
 @register(
     "theme_rollup",
     SQL_CUBE
