@@ -20,8 +20,18 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> int:
     return df.limit(max_rows + 1).count()
 
 
+# Size decisions per (session, logical plan, bound). The plan hash covers the
+# files read, so another table or scale factor is checked again; a cached
+# decision can only affect the join strategy, never the result.
+_SMALL: dict[tuple[int, int, int], bool] = {}
+
+
 def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    return row_count_at_most(df, max_rows) <= max_rows
+    """At most ``max_rows`` rows (counting stops at ``max_rows + 1``)."""
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _SMALL:
+        _SMALL[key] = row_count_at_most(df, max_rows) <= max_rows
+    return _SMALL[key]
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -33,15 +33,41 @@ SMALL_PART_MAX_SIZE = 25
 PRED_MIN_DISCOUNT = 0.05
 
 
+# Fixed schemas of the driver tables (the columns the jobs read). A given
+# schema spares the footer read for schema inference on every plan.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_discount double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    r = spark.read
+    if name in TABLE_SCHEMAS:
+        r = r.schema(TABLE_SCHEMAS[name])
+    return r.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------------------
 # Spark views
 # ---------------------------------------------------------------------------
 
-def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def label_items(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
+    """One row per line item with its article, language and the two labels.
+
+    ``by_order``: join parts first and orders last, so the rows come out
+    partitioned by order key and a per-article aggregate that follows needs
+    no further shuffle. Otherwise orders come first and parts last (the
+    same two item-sized shuffles at scale; no per-article step follows)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount"
     )
@@ -62,9 +88,10 @@ def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderpriority").startswith("3"), F.lit("CC"))
         .alias("dom"),
     )
-    # part first: the order join then leaves the rows partitioned by order
-    # key, which the per-article aggregates reuse without another shuffle
-    items = li.join(p, li.l_partkey == p.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
+    if by_order:
+        items = li.join(p, li.l_partkey == p.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
+    else:
+        items = li.join(orders, li.l_orderkey == orders.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     other = F.col("dom").isNull()
     return items.select(
         F.col("l_orderkey").alias("o_orderkey"),
@@ -89,7 +116,7 @@ def _ordered_join(col: str, keep=None) -> F.Column:
 
 def annotations(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
     """``article_id, lang, o_orderkey, narrative, subnarrative``."""
-    items = items if items is not None else label_items(spark, sf_dir)
+    items = items if items is not None else label_items(spark, sf_dir, by_order=True)
     return items.groupBy("o_orderkey").agg(
         F.first("article_id").alias("article_id"),
         F.first("lang").alias("lang"),
@@ -102,9 +129,10 @@ def gold_and_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold = all labels of the article; prediction = labels of line items
     with ``l_discount >= 0.05`` (empty cell when none): ``article_id,
     narrative, subnarrative, p_narrative, p_subnarrative``."""
-    items = label_items(spark, sf_dir)
+    items = label_items(spark, sf_dir, by_order=True)
     keep = F.col("l_discount") >= PRED_MIN_DISCOUNT
-    return items.groupBy("article_id").agg(
+    return items.groupBy("o_orderkey").agg(
+        F.first("article_id").alias("article_id"),
         _ordered_join("nar_label").alias("narrative"),
         _ordered_join("sub_label").alias("subnarrative"),
         _ordered_join("nar_label", keep).alias("p_narrative"),
