@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from plotline.functions import labels as L
 from plotline.operators.joins import sized_broadcast
 from plotline.operators.scan import carry_forward_many
+from plotline.session import checkpoint_dir
 
 CAPTION_WORD = "Figure"  # fixed: a line containing it names the page theme and ends the page
 
@@ -230,6 +231,11 @@ def gaps_by_language(taxonomy: DataFrame, counts: DataFrame, level: str = "narra
     difference with the languages it was counted in."""
     entry = ["theme", "narrative"] + (["subnarrative"] if level == "subnarrative" else [])
     keys = [k for k in entry if k in counts.columns] if "theme" in counts.columns else [level]
+    # the counts are small and read twice (language set and per entry): write
+    # them once to the shared checkpoint folder instead of running their
+    # whole lineage twice
+    checkpoint_dir(counts.sparkSession)
+    counts = counts.checkpoint()
     all_langs = counts.select(F.array_sort(F.collect_set("language"))).scalar()
     seen = counts.groupBy(*keys).agg(F.collect_set("language").alias("__langs"))
     tax = taxonomy.select(*entry).distinct()
