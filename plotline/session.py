@@ -36,6 +36,9 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
         # projection of the small test tables qualifies, a side that grows
         # with the data.
         .config("spark.sql.autoBroadcastJoinThreshold", str(2 * 1024 * 1024))
+        # AQE merges small shuffle partitions down to 1 MB each by default,
+        # which leaves local cores idle on CPU-heavy stages of small inputs
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", str(256 * 1024))
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
