@@ -53,11 +53,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting must point at shared storage and is read as is.
     Only when it is unset (local tests) a private temporary folder is made.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if current and not path:
+        return current
     if not path:
         path = tempfile.mkdtemp(prefix="plotline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - a core setting may be read-only at run time
+            pass
+    if not current:
+        sc.setCheckpointDir(path)
     return path
 
 
