@@ -156,3 +156,11 @@ def test_line_and_long_scorers_agree(spark):
     p1 = SC.sample_prf(aligned.select(F.array_remove("gold", "").alias("gold"), F.array_remove("pred", "").alias("pred"))).first()
     p2 = SC.prf_from_counts(counts.select("article_id", "tp", "n_gold", "n_pred")).first()
     assert p1["n"] == p2["n"]
+
+
+def test_fold_sizes_of_the_published_run(spark):
+    # T4: 726 rows in 5 folds -> 146, 145, 145, 145, 145 (fold 1 takes the remainder)
+    df = spark.range(726).select(F.col("id"), (F.col("id") % 3).alias("c"))
+    f = FO.stratified_folds(df, "c", "id", k=5, seed=42)
+    sizes = [r["count"] for r in f.groupBy("fold").count().orderBy("fold").collect()]
+    assert sizes == [146, 145, 145, 145, 145]
