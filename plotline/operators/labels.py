@@ -66,8 +66,9 @@ def flat_records(decoded: DataFrame) -> DataFrame:
     )
 
 
-def nested_records(decoded: DataFrame) -> DataFrame:
-    """``article_id, content, domain, labels{narrative[], subnarrative[]}``."""
+def nested_records(decoded: DataFrame, keep=()) -> DataFrame:
+    """``article_id, content, domain, labels{narrative[], subnarrative[]}``
+    (plus the ``keep`` columns, e.g. for partitioned writes)."""
     content = F.col("content") if "content" in decoded.columns else F.lit(None).cast("string")
     return decoded.select(
         "article_id",
@@ -76,6 +77,7 @@ def nested_records(decoded: DataFrame) -> DataFrame:
         F.struct(F.col("narratives").alias("narrative"), F.col("subnarratives").alias("subnarrative")).alias(
             "labels"
         ),
+        *keep,
     )
 
 

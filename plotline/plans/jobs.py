@@ -41,9 +41,12 @@ def annotate(
     out_csv: str | None = None,
     out_jsonl: str | None = None,
     domain_from: str = "subnarrative",
+    partition_by: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
     """E1. Lines are matched to articles by (release, language, article id)
-    taken from ``{root}/{release}/{lang}/subtask-2-annotations.txt``."""
+    taken from ``{root}/{release}/{lang}/subtask-2-annotations.txt``.
+    ``partition_by`` (e.g. ``("release", "lang")``) writes the JSON lines
+    in folders per value, so later reads prune by path."""
     lines = R.read_annotations(spark, annotations_path)
     lines = lines.select(
         "article_id",
@@ -70,7 +73,7 @@ def annotate(
     if out_csv:
         K.write_csv(flat, out_csv)
     if out_jsonl:
-        K.write_jsonl(nested, out_jsonl)
+        K.write_jsonl(LB.nested_records(good, keep=partition_by), out_jsonl, partition_by=partition_by)
     return {"flat": flat, "nested": nested, "rejects": rejects}
 
 

@@ -205,3 +205,12 @@ def test_language_from_path_below_root(spark, tmp_path):
     write(f"{root}/rel/RU/subtask-2-annotations.txt", "RU_1.txt\tOther\tOther\n")
     got = {r["article_id"]: r["language"] for r in R.read_annotations(spark, root, recursive=True).collect()}
     assert got == {"PT_1.txt": "PT", "RU_1.txt": "Unknown"}
+
+
+def test_annotate_partitioned_jsonl(spark, layout, tmp_path):
+    out = str(tmp_path / "parts")
+    jobs.annotate(spark, f"{layout}/rel/*/subtask-2-annotations.txt", layout, out_jsonl=out,
+                  partition_by=("release", "lang"))
+    assert os.path.isdir(f"{out}/release=rel/lang=PT")
+    pt = spark.read.json(out).where("lang = 'PT'").select("article_id").collect()
+    assert [r[0] for r in pt] == ["PT_9.txt"]
