@@ -214,3 +214,24 @@ def test_annotate_partitioned_jsonl(spark, layout, tmp_path):
     assert os.path.isdir(f"{out}/release=rel/lang=PT")
     pt = spark.read.json(out).where("lang = 'PT'").select("article_id").collect()
     assert [r[0] for r in pt] == ["PT_9.txt"]
+
+
+def test_resumable_stream_after_failure(spark, tmp_path):
+    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
+    schema = "id string, text string"
+    spark.createDataFrame([("1", "a")], schema).coalesce(1).write.parquet(f"{src}/p1")
+    spark.createDataFrame([("2", "boom"), ("3", "c")], schema).coalesce(1).write.parquet(f"{src}/p2")
+    sch = spark.createDataFrame([], schema).schema
+
+    def flaky(texts):
+        if "boom" in texts:
+            raise RuntimeError("model failed")
+        return [t + "!" for t in texts]
+
+    with pytest.raises(Exception):
+        run_resumable(spark, f"{src}/*", sch, out, flaky, "id", "text", checkpoint=ck)
+    done = sorted(r["id"] for r in spark.read.parquet(out).collect())
+    assert done == ["1"]  # the first batch was kept, the failed one left no rows
+    run_resumable(spark, f"{src}/*", sch, out, lambda ts: [t + "!" for t in ts], "id", "text", checkpoint=ck)
+    res = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert res == [("1", "a!"), ("2", "boom!"), ("3", "c!")]
