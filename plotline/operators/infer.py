@@ -237,7 +237,11 @@ def out_of_fold_predictions(
     return out
 
 
-def top_rank(df: DataFrame, part: list[str], order: list, n: int) -> DataFrame:
-    """L1: first ``n`` rows per group by ``order`` (a top-k report)."""
+def top_rank(df: DataFrame, part: list[str], order: list, n: int, rank_col: str | None = None) -> DataFrame:
+    """L1 / L2: first ``n`` rows per group by ``order`` (a top-k report; the
+    window runs per group of an already aggregated table). ``rank_col``
+    keeps the rank."""
+    col = rank_col or "__rn"
     w = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    out = df.withColumn(col, F.row_number().over(w)).where(F.col(col) <= n)
+    return out if rank_col else out.drop(col)

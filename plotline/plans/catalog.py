@@ -367,10 +367,7 @@ SELECT narrative, language, count, CAST(rank AS INTEGER) AS rank FROM r WHERE ra
 )
 def q_top_narratives(spark, sf):
     c = TX.narrative_counts(_cube(spark, sf), D.taxonomy(spark, sf))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("language").orderBy(F.desc("count"), "narrative")
-    return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 3)
+    return IN.top_rank(c, ["language"], [F.desc("count"), "narrative"], 3, rank_col="rank")
 
 
 @register(
