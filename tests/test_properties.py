@@ -246,3 +246,27 @@ def test_class_metrics_match_rules(spark, pairs):
     assert abs(m["precision"] - sum(prec) / len(prec)) < 1e-9
     assert abs(m["recall"] - sum(rec) / len(rec)) < 1e-9
     assert abs(m["f1"] - sum(f1) / len(f1)) < 1e-9
+
+
+# -- fill-forward -------------------------------------------------------------
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.one_of(st.none(), st.sampled_from(["a", "b"])),
+                       st.one_of(st.none(), st.sampled_from(["x", "y"]))), min_size=1, max_size=80),
+    st.integers(1, 9),
+)
+def test_carry_forward_many_matches_scan(spark, rows, block):
+    from plotline.operators.scan import carry_forward_many
+
+    data = [(k, i, u, v) for i, (k, u, v) in enumerate(rows)]  # positions unique per key
+    df = spark.createDataFrame(data, "k string, p int, u string, v string")
+    got = carry_forward_many(df, ["k"], "p", [("u", "cu", True), ("v", "cv", False)], block_size=block)
+    res = {(r["k"], r["p"]): (r["cu"], r["cv"]) for r in got.collect()}
+    last_u, last_v = {}, {}
+    for k, p, u, v in sorted(data, key=lambda x: (x[0], x[1])):
+        if u is not None:
+            last_u[k] = u
+        assert res[(k, p)] == (last_u.get(k), last_v.get(k))
+        if v is not None:
+            last_v[k] = v
