@@ -270,3 +270,19 @@ def test_carry_forward_many_matches_scan(spark, rows, block):
         assert res[(k, p)] == (last_u.get(k), last_v.get(k))
         if v is not None:
             last_v[k] = v
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.sampled_from(["n1", "n2", "n3", "n4"]), st.sampled_from(["EN", "PT", "BG"])),
+             min_size=1, max_size=20),
+)
+def test_gaps_by_language_matches_sets(spark, counted):
+    tax_rows = [("T", n, "Other") for n in ("n1", "n2", "n3", "n4", "n5")]
+    tax = spark.createDataFrame(tax_rows, schemas.TAXONOMY)
+    counts = spark.createDataFrame([(n, lang, 1) for n, lang in counted], "narrative string, language string, count long")
+    got = sorted((r["narrative"], r["language"]) for r in TX.gaps_by_language(tax, counts, "narrative").collect())
+    langs = {lang for _, lang in counted}
+    seen = set(counted)
+    want = sorted((n, lang) for _, n, _ in tax_rows for lang in langs if (n, lang) not in seen)
+    assert got == want
