@@ -121,13 +121,15 @@ def decode_count_labels(occ: DataFrame) -> DataFrame:
 
 
 def cube_from_occurrences(occ: DataFrame) -> DataFrame:
-    """``language, label`` occurrences -> ``theme, narrative, subnarrative,
-    language, count`` over valid-arity labels.
+    """``language, label`` occurrences (optionally weighted by a count
+    column ``n``) -> ``theme, narrative, subnarrative, language, count`` over
+    valid-arity labels.
 
     Raw label strings are counted first (partial aggregation combines hot
     keys map-side), so the string decoding runs once per distinct label and
     language, not once per occurrence."""
-    raw = occ.groupBy("language", "label").agg(F.count(F.lit(1)).alias("count"))
+    weight = F.col("n") if "n" in occ.columns else F.lit(1)
+    raw = occ.groupBy("language", "label").agg(F.sum(weight).cast("long").alias("count"))
     dec = decode_count_labels(raw)
     return (
         dec.where(F.col("reject_reason").isNull())

@@ -92,9 +92,10 @@ cube AS (SELECT {THEME_SQL.format(x=D.sql_strip('abbr'))} AS theme, {D.sql_strip
 
 
 def _cube(spark, sf):
-    items = D.label_items(spark, sf)
-    occ = items.select(
-        L.language_of("lang").alias("language"), F.explode(F.array("nar_label", "sub_label")).alias("label")
+    # label items counted per (language, domain, part) before the part join
+    counts = D.label_counts(spark, sf)
+    occ = counts.select(
+        L.language_of("lang").alias("language"), F.explode(F.array("nar_label", "sub_label")).alias("label"), "n"
     )
     return TX.cube_from_occurrences(occ)
 

@@ -61,33 +61,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Spark views
 # ---------------------------------------------------------------------------
 
-def label_items(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
-    """One row per line item with its article, language and the two labels.
-
-    ``by_order``: join parts first and orders last, so the rows come out
-    partitioned by order key and a per-article aggregate that follows needs
-    no further shuffle. Otherwise orders come first and parts last (the
-    same two item-sized shuffles at scale; no per-article step follows)."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount"
-    )
+def _order_lang_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``o_orderkey, lang, dom`` (dom null for a bare ``Other`` article)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
     cust_lang = c.join(sized_broadcast(n), c.c_nationkey == n.n_nationkey).select(
         "c_custkey",
         F.try_element_at(F.array(*[F.lit(x) for x in REGION_LANGS]), (F.col("n_regionkey") + 1).cast("int")).alias(
             "lang"
         ),
     )
-    orders = o.join(cust_lang, o.o_custkey == cust_lang.c_custkey).select(
+    return o.join(cust_lang, o.o_custkey == cust_lang.c_custkey).select(
         "o_orderkey",
         "lang",
         F.when(F.col("o_orderpriority").startswith("1") | F.col("o_orderpriority").startswith("2"), F.lit("URW"))
         .when(F.col("o_orderpriority").startswith("3"), F.lit("CC"))
         .alias("dom"),
     )
+
+
+def label_items(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
+    """One row per line item with its article, language and the two labels.
+
+    ``by_order``: join parts first and orders last, so the rows come out
+    partitioned by order key and a per-article aggregate that follows needs
+    no further shuffle. Otherwise orders come first and parts last (the
+    same two item-sized shuffles at scale; no per-article step follows)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount"
+    )
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
+    orders = _order_lang_domain(spark, sf_dir)
     if by_order:
         items = li.join(p, li.l_partkey == p.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
     else:
@@ -106,6 +111,28 @@ def label_items(spark: SparkSession, sf_dir: str, by_order: bool = False) -> Dat
     )
 
 
+def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lang, nar_label, sub_label, n``: line items counted per (language,
+    domain, part) right after the order join, before parts are joined. The
+    count is map-side combined, so the part join and everything after it
+    see one row per distinct (language, domain, part), however hot a key."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
+    orders = _order_lang_domain(spark, sf_dir)
+    per_part = (
+        li.join(orders, li.l_orderkey == orders.o_orderkey)
+        .groupBy("lang", "dom", "l_partkey")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    other = F.col("dom").isNull()
+    return per_part.join(p, per_part.l_partkey == p.p_partkey).select(
+        "lang",
+        F.when(other, F.lit("Other")).otherwise(F.concat_ws(": ", "dom", "p_type")).alias("nar_label"),
+        F.when(other, F.lit("Other")).otherwise(F.concat_ws(": ", "dom", "p_type", "p_name")).alias("sub_label"),
+        "n",
+    )
+
+
 def _ordered_join(col: str, keep=None) -> F.Column:
     """``;``-join of a label column in line order (per-article gather)."""
     item = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col(col).alias("v"))
