@@ -2,4 +2,96 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from plotline.llm.decontaminate import WINDOW
+from plotline.llm.mixing import MOST_COPIES, WEIGHTS
+
+#: Words of the decontamination rule: A-Z lower-cased, the rest as it is.
+LOWER_AZ = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ITEM_WORDS = (
+    "coalesce(regexp_extract_all(" + LOWER_AZ + r", '[0-9a-z\x{{80}}-\x{{10FFFF}}]+'), [])"
+)
+SPACED_WORDS = r"coalesce(regexp_extract_all({x}, '[^\x20\x09-\x0D]+'), [])"
+
+DECONTAMINATE = f"""
+WITH it AS (SELECT item_id::VARCHAR AS item, {ITEM_WORDS.format(x='text')} AS w FROM benchmark),
+g AS (SELECT item, least(len(w), {WINDOW}) AS size, w, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS i
+      FROM it WHERE len(w) > 0 AND item IS NOT NULL),
+gram AS (SELECT DISTINCT item, size, list_slice(w, i, i + size - 1) AS gram FROM g),
+d AS (SELECT doc_id, {ITEM_WORDS.format(x='text')} AS w FROM documents),
+dw AS (SELECT doc_id, k.size, w, unnest(range(1, len(w) - k.size + 2)) AS i
+       FROM d, (SELECT DISTINCT size FROM gram) k WHERE len(w) >= k.size),
+hit AS (SELECT dw.doc_id, dw.size, dw.i, gram.item
+        FROM (SELECT doc_id, size, i, list_slice(w, i, i + size - 1) AS gram FROM dw) dw JOIN gram USING (size, gram)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+#: crc32 of UTF-8 bytes by its rule, one table step per byte.
+CRC32 = """
+tab AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+bytes AS (SELECT text, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT) AS b
+          FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL)),
+crc AS (SELECT text, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+        lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) AS crc FROM bytes, tab)
+"""
+
+
+def shard_sql(shards: int = 24, seed: int = 8) -> str:
+    return f"""
+WITH {CRC32},
+d AS (SELECT doc_id, source, coalesce(octet_length(encode(text)), 0)::BIGINT + 8 AS size, coalesce(crc, 0) AS text_crc32,
+      ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS k
+      FROM documents LEFT JOIN crc USING (text)),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k, doc_id, size, text_crc32) AS r,
+      count(*) OVER (PARTITION BY source) AS n FROM d),
+p AS (SELECT *, row_number() OVER (ORDER BY (2 * r - 1)::DOUBLE / (2 * n)::DOUBLE, coalesce('=' || source, ''), r) - 1 AS p,
+      count(*) OVER () AS total FROM r),
+s AS (SELECT *, (p * {shards}) // total AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard,
+       (p - (shard * total + {shards - 1}) // {shards})::BIGINT AS slot, NULL::INT AS grown_shard
+FROM s
+"""
+
+
+def mixing_ctes(documents: str, seed: int = 6) -> str:
+    """CTEs ending in ``mix``: doc_id, source, size, source_size, target, copies."""
+    weights = ", ".join(map(str, WEIGHTS))
+    return rf"""
+sized AS (SELECT doc_id, source, len({SPACED_WORDS.format(x='text')})::BIGINT AS size,
+      (('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+      FROM {documents}),
+src AS (SELECT source, sum(size)::BIGINT AS size, ([{weights}])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS weight
+      FROM sized GROUP BY source),
+run AS (SELECT *, {MOST_COPIES} * size AS stop, sum(size) OVER () - coalesce(sum({MOST_COPIES} * size) OVER b, 0) AS lw,
+      sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS lg, row_number() OVER b AS nth FROM src
+      WINDOW b AS (ORDER BY ({MOST_COPIES} * size)::DOUBLE / weight::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+unit AS (SELECT lw::DOUBLE / lg::DOUBLE AS unit FROM run WHERE stop::HUGEINT * lg >= weight::HUGEINT * lw ORDER BY nth LIMIT 1),
+goal AS (SELECT source, size AS source_size, least(stop::DOUBLE, weight * unit) AS target,
+      CASE WHEN size > 0 THEN least(stop::DOUBLE, weight * unit) / size::DOUBLE ELSE 0 END AS copies FROM run, unit),
+part AS (SELECT *, floor(copies)::BIGINT AS whole, copies - floor(copies) AS p, target - floor(copies)::BIGINT * source_size AS rest FROM goal),
+ranked AS (SELECT sized.*, source_size, target, whole, p, rest,
+      CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank
+      FROM sized JOIN part ON sized.source IS NOT DISTINCT FROM part.source),
+cum AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM ranked),
+mix AS (SELECT doc_id, source, size, source_size, target,
+      whole + CASE WHEN p > 0 AND upto - size / 2.0::DOUBLE < rest THEN 1 ELSE 0 END AS copies FROM cum)
+"""
+
+
+MIXING = f"""
+WITH {mixing_ctes('documents')}
+SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM mix
+"""
+
+SQL: dict[str, str] = {
+    "op4_benchmark_decontamination": DECONTAMINATE,
+    "op6_pareto_mixing": MIXING,
+    "op8_proportional_sharding": shard_sql(),
+}

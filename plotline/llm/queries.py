@@ -6,17 +6,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plotline.llm.common import read
+from plotline.llm.decontaminate import decontaminated
+from plotline.llm.mixing import mixed
 from plotline.llm.near_dup import near_duplicates
+from plotline.llm.shards import sharded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op6_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_copies") * F.col("_size")).alias("taken"),
+    )
+
+
+def op8_proportional_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(read(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_pareto_mixing": op6_pareto_mixing,
+    "op8_proportional_sharding": op8_proportional_sharding,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
