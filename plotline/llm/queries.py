@@ -10,13 +10,25 @@ from pyspark.sql import functions as F
 
 from plotline.llm.common import read
 from plotline.llm.decontaminate import decontaminated
+from plotline.llm.language import languages
 from plotline.llm.mixing import mixed
 from plotline.llm.near_dup import near_duplicates
+from plotline.llm.quality import quality_scores
 from plotline.llm.shards import sharded
+from plotline.llm.token_counts import token_counts
+from plotline.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read(spark, sf_dir, "documents"))
+
+
+def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -31,17 +43,29 @@ def op6_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_proportional_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(read(spark, sf_dir, "documents"))
 
 
+def op9_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_length_histogram": op1_token_length_histogram,
+    "op2_counterfactual_toxicity": op2_counterfactual_toxicity,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_pareto_mixing": op6_pareto_mixing,
+    "op7_bradley_terry_quality": op7_bradley_terry_quality,
     "op8_proportional_sharding": op8_proportional_sharding,
+    "op9_word_first_language": op9_word_first_language,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
