@@ -275,7 +275,7 @@ def confirmed(docs: DataFrame, stars: DataFrame, cfg: NearDup) -> DataFrame:
     size = F.ceil((F.col("n") + 1) / F.lit(cfg.block)).cast("long")
     hubs = stars.groupBy("hub").agg(F.count("*").alias("n")).select("hub", size.alias("blocks"))
     wanted = stars.select("doc_id").union(stars.select(F.col("hub").alias("doc_id"))).distinct()
-    sets = shared_table(shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), cfg), "sets")
+    sets = shared_table(shingle_sets(docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi"), cfg), "sets")
     in_block = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
     members = (
         stars.join(hubs, "hub")
