@@ -110,13 +110,11 @@ def build(counts: pd.DataFrame) -> Model:
     n-grams in their occurrences."""
     names = sorted(counts["lang"].unique())
     column = {l: i for i, l in enumerate(names)}
-    found: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *ORDERS)}
-    for word, part in counts.groupby("word", sort=True):
-        by = np.zeros(len(names))
-        np.add.at(by, [column[l] for l in part["lang"]], part["n"].to_numpy(float))
-        for n in found:
+    found: dict[int, dict[str, list[float]]] = {n: {} for n in (0, *ORDERS)}
+    for word, lang, k in zip(counts["word"], counts["lang"], counts["n"], strict=True):
+        for n, table in found.items():
             for g in [word] if n == 0 else grams(word, n):
-                found[n][g] = found[n][g] + by if g in found[n] else by
+                table.setdefault(g, [0.0] * len(names))[column[lang]] += k
     logs, tables = [np.zeros((0, len(names)))], {}
     for n, table in found.items():
         start = sum(map(len, logs))

@@ -13,7 +13,9 @@ from plotline.llm.decontaminate import decontaminated
 from plotline.llm.language import languages
 from plotline.llm.mixing import mixed
 from plotline.llm.near_dup import near_duplicates
+from plotline.llm.pages import main_texts
 from plotline.llm.quality import quality_scores
+from plotline.llm.rules import quality_rules
 from plotline.llm.shards import sharded
 from plotline.llm.token_counts import token_counts
 from plotline.llm.toxicity import toxicity_scores
@@ -29,10 +31,18 @@ def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_nearest_url_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read(spark, sf_dir, "pages"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents"))
+
+
 def op6_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id",
@@ -62,7 +72,9 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_length_histogram": op1_token_length_histogram,
     "op2_counterfactual_toxicity": op2_counterfactual_toxicity,
+    "op3_nearest_url_text": op3_nearest_url_text,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_divergence_rules": op5_divergence_rules,
     "op6_pareto_mixing": op6_pareto_mixing,
     "op7_bradley_terry_quality": op7_bradley_terry_quality,
     "op8_proportional_sharding": op8_proportional_sharding,
