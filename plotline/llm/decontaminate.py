@@ -55,8 +55,8 @@ def windows(items: DataFrame) -> DataFrame:
 def row_key() -> list[Column]:
     """Identifies a row's result: its text decides, the id spreads copies."""
     return [
-        F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("_id"),
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_text"),
+        F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("_pl_id"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_pl_text"),
     ]
 
 
@@ -75,13 +75,13 @@ def united(spans: Column) -> Column:
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """_id, _text, spans (start, end of every hit window, in words), n_words,
+    """_pl_id, _pl_text, spans (start, end of every hit window, in words), n_words,
     n_hit, items (sorted ids) of the documents with at least one hit."""
     grams = shared_table(windows(items), "grams")
     sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())  # at most 13 numbers
     small = grams.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     tokens = docs.select(*row_key(), words(F.col("text")).alias("w")).where("size(w) > 0")
-    at = tokens.select("_id", "_text", "w", F.posexplode("w").alias("at", "_word")).drop("_word")
+    at = tokens.select("_pl_id", "_pl_text", "w", F.posexplode("w").alias("at", "_word")).drop("_word")
     if sizes == [WINDOW] or not sizes:
         at = at.withColumn("size", F.lit(WINDOW)).withColumn("h", window_hash(F.col("w"), F.col("at"), WINDOW))
     else:
@@ -91,13 +91,13 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = found.where(F.slice("w", F.col("at") + 1, F.col("size")) == F.col("gram"))
     span = F.struct(F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
     return (
-        found.groupBy("_id", "_text")
+        found.groupBy("_pl_id", "_pl_text")
         .agg(
             F.array_sort(F.collect_set(span)).alias("spans"),
             F.flatten(F.collect_set("items")).alias("items"),
             F.max(F.size("w")).cast("long").alias("n_words"),
         )
-        .select("_id", "_text", "spans", "n_words", united(F.col("spans")).alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"))
+        .select("_pl_id", "_pl_text", "spans", "n_words", united(F.col("spans")).alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"))
     )
 
 
@@ -108,7 +108,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = hits(docs, items).drop("spans", "n_words")
     rows = docs.select("doc_id", *row_key(), count_words(F.col("text")).alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return rows.join(found, ["_id", "_text"], "left").select(
+    return rows.join(found, ["_pl_id", "_pl_text"], "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
@@ -121,16 +121,17 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents of which a twentieth or more is hit."""
     rows = docs.select("*", *row_key())
-    bad = hits(docs, items).where("20 * n_hit >= n_words").select("_id", "_text")
-    return rows.join(shared_table(bad, "contaminated"), ["_id", "_text"], "left_anti").select(*docs.columns)
+    bad = hits(docs, items).where("20 * n_hit >= n_words").select("_pl_id", "_pl_text")
+    return rows.join(shared_table(bad, "contaminated"), ["_pl_id", "_pl_text"], "left_anti").select(*docs.columns)
 
 
 def without_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` with the hit words, and what follows each up to the next
     word, removed from ``text``."""
-    rows = docs.select("*", *row_key()).join(hits(docs, items).select("_id", "_text", "spans"), ["_id", "_text"], "left")
+    found = hits(docs, items).select("_pl_id", "_pl_text", F.col("spans").alias("_pl_spans"))
+    rows = docs.select("*", *row_key()).join(found, ["_pl_id", "_pl_text"], "left")
     pieces = F.regexp_extract_all("text", F.lit(f"{WORD_ANY_CASE}+{BETWEEN_ANY_CASE}*"), F.lit(0))
-    clean = F.filter(pieces, lambda p, i: ~F.exists("spans", lambda s: (s["start"] <= i) & (i < s["end"])))
+    clean = F.filter(pieces, lambda p, i: ~F.exists("_pl_spans", lambda s: (s["start"] <= i) & (i < s["end"])))
     lead = F.regexp_extract("text", f"^{BETWEEN_ANY_CASE}*", 0)
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(lead, F.array_join(clean, "")))
+    text = F.when(F.col("_pl_spans").isNull(), F.col("text")).otherwise(F.concat(lead, F.array_join(clean, "")))
     return rows.withColumn("text", text).select(*docs.columns)

@@ -73,9 +73,9 @@ def name_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
 
 
-def with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def with_plan(rows: DataFrame, plan: DataFrame, key: str = "_source") -> DataFrame:
     small = plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    return rows.join(F.broadcast(plan) if small else plan, "_source")
+    return rows.join(F.broadcast(plan) if small else plan, key)
 
 
 def mixing_plan(docs: DataFrame, seed: int) -> DataFrame:
@@ -121,18 +121,26 @@ def mixing_plan(docs: DataFrame, seed: int) -> DataFrame:
 
 def mixed(docs: DataFrame, seed: int = 6) -> DataFrame:
     """``docs`` (doc_id, source, text, any others) with _size, _source_size,
-    _target and _copies (how often the mix takes the row). Null texts and
-    texts without words have size 0. A null source is a source of its own,
-    last in order. Rows that repeat a doc_id share its random number."""
-    plan = shared_table(mixing_plan(docs, seed), "plan")
-    rows = docs.withColumn("_source", name_key(F.col("source"))).withColumn("_size", words(F.col("text")))
+    _target and _copies (how often the mix takes the row), which replace
+    columns of these names. Null texts and texts without words have size 0.
+    A null source is a source of its own, last in order. Rows that repeat a
+    doc_id share its random number."""
+    plan = shared_table(mixing_plan(docs, seed), "plan").select(
+        F.col("_source").alias("_pl_source"),
+        *[F.col(c).alias(f"_pl_{c}") for c in ("source_size", "target", "whole", "p", "cut")],
+    )
+    out = ["_size", "_source_size", "_target", "_copies"]
+    rows = docs.drop(*out)
+    kept = rows.columns
+    rows = rows.withColumn("_pl_source", name_key(F.col("source"))).withColumn("_size", words(F.col("text")))
+    p, cut = F.col("_pl_p"), F.col("_pl_cut")
     q = F.struct(
-        rank(uniform(F.col("doc_id"), seed), F.col("p")).alias("rank"), F.col("doc_id").alias("id"), F.col("_size").alias("size")
+        rank(uniform(F.col("doc_id"), seed), p).alias("rank"), F.col("doc_id").alias("id"), F.col("_size").alias("size")
     )
-    more = F.when((F.col("p") > 0) & F.col("cut").isNotNull(), q <= F.col("cut")).otherwise(F.lit(False)).cast("long")
+    more = F.when((p > 0) & cut.isNotNull(), q <= cut).otherwise(F.lit(False)).cast("long")
     return (
-        with_plan(rows, plan)
-        .withColumn("_copies", F.col("whole") + more)
-        .withColumnsRenamed({"source_size": "_source_size", "target": "_target"})
-        .drop("_source", "whole", "p", "cut")
+        with_plan(rows, plan, "_pl_source")
+        .withColumn("_copies", F.col("_pl_whole") + more)
+        .withColumnsRenamed({"_pl_source_size": "_source_size", "_pl_target": "_target"})
+        .select(*kept, *out)
     )

@@ -339,3 +339,17 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
+    """``docs`` (any columns) with one document of each group, that with the
+    smallest id. Rows without id stay; of rows that repeat an id one stays."""
+    verdict = shared_table(near_duplicates(docs, cfg).select("doc_id", "kept"), "verdict")
+    gone = shared_table(verdict.where("not kept").select("doc_id").distinct(), "gone")
+    rows = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = verdict.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = shared_table(repeated, "repeated")
+    if repeated.isEmpty():
+        return rows
+    single = rows.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    return single.union(rows.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))

@@ -72,13 +72,16 @@ def interleave(rows: DataFrame, shards: int = 24, seed: int = 8) -> DataFrame:
     )
 
 
+def compact(text: Column) -> tuple[Column, Column]:
+    """Size in UTF-8 bytes plus 8, and crc32 (null texts count as empty)."""
+    data = F.coalesce(text, F.lit("")).cast("binary")
+    return (F.octet_length(data) + 8).cast("long"), F.crc32(data)
+
+
 def digest(docs: DataFrame) -> DataFrame:
-    """The compact columns that sharding carries: id, source, size in bytes
-    plus 8, and the crc32 of the text (null texts count as empty)."""
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.select(
-        "doc_id", "source", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
-    )
+    """The columns that sharding carries: id, source, size, crc32 of the text."""
+    size, crc = compact(F.col("text"))
+    return docs.select("doc_id", "source", size.alias("size"), crc.alias("text_crc32"))
 
 
 def sharded(docs: DataFrame, shards: int = 24, seed: int = 8) -> DataFrame:
@@ -87,3 +90,22 @@ def sharded(docs: DataFrame, shards: int = 24, seed: int = 8) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def with_shards(docs: DataFrame, shards: int = 24, seed: int = 8) -> DataFrame:
+    """``docs`` (doc_id, source, text, any others) with shard and slot, which
+    replace columns of these names. The rows are numbered in compact form; the
+    numbers of rows that repeat an id and a text go to these rows in any
+    order."""
+    keys = ["_pl_id", "_pl_size", "_pl_crc", "_pl_nth"]
+    same = Window.partitionBy(*keys[:3])
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    names = {"size": keys[1], "text_crc32": keys[2]}
+    numbers = interleave(digest(docs), shards, seed).withColumnsRenamed(names).withColumn("_pl_id", key)
+    numbers = numbers.withColumn("_pl_nth", F.row_number().over(same.orderBy("shard", "slot"))).select(*keys, "shard", "slot")
+    rows = docs.drop("shard", "slot")
+    kept = rows.columns
+    size, crc = compact(F.col("text"))
+    rows = rows.withColumns({"_pl_id": key, "_pl_size": size, "_pl_crc": crc})
+    rows = rows.withColumn("_pl_nth", F.row_number().over(same.orderBy("_pl_id")))
+    return rows.join(numbers, keys).select(*kept, "shard", "slot")
