@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotline.llm.common import shared_table
+from plotline.session import checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -246,6 +247,7 @@ def components(links: DataFrame) -> DataFrame:
     """(doc_id, component) of every document in ``links`` (a, b): smallest id
     reachable. Labels take the neighbours' minimum, then jump to their
     label's label; each round is written to the checkpoint folder."""
+    checkpoint_dir(links.sparkSession)
     pairs = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     pairs = pairs.checkpoint()
     labels = pairs.groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("low"))
@@ -314,13 +316,23 @@ def confirmed(docs: DataFrame, stars: DataFrame, cfg: NearDup) -> DataFrame:
     return links.union(shared_table(more, "more_links"))
 
 
+def same_id_links(linkable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between classes that hold different texts of one id."""
+    ids = linkable.groupBy("doc_id").agg(F.min("digest").alias("d1"), F.max("digest").alias("d2")).where("d1 <> d2")
+    reps = linkable.join(ids.select("doc_id"), "doc_id").select("doc_id", "digest")
+    reps = reps.join(classes.withColumnRenamed("doc_id", "b"), "digest").select("doc_id", "b")
+    low = reps.groupBy("doc_id").agg(F.min("b").alias("a"))
+    return reps.join(low, "doc_id").where("a <> b").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``
     (doc_id long, text; other columns are ignored).
 
     Null or blank texts have no shingles and are linked with nothing. A null
     doc_id cannot be named by a component: its component_id is null and the
-    row is kept. Rows that repeat a doc_id count as one document."""
+    row is kept. Rows that repeat a doc_id count as one document, also where
+    their texts differ."""
     signed = shared_table(signatures(docs, cfg), "signatures")
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
     classes = linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
@@ -329,7 +341,7 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
         "postings",
     )
     stars = shared_table(units(shared_table(prefix_postings(reps, cfg), "prefixes")), "units")
-    labels = components(confirmed(docs, stars, cfg))
+    labels = components(confirmed(docs, stars, cfg).union(same_id_links(linkable, classes)))
     by_class = classes.join(labels, "doc_id", "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component")
     )

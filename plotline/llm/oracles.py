@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from plotline.llm.decontaminate import WINDOW
 from plotline.llm.mixing import MOST_COPIES, WEIGHTS
+from plotline.llm.rules import CLASSES, COMMON, LEAST_CHARS, LEAST_WORDS, MOST_CHARS, MOST_WORDS
 
 #: Words of the decontamination rule: A-Z lower-cased, the rest as it is.
 LOWER_AZ = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -12,6 +13,15 @@ ITEM_WORDS = (
 )
 SPACED_WORDS = r"coalesce(regexp_extract_all({x}, '[^\x20\x09-\x0D]+'), [])"
 
+#: Jensen-Shannon distance over rows (p, q) of a group.
+JS = """round(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+      + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)), 6)"""
+
+
+def quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
 DECONTAMINATE = f"""
 WITH it AS (SELECT item_id::VARCHAR AS item, {ITEM_WORDS.format(x='text')} AS w FROM benchmark),
 g AS (SELECT item, least(len(w), {WINDOW}) AS size, w, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS i
@@ -90,7 +100,47 @@ WITH {mixing_ctes('documents')}
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM mix
 """
 
+def rules_sql() -> str:
+    classes = [f"len(regexp_extract_all(t, {quoted(p)}))" for p in CLASSES.values()]
+    n = len(CLASSES) + 1
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, {SPACED_WORDS.format(x='text')} AS w FROM documents),
+base AS (SELECT doc_id, lang, w, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+      len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+      length(t) AS n_chars, [{", ".join(classes)}] AS c FROM d),
+counts AS (SELECT *, list_append(c, n_chars - list_sum(c)) AS chars FROM base),
+win AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5),
+gram AS (SELECT doc_id, i, list_slice(w, i, i + 4) AS g FROM win),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+      SELECT doc_id, unnest(range(i, i + 5)) AS p FROM gram
+      JOIN (SELECT doc_id, g FROM gram GROUP BY doc_id, g HAVING count(*) > 1) USING (doc_id, g)) GROUP BY doc_id),
+tok AS (SELECT doc_id, lang, unnest(w) AS word FROM d),
+freq AS (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS k FROM tok GROUP BY lang, word),
+common AS (SELECT * FROM freq WHERE k <= {COMMON}),
+size AS (SELECT lang, count(*) AS m FROM common GROUP BY lang),
+bin AS (SELECT doc_id, lang, coalesce(k, 0) AS k, count(*) AS n FROM tok LEFT JOIN common USING (lang, word) GROUP BY ALL),
+refw AS (SELECT lang, k, n / sum(n) OVER (PARTITION BY lang) AS q FROM (SELECT lang, k, sum(n) AS n FROM bin GROUP BY lang, k)),
+wd AS (SELECT b.doc_id, r.k, coalesce(n, 0) / b.n_words AS p, q FROM (SELECT * FROM base WHERE n_words >= {LEAST_WORDS}) b
+      JOIN refw r USING (lang) LEFT JOIN bin ON bin.doc_id = b.doc_id AND bin.k = r.k),
+cell AS (SELECT doc_id, lang, n_chars, unnest(range(1, {n + 1})) AS k, unnest(chars) AS n FROM counts),
+refc AS (SELECT lang, k, CASE WHEN s > 0 THEN n / s ELSE 0 END AS q
+      FROM (SELECT lang, k, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS s FROM cell GROUP BY lang, k)),
+cd AS (SELECT doc_id, k, n / n_chars AS p, q FROM cell JOIN refc USING (lang, k) WHERE n_chars >= {LEAST_CHARS}),
+js AS (SELECT 'w' AS kind, doc_id, {JS} AS js FROM wd GROUP BY doc_id UNION ALL SELECT 'c', doc_id, {JS} FROM cd GROUP BY doc_id),
+far AS (SELECT doc_id, max(js) FILTER (kind = 'c') AS char_distance, max(js) FILTER (kind = 'w') AS word_distance FROM js GROUP BY doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+      coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+      n_words < 10 OR 100 * coalesce(rep.n, 0) > 20 * n_words AS base_failed,
+      NOT (n_words < 10 OR 100 * coalesce(rep.n, 0) > 20 * n_words)
+        AND coalesce(char_distance <= {MOST_CHARS}, true) AND coalesce(word_distance <= {MOST_WORDS}, true) AS kept,
+      char_distance, word_distance
+FROM base b LEFT JOIN rep USING (doc_id) LEFT JOIN far USING (doc_id)
+"""
+
+
 SQL: dict[str, str] = {
+    "op5_divergence_rules": rules_sql(),
     "op4_benchmark_decontamination": DECONTAMINATE,
     "op6_pareto_mixing": MIXING,
     "op8_proportional_sharding": shard_sql(),

@@ -27,7 +27,7 @@ CLASSES = {
     "digit": "[0-9]",
     "space": "[\\x20\\x09-\\x0D]",
     "stop": "[.,;:?'\"()-]",
-    "mark": "[\\x00-\\x7F&&[^a-zA-Z0-9\\x20\\x09-\\x0D.,;:?'\"()-]]",
+    "mark": "[\\x00-\\x08\\x0E-\\x1F!#$%&*+/<=>@\\[\\\\\\]^_`{|}~\\x7F]",
 }
 #: Words of a language's reference: its most frequent ones.
 COMMON = 20

@@ -3,10 +3,10 @@
 Features of a text are its distinct words and word beginnings. The features
 that separate a labelled sample best (likelihood ratio of document counts) and
 the identity terms enter a logistic regression. For every sample text with
-identity terms, the terms are swapped for others of their group, and squared
-differences between the two scores' log odds are penalised: naming a group
-can't carry weight by itself, which lowers false positives on neutral
-mentions.
+identity terms, the terms are swapped for others of their group, and for a
+blank, and squared differences between the log odds of text and swapped text
+are penalised: which group a text names, and that it names one, can't carry
+weight by itself, which lowers false positives on neutral mentions.
 
 The sample is bounded (``FIT_ROWS`` expected rows by id hash); only its rows
 of selected feature numbers reach the driver. Scoring is one pass over the
@@ -155,14 +155,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FI
                     "label": b["label"],
                     "x": [numbers(f) for f in found],
                     "other": [numbers(swapped(f, swap)) if not swap.keys().isdisjoint(f) else None for f in found],
+                    "blank": [numbers(f - swap.keys()) if not swap.keys().isdisjoint(f) else None for f in found],
                 }
             )
 
-    rows_ = sample.mapInPandas(run, "doc_id long, label int, x array<int>, other array<int>").toPandas()
+    rows_ = sample.mapInPandas(run, "doc_id long, label int, x array<int>, other array<int>, blank array<int>").toPandas()
     rows_ = rows_.sort_values("doc_id", kind="stable")
     x = incidence(rows_["x"].tolist(), len(names))
     has = rows_["other"].notna().to_numpy()
-    w, b = fit_logistic(x, rows_["label"].to_numpy(float), x[has], incidence(rows_["other"][has].tolist(), len(names)), **how)
+    after = incidence(rows_["other"][has].tolist() + rows_["blank"][has].tolist(), len(names))
+    w, b = fit_logistic(x, rows_["label"].to_numpy(float), np.concatenate([x[has], x[has]]), after, **how)
     return Model({f: float(v) for f, v in zip(names, w, strict=True) if v}, b)
 
 
