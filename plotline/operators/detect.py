@@ -1,23 +1,16 @@
 """Whole-phrase, case-insensitive taxonomy phrase detection.
 
 A phrase P is found in a text T when ``T rlike (?iU)\\bP\\b`` (P escaped).
-Two exact plans:
-
-* ``nested`` (phrase table within ``max_broadcast_phrases``): the phrase
-  table is broadcast and joined with a non-equi condition. A cheap
-  necessary test runs first: ``contains(fold(T), fold(P))`` with
-  ``fold`` (lower case after mapping the characters whose lower case
-  differs from that of their upper case) applied to both sides, which maps
-  characters the regex treats as case-equal to the same text.
-  Only pairs that pass it run the regex.
-* ``anchored`` (phrase table within the bound): as ``tokens`` below, but the
-  bounded anchor list is intersected with each text's tokens in-row, so
-  only hits are exploded and verified in the same stage: no shuffle.
-* ``tokens`` (any size): a whole word run of every phrase (its longest,
-  the anchor) must occur as a whole token of the folded text, so distinct
-  text tokens are equi-joined with phrase anchors; only candidate pairs are
-  verified.
-  Phrases without any word character (rare) go through the nested plan.
+Every phrase has an anchor: its longest word, which must occur as a whole word
+of the folded text, or, without any word character, the phrase itself, which
+must be a whole run between two words. The distinct words and runs of the
+texts are joined with the anchors, and only the candidates are verified.
+
+* ``in_place`` (phrase table within ``BROADCAST_BYTES``): the phrases are
+  broadcast; words are exploded, looked up and verified in one stage, and the
+  texts stay where they are.
+* ``shuffled`` (any size): words are joined with the anchors by shuffle, and
+  the candidates with the texts by id.
 
 Both return ``id, kind, phrase`` for every match.
 """
@@ -28,13 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
-from plotline.operators.joins import is_small, spread
+from plotline.operators.joins import spread
 
-DEFAULT_MAX_BROADCAST_PHRASES = 4096
-NESTED_MAX_PHRASES = 32
+#: Phrases are broadcast up to this many bytes of phrase text.
+BROADCAST_BYTES = 8 << 20
 _REGEX_META = r"([\\\[\]{}()*+?.^$|])"
 _WORD_RUN = r"(?U)\w+"
-_NON_WORD = r"(?U)\W+"
+_TOKEN = r"(?U)\w+|\W+"
 
 
 def _fold_table() -> tuple[str, str]:
@@ -91,89 +84,44 @@ def _longest_word(col: Column) -> Column:
 
 
 def _prepared(phrases: DataFrame) -> DataFrame:
+    folded = fold("phrase")
+    word = _longest_word(folded)
     return phrases.select(
         "kind",
         "phrase",
-        fold("phrase").alias("__fp"),
         phrase_pattern("phrase").alias("__pat"),
-        _longest_word(fold("phrase")).alias("__anchor"),
+        F.when(word != "", word).otherwise(folded).alias("__anchor"),
     )
 
 
-def _nested(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), fold(text_col).alias("__ft"))
-    cond = F.col("__ft").contains(F.col("__fp")) & F.regexp_like(F.col("__t"), F.col("__pat"))
-    return d.join(F.broadcast(ph), cond, "inner").select(F.col("__id").alias(id_col), "kind", "phrase")
+def _tokens(text_col: str) -> Column:
+    """Distinct words, and runs between words, of the folded text."""
+    return F.array_distinct(F.regexp_extract_all(fold(text_col), F.lit(_TOKEN), F.lit(0)))
 
 
-def _anchored(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str, anchors: list[str]) -> DataFrame:
-    """Token plan for a size-checked phrase table, without any shuffle: each
-    text's distinct folded tokens are intersected in-row with the (bounded)
-    anchor list, only the hits are exploded (with their text), joined to the
-    broadcast phrases and verified by the regex in the same stage."""
-    toks = F.array_distinct(F.split(fold(text_col), _NON_WORD, -1))
-    d = docs.select(
-        F.col(id_col).alias("__id"),
-        F.col(text_col).alias("__t"),
-        F.explode(F.array_intersect(toks, F.lit(anchors))).alias("__anchor"),
-    )
-    hit = d.join(F.broadcast(ph.where(F.col("__anchor") != "")), "__anchor").where(
-        F.regexp_like(F.col("__t"), F.col("__pat"))
-    )
-    found = hit.select(F.col("__id").alias(id_col), "kind", "phrase")
-    return _with_loose(found, docs, ph, id_col, text_col)
+def _in_place(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), F.explode(_tokens(text_col)).alias("__anchor"))
+    return d.join(F.broadcast(ph), "__anchor").where(F.regexp_like(F.col("__t"), F.col("__pat")))
 
 
-def _tokens(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    toks = docs.select(
-        F.col(id_col).alias("__id"),
-        F.explode(F.array_distinct(F.split(fold(text_col), _NON_WORD, -1))).alias("__anchor"),
-    )
-    cand = toks.join(ph.where(F.col("__anchor") != ""), "__anchor").select("__id", "kind", "phrase", "__pat")
+def _shuffled(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    toks = docs.select(F.col(id_col).alias("__id"), F.explode(_tokens(text_col)).alias("__anchor"))
+    cand = toks.join(ph.hint("merge"), "__anchor")
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
-    hit = cand.join(texts, "__id").where(F.regexp_like(F.col("__t"), F.col("__pat")))
-    found = hit.select(F.col("__id").alias(id_col), "kind", "phrase")
-    return _with_loose(found, docs, ph, id_col, text_col)
-
-
-def _with_loose(found: DataFrame, docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Phrases with no word character cannot be anchored; the (rare) ones
-    that exist go through the nested plan. Checked on the phrase table, so
-    the texts are not scanned a second time when there are none."""
-    loose = ph.where(F.col("__anchor") == "")
-    if loose.limit(1).count() == 0:
-        return found
-    return found.unionByName(_nested(docs, loose, id_col, text_col))
+    return cand.join(texts, "__id").where(F.regexp_like(F.col("__t"), F.col("__pat")))
 
 
 def find_phrases(
-    docs: DataFrame,
-    phrases: DataFrame,
-    id_col: str = "id",
-    text_col: str = "text",
-    strategy: str = "auto",
-    max_broadcast_phrases: int = DEFAULT_MAX_BROADCAST_PHRASES,
+    docs: DataFrame, phrases: DataFrame, id_col: str = "id", text_col: str = "text", strategy: str = "auto"
 ) -> DataFrame:
     """Every (document, phrase) whole-phrase match -> ``id, kind, phrase``.
-
-    ``auto`` picks ``nested`` for a handful of phrases, ``anchored`` up to
-    ``max_broadcast_phrases`` (both keep the documents in place), and the
-    shuffle-join ``tokens`` plan beyond."""
-    ph = _prepared(phrases)
-    small = is_small(phrases, max_broadcast_phrases)
+    ``auto`` measures the phrase table's bytes (one small job)."""
     if strategy == "auto":
-        strategy = "tokens" if not small else ("nested" if is_small(phrases, NESTED_MAX_PHRASES) else "anchored")
+        size = phrases.agg(F.sum(F.octet_length("phrase")).alias("n")).first()["n"] or 0
+        strategy = "in_place" if size <= BROADCAST_BYTES else "shuffled"
     docs = spread(docs.where(F.col(text_col).isNotNull()))
-    if strategy == "nested":
-        return _nested(docs, ph, id_col, text_col)
-    if strategy == "anchored":
-        if not small:
-            raise ValueError("anchored plan needs a phrase table within max_broadcast_phrases")
-        anchors = [r[0] for r in ph.select("__anchor").where(F.col("__anchor") != "").distinct().collect()]
-        return _anchored(docs, ph, id_col, text_col, sorted(anchors))
-    if strategy == "tokens":
-        return _tokens(docs, ph, id_col, text_col)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    plan = {"in_place": _in_place, "shuffled": _shuffled}[strategy]
+    return plan(docs, _prepared(phrases), id_col, text_col).select(F.col("__id").alias(id_col), "kind", "phrase")
 
 
 def detect(

@@ -30,7 +30,8 @@ def stratified_folds(
     bucket_hex: int = 4,
     out: str = "fold",
 ) -> DataFrame:
-    """Add ``out`` in ``1..k``; ids must be unique."""
+    """Add ``out`` in ``1..k``; ids must be unique. Rows without a class form a
+    class of their own (the first)."""
     h = "__h"
     b = "__b"
     d = df.withColumn(h, order_key(id_col, seed)).withColumn(
@@ -54,11 +55,16 @@ def stratified_folds(
             )
             - F.col("__n")
         ).alias("__bs"),
-    ).join(class_start, class_col)
+    )
+    bucket_start = bucket_start.join(
+        class_start.withColumnRenamed(class_col, "__c"), F.col(class_col).eqNullSafe(F.col("__c"))
+    ).select(F.col(class_col).alias("__c2"), F.col(b).alias("__b2"), "__bs", "__cs")
     rank = F.row_number().over(Window.partitionBy(class_col, b).orderBy(h, id_col))
-    d = d.withColumn("__r", rank).join(bucket_start, [class_col, b])
+    d = d.withColumn("__r", rank).join(
+        bucket_start, F.col(class_col).eqNullSafe(F.col("__c2")) & (F.col(b) == F.col("__b2"))
+    )
     idx = F.col("__cs") + F.col("__bs") + F.col("__r") - 1
-    return d.withColumn(out, (F.pmod(idx, F.lit(k)) + 1).cast("int")).drop(h, b, "__r", "__cs", "__bs")
+    return d.withColumn(out, (F.pmod(idx, F.lit(k)) + 1).cast("int")).drop(h, b, "__r", "__cs", "__bs", "__c2", "__b2")
 
 
 def fold_split(df: DataFrame, fold: int, col: str = "fold") -> tuple[DataFrame, DataFrame]:

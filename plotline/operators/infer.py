@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
-from plotline.operators.joins import sized_broadcast, spread
+from plotline.operators.joins import spread
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's prompts.
@@ -107,7 +107,7 @@ def route_prompts(
 ) -> DataFrame:
     """``prompt`` per row; classes without a template get null (they
     take the fixed answer ``OTHEROTHER`` and never reach the model)."""
-    tpl = sized_broadcast(prompt_templates(taxonomy, order), 1000)
+    tpl = prompt_templates(taxonomy, order)
     j = docs.join(tpl, docs[class_col] == tpl["class_id"], "left")
     prompt = F.when(F.col("head").isNotNull(), F.concat(F.col("head"), F.col(text_col), F.col("tail")))
     return j.select(*[docs[c] for c in docs.columns], prompt.alias("prompt"))
@@ -203,38 +203,66 @@ def out_of_fold_predictions(
     text_col: str,
     label_col: str,
     id_col: str,
-    k: int = 5,
     fold_col: str = "fold",
-    num_features: int = 1 << 18,
     smoothing: float = 1.0,
 ) -> DataFrame:
-    """M1 + J9: per fold, fit a multinomial naive Bayes text classifier on
-    the other folds and predict this one; ``p_domains`` is the class with
-    the highest posterior. Tokens and term counts do not depend on the fold,
-    so they are computed once (persisted; lost blocks are recomputed from
-    lineage); each fit is one aggregation pass. Folds are stacked with
-    ``unionByName`` (U1)."""
-    from pyspark import StorageLevel
-    from pyspark.ml.classification import NaiveBayes
-    from pyspark.ml.feature import HashingTF, RegexTokenizer
-
-    tok = RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=r"(?U)\W+")
-    tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features)
-    feats = (
-        tf.transform(tok.transform(spread(df).withColumn("__y", F.col(label_col).cast("double"))))
-        .drop("__tok")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    """M1 + J9: ``df`` with ``p_domains``, the class a multinomial naive Bayes
+    text model, fitted on the other folds, gives each row. Ids are unique;
+    rows without a class are predicted but not fitted on.
+
+    No model per fold: (fold, class, token) counts are summed once, and the
+    training counts of a fold are the totals minus its own. A token adds
+    n * ln((count + s) / s) in every class whose training rows have it; the
+    rest of the posterior depends only on class, fold and text length. Ties
+    (after rounding to 9 places) go to the smaller class."""
+    tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"(?U)\W+"), lambda x: x != "")
+    rows = df.select(F.col(id_col).alias("__id"), F.col(fold_col).alias("__f"), F.col(label_col).alias("__c"), tokens.alias("__w"))
+    words = rows.select("__id", "__f", "__c", F.explode("__w").alias("__t")).groupBy("__id", "__f", "__c", "__t").agg(F.count("*").alias("__n"))
+    known = words.where(F.col("__c").isNotNull())
+    own = known.groupBy("__f", "__c", "__t").agg(F.sum("__n").alias("__own"))
+    total = own.groupBy("__c", "__t").agg(F.sum("__own").alias("__all"), F.collect_list(F.struct("__f", "__own")).alias("__by"))
+    # training counts of every (fold, class), a few rows: kept as one array value
+    classes = rows.where(F.col("__c").isNotNull()).groupBy("__c", "__f").agg(
+        F.count("*").alias("__d"), F.sum(F.size("__w")).alias("__m")
     )
-    nb = NaiveBayes(featuresCol="__tf", labelCol="__y", modelType="multinomial", smoothing=smoothing)
-    out = None
-    for f in range(1, k + 1):
-        train, val = feats.where(F.col(fold_col) != f), feats.where(F.col(fold_col) == f)
-        model = nb.fit(train)
-        pred = model.transform(val).select(
-            *[F.col(c) for c in df.columns], F.col("prediction").cast("int").alias("p_domains")
+    per_class = classes.groupBy("__c").agg(
+        F.sum("__d").alias("__d"), F.sum("__m").alias("__m"), F.map_from_entries(F.collect_list(F.struct("__f", F.struct("__d", "__m")))).alias("__by")
+    )
+    folds = rows.select(F.collect_set("__f")).scalar()
+    size = own.select(F.count_distinct("__t")).scalar()
+    mine = F.try_element_at("__by", F.col("__f"))
+    train = (
+        per_class.withColumn("__f", F.explode(folds))
+        .select(
+            "__f",
+            "__c",
+            (F.col("__d") - F.coalesce(mine["__d"], F.lit(0))).alias("__docs"),
+            (F.col("__m") - F.coalesce(mine["__m"], F.lit(0)) + F.lit(smoothing) * size).alias("__mass"),
         )
-        out = pred if out is None else out.unionByName(pred)
-    return out
+        .where("__docs > 0")
+    )
+    every = train.select(F.collect_list(F.struct("__f", "__c", "__docs", "__mass"))).scalar()
+    base = rows.select("__id", "__f", F.size("__w").alias("__len"), every.alias("__every"))
+    base = base.select("__id", "__len", F.explode(F.filter("__every", lambda x: x["__f"] == F.col("__f"))).alias("__x"))
+    base = base.select(
+        "__id",
+        F.col("__x.__c").alias("__c"),
+        (F.log("__x.__docs") + F.col("__len") * (F.log(F.lit(smoothing)) - F.log("__x.__mass"))).alias("__s"),
+    )
+    gain = total.select("__c", "__t", "__all", F.map_from_entries("__by").alias("__by"))
+    hits = words.select("__id", "__f", "__t", "__n").join(gain, "__t").select(
+        "__id",
+        "__c",
+        (F.col("__n") * F.log((F.col("__all") - F.coalesce(F.try_element_at("__by", F.col("__f")), F.lit(0)) + F.lit(smoothing)) / F.lit(smoothing))).alias("__s"),
+    )
+    hits = hits.where("__s > 0").groupBy("__id", "__c").agg(F.sum("__s").alias("__g"))
+    best = (
+        base.join(hits, ["__id", "__c"], "left")
+        .withColumn("__s", F.round(F.col("__s") + F.coalesce("__g", F.lit(0.0)), 9))
+        .groupBy("__id")
+        .agg(F.min(F.struct((-F.col("__s")).alias("s"), F.col("__c").alias("c")))["c"].alias("p_domains"))
+    )
+    return df.join(best, df[id_col] == best["__id"], "left").drop("__id")
 
 
 def top_rank(df: DataFrame, part: list[str], order: list, n: int, rank_col: str | None = None) -> DataFrame:

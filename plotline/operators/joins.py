@@ -1,55 +1,25 @@
-"""Join helpers that keep broadcasts behind a size check.
+"""Join and partition helpers.
 
-``sized_broadcast`` is for inputs that are small by nature but still data
-(a taxonomy, a class list, a vocabulary): it counts at most ``max_rows + 1``
-rows and only then adds the hint. Beyond the bound the plain DataFrame is
-returned and Spark plans a shuffle join (AQE may still turn it into a
-broadcast at run time when the shuffled side proves small).
+Broadcasts are left to Spark, which decides by bytes: the planner's threshold
+on known sizes, and adaptive execution on the measured size of a shuffled
+side. So no side is hinted, nothing is counted at plan time, and a table that
+has grown since the last query is planned anew.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> int:
-    """Number of rows, counting no further than ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count()
-
-
-# Size decisions per (session, logical plan, bound). The plan hash covers the
-# files read, so another table or scale factor is checked again; a cached
-# decision can only affect the join strategy, never the result.
-_SMALL: dict[tuple[int, int, int], bool] = {}
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """At most ``max_rows`` rows (counting stops at ``max_rows + 1``)."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _SMALL:
-        _SMALL[key] = row_count_at_most(df, max_rows) <= max_rows
-    return _SMALL[key]
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over ``min_partitions`` tasks (default: the
-    cluster's parallelism) when it reads fewer files than that, for
+    cluster's parallelism) when it is read in fewer splits than that, for
     CPU-heavy per-row work (regex over texts, model calls) on small inputs.
 
-    The decision uses the file listing only (``inputFiles``), never an
-    execution; an input of many files is returned as is, so at scale this
-    adds no shuffle."""
+    Counts the splits of the plan, without running it; an input of as many
+    splits or more, and any frame that has been shuffled (adaptive execution
+    sizes its tasks), is returned as is."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:  # noqa: BLE001 - sources without a file listing
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df
-    return df.repartition(target) if n_files < target else df
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

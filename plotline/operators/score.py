@@ -1,9 +1,8 @@
 """Multi-label and class scoring.
 
 Gold and prediction tables carry an id and a ``labels`` array. Sides are
-joined on the id (Q9: never by row order). Per-article sets stay arrays in
-the row; only the class-list filter of A7 explodes, and it keeps the id
-partitioning of the alignment join, so its group-by adds no shuffle.
+joined on the id (Q9: never by row order). All set metrics go through one
+operator, ``set_counts_flagged``, on (id, label) rows.
 """
 
 from __future__ import annotations
@@ -11,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotline.operators.joins import sized_broadcast
-
 
 class AlignmentError(ValueError):
     pass
@@ -44,22 +41,29 @@ def alignment(gold: DataFrame, pred: DataFrame, id_col: str = "article_id") -> D
     )
 
 
-def check_alignment(gold: DataFrame, pred: DataFrame, id_col: str = "article_id", show: int = 20) -> None:
-    """J4 + Q11: raise when an id is repeated or on one side only. Looks at
-    no more than ``show`` offending ids."""
-    for name, side in (("gold", gold), ("prediction", pred)):
-        rep = [r[id_col] for r in repeated_ids(side, id_col).limit(show).collect()]
-        if rep:
-            raise AlignmentError(f"repeated ids in {name}: {', '.join(map(str, rep))}")
-    only_p = [r[id_col] for r in mistaken_ids(pred, gold, id_col).limit(show).collect()]
-    only_g = [r[id_col] for r in mistaken_ids(gold, pred, id_col).limit(show).collect()]
-    if only_p or only_g:
-        a = alignment(gold, pred, id_col).first()
-        raise AlignmentError(
-            "mismatch in ids between prediction and gold: "
-            f"gold {a['n_gold']}, predicted {a['n_pred']}, common {a['n_common']}; "
-            f"only predicted: {', '.join(map(str, only_p))}; only gold: {', '.join(map(str, only_g))}"
-        )
+def misaligned_ids(gold: DataFrame, pred: DataFrame, id_col: str = "article_id") -> DataFrame:
+    """Every offending id with its ``problem``: ``only gold``,
+    ``only predicted`` or ``repeated`` (on either side)."""
+    g = gold.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_gold"))
+    p = pred.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_pred"))
+    problem = (
+        F.when(F.col("n_pred").isNull(), F.lit("only gold"))
+        .when(F.col("n_gold").isNull(), F.lit("only predicted"))
+        .when((F.col("n_gold") > 1) | (F.col("n_pred") > 1), F.lit("repeated"))
+    )
+    return g.join(p, id_col, "full").select(id_col, problem.alias("problem")).where(F.col("problem").isNotNull())
+
+
+def check_alignment(gold: DataFrame, pred: DataFrame, id_col: str = "article_id") -> None:
+    """J4 + Q11: raise when an id is repeated or on one side only. The error's
+    ``ids`` is the table of all of them; its text gives their numbers and an
+    example each."""
+    bad = misaligned_ids(gold, pred, id_col)
+    seen = bad.groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("id")).orderBy("problem").collect()
+    if seen:
+        error = AlignmentError("; ".join(f"{r['n']} ids {r['problem']}, e.g. {r['id']}" for r in seen))
+        error.ids = bad
+        raise error
 
 
 def align(gold: DataFrame, pred: DataFrame, id_col: str = "article_id", labels: str = "labels") -> DataFrame:
@@ -81,34 +85,22 @@ def sample_f1_by_class_list(
     ``classes`` (column ``class``, plus ``keys`` when the class list differs
     per key) are ignored, repeats count once (P21, F5); F1 is 0 when both
     sides are empty."""
-    keys = list(keys)
-    g = F.array_distinct(F.coalesce(F.col("gold"), F.array().cast("array<string>")))
-    p = F.array_distinct(F.coalesce(F.col("pred"), F.array().cast("array<string>")))
-    rows = aligned.select(*keys, id_col, g.alias("g"), p.alias("p"))
-    occ = rows.select(*keys, id_col, "g", "p", F.explode_outer(F.array_union("g", "p")).alias("label"))
-    cls_keys = [c for c in keys if c in classes.columns]
-    cls = sized_broadcast(
-        classes.where(F.col("class").isNotNull() & (F.col("class") != "")).select(
-            *cls_keys, F.col("class").alias("label"), F.lit(True).alias("__known")
-        ).distinct()
-    )
-    occ = occ.join(cls, [*cls_keys, "label"], "left")
-    known = F.coalesce(F.col("__known"), F.lit(False))
-    in_g = known & F.array_contains("g", F.col("label"))
-    in_p = known & F.array_contains("p", F.col("label"))
-    per = occ.groupBy(*keys, id_col).agg(
-        F.count_if(in_g).alias("n_gold"),
-        F.count_if(in_p).alias("n_pred"),
-        F.count_if(in_g & in_p).alias("tp"),
-    )
-    den = F.col("n_gold") + F.col("n_pred")
-    return per.withColumn(
-        "f1", F.when(den > 0, (2.0 * F.col("tp")) / den.cast("double")).otherwise(F.lit(0.0))
-    )
+    return f1_from_counts(set_counts_aligned(aligned, id_col, keys, classes))
+
+
+def set_counts_aligned(
+    aligned: DataFrame, id_col: str = "article_id", keys=(), classes: DataFrame | None = None, empty: bool = False
+) -> DataFrame:
+    """``set_counts_long`` for aligned rows with label arrays. Only labels are
+    exploded, never beside their array; a row without labels keeps a row."""
+    gold = aligned.select(*keys, id_col, F.explode_outer("gold").alias("label"))
+    pred = aligned.select(*keys, id_col, F.explode_outer("pred").alias("label"))
+    return set_counts_long(gold, pred, id_col, keys, classes, empty)
 
 
 def set_counts_long(
-    gold: DataFrame, pred: DataFrame, id_col: str = "article_id", keys=(), classes: DataFrame | None = None
+    gold: DataFrame, pred: DataFrame, id_col: str = "article_id", keys=(), classes: DataFrame | None = None,
+    empty: bool = False,
 ) -> DataFrame:
     """Per ``keys..., id``: ``n_gold, n_pred, tp`` over distinct labels, from
     long tables ``keys..., id, label`` (one row per label occurrence). See
@@ -116,12 +108,12 @@ def set_counts_long(
     occ = gold.select(*keys, id_col, "label", F.lit(True).alias("in_gold"), F.lit(False).alias("in_pred")).unionByName(
         pred.select(*keys, id_col, "label", F.lit(False).alias("in_gold"), F.lit(True).alias("in_pred"))
     )
-    return set_counts_flagged(occ, id_col, keys, classes)
+    return set_counts_flagged(occ, id_col, keys, classes, empty=empty)
 
 
 def set_counts_flagged(
     occ: DataFrame, id_col: str = "article_id", keys=(), classes: DataFrame | None = None,
-    gold_flag: str = "in_gold", pred_flag: str = "in_pred",
+    gold_flag: str = "in_gold", pred_flag: str = "in_pred", empty: bool = False,
 ) -> DataFrame:
     """Per ``keys..., id``: ``n_gold, n_pred, tp`` over distinct labels, from
     one long table ``keys..., id, label, in_gold, in_pred`` (a label row may
@@ -130,27 +122,26 @@ def set_counts_flagged(
     Nothing is gathered per article: (id, label) rows are aggregated
     (map-side combined), so one article with very many labels is spread over
     tasks. With ``classes`` (column ``class``, plus any of ``keys``) unknown
-    labels are ignored; without, empty labels are. Every id seen gets a row
+    labels are ignored; without, empty labels are (unless ``empty``). Every id seen gets a row
     (zeros when it has no known label)."""
     keys = list(keys)
+    # distinct (id, label) rows first: they spread a hot label over tasks before
+    # the class list is joined, and the last aggregate is by id
+    per_label = occ.groupBy(*keys, id_col, "label").agg(
+        F.max(F.col(gold_flag).cast("int")).alias("g"), F.max(F.col(pred_flag).cast("int")).alias("p")
+    )
     if classes is not None:
         cls_keys = [c for c in keys if c in classes.columns]
-        cls = sized_broadcast(
-            classes.where(F.col("class").isNotNull() & (F.col("class") != "")).select(
-                *cls_keys, F.col("class").alias("label"), F.lit(True).alias("__known")
-            ).distinct()
-        )
-        occ = occ.join(cls, [*cls_keys, "label"], "left")
-        known = F.coalesce(F.col("__known"), F.lit(False))
+        cls = classes.where(F.col("class").isNotNull() & (F.col("class") != "")).select(
+            *cls_keys, F.col("class").alias("label"), F.lit(1).alias("known")
+        ).distinct()
+        per_label = per_label.join(cls, [*cls_keys, "label"], "left")
+        known = F.coalesce("known", F.lit(0))
     else:
-        known = F.col("label").isNotNull() & (F.col("label") != "")
-    per_label = occ.groupBy(*keys, id_col, "label").agg(
-        F.max((known & F.col(gold_flag)).cast("int")).alias("g"),
-        F.max((known & F.col(pred_flag)).cast("int")).alias("p"),
-    )
-    return per_label.groupBy(*keys, id_col).agg(
-        F.sum("g").alias("n_gold"), F.sum("p").alias("n_pred"), F.sum(F.col("g") * F.col("p")).alias("tp")
-    )
+        named = F.col("label").isNotNull() if empty else F.coalesce(F.col("label") != "", F.lit(False))
+        known = named.cast("int")
+    g, p = F.col("g") * known, F.col("p") * known
+    return per_label.groupBy(*keys, id_col).agg(F.sum(g).alias("n_gold"), F.sum(p).alias("n_pred"), F.sum(g * p).alias("tp"))
 
 
 def f1_from_counts(counts: DataFrame) -> DataFrame:
@@ -186,29 +177,16 @@ def summarize_f1(per_article: DataFrame, keys=()) -> DataFrame:
 # Samples-averaged precision, recall, F1 over observed labels
 # --------------------------------------------------------------------------
 
-def sample_prf(aligned: DataFrame, keys=()) -> DataFrame:
+def sample_prf(aligned: DataFrame, keys=(), id_col: str = "article_id") -> DataFrame:
     """Per-row set metrics, averaged (per ``keys``): ``precision, recall,
     f1, n``. Undefined values count as 0 (the library default)."""
-    g = F.array_distinct(F.coalesce(F.col("gold"), F.array().cast("array<string>")))
-    p = F.array_distinct(F.coalesce(F.col("pred"), F.array().cast("array<string>")))
-    tp = F.size(F.array_intersect(g, p)).cast("double")
-    ng, np_ = F.size(g).cast("double"), F.size(p).cast("double")
-    per = aligned.select(
-        *keys,
-        F.when(np_ > 0, tp / np_).otherwise(0.0).alias("p"),
-        F.when(ng > 0, tp / ng).otherwise(0.0).alias("r"),
-        F.when(ng + np_ > 0, 2.0 * tp / (ng + np_)).otherwise(0.0).alias("f"),
-    )
-    return per.groupBy(*keys).agg(
-        F.avg("p").alias("precision"), F.avg("r").alias("recall"), F.avg("f").alias("f1"), F.count(F.lit(1)).alias("n")
-    )
+    return prf_from_counts(set_counts_aligned(aligned, id_col, keys, empty=True), keys)
 
 
-def observed_labels(aligned: DataFrame) -> DataFrame:
-    """Every label seen in gold or predictions."""
-    g = aligned.select(F.explode("gold").alias("label"))
-    p = aligned.select(F.explode("pred").alias("label"))
-    return g.union(p).distinct()
+def observed_labels(gold: DataFrame, pred: DataFrame) -> DataFrame:
+    """Every non-empty ``label`` of the long tables gold and predictions."""
+    both = gold.select("label").union(pred.select("label"))
+    return both.where(F.col("label") != "").distinct()
 
 
 # --------------------------------------------------------------------------

@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
-from plotline.operators.joins import sized_broadcast
 from plotline.operators.scan import carry_forward_many
-from plotline.session import checkpoint_dir
 
 CAPTION_WORD = "Figure"  # fixed: a line containing it names the page theme and ends the page
 
@@ -47,29 +45,33 @@ def parse_outline(pages: DataFrame, doc: str = "doc", page: str = "page", text:
     p = p.select(
         "doc",
         "page",
-        F.when(F.col("cap") > 0, L.strip_py(F.get(F.split(cap_line, ":", -1), 1))).alias("page_theme"),
+        # a caption without text keeps the theme of the pages before
+        F.when(F.col("cap") > 0, F.nullif(L.strip_py(F.get(F.split(cap_line, ":", -1), 1)), F.lit(""))).alias("page_theme"),
         F.when(F.col("cap") > 0, F.slice("lines", 1, (F.col("cap") - 1).cast("int")))
         .otherwise(F.col("lines"))
         .alias("kept"),
     )
+    # headings cut a page into runs of lines; each line is copied once
+    at_heads = F.filter(F.transform("kept", lambda l, i: F.when(is_head(l), i + 1)), lambda x: x.isNotNull())
+    p = p.select("*", F.array_distinct(F.concat(F.array(F.lit(1)), at_heads)).alias("starts"))
+    ends = F.concat(F.slice(F.col("starts"), F.lit(2), F.size("starts")), F.array(F.size("kept") + 1))
     p = p.select(
         "*",
         F.try_element_at(F.filter("kept", is_head), F.lit(-1)).alias("page_last_head"),
-        # per kept line: the last heading at or before it on this page
-        F.transform(
-            "kept",
-            lambda l, i: F.struct(
-                l.alias("line"),
-                F.try_element_at(F.filter(F.slice("kept", 1, i + 1), is_head), F.lit(-1)).alias("head"),
-            ),
-        ).alias("cells"),
+        F.zip_with(
+            "starts", ends, lambda a, b: F.struct(a.alias("start"), F.slice("kept", a, b - a).alias("run"))
+        ).alias("runs"),
     )
     p = carry_forward_many(
         p, ["doc"], "page", [("page_theme", "theme", True), ("page_last_head", "head_before", False)]
     )
-    lines = p.select("doc", "page", "theme", "head_before", F.posexplode("cells").alias("line_no", "c"))
-    line = F.col("c.line")
-    narrative = F.coalesce(F.col("c.head"), F.col("head_before"))
+    runs = p.select("doc", "page", "theme", "head_before", F.explode("runs").alias("r"))
+    lines = runs.select(
+        "doc", "page", "theme", "head_before", F.col("r.start").alias("start"), F.get("r.run", F.lit(0)).alias("first"),
+        F.posexplode("r.run").alias("k", "line"),
+    ).withColumn("line_no", (F.col("start") - 1 + F.col("k")).cast("int"))
+    line = F.col("line")
+    narrative = F.coalesce(F.when(is_head(F.col("first")), F.col("first")), F.col("head_before"))
     sub = L.strip_py(F.regexp_replace(line, r"^[- ]+", ""))
     out = lines.select(
         "doc",
@@ -82,6 +84,26 @@ def parse_outline(pages: DataFrame, doc: str = "doc", page: str = "page", text:
     return out.where(F.col("narrative").isNotNull() & F.col("subnarrative").isNotNull())
 
 
+def outline_taxonomy(pages: DataFrame) -> DataFrame:
+    """``theme, narrative, subnarrative, position``: the distinct entries of an
+    outline; ``position`` orders them as they first occur (by page and line;
+    of several documents, interleaved)."""
+    position = F.col("page").cast("long") * (1 << 32) + F.col("line_no")
+    rows = parse_outline(pages)
+    return rows.groupBy("theme", "narrative", "subnarrative").agg(F.min(position).alias("position"))
+
+
+def label_vocabulary(taxonomy: DataFrame, themes=tuple(L.THEME_NAMES[t] for t in ("URW", "CC"))) -> DataFrame:
+    """``combination``: narrative__subnarrative (blanks as ``_``) of every
+    entry of the given themes, in one scan."""
+    def joined(c: str) -> F.Column:
+        return F.replace(F.col(c), F.lit(" "), F.lit("_"))
+
+    return taxonomy.where(F.col("theme").isin(*themes)).select(
+        F.concat(joined("narrative"), F.lit(L.COMBINED_PART_SEP), joined("subnarrative")).alias("combination")
+    )
+
+
 # --------------------------------------------------------------------------
 # Label occurrences for counting
 # --------------------------------------------------------------------------
@@ -89,14 +111,22 @@ def parse_outline(pages: DataFrame, doc: str = "doc", page: str = "page", text:
 def count_labels(lines: DataFrame, columns: str = "both", language: str = "language") -> DataFrame:
     """Label occurrences ``language, label`` from annotation lines.
 
-    ``columns`` = ``both`` (reference: every label of both cells, Q5),
-    ``narrative`` or ``subnarrative``. Lines with fewer than two fields
-    are dropped (F1); with fixed-width rows that never happens.
+    ``columns`` = ``both`` (reference: every label of every cell after the
+    id, Q5, also the cells in ``more`` if there is such a column),
+    ``narrative`` or ``subnarrative``. A cell that is absent has no labels;
+    the other cells of its line count. Lines without any cell after the id
+    give no row (F1).
     """
+    none = F.array().cast("array<string>")
+
+    def cell(name: str) -> F.Column:
+        return F.coalesce(L.split_list(name), none)
+
+    more = F.coalesce(F.flatten(F.transform("more", lambda x: L.split_list(x))), none) if "more" in lines.columns else none
     cells = {
-        "both": F.concat(L.split_list("narrative"), L.split_list("subnarrative")),
-        "narrative": L.split_list("narrative"),
-        "subnarrative": L.split_list("subnarrative"),
+        "both": F.concat(cell("narrative"), cell("subnarrative"), more),
+        "narrative": cell("narrative"),
+        "subnarrative": cell("subnarrative"),
     }[columns]
     return lines.select(F.col(language).alias("language"), F.explode(cells).alias("label"))
 
@@ -178,7 +208,7 @@ def _subnarratives(taxonomy: DataFrame) -> DataFrame:
 def narrative_counts(cube: DataFrame, taxonomy: DataFrame, by_theme: bool = False) -> DataFrame:
     """A2 + J2: counts of labels whose (theme, narrative) is in the taxonomy,
     keyed by narrative name and language (Q7), or also by theme."""
-    valid = cube.join(sized_broadcast(_narratives(taxonomy)), ["theme", "narrative"], "left_semi")
+    valid = cube.join(_narratives(taxonomy), ["theme", "narrative"], "left_semi")
     keys = (["theme"] if by_theme else []) + ["narrative", "language"]
     return valid.groupBy(*keys).agg(F.sum("count").alias("count"))
 
@@ -187,7 +217,7 @@ def subnarrative_counts(cube: DataFrame, taxonomy: DataFrame, by_theme: bool = F
     """A3 + J2: counts of labels whose (theme, narrative, subnarrative) is in
     the taxonomy, keyed by subnarrative name and language, or by the triple."""
     valid = cube.where(F.col("subnarrative").isNotNull()).join(
-        sized_broadcast(_subnarratives(taxonomy)), ["theme", "narrative", "subnarrative"], "left_semi"
+        _subnarratives(taxonomy), ["theme", "narrative", "subnarrative"], "left_semi"
     )
     keys = (["theme", "narrative"] if by_theme else []) + ["subnarrative", "language"]
     return valid.groupBy(*keys).agg(F.sum("count").alias("count"))
@@ -223,9 +253,10 @@ def subnarrative_gaps(taxonomy: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def gaps_by_language(taxonomy: DataFrame, counts: DataFrame, level: str = "narrative") -> DataFrame:
-    """J6 per language (Q8): taxonomy entries with no count in a language
-    that occurs in ``counts``; ``theme, narrative[, subnarrative], language,
+def gaps_by_language(taxonomy: DataFrame, counts: DataFrame, languages: DataFrame, level: str = "narrative") -> DataFrame:
+    """J6 per language (Q8): taxonomy entries with no count in a language of
+    ``languages`` (``language``, e.g. the label cube: also a language without
+    any valid label has gaps); ``theme, narrative[, subnarrative], language,
     count`` with count 0.
 
     No taxonomy x language product is joined: the (small) set of languages
@@ -233,12 +264,7 @@ def gaps_by_language(taxonomy: DataFrame, counts: DataFrame, level: str = "narra
     difference with the languages it was counted in."""
     entry = ["theme", "narrative"] + (["subnarrative"] if level == "subnarrative" else [])
     keys = [k for k in entry if k in counts.columns] if "theme" in counts.columns else [level]
-    # the counts are small and read twice (language set and per entry): write
-    # them once to the shared checkpoint folder instead of running their
-    # whole lineage twice
-    checkpoint_dir(counts.sparkSession)
-    counts = counts.checkpoint()
-    all_langs = counts.select(F.array_sort(F.collect_set("language"))).scalar()
+    all_langs = languages.select(F.array_sort(F.collect_set("language"))).scalar()
     seen = counts.groupBy(*keys).agg(F.collect_set("language").alias("__langs"))
     tax = taxonomy.select(*entry).distinct()
     missing = F.array_except(all_langs, F.coalesce(F.col("__langs"), F.array().cast("array<string>")))

@@ -214,11 +214,10 @@ WHERE len(string_split(label, ':')) >= 4""",
 )
 def q_label_rejects(spark, sf):
     items = D.label_items(spark, sf)
-    occ = items.select(
-        L.language_of("lang").alias("language"), F.explode(F.array("nar_label", "sub_label")).alias("label")
+    lines = items.select(
+        L.language_of("lang").alias("language"), F.col("nar_label").alias("narrative"), F.col("sub_label").alias("subnarrative")
     )
-    dec = TX.decode_count_labels(occ)
-    return dec.where(F.col("reject_reason").isNotNull()).select("language", "label", "reject_reason")
+    return TX.label_rejects(lines)
 
 
 @register(
@@ -329,14 +328,15 @@ def q_subnarrative_gaps_by_theme(spark, sf):
     + D.SQL_TAXONOMY
     + f""",
 counted AS (SELECT DISTINCT narrative, language FROM cube WHERE {_VALID_N}),
-langs AS (SELECT DISTINCT language FROM counted)
+langs AS (SELECT DISTINCT language FROM cube)
 SELECT t.theme, t.narrative, l.language, CAST(0 AS BIGINT) AS count
 FROM (SELECT DISTINCT theme, narrative FROM taxonomy) t CROSS JOIN langs l
 WHERE NOT EXISTS (SELECT 1 FROM counted c WHERE c.narrative = t.narrative AND c.language = l.language)""",
 )
 def q_narrative_gaps_by_language(spark, sf):
     tax = D.taxonomy(spark, sf)
-    return TX.gaps_by_language(tax, TX.narrative_counts(_cube(spark, sf), tax), "narrative")
+    cube = _cube(spark, sf)
+    return TX.gaps_by_language(tax, TX.narrative_counts(cube, tax), cube, "narrative")
 
 
 @register(
@@ -346,14 +346,15 @@ def q_narrative_gaps_by_language(spark, sf):
     + D.SQL_TAXONOMY
     + f""",
 counted AS (SELECT DISTINCT subnarrative, language FROM cube WHERE subnarrative IS NOT NULL AND {_VALID_S}),
-langs AS (SELECT DISTINCT language FROM counted)
+langs AS (SELECT DISTINCT language FROM cube)
 SELECT t.theme, t.narrative, t.subnarrative, l.language, CAST(0 AS BIGINT) AS count
 FROM (SELECT DISTINCT theme, narrative, subnarrative FROM taxonomy) t CROSS JOIN langs l
 WHERE NOT EXISTS (SELECT 1 FROM counted c WHERE c.subnarrative = t.subnarrative AND c.language = l.language)""",
 )
 def q_subnarrative_gaps_by_language(spark, sf):
     tax = D.taxonomy(spark, sf)
-    return TX.gaps_by_language(tax, TX.subnarrative_counts(_cube(spark, sf), tax), "subnarrative")
+    cube = _cube(spark, sf)
+    return TX.gaps_by_language(tax, TX.subnarrative_counts(cube, tax), cube, "subnarrative")
 
 
 @register(
@@ -383,18 +384,7 @@ SELECT replace(narrative, ' ', '_') || '__' || replace(subnarrative, ' ', '_')
 FROM taxonomy WHERE theme = 'Climate Change label taxonomy'""",
 )
 def q_label_vocabulary(spark, sf):
-    tax = D.taxonomy(spark, sf)
-
-    def comb(theme):
-        return tax.where(F.col("theme") == theme).select(
-            F.concat(
-                F.replace("narrative", F.lit(" "), F.lit("_")),
-                F.lit("__"),
-                F.replace("subnarrative", F.lit(" "), F.lit("_")),
-            ).alias("combination")
-        )
-
-    return comb(L.THEME_NAMES["URW"]).union(comb(L.THEME_NAMES["CC"]))
+    return TX.label_vocabulary(D.taxonomy(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -412,7 +402,7 @@ pl2 AS (SELECT doc, page, ls, unnest(range(len(ls))) AS line_no FROM pl),
 lines AS (SELECT doc, page, CAST(line_no AS INTEGER) AS line_no, {_STRIP_LINE} AS line FROM pl2),
 caps AS (SELECT doc, page, min(line_no) AS cap FROM lines WHERE contains(line, 'Figure') GROUP BY doc, page),
 capt AS (SELECT l.doc, l.page,
-                CASE WHEN contains(l.line, ':') THEN {D.sql_strip("split_part(l.line, ':', 2)")} END AS page_theme
+                CASE WHEN contains(l.line, ':') THEN nullif({D.sql_strip("split_part(l.line, ':', 2)")}, '') END AS page_theme
          FROM lines l JOIN caps c ON l.doc = c.doc AND l.page = c.page AND l.line_no = c.cap),
 pth AS (SELECT p.doc, p.page, t.page_theme FROM (SELECT DISTINCT doc, page FROM pl) p
         LEFT JOIN capt t ON p.doc = t.doc AND p.page = t.page),
@@ -638,7 +628,21 @@ WHERE label <> ''""",
 )
 def q_observed_labels(spark, sf):
     items = D.label_items(spark, sf)
-    return items.select(L.narrative_of("nar_label").alias("label")).where(F.col("label") != "").distinct()
+    label = L.narrative_of("nar_label").alias("label")
+    return SC.observed_labels(items.select(label), items.where(F.col("l_discount") >= D.PRED_MIN_DISCOUNT).select(label))
+
+
+@register(
+    "misaligned_ids",
+    """WITH g AS (SELECT c_custkey AS id, count(*) AS n FROM customer GROUP BY 1),
+p AS (SELECT user_id AS id, count(*) AS n FROM events GROUP BY 1)
+SELECT coalesce(g.id, p.id) AS id,
+       CASE WHEN p.n IS NULL THEN 'only gold' WHEN g.n IS NULL THEN 'only predicted' ELSE 'repeated' END AS problem
+FROM g FULL JOIN p ON g.id = p.id WHERE p.n IS NULL OR g.n IS NULL OR g.n > 1 OR p.n > 1""",
+)
+def q_misaligned_ids(spark, sf):
+    gold = D.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    return SC.misaligned_ids(gold, D.table(spark, sf, "events").select(F.col("user_id").alias("id")), "id")
 
 
 @register(
@@ -782,14 +786,49 @@ def q_resume_translate(spark, sf):
     )
 
 
+@register(
+    "resume_merged",
+    f"""SELECT d.doc_id,
+  CASE WHEN l.doc_id IS NOT NULL THEN 'finished ' || coalesce(CAST(l.quality AS VARCHAR), '')
+       WHEN upper(d.lang) IN ('EN', 'HI') THEN d.text
+       ELSE 'len=' || CAST(length({sql_lit(IN.TRANSLATE_HEAD)} || d.text) AS VARCHAR) END AS en_content
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+)
+def q_resume_merged(spark, sf):
+    """Every document, with its finished answer or a new one."""
+    docs = D.table(spark, sf, "documents")
+    old = F.concat(F.lit("finished "), F.coalesce(F.col("quality").cast("string"), F.lit("")))
+    finished = D.table(spark, sf, "labels").select("doc_id", old.alias("en_content"))
+    new = IN.translate(docs, IN.length_stub, "doc_id", text_col="text", lang_col="lang", finished=finished)
+    return finished.join(docs.select("doc_id"), "doc_id", "left_semi").unionByName(new)
+
+
 # ---------------------------------------------------------------------------
-# Out-of-fold classifier (M1): no SQL oracle (model fit)
+# Out-of-fold classifier (M1)
 # ---------------------------------------------------------------------------
 
-@register("domain_classifier")
+_NB_SQL = rf"""WITH {_fold_sql('documents', 'lang', 'doc_id', cols=', text')},
+rows AS (SELECT doc_id AS id, fold AS f, lang AS c,
+         list_filter(regexp_split_to_array(lower(text), '[^{_W}]+'), lambda x: x <> '') AS w FROM f),
+words AS (SELECT id, f, c, t, count(*) AS n FROM (SELECT id, f, c, unnest(w) AS t FROM rows) GROUP BY ALL),
+own AS (SELECT f, c, t, sum(n) AS n FROM words GROUP BY ALL),
+total AS (SELECT c, t, sum(n) AS n FROM own GROUP BY ALL),
+folds AS (SELECT DISTINCT f FROM rows),
+cls AS (SELECT f, c, count(*) AS d, sum(len(w)) AS m FROM rows GROUP BY ALL),
+allc AS (SELECT c, sum(d) AS d, sum(m) AS m FROM cls GROUP BY ALL),
+train AS (SELECT folds.f, allc.c, allc.d - coalesce(cls.d, 0) AS docs,
+                 allc.m - coalesce(cls.m, 0) + (SELECT count(DISTINCT t) FROM own) AS mass
+          FROM folds CROSS JOIN allc LEFT JOIN cls ON cls.f = folds.f AND cls.c = allc.c),
+base AS (SELECT id, train.c, ln(docs) - len(w) * ln(mass) AS s FROM rows JOIN train USING (f) WHERE docs > 0),
+gain AS (SELECT words.id, total.c, sum(words.n * ln(total.n - coalesce(own.n, 0) + 1)) AS g
+         FROM words JOIN total USING (t) LEFT JOIN own ON own.f = words.f AND own.c = total.c AND own.t = words.t GROUP BY ALL),
+best AS (SELECT id, min({{'s': -round(s + coalesce(g, 0), 9), 'c': base.c}}).c AS p_domains
+         FROM base LEFT JOIN gain USING (id, c) GROUP BY id)
+SELECT rows.id AS doc_id, rows.c AS lang, CAST(rows.f AS INTEGER) AS fold, p_domains FROM rows LEFT JOIN best USING (id)"""
+
+
+@register("domain_classifier", _NB_SQL)
 def q_domain_classifier(spark, sf):
-    docs = D.table(spark, sf, "documents").select("doc_id", "text")
-    lab = D.table(spark, sf, "labels").select("doc_id", "quality")
-    d = FO.stratified_folds(docs.join(lab, "doc_id"), "quality", "doc_id")
-    pred = IN.out_of_fold_predictions(d, "text", "quality", "doc_id", k=5)
-    return pred.select("doc_id", "quality", "fold", "p_domains")
+    docs = D.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    d = FO.stratified_folds(docs, "lang", "doc_id")
+    return IN.out_of_fold_predictions(d, "text", "lang", "doc_id").select("doc_id", "lang", "fold", "p_domains")

@@ -1,8 +1,8 @@
 """End-to-end jobs (the reference's four entry points), built from the
 operators. Each returns DataFrames; writing is optional.
 
-* ``annotate``  (E1): label TSV + article texts -> flat CSV / JSON lines /
-  one JSON document, with rejects instead of a failing job.
+* ``annotate``  (E1): label TSV + article texts -> flat CSV / JSON lines,
+  with rejects instead of a failing job.
 * ``audit``     (E2): outline pages or a taxonomy table + label files ->
   theme / narrative / subnarrative counts per language and gaps.
 * ``predict_and_score`` (E3): merged records -> folds -> out-of-fold domain
@@ -15,6 +15,7 @@ checkpoint folder (``spark.checkpoint.dir``), which also cuts lineage.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from plotline.operators import taxonomy as TX
 from plotline.session import checkpoint_dir
 from plotline.sources import readers as R
 from plotline.sources import sinks as K
+from plotline.sources.readers import read_results
 
 _RELEASE_LANG = r"([^/]+)/([^/]+)/[^/]+$"
 
@@ -94,11 +96,12 @@ def audit(
     if taxonomy is None:
         if outline_pages is None:
             raise ValueError("give a taxonomy or outline pages")
-        taxonomy = TX.parse_outline(outline_pages).select("theme", "narrative", "subnarrative")
+        taxonomy = TX.outline_taxonomy(outline_pages)
+    checkpoint_dir(spark)
+    taxonomy = taxonomy.checkpoint()  # parsed once, read by every output
     lines = R.read_annotations(spark, annotations_root, recursive=True)
     if release is not None:
         lines = lines.where(F.col("file_path").contains(f"/{release}/"))
-    checkpoint_dir(spark)
     cube = TX.label_cube(lines, columns=columns).checkpoint()  # small, read five times
     nar = TX.narrative_counts(cube, taxonomy, by_theme)
     sub = TX.subnarrative_counts(cube, taxonomy, by_theme)
@@ -109,6 +112,9 @@ def audit(
         "subnarrative_counts": sub,
         "narrative_gaps": TX.narrative_gaps(taxonomy, nar),
         "subnarrative_gaps": TX.subnarrative_gaps(taxonomy, sub),
+        "narrative_gaps_by_language": TX.gaps_by_language(taxonomy, nar, cube, "narrative"),
+        "subnarrative_gaps_by_language": TX.gaps_by_language(taxonomy, sub, cube, "subnarrative"),
+        "taxonomy": taxonomy,
         "rejects": TX.label_rejects(lines, columns=columns),
     }
     if out_dir:
@@ -117,6 +123,31 @@ def audit(
     return out
 
 
+def answered_once(
+    todo: DataFrame, answer: Callable[[DataFrame], DataFrame], id_col: str, output_col: str, results: str,
+    finished: DataFrame | None = None,
+) -> DataFrame:
+    """J8 + K6: ``id, output`` of every row of ``todo``, each answered once.
+
+    Answers in the Parquet folder ``results`` and in ``finished`` (id and
+    output) are kept; ``answer`` gets the other rows, and its answers are
+    appended to ``results`` in one write. What is returned is read back from
+    there, so no later use runs the model again, and a rerun goes on."""
+    spark = todo.sparkSession
+    old = read_results(spark, results)
+    kept = [x.select(id_col, output_col) for x in (old, finished) if x is not None]
+    done = None
+    for x in kept:
+        done = x if done is None else done.unionByName(x.join(done.select(id_col), id_col, "left_anti").select(id_col, output_col))
+    if done is not None:
+        done = done.join(todo.select(id_col), id_col, "left_semi").select(id_col, output_col).checkpoint()
+    K.append_batch(answer(IN.pending(todo, done, id_col)).select(id_col, output_col), results)
+    new = spark.read.parquet(results).select(id_col, output_col)
+    if done is None:
+        return new
+    return done.unionByName(new.join(done.select(id_col), id_col, "left_anti").select(id_col, output_col))
+
+
 def predict_and_score(
     spark: SparkSession,
     merged: DataFrame,
@@ -127,33 +158,83 @@ def predict_and_score(
     finished: DataFrame | None = None,
     id_col: str = "article_id",
     text_col: str = "content",
+    results: str | None = None,
+    out_dir: str | None = None,
 ) -> dict[str, DataFrame]:
-    """E3 on merged records (``article_id, content, domain, labels, ...``)."""
+    """E3 on merged records (``article_id, content, domain, labels, ...``).
+
+    The model is called once per article without an answer; answers go to the
+    Parquet folder ``results`` (default: a new one below the checkpoint
+    folder). ``finished`` (id, gpt_output) gives earlier answers. Every article
+    is predicted and scored. A ``position`` in the taxonomy orders the prompt
+    options. ``out_dir`` takes the fold predictions, the results table and
+    the metrics log."""
     d = LB.with_class(merged, "domain", "class_id")
     d = FO.stratified_folds(d, "class_id", id_col, k=k, seed=seed)
-    checkpoint_dir(spark)
-    d = d.checkpoint()  # folds are reused by every fold fit
-    oof = IN.out_of_fold_predictions(d, text_col, "class_id", id_col, k=k)
+    base = checkpoint_dir(spark)
+    d = d.checkpoint()  # read by the classifier and by its predictions
+    oof = IN.out_of_fold_predictions(d, text_col, "class_id", id_col).checkpoint()
     fold_metrics = SC.class_metrics(oof, "class_id", "p_domains", keys=["fold"])
-    long = SC.metrics_long(fold_metrics, keys=["fold"])
-    prompts = IN.route_prompts(oof, taxonomy, text_col=text_col, class_col="p_domains")
-    answers = IN.answer_routed(prompts, model, id_col, finished=finished)
-    results = oof.join(answers, id_col)
-    detected = DT.detect(results, taxonomy, id_col=id_col, text_col="gpt_output", class_col="p_domains")
-    metrics = None
+    long = SC.with_metric_means(SC.metrics_long(fold_metrics, keys=["fold"]))
+    order = "position" if "position" in taxonomy.columns else None
+    prompts = IN.route_prompts(oof, taxonomy, text_col=text_col, class_col="p_domains", order=order)
+    answers = answered_once(
+        prompts,
+        lambda todo: IN.answer_routed(todo, model, id_col),
+        id_col,
+        "gpt_output",
+        results or f"{base.rstrip('/')}/answers-{uuid.uuid4().hex}",
+        finished,
+    )
+    detected = DT.detect(
+        oof.join(answers, id_col), taxonomy, id_col=id_col, text_col="gpt_output", class_col="p_domains"
+    ).checkpoint()
+    sides = None
     for level in ("narrative", "subnarrative"):
-        aligned = detected.select(
-            F.array_distinct(F.col(f"labels.{level}")).alias("gold"), F.col(f"p_{level}").alias("pred")
+        x = detected.select(
+            F.lit(level).alias("level"), id_col, F.col(f"labels.{level}").alias("gold"), F.col(f"p_{level}").alias("pred")
         )
-        m = SC.sample_prf(aligned).select(F.lit(level).alias("level"), "*")
-        metrics = m if metrics is None else metrics.unionByName(m)
-    return {
+        sides = x if sides is None else sides.unionByName(x)
+    out = {
         "folds": d,
         "predictions": detected,
-        "fold_metrics": SC.with_metric_means(long),
-        "metrics": metrics,
+        "fold_metrics": long,
+        "metrics": SC.sample_prf(sides, ["level"], id_col),
         "other_counts": DT.other_counts(detected),
+        "metrics_log": K.metrics_log_lines(long),
     }
+    if out_dir:
+        K.write_jsonl(oof, f"{out_dir}/fold_predictions", partition_by=("fold",))
+        K.write_jsonl(detected, f"{out_dir}/results")
+        out["metrics_log"].orderBy("block", "pos").select("line").write.mode("overwrite").text(f"{out_dir}/metrics_log")
+    return out
+
+
+def translate_table(
+    spark: SparkSession,
+    records: DataFrame,
+    model: Callable[[list[str]], list[str]],
+    results: str,
+    id_col: str = "article_id",
+    text_col: str = "content",
+    lang_col: str = "language",
+) -> DataFrame:
+    """Every record with ``en_content``. Languages that pass through
+    keep their text; the others are translated once, in ``results``."""
+    checkpoint_dir(spark)
+    answers = answered_once(
+        records, lambda todo: IN.translate(todo, model, id_col, text_col, lang_col), id_col, "en_content", results
+    )
+    return records.join(answers, id_col, "left")
+
+
+def merge_languages(spark: SparkSession, paths: list[str], out_jsonl: str | None = None) -> DataFrame:
+    """The nested records of several languages as one table with
+    combined labels and language."""
+    merged = LB.merge_records(R.read_jsonl(spark, paths))
+    if out_jsonl:
+        K.write_jsonl(merged, out_jsonl)
+    return merged
 
 
 def score_files(

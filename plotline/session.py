@@ -8,6 +8,7 @@ configuration (shuffle partitions, checkpoint folder, ...) always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,8 +51,9 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting must point at shared storage and is read as is.
-    Only when it is unset (local tests) a private temporary folder is made.
+    On a cluster that setting must point at shared storage and is read as is;
+    unset, it is an error there. Only a local session (one JVM) gets a private
+    temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current and not path:
         return current
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="plotline-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", path)
@@ -68,7 +72,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(path)
     return path
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A table location under the checkpoint folder, for cutting lineage."""
-    return os.path.join(checkpoint_dir(spark), name)

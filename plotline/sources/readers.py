@@ -1,4 +1,4 @@
-"""Sources S1-S10: every read has a fixed schema and runs in parallel.
+"""Sources S1-S9: every read has a fixed schema and runs in parallel.
 
 Article texts are read once as whole files in a parallel scan and joined
 to the labels (J1), never opened per row.
@@ -7,7 +7,9 @@ to the labels (J1), never opened per row.
 from __future__ import annotations
 
 import re
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,26 +19,34 @@ from plotline.sources import schemas
 
 def read_annotations(spark: SparkSession, path, quoted: bool = False, recursive: bool = False) -> DataFrame:
     """TSV ``article_id, narrative, subnarrative`` without a
-    header. ``quoted=False`` keeps ``"`` literal (line reader), ``True``
-    lets quotes group a field (CSV reader with tab). With ``recursive``,
+    header. ``quoted=False`` keeps ``"`` literal and every field (line
+    reader; fields after the third are in ``more``, an absent cell is null,
+    an empty one stays empty), ``True`` lets quotes group a field (CSV reader
+    with tab). With ``recursive``,
     ``path`` is a folder searched for ``subtask-2-annotations.txt``; the
     language comes from the path (P13). Adds ``file_path`` and ``language``.
     """
-    r = spark.read.schema(schemas.ANNOTATION).option("sep", "\t").option("header", False)
-    # quoted: like Python's csv reader, "" inside a quoted field is one quote
-    r = r.option("quote", '"' if quoted else "").option("escape", '"' if quoted else "\\")
-    r = r.option("mode", "PERMISSIVE")
+    r = spark.read
     if recursive:
         r = r.option("recursiveFileLookup", True).option("pathGlobFilter", "subtask-2-annotations.txt")
-    df = r.csv(path)
     fp = F.col("_metadata.file_path")
+    if quoted:
+        # like Python's csv reader, "" inside a quoted field is one quote
+        r = r.schema(schemas.ANNOTATION).option("sep", "\t").option("header", False)
+        df = r.option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+    else:
+        fields = F.split("value", "\t", -1)
+        cells = [F.get(fields, F.lit(k)).alias(c) for k, c in enumerate(schemas.ANNOTATION.names)]
+        more = F.slice(fields, F.lit(4), F.greatest(F.size(fields) - 3, F.lit(0)))
+        df = r.text(path).where(F.col("value") != "").select(*cells, more.alias("more"), "_metadata")
     rel = fp
     if recursive and isinstance(path, str):
         # language from the path below the searched folder, not from the
         # folder's own location
-        below = F.get(F.split(fp, re.escape(path.rstrip("/")) + "/", 2), 1)
+        # (file paths are URI-encoded there)
+        below = F.get(F.split(fp, re.escape(quote(path.rstrip("/"), safe="/:")) + "/", 2), 1)
         rel = F.coalesce(below, fp)
-    return df.select("*", fp.alias("file_path"), L.language_of(rel).alias("language"))
+    return df.select("*", fp.alias("file_path"), L.language_of(rel).alias("language")).drop("_metadata")
 
 
 def read_articles(spark: SparkSession, root: str) -> DataFrame:
@@ -93,11 +103,6 @@ def parse_struct(df: DataFrame, col: str, schema=schemas.LABELS) -> DataFrame:
     return df.withColumn(col, F.from_json(F.col(col), schema))
 
 
-def from_rows(spark: SparkSession, rows, schema) -> DataFrame:
-    """Small in-memory rows with a fixed schema."""
-    return spark.createDataFrame(rows, schema)
-
-
 def read_entity_mentions(spark: SparkSession, path) -> DataFrame:
     """Entity mention TSV (schema only; no job reads it)."""
     return spark.read.schema(schemas.ENTITY_MENTION).option("sep", "\t").option("quote", "").csv(path)
@@ -113,3 +118,13 @@ def join_articles(lines: DataFrame, articles: DataFrame, keys=("article_id",)) -
 def missing_articles(joined: DataFrame) -> DataFrame:
     """Labels whose article text is missing (the reference fails on them)."""
     return joined.where(F.col("content").isNull())
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame | None:
+    """A results table that may not exist yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing written yet
+            return None
+        raise

@@ -1,5 +1,6 @@
-"""Sinks K1-K6. Writes are directories of part files (no single shard);
-the one global document (K4) is refused above a row limit."""
+"""Sinks K1-K3, K5, K6. Writes are directories of part files (no single
+shard). The one global JSON document (K4) is not built: it would pass every
+record through one value; JSON lines hold the same records."""
 
 from __future__ import annotations
 
@@ -32,19 +33,6 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
     w.json(path)
 
 
-def single_document(df: DataFrame, key: str = "articles", max_rows: int = 100_000) -> DataFrame:
-    """One row holding ``{"articles": [...]}`` as JSON text.
-
-    This gathers every record into one value, so it is refused above
-    ``max_rows`` rows (write JSON lines instead)."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"single JSON document refused: more than {max_rows} rows; use JSON lines")
-    return df.agg(
-        F.to_json(F.struct(F.collect_list(F.struct(*[F.col(c) for c in df.columns])).alias(key))).alias("value")
-    )
-
-
 def metrics_log_lines(long: DataFrame, metrics=("accuracy", "precision", "recall", "f1")) -> DataFrame:
     """K5: ``fold, metric, value`` (fold ``avg`` for the means) -> ordered log
     lines: ``Fold n Metrics:`` then ``metric: 0.1234`` per metric and a blank

@@ -2,8 +2,8 @@
 
 The reference rewrites a progress file after every row and restarts from a
 row index. Here the inputs are a folder of Parquet files read as a stream;
-each micro-batch drops ids that already have a result (anti-join against
-the results table), runs the caller's model over Arrow batches and appends
+the first micro-batch of a run drops ids that already have a result (anti-join
+against the results table), and each runs the caller's model over Arrow batches and appends
 the answers. The streaming checkpoint records which input files are done,
 so a restarted query continues where it stopped; the anti-join makes a
 batch that was cut short and re-run add no duplicates. With
@@ -12,6 +12,7 @@ batch that was cut short and re-run add no duplicates. With
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from plotline.operators import infer as IN
 from plotline.session import checkpoint_dir
+from plotline.sources.readers import read_results
 
 
 def run_resumable(
@@ -32,32 +34,30 @@ def run_resumable(
     input_col: str,
     output_col: str = "output",
     checkpoint: str | None = None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     batch_size: int = 16,
 ) -> None:
     """Run ``model`` over every row of the Parquet files in ``source`` that
-    has no row in ``results`` yet; append answers to ``results``."""
-    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "resumable", os.path.basename(results.rstrip("/")))
-    stream = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(source)
-    )
+    has no row in ``results`` yet; append answers to ``results``. Ids are
+    unique in ``source``. ``max_files_per_trigger`` bounds a micro-batch
+    (default: all files present)."""
+    # one checkpoint per (source, results), whatever their last path parts
+    name = hashlib.sha256(f"{source}\n{results}".encode()).hexdigest()[:32]
+    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "resumable", name)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source)
+    first = [True]
 
     def batch(df: DataFrame, epoch: int) -> None:
-        done = _finished(spark, results, id_col)
+        # only a batch cut short by the end of an earlier run can have answers,
+        # and such a batch is the first of this run
+        done = read_results(spark, results) if first else None
+        first.clear()
         todo = IN.pending(df, done, id_col)
         out = IN.apply_model(todo, model, id_col, input_col, output_col, batch_size)
         out.write.mode("append").parquet(results)
 
     q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-
-
-def _finished(spark: SparkSession, results: str, id_col: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(results).select(id_col)
-    except AnalysisException:  # no results written yet
-        return None

@@ -55,14 +55,6 @@ def test_annotate(spark, layout, tmp_path):
     assert js["EN_UA_1.txt"]["labels"]["subnarrative"] == ["Discrediting Ukrainian military", "Other"]
 
 
-def test_single_document(spark, layout):
-    res = jobs.annotate(spark, f"{layout}/rel/*/subtask-2-annotations.txt", layout)
-    one = K.single_document(res["nested"].drop("content")).first()["value"]
-    assert one.startswith('{"articles":[') and one.count("article_id") == 3
-    with pytest.raises(ValueError):
-        K.single_document(res["nested"], max_rows=2)
-
-
 def test_audit_from_outline(spark, layout):
     pages = spark.createDataFrame(
         [("t", 1, "Discrediting Ukraine\n- Discrediting Ukrainian military\nPraise of Russia\n"
@@ -96,8 +88,9 @@ def test_score_files(spark, tmp_path):
     assert s["coarse"]["f1_mean"] == pytest.approx(2 / 9)
     assert s["fine"]["f1_mean"] == pytest.approx((1 + 1 + 2 / 3) / 3)
     write(f"{d}/pred2.tsv", "1\ta\ta\n2\ta;b\tc\n")
-    with pytest.raises(ValueError, match="3"):
+    with pytest.raises(ValueError, match="3") as error:
         jobs.score_files(spark, f"{d}/pred2.tsv", f"{d}/gold.tsv", f"{d}/coarse.txt", f"{d}/fine.txt")
+    assert [tuple(r) for r in error.value.ids.collect()] == [("3", "only gold")]
 
 
 def test_tsv_quotes(spark, tmp_path):
@@ -118,6 +111,7 @@ def test_resumable_stream(spark, tmp_path):
 
     sch = spark.createDataFrame([], schema).schema
     run_resumable(spark, f"{src}/*", sch, out, model, "id", "text", checkpoint=str(tmp_path / "ck"))
+    # as if the run had ended after a part of the next batch was written
     spark.createDataFrame([("3", "c"), ("1", "a")], schema).coalesce(1).write.parquet(f"{src}/p2")
     run_resumable(spark, f"{src}/*", sch, out, model, "id", "text", checkpoint=str(tmp_path / "ck"))
     res = sorted(tuple(r) for r in spark.read.parquet(out).collect())
@@ -229,9 +223,110 @@ def test_resumable_stream_after_failure(spark, tmp_path):
         return [t + "!" for t in texts]
 
     with pytest.raises(Exception):
-        run_resumable(spark, f"{src}/*", sch, out, flaky, "id", "text", checkpoint=ck)
+        run_resumable(spark, f"{src}/*", sch, out, flaky, "id", "text", checkpoint=ck, max_files_per_trigger=1)
     done = sorted(r["id"] for r in spark.read.parquet(out).collect())
     assert done == ["1"]  # the first batch was kept, the failed one left no rows
     run_resumable(spark, f"{src}/*", sch, out, lambda ts: [t + "!" for t in ts], "id", "text", checkpoint=ck)
     res = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert res == [("1", "a!"), ("2", "boom!"), ("3", "c!")]
+
+
+def test_every_cell_of_a_label_line_counts(spark, tmp_path):
+    """Empty and absent cells lose no other label; fields after the third count."""
+    from plotline.operators import taxonomy as TX
+
+    lines = ["a.txt\tURW: A;URW: B\t", "b.txt\tURW: C", "c.txt\tURW: D\tURW: D: x\tURW: E;URW: F: y", "d.txt"]
+    write(f"{tmp_path}/rel/EN/subtask-2-annotations.txt", "\n".join(lines) + "\n")
+    occ = TX.count_labels(R.read_annotations(spark, str(tmp_path), recursive=True))
+    found = sorted(r["label"] for r in occ.where("label <> ''").collect())
+    assert found == ["URW: A", "URW: B", "URW: C", "URW: D", "URW: D: x", "URW: E", "URW: F: y"]
+
+
+def test_folder_name_with_a_blank(spark, tmp_path):
+    root = str(tmp_path / "EN data")
+    write(f"{root}/rel/PT/subtask-2-annotations.txt", "PT_1.txt\tOther\tOther\n")
+    assert [r["language"] for r in R.read_annotations(spark, root, recursive=True).collect()] == ["PT"]
+
+
+def test_language_without_a_valid_label_has_gaps(spark, tmp_path):
+    write(f"{tmp_path}/rel/EN/subtask-2-annotations.txt", "e.txt\tURW: A\tURW: A: Other\n")
+    write(f"{tmp_path}/rel/PT/subtask-2-annotations.txt", "p.txt\tOther\tOther\n")
+    tax = spark.createDataFrame([("Ukraine War label taxonomy", "A", "Other")], schemas.TAXONOMY)
+    out = jobs.audit(spark, str(tmp_path), taxonomy=tax)
+    gaps = [(r["narrative"], r["language"]) for r in out["narrative_gaps_by_language"].collect()]
+    assert gaps == [("A", "PT")]
+
+
+def articles(spark, n):
+    rows = [(f"EN_{i}.txt", f"{'tank war' if i % 2 else 'carbon ice'} {i}", "URW" if i % 2 else "CC", (["N"], ["Other"])) for i in range(n)]
+    return spark.createDataFrame(
+        rows, "article_id string, content string, domain string, labels struct<narrative:array<string>,subnarrative:array<string>>"
+    )
+
+
+def test_model_runs_once_per_article_and_keeps_finished_answers(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(prompts):
+        calls.add(len(prompts))
+        return ["N" for _ in prompts]
+
+    tax = spark.createDataFrame([("Ukraine War label taxonomy", "N", "Other"), ("Climate Change label taxonomy", "N", "Other")], schemas.TAXONOMY)
+    finished = spark.createDataFrame([(f"EN_{i}.txt", "old answer N") for i in range(20)], "article_id string, gpt_output string")
+    results = str(tmp_path / "answers")
+    merged = articles(spark, 60)
+    out = jobs.predict_and_score(spark, merged, tax, model, k=3, finished=finished, results=results, out_dir=str(tmp_path / "out"))
+    for df in out.values():
+        df.collect()
+    assert calls.value == 40
+    pred = {r["article_id"]: r["gpt_output"] for r in out["predictions"].collect()}
+    assert len(pred) == 60 and pred["EN_3.txt"] == "old answer N" and pred["EN_30.txt"] == "N"
+    assert {r["n"] for r in out["metrics"].collect()} == {60}
+    again = jobs.predict_and_score(spark, articles(spark, 61), tax, model, k=3, finished=finished, results=results)
+    assert again["predictions"].count() == 61 and calls.value == 41
+    log = sorted(r["value"] for r in spark.read.text(str(tmp_path / "out" / "metrics_log")).collect())
+    assert sum(x.startswith("accuracy: ") for x in log) == 4
+    assert spark.read.json(str(tmp_path / "out" / "results")).count() == 60
+
+
+def test_translate_table_keeps_every_record(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(prompts):
+        calls.add(len(prompts))
+        return [p.upper() for p in prompts]
+
+    df = spark.createDataFrame([("1", "a", "PT"), ("2", "b", "EN"), ("3", "c", None)], "article_id string, content string, language string")
+    results = str(tmp_path / "t")
+    for n in (2, 3):
+        got = {r["article_id"]: r["en_content"] for r in jobs.translate_table(spark, df.limit(n), model, results).collect()}
+        assert len(got) == n and got["2"] == "b" and got["1"].endswith("A")
+    assert calls.value == 2
+
+
+def test_prompt_options_follow_the_outline(spark):
+    from plotline.operators import infer as IN
+    from plotline.operators import taxonomy as TX
+
+    pages = spark.createDataFrame([("t", 1, "Zeta\n- zz\n- aa\nAlpha\nFigure 1: Ukraine War label taxonomy")], schemas.OUTLINE_PAGE)
+    text = IN.option_lists(TX.outline_taxonomy(pages), order="position").first()["options"]
+    assert text == "Zeta\n- zz\n- aa\n- Other\n\nAlpha\n- Other"
+
+
+def test_merge_languages(spark, layout, tmp_path):
+    for lang in ("EN", "PT"):
+        res = jobs.annotate(spark, f"{layout}/rel/{lang}/subtask-2-annotations.txt", layout)
+        K.write_jsonl(res["nested"], f"{tmp_path}/json/{lang}")
+    merged = jobs.merge_languages(spark, [f"{tmp_path}/json/EN", f"{tmp_path}/json/PT"], f"{tmp_path}/merged")
+    back = R.read_jsonl(spark, f"{tmp_path}/merged", schemas.MERGED_RECORD)
+    assert sorted(map(tuple, back.select("article_id", "language").collect())) == sorted(map(tuple, merged.select("article_id", "language").collect()))
+
+
+def test_streams_into_folders_of_one_name_are_apart(spark, tmp_path):
+    schema = "id string, text string"
+    src = str(tmp_path / "src")
+    spark.createDataFrame([("1", "a")], schema).write.parquet(f"{src}/p1")
+    sch = spark.createDataFrame([], schema).schema
+    for out in (str(tmp_path / "a/out"), str(tmp_path / "b/out")):
+        run_resumable(spark, f"{src}/*", sch, out, lambda ts: ts, "id", "text")
+        assert spark.read.parquet(out).count() == 1

@@ -153,7 +153,7 @@ def test_line_and_long_scorers_agree(spark):
     b = SC.summarize_f1(SC.f1_from_counts(counts)).first()
     assert a["n"] == b["n"]
     assert a["f1_mean"] == pytest.approx(b["f1_mean"]) and a["f1_sd"] == pytest.approx(b["f1_sd"])
-    p1 = SC.sample_prf(aligned.select(F.array_remove("gold", "").alias("gold"), F.array_remove("pred", "").alias("pred"))).first()
+    p1 = SC.sample_prf(aligned.select("article_id", F.array_remove("gold", "").alias("gold"), F.array_remove("pred", "").alias("pred"))).first()
     p2 = SC.prf_from_counts(counts.select("article_id", "tp", "n_gold", "n_pred")).first()
     assert p1["n"] == p2["n"]
 

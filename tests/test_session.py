@@ -1,5 +1,7 @@
 """Checkpoint folder: read from the session, set only where unset."""
 
+import pytest
+
 from plotline.session import checkpoint_dir
 
 
@@ -17,8 +19,8 @@ class _Conf:
 
 
 class _SC:
-    def __init__(self, current=None):
-        self.current = current
+    def __init__(self, current=None, master="local[2]"):
+        self.current, self.master = current, master
 
     def getCheckpointDir(self):
         return self.current
@@ -47,3 +49,10 @@ def test_makes_a_folder_only_when_unset():
 def test_keeps_an_existing_context_folder():
     s = _Spark(_Conf(None), _SC("/already/set"))
     assert checkpoint_dir(s) == "/already/set"
+
+
+def test_a_cluster_needs_the_setting():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Spark(_Conf(None), _SC(master="spark://host:7077")))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Spark(_Conf(None), _SC(master="local-cluster[2,1,1024]")))

@@ -130,7 +130,7 @@ def test_gaps_by_language(spark):
     )
     tax = spark.createDataFrame(TAX, schemas.TAXONOMY)
     cube = TX.label_cube(ann)
-    got = rows(TX.gaps_by_language(tax, TX.narrative_counts(cube, tax), "narrative"))
+    got = rows(TX.gaps_by_language(tax, TX.narrative_counts(cube, tax), cube, "narrative"))
     assert got == [
         (URW, "Discrediting Ukraine", "EN", 0),
         (URW, "Praise of Russia", "PT", 0),
