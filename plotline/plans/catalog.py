@@ -20,6 +20,8 @@ from plotline.operators import labels as LB
 from plotline.operators import score as SC
 from plotline.operators import taxonomy as TX
 from plotline.sources import driver as D
+from plotline.sources import readers as R
+from plotline.sources import schemas
 from plotline.sources.readers import join_articles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -803,6 +805,108 @@ def q_resume_merged(spark, sf):
     return finished.join(docs.select("doc_id"), "doc_id", "left_semi").unionByName(new)
 
 
+# ---------------------------------------------------------------------------
+# File layer: round trips with the readers' and writers' own options
+# (S1, S2, S5, S6, S9, K1, K3), language of a path (P13), class vectors
+# ---------------------------------------------------------------------------
+
+_CELLS_SQL = """cells AS (SELECT CAST(doc_id AS VARCHAR) AS article_id,
+  text || chr(10) || 'say "hi", ' || chr(92) || ' end' AS content,
+  CASE WHEN doc_id % 4 = 0 THEN '' ELSE '"q" ' || source || ', é' END AS domain FROM documents)"""
+
+
+def _cells(spark, sf):
+    """Texts with line breaks, quotes, commas, backslashes and empty cells."""
+    d = D.table(spark, sf, "documents")
+    domain = F.when(F.col("doc_id") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit('"q" '), "source", F.lit(", é")))
+    return d.select(
+        F.col("doc_id").cast("string").alias("article_id"),
+        F.concat("text", F.lit('\nsay "hi", \\ end')).alias("content"),
+        domain.alias("domain"),
+    )
+
+
+@register("csv_round_trip", f"WITH {_CELLS_SQL} SELECT * FROM cells")
+def q_csv_round_trip(spark, sf):
+    cells = _cells(spark, sf)
+    line = F.to_csv(F.struct(*cells.columns), {"escape": '"', "quoteAll": "true"})
+    back = F.from_csv(line, cells.schema.simpleString()[7:-1].replace(":", " "), R.CSV_RECORDS)
+    return cells.select(back.alias("r")).select("r.*")
+
+
+@register(
+    "quoted_tsv_round_trip",
+    f"""WITH {_CELLS_SQL} SELECT article_id, 'a' || chr(9) || replace(content, chr(10), ';') AS narrative, domain AS subnarrative FROM cells""",
+)
+def q_quoted_tsv_round_trip(spark, sf):
+    cells = _cells(spark, sf).select(
+        "article_id",
+        F.concat(F.lit("a\t"), F.replace("content", F.lit("\n"), F.lit(";"))).alias("narrative"),
+        F.col("domain").alias("subnarrative"),
+    )
+    line = F.to_csv(F.struct(*cells.columns), {"sep": "\t", "escape": '"', "quoteAll": "true"})
+    back = F.from_csv(line, "article_id string, narrative string, subnarrative string", R.QUOTED_TSV)
+    return cells.select(back.alias("r")).select("r.*")
+
+
+@register(
+    "raw_tsv_lines",
+    f"""WITH {_CELLS_SQL}, l AS (SELECT string_split(article_id || CASE WHEN CAST(article_id AS BIGINT) % 3 = 0 THEN '' ELSE
+  chr(9) || replace(content, chr(10), ';') || chr(9) || domain || CASE WHEN CAST(article_id AS BIGINT) % 3 = 1 THEN chr(9) || 'x' || chr(9) ELSE '' END END, chr(9)) AS f FROM cells)
+SELECT f[1] AS article_id, f[2] AS narrative, f[3] AS subnarrative, array_to_string(f[4:], '|') AS more FROM l""",
+)
+def q_raw_tsv_lines(spark, sf):
+    """Lines with one, three and five fields."""
+    k = F.col("article_id").cast("long") % 3
+    tail = F.when(k == 1, F.lit("\tx\t")).otherwise(F.lit(""))
+    rest = F.concat(F.lit("\t"), F.replace("content", F.lit("\n"), F.lit(";")), F.lit("\t"), F.col("domain"), tail)
+    lines = _cells(spark, sf).select(F.concat("article_id", F.when(k == 0, F.lit("")).otherwise(rest)).alias("value"))
+    cells = lines.select(*R.annotation_fields(F.col("value")))
+    return cells.withColumn("more", F.array_join("more", "|"))
+
+
+@register(
+    "jsonl_round_trip",
+    f"""WITH {_CELLS_SQL} SELECT article_id, content, domain, 'n|' || domain AS narrative, '' AS subnarrative FROM cells""",
+)
+def q_jsonl_round_trip(spark, sf):
+    """K3 / S5 on the whole record, S9 on its nested column kept as text."""
+    labels = F.struct(F.array(F.lit("n"), F.col("domain")).alias("narrative"), F.array(F.lit("")).alias("subnarrative"))
+    records = _cells(spark, sf).select("*", labels.alias("labels"))
+    line = F.to_json(F.struct(*records.columns))
+    back = records.select(F.from_json(line, schemas.NESTED_RECORD).alias("r")).select("r.*")
+    back = R.parse_struct(back.withColumn("labels", F.to_json("labels")), "labels")
+    return back.select(
+        "article_id", "content", "domain",
+        F.array_join("labels.narrative", "|").alias("narrative"), F.array_join("labels.subnarrative", "|").alias("subnarrative"),
+    )
+
+
+@register(
+    "language_of_paths",
+    f"""WITH p AS (SELECT doc_id, '/data/' || source || '/' || upper(lang) || CASE doc_id % 5 WHEN 0 THEN '/PT' WHEN 1 THEN '/BG_HI' ELSE '' END AS path FROM documents)
+SELECT doc_id, {LANG_SQL.format(x='path')} AS language FROM p""",
+)
+def q_language_of_paths(spark, sf):
+    k = F.col("doc_id") % 5
+    end = F.when(k == 0, F.lit("/PT")).when(k == 1, F.lit("/BG_HI")).otherwise(F.lit(""))
+    path = F.concat(F.lit("/data/"), "source", F.lit("/"), F.upper("lang"), end)
+    return D.table(spark, sf, "documents").select("doc_id", L.language_of(path).alias("language"))
+
+
+@register(
+    "class_vectors",
+    f"""WITH {D.SQL_ANNOTATIONS}, s AS (SELECT article_id, string_split(narrative, ';') AS l FROM annotations)
+SELECT article_id, concat(CASE WHEN list_contains(l, 'Other') THEN 1 ELSE 0 END,
+  CASE WHEN list_contains(l, 'URW: ECONOMY') THEN 1 ELSE 0 END, CASE WHEN list_contains(l, 'CC: PROMO') THEN 1 ELSE 0 END) AS vector FROM s""",
+)
+def q_class_vectors(spark, sf):
+    ann = D.annotations(spark, sf)
+    classes = ["Other", "URW: ECONOMY", "CC: PROMO"]
+    vector = L.multi_hot(L.split_list("narrative"), classes)
+    return ann.select("article_id", F.array_join(F.transform(vector, lambda x: x.cast("string")), "").alias("vector"))
+
+
 # ---------------------------------------------------------------------------
 # Out-of-fold classifier (M1)
 # ---------------------------------------------------------------------------

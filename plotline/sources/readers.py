@@ -17,6 +17,22 @@ from plotline.functions import labels as L
 from plotline.sources import schemas
 
 
+#: Options of the quoted TSV reader: like Python's csv reader, "" inside a
+#: quoted field is one quote.
+QUOTED_TSV = {"sep": "\t", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000"}
+#: Options of CSV records (multi-line quoted cells), beside the header. With the
+#: null value set apart, a quoted empty cell stays empty (in both formats).
+CSV_RECORDS = {"multiLine": "true", "escape": '"', "nullValue": "\u0000"}
+
+
+def annotation_fields(line) -> list[F.Column]:
+    """``article_id, narrative, subnarrative, more`` of a raw TSV line:
+    quotes are literal, an absent cell is null, an empty one stays empty."""
+    fields = F.split(line, "\t", -1)
+    cells = [F.get(fields, F.lit(k)).alias(c) for k, c in enumerate(schemas.ANNOTATION.names)]
+    return [*cells, F.slice(fields, F.lit(4), F.greatest(F.size(fields) - 3, F.lit(0))).alias("more")]
+
+
 def read_annotations(spark: SparkSession, path, quoted: bool = False, recursive: bool = False) -> DataFrame:
     """TSV ``article_id, narrative, subnarrative`` without a
     header. ``quoted=False`` keeps ``"`` literal and every field (line
@@ -31,14 +47,9 @@ def read_annotations(spark: SparkSession, path, quoted: bool = False, recursive:
         r = r.option("recursiveFileLookup", True).option("pathGlobFilter", "subtask-2-annotations.txt")
     fp = F.col("_metadata.file_path")
     if quoted:
-        # like Python's csv reader, "" inside a quoted field is one quote
-        r = r.schema(schemas.ANNOTATION).option("sep", "\t").option("header", False)
-        df = r.option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+        df = r.schema(schemas.ANNOTATION).option("header", False).options(**QUOTED_TSV).csv(path)
     else:
-        fields = F.split("value", "\t", -1)
-        cells = [F.get(fields, F.lit(k)).alias(c) for k, c in enumerate(schemas.ANNOTATION.names)]
-        more = F.slice(fields, F.lit(4), F.greatest(F.size(fields) - 3, F.lit(0)))
-        df = r.text(path).where(F.col("value") != "").select(*cells, more.alias("more"), "_metadata")
+        df = r.text(path).where(F.col("value") != "").select(*annotation_fields(F.col("value")), "_metadata")
     rel = fp
     if recursive and isinstance(path, str):
         # language from the path below the searched folder, not from the
@@ -72,21 +83,17 @@ def read_csv_records(spark: SparkSession, path, schema=schemas.FLAT_RECORD) -> D
     """CSV with header and multi-line quoted cells; ``fold_file``
     keeps the source file name (fold number of stacked fold files)."""
     df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
+        spark.read.schema(schema).option("header", True).options(**CSV_RECORDS).csv(path)
     )
     return df.withColumn("fold_file", F.col("_metadata.file_name"))
 
 
-def read_fold_files(spark: SparkSession, folder: str, schema=None, pattern: str = "fold*_predictions.csv") -> DataFrame:
+def read_fold_files(
+    spark: SparkSession, folder: str, schema=schemas.FOLD_PREDICTION, pattern: str = "fold*_predictions.csv"
+) -> DataFrame:
     """Every ``fold{i}_predictions.csv`` of a folder in one read,
-    stacked by column name, with ``fold`` taken from the file name."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    if schema is not None:
-        r = r.schema(schema)
+    stacked, with ``fold`` taken from the file name."""
+    r = spark.read.schema(schema).option("header", True).options(**CSV_RECORDS)
     df = r.option("pathGlobFilter", pattern).csv(folder)
     return df.withColumn(
         "fold", F.regexp_extract(F.col("_metadata.file_name"), r"fold(\d+)", 1).cast("int")

@@ -7,14 +7,6 @@ S = T.StringType()
 ANNOTATION = T.StructType(
     [T.StructField("article_id", S), T.StructField("narrative", S), T.StructField("subnarrative", S)]
 )
-ARTICLE = T.StructType(
-    [
-        T.StructField("release", S),
-        T.StructField("lang", S),
-        T.StructField("article_id", S),
-        T.StructField("content", S),
-    ]
-)
 FLAT_RECORD = T.StructType(
     [
         T.StructField(c, S)
@@ -35,8 +27,9 @@ NESTED_RECORD = T.StructType(
 MERGED_RECORD = T.StructType(
     NESTED_RECORD.fields + [T.StructField("label", T.ArrayType(S)), T.StructField("language", S)]
 )
+#: What the classifier writes per fold (nested columns as JSON text).
 FOLD_PREDICTION = T.StructType(
-    MERGED_RECORD.fields + [T.StructField("p_domains", T.IntegerType()), T.StructField("fold", T.IntegerType())]
+    [T.StructField("article_id", S), T.StructField("content", S), T.StructField("p_domains", T.IntegerType())]
 )
 TAXONOMY = T.StructType(
     [T.StructField("theme", S), T.StructField("narrative", S), T.StructField("subnarrative", S)]
@@ -44,22 +37,6 @@ TAXONOMY = T.StructType(
 OUTLINE_PAGE = T.StructType(
     [T.StructField("doc", S), T.StructField("page", T.IntegerType()), T.StructField("text", S)]
 )
-OUTLINE_LINE = T.StructType(
-    [
-        T.StructField("doc", S),
-        T.StructField("page", T.IntegerType()),
-        T.StructField("line_no", T.IntegerType()),
-        T.StructField("line", S),
-    ]
-)
-CLASS_LIST = T.StructType([T.StructField("class", S)])
-SCORES = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("scores", T.ArrayType(T.FloatType())),
-        T.StructField("label", T.IntegerType()),
-    ]
-)
 ENTITY_MENTION = T.StructType(
     [
         T.StructField("article_id", S),
@@ -68,6 +45,3 @@ ENTITY_MENTION = T.StructType(
         T.StructField("end", T.IntegerType()),
     ]
 )
-FOLD_METRIC = T.StructType(
-    [T.StructField("fold", S), T.StructField("metric", S), T.StructField("value", T.DoubleType())]
-)
