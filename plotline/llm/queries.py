@@ -19,28 +19,35 @@ from plotline.llm.rules import quality_rules
 from plotline.llm.shards import sharded
 from plotline.llm.token_counts import token_counts
 from plotline.llm.toxicity import toxicity_scores
+from plotline.operators.joins import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def texts(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    """A table whose texts are worked on row by row: a small one of fewer splits
+    than cores is dealt over the cores."""
+    return spread(read(spark, sf_dir, table))
+
+
 def op1_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(read(spark, sf_dir, "documents"))
+    return token_counts(texts(spark, sf_dir))
 
 
 def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return toxicity_scores(texts(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
 def op3_nearest_url_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_texts(read(spark, sf_dir, "pages"))
+    return main_texts(texts(spark, sf_dir, "pages"))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontaminated(texts(spark, sf_dir), read(spark, sf_dir, "benchmark"))
 
 
 def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(read(spark, sf_dir, "documents"))
+    return quality_rules(texts(spark, sf_dir))
 
 
 def op6_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +61,7 @@ def op6_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return quality_scores(texts(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
 def op8_proportional_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,11 +69,11 @@ def op8_proportional_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return languages(read(spark, sf_dir, "documents"))
+    return languages(texts(spark, sf_dir))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return near_duplicates(texts(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
