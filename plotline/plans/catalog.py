@@ -454,6 +454,28 @@ def q_fold_value_counts(spark, sf):
     return FO.fold_value_counts(FO.stratified_folds(d, "lang", "doc_id"), "lang")
 
 
+@register(
+    "fold_value_counts_wide",
+    "WITH " + _fold_sql("documents", "lang", "doc_id")
+    + "\nSELECT fold, " + ", ".join(f"count(*) FILTER (lang = '{x}') AS {x}" for x in ("de", "en", "es", "fr")) + " FROM f GROUP BY fold",
+)
+def q_fold_value_counts_wide(spark, sf):
+    d = D.table(spark, sf, "documents").select("doc_id", "lang")
+    return FO.fold_value_counts(FO.stratified_folds(d, "lang", "doc_id"), "lang", pivot=True)
+
+
+@register(
+    "fold_split",
+    "WITH " + _fold_sql("documents", "lang", "doc_id")
+    + "\nSELECT CASE WHEN fold = 2 THEN 'validation' ELSE 'train' END AS part, lang, count(*) AS count FROM f GROUP BY ALL",
+)
+def q_fold_split(spark, sf):
+    d = FO.stratified_folds(D.table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id")
+    train, validation = FO.fold_split(d, 2)
+    both = train.withColumn("part", F.lit("train")).unionByName(validation.withColumn("part", F.lit("validation")))
+    return both.groupBy("part", "lang").agg(F.count(F.lit(1)).alias("count"))
+
+
 _EMB_SQL = """emb AS (SELECT vec_id, label, CAST((list_position(embedding, list_max(embedding)) - 1) % 10 AS INTEGER) AS pred
         FROM embeddings)"""
 
@@ -716,6 +738,30 @@ def q_detect_phrases(spark, sf):
     )
 
 
+_SCOPED_SQL = _PHRASE_SQL.replace(
+    "per AS (SELECT doc_id,",
+    """scoped AS (SELECT * FROM hits h WHERE kind = 'narrative' OR EXISTS (SELECT 1 FROM phrase_tax t, hits n
+     WHERE t.subnarrative = h.phrase AND n.kind = 'narrative' AND n.phrase = t.narrative AND n.doc_id = h.doc_id)),
+per AS (SELECT doc_id,""",
+).replace("FROM hits GROUP BY doc_id)", "FROM scoped GROUP BY doc_id)")
+
+
+@register(
+    "detect_phrases_scoped",
+    f"""WITH {D.SQL_DOCS_ROUTED}, {D.SQL_PHRASE_TAXONOMY}, {_SCOPED_SQL}
+SELECT doc_id, array_to_string(p_narrative, '{PHRASE_SEP}') AS p_narrative,
+       array_to_string(p_subnarrative, '{PHRASE_SEP}') AS p_subnarrative FROM det""",
+)
+def q_detect_phrases_scoped(spark, sf):
+    """A subnarrative counts only with one of its narratives in the text."""
+    d = DT.detect(
+        D.documents_routed(spark, sf), D.phrase_taxonomy(spark, sf), id_col="doc_id", text_col="text", class_col="p_domains", scoped=True
+    )
+    return d.select(
+        "doc_id", F.array_join("p_narrative", PHRASE_SEP).alias("p_narrative"), F.array_join("p_subnarrative", PHRASE_SEP).alias("p_subnarrative")
+    )
+
+
 @register(
     "other_counts",
     f"""WITH {D.SQL_DOCS_ROUTED}, {D.SQL_PHRASE_TAXONOMY}, {_PHRASE_SQL}

@@ -7,7 +7,6 @@ configuration (shuffle partitions, checkpoint folder, ...) always wins.
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 
