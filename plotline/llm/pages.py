@@ -50,6 +50,8 @@ CHROME_NAMES = set(
     social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
 MAIN_TAGS = {"article", "main"}
+#: Names that inside an article belong to it (its title block, lead picture).
+OWN_NAMES = {"header", "banner"}
 #: A line inside the article stays unless this share of it is link text.
 LINKED = 0.5
 #: Two pages are copies if their shared lines hold this share of the text.
@@ -77,8 +79,10 @@ def is_chrome(tag: str, attributes: str, inside: bool) -> bool:
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "role" and value in CHROME_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        if name in ("class", "id") and not CHROME_NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
+        if name in ("class", "id"):
+            found = CHROME_NAMES.intersection(re.split(r"[^a-z]+", value))
+            if found - OWN_NAMES if inside else found:
+                return True
     return False
 
 
@@ -90,6 +94,7 @@ def page_lines(source: str | None) -> list[Line]:
     parts: list[str] = []
     state = {"linked": 0, "link": 0, "main": 0}
     skip, depth = "", 0  # open chrome element, and how many of its tag are open
+    begun = False  # an article has begun; before that, a named element that holds one is no chrome
     at = 0
 
     def text(raw: str) -> None:
@@ -112,6 +117,8 @@ def page_lines(source: str | None) -> list[Line]:
         if not m[3]:
             continue
         tag, closing = m[3].lower(), bool(m[2])
+        if skip and tag in MAIN_TAGS and not closing and not begun and skip not in CHROME_TAGS:
+            skip, depth = "", 0
         if skip:
             if tag == skip:
                 depth += -1 if closing else 1
@@ -135,6 +142,7 @@ def page_lines(source: str | None) -> list[Line]:
         flush()
         state["link"] = 0
         if tag in MAIN_TAGS:
+            begun = True
             state["main"] = max(0, state["main"] + (-1 if closing else 1))
     text(source[at:])
     flush()

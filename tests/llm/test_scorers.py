@@ -219,6 +219,9 @@ def test_lines_of_a_page():
     <section id="comments"><article><p>reader</p></article></section><form>f</form></article>
     <p>outside</p><footer>&copy; f</footer></body></html>"""
     assert [x.text for x in PG.page_lines(page)] == ["Title <1>", "One bold text next & last", "Two link.", "first", "second"]
+    page = """<div class="no-sidebar"><nav>n</nav><article><div class="entry-header"><h1>T</h1></div><p>text</p>
+    <div class="social-share">s</div></article></div><div id="comments"><article>c</article></div>"""
+    assert [x.text for x in PG.page_lines(page)] == ["T", "text"]
     assert PG.page_lines(None) == [] and PG.page_lines("") == [] and PG.page_lines("<p>") == []
     assert [x.text for x in PG.page_lines("<article><p>cut off &amp then <foot")][:1] == ["cut off & then <foot"]
 
