@@ -76,31 +76,36 @@ class Model:
 
 
 def fit_logistic(
-    x: np.ndarray, y: np.ndarray, before: np.ndarray, after: np.ndarray, l2: float = 2e-4, swap_penalty: float = 1.0, steps: int = 400
+    x: np.ndarray, y: np.ndarray, before: np.ndarray, after: np.ndarray, l2: float = 5e-6, swap_penalty: float = 1.0, steps: int = 600
 ) -> tuple[np.ndarray, float]:
-    """Accelerated gradient descent on the mean logistic loss + l2 |w|^2 / 2 +
-    swap_penalty * mean((before.w - after.w)^2) / 2."""
+    """Accelerated gradient descent on the logistic loss, its mean taken with
+    equal weight of both labels, + l2 |w|^2 / 2 +
+    swap_penalty * mean((before.w - after.w)^2) / 2. Columns are scaled by
+    their root mean square while fitting, so that rare features, as most toxic
+    words are, move as fast as common ones."""
     n, d = x.shape
     w, b = np.zeros(d), 0.0
     if not n or y.min() == y.max():
         return w, (0.0 if not n else (4.0 if y.max() else -4.0))
-    delta = before - after
+    scale = 1 / np.sqrt((x * x).mean(0) + 1e-3)
+    part = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+    x, delta, l2 = x * scale, (before - after) * scale, l2 * scale**2
     m = max(1, len(delta))
     v = np.ones(d) / np.sqrt(d)
     for _ in range(20):  # largest curvature
-        v = 0.25 * (x.T @ (x @ v)) / n + swap_penalty * (delta.T @ (delta @ v)) / m
+        v = 0.25 * (x.T @ (part * (x @ v))) + swap_penalty * (delta.T @ (delta @ v)) / m
         top = float(np.linalg.norm(v)) + 1e-12
         v /= top
-    rate = 1 / (top + 0.25 + l2)
+    rate = 1 / (1.2 * top + 0.25 + l2.max())
     pw, pb = w, b
     for t in range(steps):
         k = t / (t + 3)
         aw, ab = w + k * (w - pw), b + k * (b - pb)
         p = 1 / (1 + np.exp(-np.clip(x @ aw + ab, -50, 50)))
-        gw = x.T @ (p - y) / n + l2 * aw + swap_penalty * (delta.T @ (delta @ aw)) / m
+        gw = x.T @ (part * (p - y)) + l2 * aw + swap_penalty * (delta.T @ (delta @ aw)) / m
         pw, pb = w, b
-        w, b = aw - rate * gw, ab - rate * float((p - y).mean())
-    return w, b
+        w, b = aw - rate * gw, ab - rate * float((part * (p - y)).sum())
+    return w * scale, b
 
 
 def incidence(rows: list[list[int]], d: int) -> np.ndarray:
