@@ -1,4 +1,4 @@
-"""Physical-plan summary of every registered query (formatted explain):
+"""Physical-plan summary of every query of the catalog (formatted explain):
 shuffles, broadcasts, nested-loop joins, windows, Python stages and the
 columns each scan reads. Usage: python scripts/plan_report.py [sf_dir]"""
 
@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from plotline.plans import catalog  # noqa: E402
 from plotline.session import local_session  # noqa: E402
 
 
@@ -28,7 +28,7 @@ def main() -> None:
     spark = local_session()
     print("| query | shuffles | broadcasts | reused | nested-loop | windows | python | scans (table: columns read) |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, q in E.queries().items():
+    for name, q in catalog.QUERIES.items():
         p = explain(q(spark, sf))
         tree = p.split("\n\n")[0]
         shuffles = len(re.findall(r"\bExchange\b", tree))
