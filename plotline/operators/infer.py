@@ -221,33 +221,23 @@ def out_of_fold_predictions(
     known = words.where(F.col("__c").isNotNull())
     own = known.groupBy("__f", "__c", "__t").agg(F.sum("__n").alias("__own"))
     total = own.groupBy("__c", "__t").agg(F.sum("__own").alias("__all"), F.collect_list(F.struct("__f", "__own")).alias("__by"))
-    # training counts of every (fold, class), a few rows: kept as one array value
+    # rows and words of every class, in all and by fold: a few rows, kept as one array value
     classes = rows.where(F.col("__c").isNotNull()).groupBy("__c", "__f").agg(
         F.count("*").alias("__d"), F.sum(F.size("__w")).alias("__m")
     )
     per_class = classes.groupBy("__c").agg(
         F.sum("__d").alias("__d"), F.sum("__m").alias("__m"), F.map_from_entries(F.collect_list(F.struct("__f", F.struct("__d", "__m")))).alias("__by")
     )
-    folds = rows.select(F.collect_set("__f")).scalar()
+    every = per_class.select(F.collect_list(F.struct("__c", "__d", "__m", "__by"))).scalar()
     size = own.select(F.count_distinct("__t")).scalar()
-    mine = F.try_element_at("__by", F.col("__f"))
-    train = (
-        per_class.withColumn("__f", F.explode(folds))
-        .select(
-            "__f",
-            "__c",
-            (F.col("__d") - F.coalesce(mine["__d"], F.lit(0))).alias("__docs"),
-            (F.col("__m") - F.coalesce(mine["__m"], F.lit(0)) + F.lit(smoothing) * size).alias("__mass"),
-        )
-        .where("__docs > 0")
-    )
-    every = train.select(F.collect_list(F.struct("__f", "__c", "__docs", "__mass"))).scalar()
-    base = rows.select("__id", "__f", F.size("__w").alias("__len"), every.alias("__every"))
-    base = base.select("__id", "__len", F.explode(F.filter("__every", lambda x: x["__f"] == F.col("__f"))).alias("__x"))
-    base = base.select(
+    base = rows.select("__id", "__f", F.size("__w").alias("__len"), F.explode(every).alias("__x"))
+    mine = F.try_element_at(F.col("__x.__by"), F.col("__f"))
+    docs = F.col("__x.__d") - F.coalesce(mine["__d"], F.lit(0))
+    mass = F.col("__x.__m") - F.coalesce(mine["__m"], F.lit(0)) + F.lit(smoothing) * size
+    base = base.where(docs > 0).select(
         "__id",
         F.col("__x.__c").alias("__c"),
-        (F.log("__x.__docs") + F.col("__len") * (F.log(F.lit(smoothing)) - F.log("__x.__mass"))).alias("__s"),
+        (F.log(docs) + F.col("__len") * (F.log(F.lit(smoothing)) - F.log(mass))).alias("__s"),
     )
     gain = total.select("__c", "__t", "__all", F.map_from_entries("__by").alias("__by"))
     hits = words.select("__id", "__f", "__t", "__n").join(gain, "__t").select(
