@@ -139,7 +139,24 @@ FROM base b LEFT JOIN rep USING (doc_id) LEFT JOIN far USING (doc_id)
 """
 
 
+NEAR_DUP = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {SPACED_WORDS.format(x=LOWER_AZ.format(x='text'))} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+low AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+       doc_id <= coalesce(low, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
+"""
+
+
 SQL: dict[str, str] = {
+    "op10_minhash_near_dedup": NEAR_DUP,
     "op5_divergence_rules": rules_sql(),
     "op4_benchmark_decontamination": DECONTAMINATE,
     "op6_pareto_mixing": MIXING,
