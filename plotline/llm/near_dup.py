@@ -50,7 +50,7 @@ class NearDup:
     percent: int = 75
     coordinates: int = 48
     matches: int = 24
-    block: int = 1024
+    block: int = 256
     seed: int = 20
 
 
