@@ -2,7 +2,7 @@
 
 A page is cut into text lines (blocks). Markup that names itself as chrome
 (menus, headers, footers, asides, forms, adverts, notices, comments) is
-left out. The remaining lines of a page are aligned with those of its nearest
+left out, unless it wraps the page's own text. The remaining lines of a page are aligned with those of its nearest
 page, the neighbour in URL path order within the host with the smaller edit
 distance of paths, by a longest common subsequence; shared lines are template
 text and are deleted. Prose inside the page's own article element stays even
@@ -33,7 +33,7 @@ from plotline.llm.common import shared_table
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)"
-    r"|<(script|style|noscript|template|svg|math|textarea|select|object|iframe|head)\b[^>]*>.*?(?:</\1\s*>|$)"
+    r"|<(script|style|noscript|template|svg|math|textarea|select|object|iframe|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -50,6 +50,19 @@ CHROME_NAMES = set(
     social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
 MAIN_TAGS = {"article", "main"}
+#: Words that say which or where beside such a name; any other word makes the
+#: whole class or id mean something else (no-comments, has-sidebar).
+WHICH = set(
+    """area bar block bottom box column container first footer global group inner item items lead left link links list
+    main middle outer page post posts primary right row second secondary section site slot sticky story stories text
+    top unit wrap wrapper""".split()
+)
+#: Chrome elements and names that never wrap a page's own text.
+NO_WRAPPER = CHROME_TAGS - {"form", "header", "dialog"}
+NO_WRAPPER_NAMES = set(
+    """ad ads advert advertisement adverts advertising comment comments consent cookie cookies disqus gdpr newsletter
+    replies respond""".split()
+)
 #: Names that inside an article belong to it (its title block, lead picture).
 OWN_NAMES = {"header", "banner"}
 #: A line inside the article stays unless this share of it is link text.
@@ -80,21 +93,75 @@ def is_chrome(tag: str, attributes: str, inside: bool) -> bool:
         if name == "role" and value in CHROME_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name in ("class", "id"):
-            found = CHROME_NAMES.intersection(re.split(r"[^a-z]+", value))
+            found = chrome_names(value)
             if found - OWN_NAMES if inside else found:
                 return True
     return False
 
 
+def chrome_names(value: str) -> set[str]:
+    """The chrome names in a class or id value, of whole classes only."""
+    found: set[str] = set()
+    for token in value.split():
+        words = {w for w in re.split(r"[^a-z]+", token) if w}
+        if words <= CHROME_NAMES | WHICH:
+            found |= words & CHROME_NAMES
+    return found
+
+
+def closings(marks: list[re.Match]) -> dict[int, int]:
+    """Number of the opening mark -> number of the mark that closes it."""
+    opened: dict[str, list[int]] = {}
+    out: dict[int, int] = {}
+    for i, m in enumerate(marks):
+        if m[3]:
+            tag = m[3].lower()
+            if not m[2]:
+                opened.setdefault(tag, []).append(i)
+            elif opened.get(tag):
+                out[opened[tag].pop()] = i
+    return out
+
+
+class Wrappers:
+    """Tells whether a chrome element wraps the page's own text: the first
+    article, or more than half of the text that is no link (a named element
+    only where the page has no article)."""
+
+    def __init__(self, source: str, marks: list[re.Match]):
+        self.close, self.last = closings(marks), len(marks)
+        self.mains = [i for i, m in enumerate(marks) if m[3] and not m[2] and m[3].lower() in MAIN_TAGS]
+        self.plain, at, link = [0], 0, False  # characters before each mark
+        for m in marks:
+            self.plain.append(self.plain[-1] + (0 if link else len(source[at : m.start()].strip())))
+            at = m.end()
+            if m[3]:
+                link = not m[2] if m[3].lower() == "a" else link and m[3].lower() in INLINE
+        self.total = self.plain[-1] + (0 if link else len(source[at:].strip()))
+
+    def __call__(self, i: int, tag: str, attributes: str, begun: bool) -> bool:
+        if tag in NO_WRAPPER or tag in ("p", "li"):
+            return False
+        end = self.close.get(i, self.last)
+        k = bisect_left(self.mains, i + 1)
+        if not begun and k < len(self.mains) and self.mains[k] < end:
+            return True
+        values = " ".join((m[2] or "").strip("\"'").lower() for m in ATTRIBUTE.finditer(attributes) if m[1].lower() in ("class", "id"))
+        if tag != "form" and self.mains or chrome_names(values) & NO_WRAPPER_NAMES:
+            return False
+        inside = (self.plain[end + 1] if end < self.last else self.total) - self.plain[i + 1]
+        return 2 * inside > self.total
+
+
 def page_lines(source: str | None) -> list[Line]:
-    """The lines of a page outside chrome, in page order. If an article or
-    main element has text, only its lines."""
+    """The lines of a page outside chrome, in page order. If article or main
+    elements hold the larger part of that text, only their lines."""
     source = source or ""
     lines: list[Line] = []
     parts: list[str] = []
     state = {"linked": 0, "link": 0, "main": 0}
     skip, depth = "", 0  # open chrome element, and how many of its tag are open
-    begun = False  # an article has begun; before that, a named element that holds one is no chrome
+    begun = False  # an article has begun
     at = 0
 
     def text(raw: str) -> None:
@@ -111,14 +178,14 @@ def page_lines(source: str | None) -> list[Line]:
         parts.clear()
         state["linked"] = 0
 
-    for m in TOKEN.finditer(source):
+    marks = list(TOKEN.finditer(source))
+    wraps = None
+    for i, m in enumerate(marks):
         text(source[at : m.start()])
         at = m.end()
         if not m[3]:
             continue
         tag, closing = m[3].lower(), bool(m[2])
-        if skip and tag in MAIN_TAGS and not closing and not begun and skip not in CHROME_TAGS:
-            skip, depth = "", 0
         if skip:
             if tag == skip:
                 depth += -1 if closing else 1
@@ -130,10 +197,12 @@ def page_lines(source: str | None) -> list[Line]:
         if tag in INLINE and closing:
             continue
         if not closing and tag not in VOID and is_chrome(tag, m[4], state["main"] > 0):
-            if tag not in INLINE:
-                flush()
-            skip, depth = tag, 1
-            continue
+            wraps = wraps or Wrappers(source, marks)
+            if not wraps(i, tag, m[4], begun):
+                if tag not in INLINE:
+                    flush()
+                skip, depth = tag, 1
+                continue
         if tag in INLINE:
             continue
         if tag == "br":
@@ -146,7 +215,8 @@ def page_lines(source: str | None) -> list[Line]:
             state["main"] = max(0, state["main"] + (-1 if closing else 1))
     text(source[at:])
     flush()
-    return [x for x in lines if x.inside] or lines
+    own = [x for x in lines if x.inside]
+    return own if 2 * sum(len(x.text) for x in own) >= sum(len(x.text) for x in lines) else lines
 
 
 def line_hash(text: str) -> int:

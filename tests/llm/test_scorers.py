@@ -226,6 +226,24 @@ def test_lines_of_a_page():
     assert [x.text for x in PG.page_lines("<article><p>cut off &amp then <foot")][:1] == ["cut off & then <foot"]
 
 
+def test_rules_for_chrome_take_no_whole_article():
+    def lines(source):
+        return [x.text for x in PG.page_lines(source)]
+
+    story = "<p>A story that is told at some length.</p><p>Its second part.</p>"
+    want = ["A story that is told at some length.", "Its second part."]
+    nav = "<nav><a href=/>Menu</a></nav>"
+    assert lines(f"<body><form action=x>{nav}<article>{story}</article></form>") == want
+    assert lines(f"<body><form action=x>{nav}<div>{story}</div></form><div>{nav}</div>") == want
+    assert lines(f"<html><head lang=en><title>T</title><meta charset=x><body>{nav}{story}") == want
+    assert lines(f"<html><head><title>T</title>{story}") == want
+    assert lines(f'<article class=x><div class="article-body no-comments">{story}</div></article>') == want
+    assert lines(f"<div id=content class=has-sidebar>{story}</div>") == want
+    assert lines(f"<article>Teaser</article><div>{story}</div>") == ["Teaser", *want]
+    assert lines(f'<div>{story}</div><div class="site-footer">f</div><div id="comments">{"much said " * 50}</div>') == want
+    assert lines(f"<div>{story}</div><form>{'<label>Name</label>' * 3}</form><footer>{'legal ' * 50}</footer>") == want
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_common_lines_is_a_longest_common_subsequence(seed):
     rng = random.Random(seed)
