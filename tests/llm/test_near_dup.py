@@ -85,3 +85,11 @@ def test_rows_of_one_id_count_as_one_document(spark):
     rows = [(1, a, "en", "s", 1), (2, a, "en", "s", 1), (2, b, "en", "s", 1), (3, b, "en", "s", 1)]
     got = near_duplicates(table(spark, rows)).agg(F.collect_set("component_id").alias("c")).first().c
     assert got == [1]
+
+
+def test_one_of_each_decides_by_text_where_an_id_repeats(spark):
+    rng = random.Random(5)
+    a, b, c = (" ".join(prose(rng, 40)) for _ in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, c), (4, ""), (4, " "), (5, "")]
+    got = one_of_each(table(spark, [(i, t, "en", "s", 1) for i, t in rows])).collect()
+    assert sorted((r.doc_id, r.text.strip()) for r in got) == sorted([(1, a), (2, b), (4, c), (4, ""), (5, "")])
