@@ -356,15 +356,15 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
 def one_of_each(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
     """``docs`` (any columns) with one document of each group of near-duplicate
     texts, that with the smallest id. Rows are told apart by a number of their
-    own, so different texts under one id are different documents. Rows without
-    id stay; of rows without words that repeat an id one stays."""
+    own, so different texts under one id are different documents and rows
+    without id are compared like the others (any id comes before none). Of rows
+    without words that repeat an id one stays; without words and id all stay."""
     numbered = shared_table(docs.withColumn("_pl_row", F.monotonically_increasing_id()), "numbered")
-    named = numbered.where("doc_id is not null")
-    verdict = near_duplicates(named.select(F.col("_pl_row").alias("doc_id"), "text"), cfg)
+    verdict = near_duplicates(numbered.select(F.col("_pl_row").alias("doc_id"), "text"), cfg)
     verdict = verdict.select(F.col("doc_id").alias("_pl_row"), (F.col("n_shingles") > 0).alias("worded"), "component_id")
-    rows = verdict.join(named.select("_pl_row", "doc_id"), "_pl_row")
+    rows = verdict.join(numbered.select("_pl_row", "doc_id"), "_pl_row")
     group = F.when(F.col("worded"), F.col("component_id")).otherwise(F.col("doc_id")).alias("group")
-    rows = shared_table(rows.select("_pl_row", "doc_id", "worded", group), "groups")
-    first = rows.groupBy("worded", "group").agg(F.min(F.struct("doc_id", "_pl_row")).alias("first"))
+    rows = shared_table(rows.select("_pl_row", "doc_id", "worded", group).where("group is not null"), "groups")
+    first = rows.groupBy("worded", "group").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "_pl_row")).alias("first"))
     gone = rows.select("_pl_row").join(first.select("first._pl_row"), "_pl_row", "left_anti")
     return numbered.join(shared_table(gone, "gone"), "_pl_row", "left_anti").select(*docs.columns)

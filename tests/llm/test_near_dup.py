@@ -93,3 +93,14 @@ def test_one_of_each_decides_by_text_where_an_id_repeats(spark):
     rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, c), (4, ""), (4, " "), (5, "")]
     got = one_of_each(table(spark, [(i, t, "en", "s", 1) for i, t in rows])).collect()
     assert sorted((r.doc_id, r.text.strip()) for r in got) == sorted([(1, a), (2, b), (4, c), (4, ""), (5, "")])
+
+
+def test_one_of_each_compares_rows_without_id(spark):
+    rng = random.Random(6)
+    a, b = (prose(rng, 40) for _ in "ab")
+    near = " ".join(["other", *b[1:]])
+    a, b = " ".join(a), " ".join(b)
+    rows = [(None, a), (7, a), (None, a), (None, b), (None, near), (None, b), (None, ""), (None, None)]
+    got = one_of_each(table(spark, [(i, t, "en", "s", 1) for i, t in rows])).collect()
+    assert len(got) == 4 and {r.doc_id for r in got if r.text == a} == {7}
+    assert len([r for r in got if r.text in (b, near)]) == 1
