@@ -40,8 +40,9 @@ def window_hash(tokens: Column, at: Column, size: int) -> Column:
 
 def windows(items: DataFrame) -> DataFrame:
     """h, size, gram (the words) and items (ids as strings, sorted) of every
-    distinct window of ``items`` (item_id, text)."""
-    tokens = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where("size(w) > 0 and item is not null")
+    distinct window of ``items`` (item_id, text). An item without id has
+    windows too; it adds nothing to their items."""
+    tokens = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where("size(w) > 0")
     size = F.least(F.size("w"), F.lit(WINDOW))
     grams = tokens.select("item", "w", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("w") - size)).alias("at"))
     grams = grams.select("item", "size", F.slice("w", F.col("at") + 1, F.col("size")).alias("gram"))
@@ -103,8 +104,9 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every
-    row of ``docs`` (doc_id, text). Null texts have no words; null item ids
-    are ignored; the hash of a row without items is that of the empty string."""
+    row of ``docs`` (doc_id, text). Null texts have no words; items without
+    id count in n_hit and contaminated, but not in n_items and items_sha256;
+    the hash of a row without items is that of the empty string."""
     found = hits(docs, items).drop("spans", "n_words")
     rows = docs.select("doc_id", *row_key(), count_words(F.col("text")).alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")

@@ -71,6 +71,17 @@ def test_decontamination_matches_brute_force(spark, short):
     assert scrubbed[60] is None
 
 
+def test_items_without_id_contaminate(spark):
+    rng = random.Random(8)
+    a, b, own = (" ".join(prose(rng, 20)) for _ in range(3))
+    docs = table(spark, [(1, a, "en", "s", 1), (2, f"{a} {b}", "en", "s", 1), (3, own, "en", "s", 1)])
+    items = spark.createDataFrame([(None, a), (5, b), (5, None)], "item_id long, text string")
+    got = {r.doc_id: r for r in DC.decontaminated(docs, items).collect()}
+    assert [(got[i].n_hit, got[i].n_items, got[i].contaminated) for i in (1, 2, 3)] == [(20, 0, True), (40, 1, True), (0, 0, False)]
+    assert [got[i].items_sha256 for i in (1, 2)] == [hashlib.sha256(x).hexdigest() for x in (b"", b"5")]
+    assert [r.doc_id for r in DC.without_contaminated(docs, items).collect()] == [3]
+
+
 def test_decontamination_without_items_or_rows(spark):
     docs = table(spark, documents(n=5))
     none = spark.createDataFrame([], "item_id long, text string")
