@@ -8,8 +8,10 @@ remaining words are reached (a sample fixed in words, off by half a document
 at most). u is a hash of the id, so reruns agree.
 
 Only sums per source and per bucket of the rank are shuffled. The cut of a
-source falls inside one bucket; only that bucket's rows are sorted, and
-the cut then decides every row on its own.
+source falls inside one bucket; only that bucket's keys (rank, id, size) are
+sorted, and the cut then decides every row on its own. Where it falls among
+rows of one key, as many of them as fit are taken, in order of their texts'
+hashes.
 """
 
 from __future__ import annotations
@@ -80,7 +82,8 @@ def with_plan(rows: DataFrame, plan: DataFrame, key: str = "_source") -> DataFra
 
 def mixing_plan(docs: DataFrame, seed: int) -> DataFrame:
     """One row per source: size, target, certain copies, and the cut (rank,
-    doc_id, size) up to which one more copy is taken."""
+    doc_id, size) up to which one more copy is taken, with ``take``, the number
+    of rows taken at the cut itself, if not all."""
     rows = docs.select(
         "doc_id", "source", name_key(F.col("source")).alias("_source"), words(F.col("text")).alias("size"),
         uniform(F.col("doc_id"), seed).alias("u"),
@@ -102,21 +105,55 @@ def mixing_plan(docs: DataFrame, seed: int) -> DataFrame:
         "_source", "bucket", (F.col("end") - F.col("n")).alias("before")
     )
     crossed = shared_table(crossed, "crossed")
-    order = Window.partitionBy("_source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (
         part.join(crossed.withColumnRenamed("bucket", "at"), "_source")
         .where("bucket <= at")
         .withColumn("inside", F.col("bucket") == F.col("at"))
     )
-    inside = cuts.where("inside").withColumn("upto", F.col("before") + F.sum("size").over(order))
+    key = ["rank", "doc_id", "size"]
+    order = Window.partitionBy("_source").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+    inside = cuts.where("inside").groupBy("_source", *key).agg(
+        F.count("*").alias("n"), F.first("before").alias("before"), F.first("rest").alias("rest")
+    )
+    inside = inside.withColumn("before", F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(order), F.lit(0)))
+    inside = inside.withColumn("fit", rows_that_fit(*map(F.col, ("before", "size", "n", "rest"))))
     cut = F.struct("rank", F.col("doc_id").alias("id"), "size")
-    taken = inside.where(F.col("upto") - F.col("size") / 2 < F.col("rest")).groupBy("_source").agg(F.max(cut).alias("cut"))
+    taken = inside.where("fit > 0").groupBy("_source").agg(
+        F.max(F.struct(cut.alias("cut"), F.when(F.col("fit") < F.col("n"), F.col("fit")).alias("take"))).alias("at")
+    )
     # a bucket whose first row is already past the middle leaves the cut at the last row before it
     earlier = cuts.where("not inside").groupBy("_source").agg(F.max(cut).alias("last"))
     return (
         goal.join(taken, "_source", "left").join(earlier, "_source", "left")
-        .withColumn("cut", F.coalesce("cut", "last")).drop("last", "rest")
+        .withColumn("cut", F.coalesce("at.cut", "last")).withColumn("take", F.col("at.take")).drop("at", "last", "rest")
+    )
+
+
+def rows_that_fit(before: Column, size: Column, n: Column, rest: Column) -> Column:
+    """How many of ``n`` rows of one size have their middle before ``rest``."""
+    def fits(k: Column) -> Column:
+        return before + k * size - size / 2 < rest
+
+    k = F.when(size > 0, F.floor((rest - before) / size + F.lit(0.5)).cast("long")).otherwise(n)
+    k = F.greatest(F.lit(0), F.least(n, k))
+    up = F.when((k < n) & fits(k + 1), k + 1).otherwise(k)
+    return F.when((up > 0) & ~fits(up), F.when(size > 0, up - 1).otherwise(0)).otherwise(up)
+
+
+def last_taken(tied: DataFrame) -> DataFrame:
+    """_pl_source, _pl_to_hash, _pl_to_at: place of the row numbered ``_pl_take`` of each
+    source in order of text hash. Found level by level (hash prefix, hash,
+    part of the table, row), so no task sorts all rows of a source."""
+    left = tied.select(
+        "_pl_source", F.col("_pl_take").alias("need"), "_pl_hash", "_pl_at",
+        F.shiftright("_pl_hash", 52).alias("prefix"), F.shiftright("_pl_at", 33).alias("part"),
     )
+    for level in ("prefix", "_pl_hash", "part", "_pl_at"):
+        counts = left.groupBy("_pl_source", level).agg(F.count("*").alias("n"), F.first("need").alias("need"))
+        counts = counts.withColumn("end", F.sum("n").over(Window.partitionBy("_pl_source").orderBy(level)))
+        here = counts.where("end - n < need and need <= end").select("_pl_source", level, (F.col("need") - F.col("end") + F.col("n")).alias("need"))
+        left = shared_table(left.drop("need").join(here, ["_pl_source", level]), "tied")
+    return left.select("_pl_source", F.col("_pl_hash").alias("_pl_to_hash"), F.col("_pl_at").alias("_pl_to_at"))
 
 
 def mixed(docs: DataFrame, seed: int = 6) -> DataFrame:
@@ -124,10 +161,10 @@ def mixed(docs: DataFrame, seed: int = 6) -> DataFrame:
     _target and _copies (how often the mix takes the row), which replace
     columns of these names. Null texts and texts without words have size 0.
     A null source is a source of its own, last in order. Rows that repeat a
-    doc_id share its random number."""
+    doc_id share its random number, but are taken one by one."""
     plan = shared_table(mixing_plan(docs, seed), "plan").select(
         F.col("_source").alias("_pl_source"),
-        *[F.col(c).alias(f"_pl_{c}") for c in ("source_size", "target", "whole", "p", "cut")],
+        *[F.col(c).alias(f"_pl_{c}") for c in ("source_size", "target", "whole", "p", "cut", "take")],
     )
     out = ["_size", "_source_size", "_target", "_copies"]
     rows = docs.drop(*out)
@@ -137,10 +174,16 @@ def mixed(docs: DataFrame, seed: int = 6) -> DataFrame:
     q = F.struct(
         rank(uniform(F.col("doc_id"), seed), p).alias("rank"), F.col("doc_id").alias("id"), F.col("_size").alias("size")
     )
-    more = F.when((p > 0) & cut.isNotNull(), q <= cut).otherwise(F.lit(False)).cast("long")
-    return (
-        with_plan(rows, plan, "_pl_source")
-        .withColumn("_copies", F.col("_pl_whole") + more)
-        .withColumnsRenamed({"_pl_source_size": "_source_size", "_pl_target": "_target"})
-        .select(*kept, *out)
-    )
+    more = F.when((p > 0) & cut.isNotNull(), q <= cut).otherwise(F.lit(False))
+    rows = with_plan(rows, plan, "_pl_source").withColumnsRenamed({"_pl_source_size": "_source_size", "_pl_target": "_target"})
+
+    def out_rows(rows: DataFrame, more: Column) -> DataFrame:
+        return rows.withColumn("_copies", F.col("_pl_whole") + more.cast("long")).select(*kept, *out)
+
+    if plan.where("_pl_take is not null").isEmpty():
+        return out_rows(rows, more)
+    at_cut = F.coalesce((p > 0) & F.col("_pl_take").isNotNull() & (q == cut), F.lit(False))
+    tied = rows.where(at_cut).withColumn("_pl_hash", F.xxhash64("text")).withColumn("_pl_at", F.monotonically_increasing_id())
+    tied = shared_table(tied.drop("_pl_cut"), "at_cut")
+    first = F.struct("_pl_hash", "_pl_at") <= F.struct("_pl_to_hash", "_pl_to_at")
+    return out_rows(rows.where(~at_cut), more).union(out_rows(with_plan(tied, shared_table(last_taken(tied), "last_taken"), "_pl_source"), first))

@@ -193,6 +193,30 @@ def test_mix_takes_its_targets(spark):
     assert sorted((r.doc_id, r._copies) for r in got) == sorted((r.doc_id, r._copies) for r in again)
 
 
+def test_mix_cuts_between_rows_of_one_id_and_size(spark):
+    import duckdb
+
+    from plotline.llm import oracles
+
+    rng = random.Random(12)
+    rows = [(i, " ".join(prose(rng, rng.randrange(5, 30))), "en", rng.choice("abc"), 1) for i in range(200)]
+    for i in range(400):
+        text = " ".join(prose(rng, 20)) if i % 2 else "same words " * 10
+        rows.append((None if i % 3 else 7, text, "en", "abc"[i % 3], 1))
+    docs = table(spark, rows)
+    got = MX.mixed(clashing(docs)).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in rows)
+    for s in "abc":
+        part = [r for r in got if r.source == s]
+        assert abs(sum(r._copies * r._size for r in part) - part[0]._target) <= max(r._size for r in part)
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    want = con.execute(f"WITH {oracles.mixing_ctes('documents')} SELECT doc_id, size, copies FROM mix").fetchall()
+    assert Counter((r.doc_id, r._size, r._copies) for r in got) == Counter(want)
+    again = MX.mixed(docs.repartition(5)).collect()
+    assert Counter((r.doc_id, r.text, r._copies) for r in got) == Counter((r.doc_id, r.text, r._copies) for r in again)
+
+
 def test_mix_of_nothing(spark):
     assert MX.mixed(table(spark, [])).count() == 0
     rows = [(1, None, "en", None, 0), (2, "", "en", "a", 0)]
