@@ -155,7 +155,56 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
 """
 
 
+def crc32_sql(column: str, table: str) -> str:
+    """CTEs ending in ``checksum``: id, crc (unsigned crc32 of the decimal text)."""
+    return f"""
+tab AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+checksum AS (SELECT id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) AS crc
+        FROM (SELECT DISTINCT {column} AS id FROM {table} WHERE {column} IS NOT NULL), tab)"""
+
+
+def cell_sql(x: str) -> str:
+    return f"coalesce(octet_length(encode(({x})::VARCHAR))::VARCHAR || ':' || ({x})::VARCHAR, '-')"
+
+
+#: One level up: digests of every two consecutive nodes of a list.
+UP = "list_transform(range(1, len({x}) + 1, 2), lambda i: sha256({x}[i] || coalesce({x}[i + 1], '')))"
+_CELLS = [cell_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+_MORE = [*_CELLS[:3], cell_sql("n_chars::HUGEINT + 1"), _CELLS[4]]
+MERKLE = f"""
+WITH RECURSIVE {crc32_sql('doc_id', 'documents')},
+leaf AS (SELECT doc_id, lang, sha256({' || '.join(_CELLS)}) AS leaf,
+      CASE WHEN crc % 7 = 0 THEN sha256({' || '.join(_MORE)}) END AS bad
+      FROM documents LEFT JOIN checksum ON checksum.id = doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaf),
+low(lang, level, nodes) AS (
+      SELECT lang, 0, list(leaf ORDER BY pos) FROM placed GROUP BY lang
+      UNION ALL SELECT lang, level + 1, {UP.format(x='nodes')} FROM low WHERE len(nodes) > 1),
+subroot AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS nth FROM low WHERE len(nodes) = 1),
+high(level, nodes) AS (
+      SELECT 0, list(subroot ORDER BY nth) FROM subroot
+      UNION ALL SELECT level + 1, {UP.format(x='nodes')} FROM high WHERE len(nodes) > 1),
+level AS (SELECT lang, level, nodes, FALSE AS upper FROM low WHERE len(nodes) > 1
+      UNION ALL SELECT s.lang, h.level, h.nodes, TRUE FROM high h, subroot s WHERE len(nodes) > 1),
+row_ AS (SELECT doc_id, lang, leaf, bad, pos, row_number() OVER () AS id FROM placed),
+step AS (SELECT r.id, row_number() OVER (PARTITION BY r.id ORDER BY l.upper, l.level) AS n, (CASE WHEN upper THEN s.nth ELSE r.pos END >> l.level) AS p, l.nodes
+      FROM row_ r JOIN level l ON r.lang IS NOT DISTINCT FROM l.lang JOIN subroot s ON s.lang IS NOT DISTINCT FROM r.lang),
+sibling AS (SELECT id, n, p, nodes[xor(p, 1) + 1] AS s FROM step),
+proof AS (SELECT id, list({{'p': p, 's': s}} ORDER BY n) AS steps FROM sibling GROUP BY id),
+climb AS (SELECT r.*, coalesce(steps, []) AS steps, coalesce(bad, leaf) AS start FROM row_ r LEFT JOIN proof USING (id)),
+folded AS (SELECT *, list_reduce(list_prepend({{'p': 0::BIGINT, 's': start}}, steps),
+      lambda a, x: {{'p': 0::BIGINT, 's': CASE WHEN x.s IS NULL THEN sha256(a.s) WHEN x.p % 2 = 1 THEN sha256(x.s || a.s) ELSE sha256(a.s || x.s) END}}).s AS top
+      FROM climb)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda x: coalesce(x.s, '')), '')) AS proof_sha256,
+      top AS folded_root, top = root AS verified
+FROM folded JOIN subroot ON subroot.lang IS NOT DISTINCT FROM folded.lang, (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1)
+"""
+
+
 SQL: dict[str, str] = {
+    "op12_merkle_manifest": MERKLE,
     "op10_minhash_near_dedup": NEAR_DUP,
     "op5_divergence_rules": rules_sql(),
     "op4_benchmark_decontamination": DECONTAMINATE,

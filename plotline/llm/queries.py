@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plotline.llm.common import read
 from plotline.llm.decontaminate import decontaminated
 from plotline.llm.language import languages
+from plotline.llm.merkle import manifest
 from plotline.llm.mixing import mixed
 from plotline.llm.near_dup import near_duplicates
 from plotline.llm.pages import main_texts
@@ -76,6 +77,13 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(texts(spark, sf_dir))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests and proofs of every document; every seventh id (by checksum)
+    is checked with ``n_chars`` one higher."""
+    seventh = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    return manifest(read(spark, sf_dir, "documents"), seventh)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_length_histogram": op1_token_length_histogram,
     "op2_counterfactual_toxicity": op2_counterfactual_toxicity,
@@ -87,4 +95,5 @@ QUERIES: dict[str, Query] = {
     "op8_proportional_sharding": op8_proportional_sharding,
     "op9_word_first_language": op9_word_first_language,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
