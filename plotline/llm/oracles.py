@@ -203,7 +203,34 @@ FROM folded JOIN subroot ON subroot.lang IS NOT DISTINCT FROM folded.lang, (SELE
 """
 
 
+TRIE = f"""
+WITH {crc32_sql('conv_id', 'conversations')},
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role))::VARCHAR || ':' || role || text)) AS place FROM t),
+c AS (SELECT id AS conv_id, crc % 6 AS head, id - id % 100 AS host FROM checksum),
+built AS (SELECT c.conv_id, place, 0 AS part, role, text FROM c JOIN o ON o.conv_id = c.host AND place <= head
+      UNION ALL SELECT c.conv_id, place, 1, role, text FROM c JOIN o USING (conv_id) WHERE place > head),
+said AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth, text,
+      sha256(octet_length(encode(role))::VARCHAR || ':' || role || text) AS content FROM built),
+path AS (SELECT conv_id, depth, text, string_agg(content, '') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path FROM said),
+member AS (SELECT conv_id, depth, sha256(path) AS node, length(text) AS n, CASE WHEN depth = 1 THEN '' ELSE lag(sha256(path)) OVER (PARTITION BY conv_id ORDER BY depth) END AS up FROM path
+      UNION ALL SELECT conv_id, 0, '', 0, NULL FROM c),
+node AS (SELECT node, any_value(up) AS up, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved FROM member GROUP BY node),
+kid AS (SELECT up AS node, count(*) AS kids FROM node WHERE up IS NOT NULL GROUP BY up),
+under AS (SELECT DISTINCT a.node AS node, b.node AS below FROM member a JOIN member b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+total AS (SELECT u.node, sum(saved) AS saved, count(*) FILTER (kids IS NULL) AS leaves
+      FROM under u JOIN node ON node.node = u.below LEFT JOIN kid ON kid.node = u.below GROUP BY u.node),
+last AS (SELECT conv_id, max_by(node, depth) AS node FROM member GROUP BY conv_id),
+ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM last GROUP BY node)
+SELECT node.conv_id, node.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, node.n_convs, coalesce(kids, 0)::BIGINT AS n_children,
+      leaves::BIGINT AS n_leaves, total.saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM node JOIN total USING (node) LEFT JOIN kid USING (node) LEFT JOIN ends USING (node) LEFT JOIN node p ON p.node = node.up
+"""
+
+
 SQL: dict[str, str] = {
+    "op11_conversation_trie": TRIE,
     "op12_merkle_manifest": MERKLE,
     "op10_minhash_near_dedup": NEAR_DUP,
     "op5_divergence_rules": rules_sql(),

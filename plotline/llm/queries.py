@@ -20,6 +20,7 @@ from plotline.llm.rules import quality_rules
 from plotline.llm.shards import sharded
 from plotline.llm.token_counts import token_counts
 from plotline.llm.toxicity import toxicity_scores
+from plotline.llm.trie import conversation_trie
 from plotline.operators.joins import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +78,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(texts(spark, sf_dir))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digests and proofs of every document; every seventh id (by checksum)
     is checked with ``n_chars`` one higher."""
@@ -95,5 +101,6 @@ QUERIES: dict[str, Query] = {
     "op8_proportional_sharding": op8_proportional_sharding,
     "op9_word_first_language": op9_word_first_language,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
