@@ -15,8 +15,8 @@ A node is a distinct prefix of rebuilt conversations; its members start with it.
    unary chain, if its depth has the round's bit and its child's has not: no two
    neighbours go at once. The child is linked to the node's parent and carries
    what the node had gathered; chains halve with every bit.
-3. ``expand``: the rounds backwards; a spliced node's total is its child's plus
-   what it had gathered itself.
+3. ``expand``: the rounds backwards; a spliced node's total is its child's, plus
+   what it had gathered itself and what the child carried by then.
 
 Parents with very many children (at most ``HEAVY`` of them, by their share) are
 looked up by broadcast, all others by shuffle. Digests of members are fed to the
@@ -150,11 +150,12 @@ def contract(tree: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     live = tree.withColumns({"extra_leaves": F.lit(0).cast("long"), "extra_saved": F.lit(0).cast("long")})
     bits = max(1, int(tree.agg(F.max("depth")).first()[0] or 0).bit_length())
     state = ["parent", "depth", "kids", "leaves", "saved", "extra_leaves", "extra_saved"]
+    link = ["child", "child_depth", "child_leaves", "child_saved"]  # the child that is no leaf
     raked, spliced, turn = [], [], 0
     while True:
         leaf = (F.col("kids") == 0) & F.col("parent").isNotNull()
         none = F.lit(None).cast("long")
-        own = live.select("num", *state, *[none.alias(c) for c in ("n", "l", "s", "child", "child_depth")])
+        own = live.select("num", *state, *[none.alias(c) for c in ("n", "l", "s", *link)])
         told = live.where(F.col("parent").isNotNull()).select(
             F.col("parent").alias("num"),
             *[none.alias(c) for c in state],
@@ -163,9 +164,11 @@ def contract(tree: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
             F.when(leaf, F.col("saved") + F.col("extra_saved")).alias("s"),
             F.when(~leaf, F.col("num")).alias("child"),
             F.when(~leaf, F.col("depth")).alias("child_depth"),
+            F.when(~leaf, F.col("extra_leaves")).alias("child_leaves"),
+            F.when(~leaf, F.col("extra_saved")).alias("child_saved"),
         )
         met = own.unionByName(told).groupBy("num").agg(
-            *[F.max(c).alias(c) for c in (*state, "child", "child_depth")],
+            *[F.max(c).alias(c) for c in (*state, *link)],
             *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "l", "s")],
         )
         left = F.col("kids") - F.col("n")
@@ -176,7 +179,7 @@ def contract(tree: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         done = shared_table(
             met.select(
                 "num", "parent", "depth", left.alias("kids"), (F.col("leaves") + F.col("l")).alias("leaves"),
-                (F.col("saved") + F.col("s")).alias("saved"), "extra_leaves", "extra_saved", "child", fate.alias("fate"),
+                (F.col("saved") + F.col("s")).alias("saved"), "extra_leaves", "extra_saved", *link, fate.alias("fate"),
             ),
             f"trie_round_{turn}",
         )
@@ -185,7 +188,10 @@ def contract(tree: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         live = done.where("fate = 'live'").select("num", *state)
         if counts.get("spliced"):
             gone = done.where("fate = 'spliced'")
-            spliced.append(gone.select("num", "child", "leaves", "saved"))
+            # its total: its child's, what went between the two before, and its own
+            spliced.append(
+                gone.select("num", "child", (F.col("leaves") + F.col("child_leaves")).alias("leaves"), (F.col("saved") + F.col("child_saved")).alias("saved"))
+            )
             given = gone.select(
                 F.col("child").alias("num"),
                 F.col("parent").alias("above"),
@@ -229,7 +235,8 @@ def _hashed(batches):
             else:
                 state.update(b",")
             state.update(text.encode())
-        yield pd.DataFrame(out, columns=["node", "ends_sha256"])
+        if out:
+            yield pd.DataFrame(out, columns=["node", "ends_sha256"])
         out = []
     if state is not None:
         yield pd.DataFrame([(node, state.hexdigest())], columns=["node", "ends_sha256"])
