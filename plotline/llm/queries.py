@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotline.llm.common import read
+from plotline.llm.common import held_out, read
+from plotline.llm.context_mixing import language_model_scores
 from plotline.llm.decontaminate import decontaminated
 from plotline.llm.language import languages
 from plotline.llm.merkle import manifest
@@ -90,6 +91,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(read(spark, sf_dir, "documents"), seventh)
 
 
+def op13_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's and the unigram baseline's log probability of every document."""
+    return language_model_scores(texts(spark, sf_dir), held_out("doc_id", 7, 2))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_length_histogram": op1_token_length_histogram,
     "op2_counterfactual_toxicity": op2_counterfactual_toxicity,
@@ -103,4 +109,5 @@ QUERIES: dict[str, Query] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_context_mixing": op13_context_mixing,
 }
