@@ -9,15 +9,15 @@ the subroot; the subroots, by language (null first, then bytewise), give the
 root in the same way.
 
 1. ``levels``: rounds of ``LEVELS`` levels. A round groups the nodes below one
-   ancestor (at most ``2 ** LEVELS``), builds the levels between in the row, and
-   stores a node row for each: its siblings on the way up and its ancestor, the
-   parent it links to. The next round works on the ancestors.
-2. ``links``: node rows high in a tree would be read by very many leaves, so
-   they are stored once for each run of ``SHARE`` leaves: no key of the climb
-   is shared by more of them.
-3. ``climb``: a recursive Spark query. Each leaf starts with its own (or
-   tampered) digest, joins the node row it stands on, appends the siblings to
-   its proof, folds them into its digest and moves on to the ancestor.
+   ancestor (at most ``2 ** LEVELS``) and stores the levels between as a row,
+   which names the ancestor; the next round works on the ancestors.
+2. ``links``: rows high in a tree would be read by very many leaves, so they are
+   stored once for each run of ``RUN`` leaves: no key of the climb is shared by
+   more of them.
+3. ``CLIMB``: a recursive Spark query. Each leaf starts with its own (or tampered)
+   digest, joins the stored levels it stands below, appends its siblings there
+   as a row, folds them into its digest and goes on from the ancestor. A leaf's
+   rows together are its proof.
 
 Defined results: rows with equal id stand in the order of their leaf digests;
 equal rows have equal leaves and share one proof digest each by their places; a
@@ -37,10 +37,10 @@ from plotline.llm.common import shared_table
 from plotline.llm.order import ranked, same
 
 #: Levels of the tree that one step of the climb goes up.
-LEVELS = 6
-#: Steps after which node rows are stored per run of leaves, and that run's size.
-OWN_STEPS = 3
-SHARE = 1 << (LEVELS * (OWN_STEPS - 1))
+LEVELS = 9
+#: Leaves (as a power of two) that share one stored copy of the levels above the
+#: first step.
+RUN_BITS = 12
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -80,12 +80,11 @@ def pairs(nodes: Column) -> Column:
 
 
 def levels(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
-    """Node rows of each round, and ``tree, hash`` of the top of every tree.
+    """Stored levels of each round, and ``tree, hash`` of the top of every tree.
 
     ``nodes`` has ``tree, pos, hash, high`` (the height of its tree; 0 for a
-    single node), ``most`` is the largest height. A round's rows: ``tree, at``
-    (the node's place on its level) and ``siblings``, upwards, null where the
-    node stands alone."""
+    single node), ``most`` is the largest height. A round's rows: ``tree, up``
+    (the ancestor's place on its level) and ``levels``, arrays of digests."""
     rounds: list[DataFrame] = []
     current, tops = nodes, None
     for done in range(0, most + LEVELS, LEVELS):
@@ -106,60 +105,59 @@ def levels(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
         built = below.select("tree", "high", "up", every.alias("levels"))
         built = built.withColumn("hash", F.get(pairs(F.element_at("levels", -1)), F.lit(0)))
         built = shared_table(built, f"merkle_level_{done}")
-        siblings = lambda i: F.transform(
-            "levels", lambda level, k: F.get(level, F.call_function("shiftright", i, k).bitwiseXOR(F.lit(1)))
-        )
-        rows = F.transform(
-            F.sequence(F.lit(0), F.size(F.get("levels", F.lit(0))) - 1),
-            lambda i: F.struct((F.shiftleft("up", LEVELS) + i).alias("at"), siblings(i).alias("siblings")),
-        )
-        rounds.append(built.select("tree", F.inline(rows)))
+        rounds.append(built.select("tree", "up", "levels"))
         current = built.select("tree", F.col("up").alias("pos"), "hash", "high")
     return rounds, tops
 
 
-def run_of(place: Column) -> Column:
-    """The run of SHARE leaves that a leaf's place is in."""
-    return F.shiftright(place, LEVELS * (OWN_STEPS - 1))
-
-
 def links(rounds: list[DataFrame], upper: list[DataFrame], trees: DataFrame) -> DataFrame:
-    """``tree, step, spot, at, siblings``: the node row that a leaf reads in
-    ``step``. Spot is the node's place on its level in the first OWN_STEPS
-    steps, later the run of leaves below it: one row for each run."""
-    out = trees.sparkSession.createDataFrame([], "tree long, step int, spot long, at long, siblings array<binary>")
+    """``tree, step, spot, levels``: the levels that a leaf climbs in ``step``.
+    Spot is the ancestor's place in step 0, later the run of leaves."""
+    out = trees.sparkSession.createDataFrame([], "tree long, step int, spot long, levels array<array<binary>>")
+    last = F.shiftright(F.col("size") - 1, RUN_BITS)
     for k, rows in enumerate(rounds):
-        if k < OWN_STEPS:
-            spots = rows.withColumn("spot", F.col("at"))
+        if k == 0:
+            spots = rows.select("tree", F.col("up").alias("spot"), "levels")
         else:
-            wide = LEVELS * (k - OWN_STEPS + 1)
-            last = F.least(F.shiftleft(F.col("at") + 1, wide) - 1, run_of(F.col("size") - 1))
-            runs = F.explode(F.sequence(F.shiftleft("at", wide), last)).alias("spot")
-            spots = rows.join(trees.select("tree", "size"), "tree").select("tree", runs, "at", "siblings")
+            wide = LEVELS * (k + 1) - RUN_BITS
+            runs = F.explode(F.sequence(F.shiftleft("up", wide), F.least(F.shiftleft(F.col("up") + 1, wide) - 1, last)))
+            spots = rows.join(trees.select("tree", "size"), "tree").select("tree", runs.alias("spot"), "levels")
         out = out.unionByName(spots.withColumn("step", F.lit(k)))
     # above its own levels a tree goes on as one node of the tree of subroots
-    runs = F.explode(F.sequence(F.lit(0).cast("long"), run_of(F.col("size") - 1))).alias("spot")
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("spot")
     for k, rows in enumerate(upper):
-        here = trees.withColumn("at", F.shiftright("tree", LEVELS * k)).join(rows.select("at", "siblings"), "at")
-        out = out.unionByName(here.select("tree", (F.col("own") + k).alias("step"), runs, "at", "siblings"))
+        here = trees.withColumn("up", F.shiftright("tree", LEVELS * (k + 1))).join(rows.select("up", "levels"), "up")
+        out = out.unionByName(here.select("tree", (F.col("own") + k).alias("step"), runs, "levels"))
     return out
 
 
-CLIMB = f"""
+def climb_sql() -> str:
+    """The recursive query; ``i`` is a node's place among those below its ancestor."""
+    return f"""
 WITH RECURSIVE climb AS (
-  SELECT doc_id, leaf, tree, pos, steps, 0 AS step, coalesce(bad, leaf) AS folded, CAST('' AS BINARY) AS proof FROM {{start}}
+  SELECT tree, pos, own, steps, 0 AS step, coalesce(bad, leaf) AS folded, CAST(NULL AS ARRAY<BINARY>) AS siblings, doc_id, leaf
+  FROM {{start}}
   UNION ALL
-  SELECT c.doc_id, c.leaf, c.tree, c.pos, c.steps, c.step + 1,
-    aggregate(sequence(0, size(l.siblings) - 1), c.folded, (x, k) -> unhex(sha2(lower(hex(
-      CASE WHEN l.siblings[k] IS NULL THEN x
-           WHEN shiftright(l.at, k) & 1 = 1 THEN concat(l.siblings[k], x) ELSE concat(x, l.siblings[k]) END)), 256))),
-    aggregate(l.siblings, c.proof, (x, s) -> concat(x, coalesce(s, CAST('' AS BINARY))))
-  FROM climb c JOIN {{links}} l ON l.tree = c.tree AND l.step = c.step
-    AND l.spot = shiftright(c.pos, {LEVELS} * least(c.step, {OWN_STEPS - 1})))
-SELECT * FROM climb WHERE step = steps
+  SELECT tree, pos, own, steps, step + 1,
+    aggregate(sequence(0, size(siblings) - 1), folded, (x, k) -> unhex(sha2(lower(hex(
+      CASE WHEN siblings[k] IS NULL THEN x
+           WHEN shiftright(i, k) & 1 = 1 THEN concat(siblings[k], x) ELSE concat(x, siblings[k]) END)), 256))),
+    siblings, CAST(NULL AS BIGINT), CAST(NULL AS BINARY)
+  FROM (
+    SELECT tree, pos, own, steps, step, folded, i, transform(levels, (x, k) -> get(x, shiftright(i, k) ^ 1)) AS siblings
+    FROM (
+      SELECT c.tree, c.pos, c.own, c.steps, c.step, c.folded, l.levels,
+        CAST((CASE WHEN c.step < c.own THEN shiftright(c.pos, {LEVELS} * c.step)
+                   ELSE shiftright(c.tree, {LEVELS} * (c.step - c.own)) END) & {(1 << LEVELS) - 1} AS INT) AS i
+      FROM climb c JOIN {{links}} l ON l.tree = c.tree AND l.step = c.step
+        AND l.spot = CASE WHEN c.step = 0 THEN shiftright(c.pos, {LEVELS}) ELSE shiftright(c.pos, {RUN_BITS}) END)))
+SELECT * FROM climb
 """
 
 
+CLIMB = climb_sql()
+
+
 @contextmanager
 def unlimited_recursion(spark: SparkSession):
     """Rows of a recursive query are not limited inside this block."""
@@ -186,7 +184,7 @@ def manifest(docs: DataFrame, tamper: Column, columns=COLUMNS, group: str = "lan
         {"high": high, "own": F.ceil(high / F.lit(LEVELS)).cast("int")}
     )
     trees = shared_table(trees.withColumn("steps", F.col("own") + -(-over // LEVELS)), "merkle_trees")
-    about = trees.select(group, "tree", "high", "steps")
+    about = trees.select(group, "tree", "high", "own", "steps")
     start = shared_table(ranked(base, [group], ["doc_id", "leaf"], "merkle_sorted_leaves", "pos", about).drop(group), "merkle_start")
 
     rounds, tops = levels(start.select("tree", "pos", F.col("leaf").alias("hash"), "high"), most or 0)
@@ -195,13 +193,21 @@ def manifest(docs: DataFrame, tamper: Column, columns=COLUMNS, group: str = "lan
     found = top.first()
     root = F.lit(found["hash"].hex() if found else None).cast("string")
 
-    node_rows = shared_table(links(rounds, upper, trees), "merkle_links")
+    stored = shared_table(links(rounds, upper, trees), "merkle_links")
     with unlimited_recursion(spark):
-        climbed = shared_table(spark.sql(CLIMB, start=start, links=node_rows), "merkle_climb")
-    run = F.explode(F.sequence(F.lit(0).cast("long"), run_of(F.col("size") - 1))).alias("run")
+        climbed = shared_table(spark.sql(CLIMB, start=start.withColumn("doc_id", F.col("doc_id").cast("long")), links=stored), "merkle_climb")
+    proof = F.aggregate(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("step", "siblings"))), lambda x: F.coalesce(x["siblings"], F.array().cast("array<binary>")))),
+        F.lit(bytearray()),
+        lambda acc, x: F.concat(acc, F.coalesce(x, F.lit(bytearray()))),
+    )
+    leaf = climbed.groupBy("tree", "pos").agg(
+        F.max("doc_id").alias("doc_id"), F.max("leaf").alias("leaf"), proof.alias("proof"), F.max_by("folded", "step").alias("folded")
+    )
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col("size") - 1, RUN_BITS))).alias("run")
     subroots = trees.join(tops, "tree").select("tree", run, as_hex(F.col("hash")).alias("subroot"))
     folded = as_hex(F.col("folded"))
-    return climbed.withColumn("run", run_of(F.col("pos"))).join(subroots, ["tree", "run"]).select(
+    return leaf.withColumn("run", F.shiftright("pos", RUN_BITS)).join(subroots, ["tree", "run"]).select(
         "doc_id",
         as_hex(F.col("leaf")).alias("leaf"),
         "subroot",
