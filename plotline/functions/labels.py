@@ -190,3 +190,83 @@ def strip_py(col) -> Column:
     """Python ``str.strip()``: trim Unicode white space on both ends (a
     character scan, no regex)."""
     return F.btrim(_c(col), F.lit(WHITE_SPACE))
+
+
+# ---------------------------------------------------------------------------
+# Text of a Python literal as JSON
+# ---------------------------------------------------------------------------
+
+#: An escape, a quote, or a run without either (no repeated group: Java matches
+#: those recursively, which long texts would exhaust).
+_LITERAL_PIECE = r"""(?s)\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}|.)|['"]|[^\\'"]+"""
+_BACKSLASH = "\\"
+
+
+def _hex4(n: Column) -> Column:
+    return F.concat(F.lit(r"\u"), F.lpad(F.hex(n), 4, "0"))
+
+
+def _json_piece(x: Column) -> Column:
+    """A piece of a Python string as JSON."""
+    kind, rest = F.substring(x, 2, 1), F.substring(x, F.lit(3), F.length(x))
+    wide = F.conv(rest, 16, 10).cast("long")
+    above = wide - 0x10000
+    pair = F.concat(_hex4(F.shiftright(above, 10) + 0xD800), _hex4(above.bitwiseAND(F.lit(0x3FF)) + 0xDC00))
+    octal = F.conv(F.substring(x, F.lit(2), F.length(x)), 8, 10).cast("long")
+    plain = x
+    for raw, said in (("\n", "n"), ("\r", "r"), ("\t", "t")):
+        plain = F.replace(plain, F.lit(raw), F.lit(_BACKSLASH + said))
+    return (
+        F.when(x == '"', F.lit(r"\""))
+        .when(~F.startswith(x, F.lit(_BACKSLASH)), plain)
+        .when(kind == "x", F.concat(F.lit(r"\u00"), rest))
+        .when(kind == "u", x)
+        .when(kind == "U", F.when(wide > 0xFFFF, pair).otherwise(_hex4(wide)))
+        .when(kind.between("0", "7"), _hex4(octal))
+        .when(kind.isin("n", "r", "t", "b", "f", _BACKSLASH, '"'), x)
+        .when(kind == "'", kind)
+        .when(kind == "a", F.lit(r"\u0007"))
+        .when(kind == "v", F.lit(r"\u000b"))
+        .when(kind == "\n", F.lit(""))
+        .otherwise(F.concat(F.lit(_BACKSLASH), x))
+    )
+
+
+def _json_signs(x: Column) -> Column:
+    """What stands between the strings of a literal, as JSON."""
+    out = F.translate(F.regexp_replace(x, r"\s+", ""), "()", "[]")
+    for name, said in (("None", "null"), ("True", "true"), ("False", "false")):
+        out = F.regexp_replace(out, rf"\b{name}\b", said)
+    return F.regexp_replace(out, r",([\]}])", "$1")  # the last comma of a tuple
+
+
+def literal_to_json(text) -> Column:
+    """The JSON of a Python literal: strings in either quotes with their escapes,
+    numbers, None, True, False, lists, tuples and dicts; null if a string does not
+    end. Other text gives what is no JSON. In the row and without Python: the pieces
+    are scanned once with the quote that is open."""
+    c = F.col(text) if isinstance(text, str) else text
+    pieces = F.regexp_extract_all(c, F.lit(_LITERAL_PIECE), F.lit(0))
+
+    def step(acc, x):
+        at, cuts = acc["at"] + 1, acc["cuts"]
+        opens = (acc["open"] == "") & x.isin("'", '"')
+        closes = (acc["open"] != "") & (acc["open"] == x)
+        return F.struct(
+            at.alias("at"),
+            F.when(opens, x).when(closes, F.lit("")).otherwise(acc["open"]).alias("open"),
+            F.when(opens | closes, F.concat(cuts, F.array(at))).otherwise(cuts).alias("cuts"),
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("open"), F.array().cast("array<int>").alias("cuts"))
+    found = F.aggregate(pieces, start, step)
+    # places of the quotes, with the ends: signs and strings take turns between them
+    cuts = F.concat(F.array(F.lit(0)), found["cuts"], F.array(found["at"] + 1))
+
+    def part(cut, i):
+        after = F.get(cuts, i + 1)
+        said = F.slice(pieces, cut + 1, F.greatest(after - cut - 1, F.lit(0)))
+        string = F.concat(F.lit('"'), F.array_join(F.transform(said, _json_piece), ""), F.lit('"'))
+        return F.when(after.isNull(), F.lit("")).when(i % 2 == 1, string).otherwise(_json_signs(F.array_join(said, "")))
+
+    return F.when(found["open"] == "", F.array_join(F.transform(cuts, part), ""))

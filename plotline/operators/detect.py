@@ -1,16 +1,16 @@
 """Whole-phrase, case-insensitive taxonomy phrase detection.
 
 A phrase P is found in a text T when ``T rlike (?iU)\\bP\\b`` (P escaped).
-Every phrase has an anchor: its longest word, which must occur as a whole word
-of the folded text, or, without any word character, the phrase itself, which
-must be a whole run between two words. The distinct words and runs of the
-texts are joined with the anchors, and only the candidates are verified.
 
 * ``in_place`` (phrase table within ``BROADCAST_BYTES``): the phrases are
-  broadcast; words are exploded, looked up and verified in one stage, and the
-  texts stay where they are.
-* ``shuffled`` (any size): words are joined with the anchors by shuffle, and
-  the candidates with the texts by id.
+  broadcast as an index of word windows. A text's words are looked up among the
+  phrases' first words, which tell the lengths of their phrases; only windows of
+  those lengths are made, looked up, and verified. The texts stay where they are
+  and are split into words once. A phrase without words must be a whole run
+  between two words.
+* ``shuffled`` (any size): every phrase has an anchor, its longest word or, without
+  any, the phrase itself. Distinct words and runs of the texts are joined with the
+  anchors by shuffle, and the candidates with the texts by id.
 
 Both return ``id, kind, phrase`` for every match.
 """
@@ -90,6 +90,7 @@ def _prepared(phrases: DataFrame) -> DataFrame:
         "kind",
         "phrase",
         phrase_pattern("phrase").alias("__pat"),
+        folded.alias("__folded"),
         F.when(word != "", word).otherwise(folded).alias("__anchor"),
     )
 
@@ -100,8 +101,23 @@ def _tokens(text_col: str) -> Column:
 
 
 def _in_place(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), F.explode(_tokens(text_col)).alias("__anchor"))
-    return d.join(F.broadcast(ph), "__anchor").where(F.regexp_like(F.col("__t"), F.col("__pat")))
+    """Word windows. A phrase is matched by one window wherever its words stand in
+    a row, so what the index finds is what the pattern is tried on."""
+    words = F.regexp_extract_all(F.col("__folded"), F.lit(_WORD_RUN), F.lit(0))
+    keyed = ph.withColumn("__w", words).withColumn("__size", F.size("__w"))
+    # one row for each first word, or each run: the window lengths to look up (0: a run)
+    start = F.when(F.col("__size") > 0, F.get("__w", F.lit(0))).otherwise(F.col("__folded"))
+    starts = keyed.groupBy(start.alias("__start")).agg(F.collect_set("__size").alias("__sizes"))
+    key = F.when(F.col("__size") > 0, F.array_join("__w", " ")).otherwise(F.col("__folded"))
+    index = keyed.select(key.alias("__key"), F.col("__size").alias("__n"), "kind", "phrase", "__pat")
+    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), F.regexp_extract_all(fold(text_col), F.lit(_TOKEN), F.lit(0)).alias("__all"))
+    # runs stand between words, so a window of n words is 2 n - 1 tokens
+    at = d.select("__id", "__t", "__all", F.posexplode("__all").alias("__i", "__start"))
+    found = at.join(F.broadcast(starts), "__start").select("__id", "__t", "__all", "__i", "__start", F.explode("__sizes").alias("__n"))
+    span = F.slice("__all", F.col("__i") + 1, F.greatest(2 * F.col("__n") - 1, F.lit(1)))
+    window = F.array_join(F.filter(span, lambda x, k: k % 2 == 0), " ")
+    tried = found.select("__id", "__t", "__n", F.when(F.col("__n") > 0, window).otherwise(F.col("__start")).alias("__key"))
+    return tried.join(F.broadcast(index), ["__key", "__n"]).where(F.regexp_like(F.col("__t"), F.col("__pat"))).select("__id", "kind", "phrase").distinct()
 
 
 def _shuffled(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -143,16 +159,14 @@ def detect(
     searched = docs.where(F.col(class_col).isNull() | (F.col(class_col) != other_class))
     hits = find_phrases(searched, taxonomy_phrases(taxonomy), id_col, text_col, strategy)
     if scoped:
-        nar = hits.where(F.col("kind") == "narrative").select(id_col, F.col("phrase").alias("narrative"))
-        pairs = taxonomy.select("narrative", F.col("subnarrative").alias("phrase")).distinct()
-        sub = hits.where(F.col("kind") == "subnarrative").join(pairs, "phrase").join(nar, [id_col, "narrative"])
-        hits = hits.where(F.col("kind") == "narrative").unionByName(
-            sub.select(id_col, "kind", "phrase").distinct()
-        )
-    per_doc = hits.groupBy(id_col).agg(
-        F.array_sort(F.collect_set(F.when(F.col("kind") == "narrative", F.col("phrase")))).alias("__n"),
-        F.array_sort(F.collect_set(F.when(F.col("kind") == "subnarrative", F.col("phrase")))).alias("__s"),
-    )
+        # each subnarrative with its narratives, judged inside the document's row
+        pairs = taxonomy.select(F.lit("subnarrative").alias("kind"), F.col("subnarrative").alias("phrase"), "narrative").distinct()
+        hits = hits.join(pairs, ["kind", "phrase"], "left")
+    nar = F.array_sort(F.collect_set(F.when(F.col("kind") == "narrative", F.col("phrase"))))
+    sub = F.when(F.col("kind") == "subnarrative", F.struct("phrase", F.col("narrative") if scoped else F.col("phrase").alias("narrative")))
+    per_doc = hits.groupBy(id_col).agg(nar.alias("__n"), F.collect_set(sub).alias("__s"))
+    named = F.filter("__s", lambda x: F.array_contains("__n", x["narrative"])) if scoped else F.col("__s")
+    per_doc = per_doc.select(id_col, "__n", F.array_sort(F.array_distinct(F.transform(named, lambda x: x["phrase"]))).alias("__s"))
     out = docs.join(per_doc, id_col, "left")
     other = F.array(F.lit("Other"))
     is_other = F.col(class_col).isNotNull() & (F.col(class_col) == other_class)

@@ -9,6 +9,9 @@ already finished never reach Python.
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -126,29 +129,65 @@ def pending(df: DataFrame, finished: DataFrame | None, id_col: str) -> DataFrame
     return df.join(finished.select(id_col).distinct(), id_col, "left_anti")
 
 
+def _kept(key: str, load: Callable):
+    """What ``load`` returns, once per Python worker: kept in the worker's modules,
+    which outlive a task (the functions of this package do not: they are pickled)."""
+    models = sys.modules.setdefault("_plotline_models", types.ModuleType("_plotline_models")).__dict__
+    if key not in models:
+        models[key] = load()
+    return models[key]
+
+
+def _answers(fn: Callable[[list[str]], list[str]], texts: list[str], errors: bool) -> list[tuple[str | None, str | None]]:
+    """(answer, error) of each text. With ``errors``, a call that fails is repeated
+    text by text, and a text that fails alone has its error for an answer."""
+    try:
+        out = list(fn(texts))
+        if len(out) != len(texts):
+            raise ValueError("model returned a different number of answers")
+        return [(x, None) for x in out]
+    except Exception as e:  # noqa: BLE001 - whatever the caller's model raises
+        if not errors:
+            raise
+        if len(texts) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+        return [_answers(fn, [t], errors)[0] for t in texts]
+
+
 def apply_model(
     df: DataFrame,
-    fn: Callable[[list[str]], list[str]],
+    fn: Callable[[list[str]], list[str]] | None,
     id_col: str,
     input_col: str,
     output_col: str,
     batch_size: int = 16,
+    load: Callable[[], Callable[[list[str]], list[str]]] | None = None,
+    errors: bool = False,
 ) -> DataFrame:
     """M2: ``id, output`` from ``fn`` over Arrow batches of ``input_col``;
-    ``fn`` sees ``batch_size`` texts at a time."""
-    schema = f"{id_col} {dict(df.dtypes)[id_col]}, {output_col} string"
+    ``fn`` sees ``batch_size`` texts of like length at a time. ``load`` (instead of
+    ``fn``) makes the function, once in each Python worker. With ``errors`` there is
+    a column ``error``: null, or why the row has no output; else a failing call
+    fails the job."""
+    id_type = dict(df.dtypes)[id_col]
+    schema = f"{id_col} {id_type}, {output_col} string" + (", error string" if errors else "")
+    key = uuid.uuid4().hex
 
     def run(batches):
+        model = fn
         for pdf in batches:
+            if model is None:
+                model = _kept(key, load)
             ids, texts = pdf[id_col].tolist(), pdf[input_col].tolist()
-            outs: list[str] = []
-            for i in range(0, len(texts), batch_size):
-                chunk = texts[i : i + batch_size]
-                res = list(fn(chunk))
-                if len(res) != len(chunk):
-                    raise ValueError("model returned a different number of answers")
-                outs.extend(res)
-            yield pd.DataFrame({id_col: ids, output_col: outs})
+            outs: list = [None] * len(texts)
+            order = sorted(range(len(texts)), key=lambda i: len(texts[i] or ""))
+            for i in range(0, len(order), batch_size):
+                chunk = order[i : i + batch_size]
+                for k, answer in zip(chunk, _answers(model, [texts[k] for k in chunk], errors)):
+                    outs[k] = answer
+            if outs:
+                table = {id_col: ids, output_col: [x for x, _ in outs]}
+                yield pd.DataFrame(table | ({"error": [e for _, e in outs]} if errors else {}))
 
     return spread(df.select(id_col, input_col)).mapInPandas(run, schema)
 

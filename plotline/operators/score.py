@@ -164,6 +164,61 @@ def prf_from_counts(counts: DataFrame, keys=()) -> DataFrame:
     )
 
 
+def set_metrics(
+    occ: DataFrame, classes: DataFrame, id_col: str = "article_id", level: str = "level", fold: str = "fold",
+    gold_flag: str = "in_gold", pred_flag: str = "in_pred", all_label: str = "all",
+) -> DataFrame:
+    """A7, A8, A12 in one pass: ``level, fold, f1_mean, f1_sd, precision, recall, f1,
+    n, n_labels`` for every (level, fold), and for every level over all folds (fold
+    ``all``), from one long table ``level, fold, id, label, in_gold, in_pred``.
+
+    The distinct (level, id, label) rows are made once. ``f1_mean`` and ``f1_sd``
+    count the labels of ``classes`` (``level, class``) only, ``precision``, ``recall``
+    and ``f1`` all labels that are not empty; ``n_labels`` is the number of those
+    observed. Grouping sets, not a query for each figure."""
+    named = F.coalesce(F.col("label") != "", F.lit(False)).cast("int")
+    cls = classes.where(F.col("class").isNotNull() & (F.col("class") != "")).select(level, F.col("class").alias("label"), F.lit(1).alias("known")).distinct()
+    rows = occ.groupBy(level, fold, id_col, "label").agg(
+        F.max(F.col(gold_flag).cast("int")).alias("g"), F.max(F.col(pred_flag).cast("int")).alias("p")
+    )
+    rows = rows.join(cls, [level, "label"], "left").withColumns({"known": F.coalesce("known", F.lit(0)), "named": named})
+    sums = {}
+    for kind in ("known", "named"):
+        g, p = F.col("g") * F.col(kind), F.col("p") * F.col(kind)
+        sums |= {f"{kind}_g": F.sum(g), f"{kind}_p": F.sum(p), f"{kind}_tp": F.sum(g * p)}
+    # the figures of an article, and below them a row for each label that is observed
+    # in a fold: labels are counted where articles are averaged
+    per_id = rows.groupBy(level, fold, id_col).agg(*[c.alias(k) for k, c in sums.items()])
+    f, a, b, tp = (lambda k: F.col(k).cast("double")), "named_g", "named_p", "named_tp"
+    known = f("known_g") + f("known_p")
+    figures = per_id.select(
+        level, fold,
+        F.when(known > 0, 2.0 * f("known_tp") / known).otherwise(0.0).alias("known_f1"),
+        F.when(f(b) > 0, f(tp) / f(b)).otherwise(0.0).alias("precision"),
+        F.when(f(a) > 0, f(tp) / f(a)).otherwise(0.0).alias("recall"),
+        F.when(f(a) + f(b) > 0, 2.0 * f(tp) / (f(a) + f(b))).otherwise(0.0).alias("f1"),
+    )
+    figures = figures.groupingSets([[level, fold], [level]], level, fold).agg(
+        F.avg("known_f1").alias("f1_mean"), F.stddev_pop("known_f1").alias("f1_sd"), F.avg("precision").alias("precision"),
+        F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), F.count(F.lit(1)).alias("n"), F.grouping(fold).alias("__g"),
+    )
+    observed = rows.where("named = 1").groupBy(level, fold, "label").agg(F.lit(1).alias("seen"))
+    labels = observed.groupingSets([[level, fold], [level]], level, fold).agg(F.count_distinct("label").alias("n_labels"), F.grouping(fold).alias("__g"))
+    out = figures.join(labels, on=same_group(figures, labels, [level, fold, "__g"]), how="left")
+    return out.select(
+        figures[level], F.when(figures["__g"] == 1, F.lit(all_label)).otherwise(figures[fold].cast("string")).alias(fold),
+        "f1_mean", "f1_sd", "precision", "recall", "f1", "n", F.coalesce("n_labels", F.lit(0)).alias("n_labels"),
+    )
+
+
+def same_group(left: DataFrame, right: DataFrame, columns: list[str]):
+    """Null-safe equality of the columns."""
+    on = F.lit(True)
+    for c in columns:
+        on = on & left[c].eqNullSafe(right[c])
+    return on
+
+
 def summarize_f1(per_article: DataFrame, keys=()) -> DataFrame:
     """``keys..., f1_mean, f1_sd`` (population sd) and ``n``."""
     return per_article.groupBy(*keys).agg(

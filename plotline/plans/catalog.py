@@ -13,15 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
+from plotline.operators import classify as CL
 from plotline.operators import detect as DT
 from plotline.operators import folds as FO
 from plotline.operators import infer as IN
 from plotline.operators import labels as LB
 from plotline.operators import score as SC
 from plotline.operators import taxonomy as TX
+from plotline.session import work_path
 from plotline.sources import driver as D
 from plotline.sources import readers as R
 from plotline.sources import schemas
+from plotline.sources import sinks as K
 from plotline.sources.readers import join_articles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -656,6 +659,46 @@ def q_observed_labels(spark, sf):
     return SC.observed_labels(items.select(label), items.where(F.col("l_discount") >= D.PRED_MIN_DISCOUNT).select(label))
 
 
+@register(
+    "set_metrics_by_fold",
+    f"""WITH {D.SQL_GOLD_PRED}, {D.SQL_TAXONOMY}, {_CLASSES_SQL},
+sides AS (SELECT article_id, 'coarse' AS level, list_distinct(string_split(narrative, ';')) AS g,
+                 list_distinct(string_split(p_narrative, ';')) AS p FROM gp
+          UNION ALL
+          SELECT article_id, 'fine', list_distinct(string_split(subnarrative, ';')),
+                 list_distinct(string_split(p_subnarrative, ';')) FROM gp),
+fol AS (SELECT *, CAST(length(article_id) % 3 + 1 AS VARCHAR) AS fold FROM sides),
+occ AS (SELECT article_id, level, fold, unnest(g) AS label, 1 AS ig, 0 AS ip FROM fol
+        UNION ALL SELECT article_id, level, fold, unnest(p), 0, 1 FROM fol),
+lab AS (SELECT o.article_id, o.level, o.fold, o.label, max(ig) AS ig, max(ip) AS ip, max((c.class IS NOT NULL)::INT) AS known, max((o.label <> '')::INT) AS named
+        FROM occ o LEFT JOIN classes c ON c.level = o.level AND c.class = o.label GROUP BY ALL),
+agg AS (SELECT article_id, level, fold, sum(ig * known) AS kg, sum(ip * known) AS kp, sum(ig * ip * known) AS kt,
+        sum(ig * named) AS ng, sum(ip * named) AS np, sum(ig * ip * named) AS nt FROM lab GROUP BY ALL),
+fig AS (SELECT level, fold, CASE WHEN kg + kp > 0 THEN 2.0 * kt::DOUBLE / (kg + kp) ELSE 0.0 END AS kf,
+        CASE WHEN np > 0 THEN nt::DOUBLE / np ELSE 0.0 END AS pr, CASE WHEN ng > 0 THEN nt::DOUBLE / ng ELSE 0.0 END AS re,
+        CASE WHEN ng + np > 0 THEN 2.0 * nt::DOUBLE / (ng + np) ELSE 0.0 END AS f FROM agg),
+m AS (SELECT level, coalesce(fold, 'all') AS fold, avg(kf) AS f1_mean, stddev_pop(kf) AS f1_sd, avg(pr) AS precision, avg(re) AS recall, avg(f) AS f1, count(*) AS n
+      FROM fig GROUP BY GROUPING SETS ((level, fold), (level))),
+v AS (SELECT level, coalesce(fold, 'all') AS fold, count(DISTINCT label) AS n_labels FROM lab WHERE named = 1 GROUP BY GROUPING SETS ((level, fold), (level)))
+SELECT m.level, m.fold, round(f1_mean, 6) AS f1_mean, round(f1_sd, 6) AS f1_sd, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(f1, 6) AS f1, n, n_labels FROM m JOIN v USING (level, fold)""",
+)
+def q_set_metrics_by_fold(spark, sf):
+    """Every set metric of both levels, by fold and over all, in one pass (the fold
+    of an article: the length of its id)."""
+    items = D.label_items(spark, sf)
+    is_pred = F.col("l_discount") >= D.PRED_MIN_DISCOUNT
+    sides = F.array(
+        F.struct(F.lit("coarse").alias("level"), F.col("nar_label").alias("label")),
+        F.struct(F.lit("fine").alias("level"), F.col("sub_label").alias("label")),
+    )
+    occ = items.select("article_id", is_pred.alias("in_pred"), F.explode(sides).alias("x")).select(
+        "x.*", "article_id", (F.length("article_id") % 3 + 1).alias("fold"), F.lit(True).alias("in_gold"), "in_pred"
+    )
+    m = SC.set_metrics(occ, D.theme_abbr_labels(D.taxonomy(spark, sf)))
+    return m.select("level", "fold", *[r6(c).alias(c) for c in ("f1_mean", "f1_sd", "precision", "recall", "f1")], "n", "n_labels")
+
+
 @register(
     "misaligned_ids",
     """WITH g AS (SELECT c_custkey AS id, count(*) AS n FROM customer GROUP BY 1),
@@ -872,12 +915,105 @@ def _cells(spark, sf):
     )
 
 
-@register("csv_round_trip", f"WITH {_CELLS_SQL} SELECT * FROM cells")
+@register(
+    "csv_round_trip",
+    f"""WITH {_CELLS_SQL} SELECT article_id, CASE CAST(article_id AS BIGINT) % 7 WHEN 0 THEN NULL WHEN 1 THEN chr(92) || 'N' WHEN 2 THEN chr(92) || chr(92) || 'N'
+  WHEN 3 THEN ' ' WHEN 4 THEN chr(9) || domain || chr(13) || chr(10) ELSE domain END AS domain, content,
+  CASE WHEN CAST(article_id AS BIGINT) % 3 > 0 THEN CAST(article_id AS BIGINT) % 3 END AS p_domains FROM cells""",
+)
 def q_csv_round_trip(spark, sf):
-    cells = _cells(spark, sf)
-    line = F.to_csv(F.struct(*cells.columns), {"escape": '"', "quoteAll": "true"})
-    back = F.from_csv(line, cells.schema.simpleString()[7:-1].replace(":", " "), R.CSV_RECORDS)
-    return cells.select(back.alias("r")).select("r.*")
+    """K1 / S6 through the sink and the reader: null, empty, blank and marker-like
+    cells stay what they are."""
+    k, id_ = F.col("article_id").cast("long") % 7, F.col("article_id").cast("long") % 3
+    domain = (
+        F.when(k == 0, F.lit(None)).when(k == 1, F.lit("\\N")).when(k == 2, F.lit("\\\\N")).when(k == 3, F.lit(" "))
+        .when(k == 4, F.concat(F.lit("\t"), "domain", F.lit("\r\n"))).otherwise(F.col("domain"))
+    )
+    cells = _cells(spark, sf).select("article_id", domain.alias("domain"), "content", F.when(id_ > 0, id_).alias("p_domains"))
+    path = work_path(spark, "records.csv")
+    K.write_csv(cells, path)
+    return R.read_csv_by_name(spark, path, cells.schema).drop("file_path")
+
+
+@register(
+    "fold_files_by_name",
+    """SELECT CAST(doc_id AS VARCHAR) AS article_id, CASE WHEN doc_id % 11 <> 0 THEN text END AS content,
+  CASE WHEN doc_id % 4 < 3 THEN CAST(doc_id % 3 AS INTEGER) END AS p_domains, CAST(doc_id % 4 + 1 AS INTEGER) AS fold FROM documents""",
+)
+def q_fold_files_by_name(spark, sf):
+    """Four fold files, in the schema's order, permuted, with a column
+    more, and with one less, written by the sink and stacked by name."""
+    d = D.table(spark, sf, "documents").withColumn("k", F.col("doc_id") % 4)
+    d = d.select(
+        "k",
+        F.col("doc_id").cast("string").alias("article_id"),
+        F.when(F.col("doc_id") % 11 != 0, F.col("text")).alias("content"),
+        (F.col("doc_id") % 3).cast("int").alias("p_domains"),
+        F.col("source").alias("note"),
+    )
+    d = d.repartition("k")
+    layouts = (["article_id", "content", "p_domains"], ["p_domains", "content", "article_id"], ["note", "p_domains", "article_id", "content"], ["content", "article_id"])
+    folder = work_path(spark, "folds")
+    for k, columns in enumerate(layouts):
+        K.write_csv(d.where(F.col("k") == k).select(*columns), f"{folder}/fold{k + 1}_predictions.csv")
+    return R.read_fold_files(spark, folder)
+
+
+_LINE_SQL = """line AS (SELECT doc_id, CASE doc_id % 10 WHEN 3 THEN '{"article_id": "' || doc_id || '", "content": "cut of' WHEN 5 THEN '[' || doc_id || ']'
+  WHEN 7 THEN '{"article_id": "' || doc_id || '", "labels": "none"}' WHEN 9 THEN 'line ' || doc_id END AS spoiled FROM documents)"""
+
+
+@register(
+    "jsonl_rejects",
+    f"""WITH {_LINE_SQL}
+SELECT CASE WHEN spoiled IS NULL THEN CAST(doc_id AS VARCHAR) END AS article_id, spoiled AS record,
+  CASE doc_id % 10 WHEN 7 THEN 'does not fit the schema' WHEN 3 THEN 'no field can be read' WHEN 5 THEN 'no field can be read' WHEN 9 THEN 'no field can be read' END AS reason,
+  CASE WHEN spoiled IS NULL THEN length(text) + length('line') END AS n FROM line JOIN documents USING (doc_id)""",
+)
+def q_jsonl_rejects(spark, sf):
+    """Cut lines, arrays, text and wrong types among records written by the
+    sink: every line is a record or a reject."""
+    k, id_ = F.col("doc_id") % 10, F.col("doc_id").cast("string")
+    spoiled = (
+        F.when(k == 3, F.concat(F.lit('{"article_id": "'), id_, F.lit('", "content": "cut of')))
+        .when(k == 5, F.concat(F.lit("["), id_, F.lit("]")))
+        .when(k == 7, F.concat(F.lit('{"article_id": "'), id_, F.lit('", "labels": "none"}')))
+        .when(k == 9, F.concat(F.lit("line "), id_))
+    )
+    d = D.table(spark, sf, "documents").withColumn("spoiled", spoiled)
+    labels = F.struct(F.array(F.col("source")).alias("narrative"), F.array(F.lit("")).alias("subnarrative"))
+    folder = work_path(spark, "lines")
+    good = d.where("spoiled IS NULL").select(id_.alias("article_id"), F.concat("text", F.lit("\nend")).alias("content"), F.lit(None).cast("string").alias("domain"), labels.alias("labels"))
+    K.write_jsonl(good, f"{folder}/good")
+    d.where("spoiled IS NOT NULL").select("spoiled").write.text(f"{folder}/spoiled")
+    records, rejects = R.read_jsonl_checked(spark, [f"{folder}/good", f"{folder}/spoiled"])
+    none = F.lit(None).cast("string")
+    kept = records.select("article_id", none.alias("record"), none.alias("reason"), F.length("content").cast("long").alias("n"))
+    return kept.unionByName(rejects.select(none.alias("article_id"), "record", "reason", F.lit(None).cast("long").alias("n")))
+
+
+@register(
+    "tsv_rejects",
+    """WITH l AS (SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN doc_id || chr(9) || source WHEN 3 THEN doc_id || chr(9) || source || chr(9) || lang || chr(9) || 'x' END AS bad,
+  source, lang FROM documents)
+SELECT CASE WHEN bad IS NULL THEN CAST(doc_id AS VARCHAR) END AS article_id, CASE WHEN bad IS NULL THEN source || chr(9) || 'tab' END AS narrative,
+  CASE WHEN bad IS NULL THEN lang END AS subnarrative, bad AS record FROM l""",
+)
+def q_tsv_rejects(spark, sf):
+    """Lines with two and four fields among lines with three, one of them quoted."""
+    k, tab = F.col("doc_id") % 5, F.lit("\t")
+    line = (
+        F.when(k == 1, F.concat("doc_id", tab, "source"))
+        .when(k == 3, F.concat("doc_id", tab, "source", tab, "lang", F.lit("\tx")))
+        .otherwise(F.concat("doc_id", F.lit('\t"'), "source", F.lit('\ttab"\t'), "lang"))
+    )
+    path = work_path(spark, "lines.tsv")
+    D.table(spark, sf, "documents").select(line.alias("value")).write.text(path)
+    records, rejects = R.read_quoted_checked(spark, path)
+    none = F.lit(None).cast("string")
+    return records.select("article_id", "narrative", "subnarrative", none.alias("record")).unionByName(
+        rejects.select(none.alias("article_id"), none.alias("narrative"), none.alias("subnarrative"), "record")
+    )
 
 
 @register(
@@ -919,8 +1055,9 @@ def q_jsonl_round_trip(spark, sf):
     """K3 / S5 on the whole record, S9 on its nested column kept as text."""
     labels = F.struct(F.array(F.lit("n"), F.col("domain")).alias("narrative"), F.array(F.lit("")).alias("subnarrative"))
     records = _cells(spark, sf).select("*", labels.alias("labels"))
-    line = F.to_json(F.struct(*records.columns))
-    back = records.select(F.from_json(line, schemas.NESTED_RECORD).alias("r")).select("r.*")
+    path = work_path(spark, "records.jsonl")
+    K.write_jsonl(records, path)
+    back = R.read_jsonl(spark, path, schemas.NESTED_RECORD)
     back = R.parse_struct(back.withColumn("labels", F.to_json("labels")), "labels")
     return back.select(
         "article_id", "content", "domain",
@@ -928,6 +1065,26 @@ def q_jsonl_round_trip(spark, sf):
     )
 
 
+@register(
+    "python_literals",
+    """SELECT doc_id, text AS first, 'it''s' || chr(10) || source || ' "' || lang || '"' AS second, doc_id % 3 = 0 AS none, 2 AS n FROM documents""",
+)
+def q_python_literals(spark, sf):
+    """Nested cells kept as Python literals (quotes of both kinds, escapes,
+    None, a tuple) back to structs."""
+    d = D.table(spark, sf, "documents")
+    slash = F.replace("text", F.lit("\\"), F.lit("\\\\"))
+    said = F.replace(F.replace(F.replace(slash, F.lit("'"), F.lit("\\'")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    second = F.concat(F.lit("'it\\'s\\n"), "source", F.lit(" \\x22"), "lang", F.lit("\"'"))
+    sub = F.when(F.col("doc_id") % 3 == 0, F.lit("None")).otherwise(F.lit("('a', \"b\",)"))
+    literal = F.concat(F.lit("{'narrative': ['"), said, F.lit("', "), second, F.lit("], 'subnarrative': "), sub, F.lit("}"))
+    back = R.parse_struct(d.select("doc_id", literal.alias("labels")), "labels", literal=True)
+    return back.select(
+        "doc_id", F.get("labels.narrative", F.lit(0)).alias("first"), F.get("labels.narrative", F.lit(1)).alias("second"),
+        F.col("labels.subnarrative").isNull().alias("none"), F.size("labels.narrative").alias("n"),
+    )
+
+
 @register(
     "language_of_paths",
     f"""WITH p AS (SELECT doc_id, '/data/' || source || '/' || upper(lang) || CASE doc_id % 5 WHEN 0 THEN '/PT' WHEN 1 THEN '/BG_HI' ELSE '' END AS path FROM documents)
@@ -982,3 +1139,12 @@ def q_domain_classifier(spark, sf):
     docs = D.table(spark, sf, "documents").select("doc_id", "text", "lang")
     d = FO.stratified_folds(docs, "lang", "doc_id")
     return IN.out_of_fold_predictions(d, "text", "lang", "doc_id").select("doc_id", "lang", "fold", "p_domains")
+
+
+@register("trained_classifier")
+def q_trained_classifier(spark, sf):
+    """The trained variant on the same folds (no SQL: a fitted model; held-out
+    accuracy and fold separation are tested)."""
+    docs = D.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    d = FO.stratified_folds(docs, "lang", "doc_id")
+    return CL.trained_out_of_fold(d, "text", "lang", "doc_id").select("doc_id", "lang", "fold", "p_domains")

@@ -15,10 +15,12 @@ checkpoint folder (``spark.checkpoint.dir``), which also cuts lineage.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
@@ -28,11 +30,13 @@ from plotline.operators import infer as IN
 from plotline.operators import labels as LB
 from plotline.operators import score as SC
 from plotline.operators import taxonomy as TX
-from plotline.session import checkpoint_dir
+from plotline.session import checkpoint_dir, work_path
 from plotline.sources import readers as R
 from plotline.sources import sinks as K
 from plotline.sources.readers import read_results
 
+MISSING_TEXT = "article text missing"
+COUNTS = ("decoded", "rejected", "missing")
 _RELEASE_LANG = r"([^/]+)/([^/]+)/[^/]+$"
 
 
@@ -48,7 +52,9 @@ def annotate(
     """E1. Lines are matched to articles by (release, language, article id)
     taken from ``{root}/{release}/{lang}/subtask-2-annotations.txt``.
     ``partition_by`` (e.g. ``("release", "lang")``) writes the JSON lines
-    in folders per value, so later reads prune by path."""
+    in folders per value, so later reads prune by path. ``counts`` has the numbers
+    of lines ``decoded``, ``rejected`` and ``missing`` an article; with an output
+    they come from the pass that writes, without another scan."""
     lines = R.read_annotations(spark, annotations_path)
     lines = lines.select(
         "article_id",
@@ -59,24 +65,36 @@ def annotate(
     )
     articles = R.read_articles(spark, articles_root)
     joined = R.join_articles(lines, articles, keys=("release", "lang", "article_id"))
-    missing = R.missing_articles(joined).select(
-        "release", "lang", "article_id", F.lit("article text missing").alias("reject_reason")
-    )
-    decoded = LB.decode(joined.where(F.col("content").isNotNull()), domain_from=domain_from)
-    if out_csv and out_jsonl:
-        # two outputs share the read, join and decode: write it once to the
-        # shared checkpoint folder and read both outputs from there
-        checkpoint_dir(spark)
-        decoded = decoded.checkpoint()
+    decoded = LB.decode(joined, domain_from=domain_from)
+    lost = F.when(F.col("content").isNull(), F.lit(MISSING_TEXT)).otherwise(F.col("reject_reason"))
+    decoded = decoded.withColumn("reject_reason", lost)
+    counts = None
+    if out_csv or out_jsonl:
+        # every output shares the read, join and decode: written once to the shared
+        # checkpoint folder, and counted by that write
+        seen, why = Observation(), F.col("reject_reason")
+        n_missing = F.count_if(why == MISSING_TEXT)
+        decoded = decoded.observe(
+            seen, F.count_if(why.isNull()).alias("decoded"), (F.count_if(why.isNotNull()) - n_missing).alias("rejected"), n_missing.alias("missing")
+        )
+        path = work_path(spark, "decoded")
+        decoded.write.parquet(path)
+        decoded = spark.read.schema(decoded.schema).parquet(path)
+        counts = spark.createDataFrame([tuple(seen.get[c] for c in COUNTS)], ", ".join(f"{c} long" for c in COUNTS))
+    if counts is None:
+        why = F.col("reject_reason")
+        counts = decoded.agg(
+            F.count_if(why.isNull()).alias("decoded"), F.count_if(why != MISSING_TEXT).alias("rejected"), F.count_if(why == MISSING_TEXT).alias("missing")
+        )
     good, bad = LB.split_rejects(decoded)
-    rejects = missing.unionByName(bad.select("release", "lang", "article_id", "reject_reason"))
+    rejects = bad.select("release", "lang", "article_id", "reject_reason")
     flat = LB.flat_records(good)
     nested = LB.nested_records(good)
     if out_csv:
         K.write_csv(flat, out_csv)
     if out_jsonl:
         K.write_jsonl(LB.nested_records(good, keep=partition_by), out_jsonl, partition_by=partition_by)
-    return {"flat": flat, "nested": nested, "rejects": rejects}
+    return {"flat": flat, "nested": nested, "rejects": rejects, "counts": counts}
 
 
 def audit(
@@ -101,7 +119,9 @@ def audit(
     taxonomy = taxonomy.checkpoint()  # parsed once, read by every output
     lines = R.read_annotations(spark, annotations_root, recursive=True)
     if release is not None:
-        lines = lines.where(F.col("file_path").contains(f"/{release}/"))
+        # the folder below the root, not one that the root itself lies in
+        below = F.element_at(F.split("file_path", re.escape(quote(annotations_root.rstrip("/"), safe="/:")) + "/", 2), -1)
+        lines = lines.where(F.concat(F.lit("/"), below).contains(f"/{quote(release)}/"))
     cube = TX.label_cube(lines, columns=columns).checkpoint()  # small, read five times
     nar = TX.narrative_counts(cube, taxonomy, by_theme)
     sub = TX.subnarrative_counts(cube, taxonomy, by_theme)
@@ -228,12 +248,18 @@ def translate_table(
     return records.join(answers, id_col, "left")
 
 
-def merge_languages(spark: SparkSession, paths: list[str], out_jsonl: str | None = None) -> DataFrame:
+def merge_languages(
+    spark: SparkSession, paths: list[str], out_jsonl: str | None = None, out_rejects: str | None = None
+) -> DataFrame:
     """The nested records of several languages as one table with
-    combined labels and language."""
-    merged = LB.merge_records(R.read_jsonl(spark, paths))
+    combined labels and language. Lines that are no such record are left out and
+    go to ``out_rejects`` (JSON lines: file, line, reason)."""
+    records, rejects = R.read_jsonl_checked(spark, paths)
+    merged = LB.merge_records(records)
     if out_jsonl:
         K.write_jsonl(merged, out_jsonl)
+    if out_rejects:
+        K.write_jsonl(rejects, out_rejects)
     return merged
 
 
@@ -246,10 +272,13 @@ def score_files(
     strict: bool = True,
 ) -> DataFrame:
     """``level, f1_mean, f1_sd, n`` for coarse (narrative) and fine
-    (subnarrative) labels; ids must match (J4) unless ``strict`` is off."""
-    gold = R.read_annotations(spark, gold_file, quoted=True)
-    pred = R.read_annotations(spark, prediction_file, quoted=True)
+    (subnarrative) labels. Every line must have three fields and ids must match
+    (J4) unless ``strict`` is off; then other lines and ids are left out."""
+    gold, bad_gold = R.read_quoted_checked(spark, gold_file)
+    pred, bad_pred = R.read_quoted_checked(spark, prediction_file)
     if strict:
+        if seen := bad_gold.unionByName(bad_pred).limit(1).collect():
+            raise ValueError(f"a line that has not three fields in {seen[0]['file_path']}: {seen[0]['record'][:200]}")
         SC.check_alignment(gold, pred)
     out = None
     for level, col, path in (("coarse", "narrative", classes_coarse), ("fine", "subnarrative", classes_fine)):

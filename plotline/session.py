@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +72,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(path)
     return path
 
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path of this name below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/plotline-{uuid.uuid4().hex}/{name}"

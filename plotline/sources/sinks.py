@@ -7,22 +7,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plotline.sources import readers as R
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool = True) -> None:
-    """K1 / K2: header, quoted fields, standard ``"`` escaping (Q18).
-    Nested columns are written as JSON text."""
-    cols = [
-        F.to_json(F.col(c)).alias(c) if t.startswith(("struct", "array", "map")) else F.col(c)
-        for c, t in df.dtypes
-    ]
-    (
-        df.select(*cols)
-        .write.mode(mode)
-        .option("header", True)
-        .option("quoteAll", quote_all)
-        .option("escape", '"')
-        .csv(path)
-    )
+    """K1 / K2: header, quoted fields, standard ``"`` escaping (Q18), null apart
+    from empty: ``read_csv_by_name`` gives back the frame. Nested columns are
+    written as JSON text."""
+    cols = []
+    for c, t in df.dtypes:
+        cell = F.to_json(F.col(f"`{c}`")) if t.startswith(("struct", "array", "map")) else F.col(f"`{c}`")
+        cols.append((R.escaped_cell(cell) if t == "string" else cell).alias(c))
+    options = {**R.CSV_CELLS, "emptyValue": "" if quote_all else '""'}
+    df.select(*cols).write.mode(mode).option("header", True).option("quoteAll", quote_all).options(**options).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> None:

@@ -1,0 +1,139 @@
+"""Files by column name, null cells, malformed records, Python literals."""
+
+import ast
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from plotline.functions import labels as L
+from plotline.plans import jobs
+from plotline.sources import readers as R
+from plotline.sources import schemas
+from plotline.sources import sinks as K
+
+CELLS = [None, "", " ", "\\N", "\\\\N", "a,b", 'say "hi"', '"', '""', "x\ny", "x\r\ny", "\r", "\t lead ", "back\\", '\\"', "é — ñ", "null", "'"]
+
+
+@pytest.mark.parametrize("quote_all", [True, False])
+def test_csv_keeps_every_cell(spark, tmp_path, quote_all):
+    rng = random.Random(2)
+    rows = [(i, rng.choice(CELLS), rng.choice(CELLS), rng.choice([None, 0.5]), rng.choice([None, -3])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a string, b string, x double, n int")
+    K.write_csv(df, f"{tmp_path}/t", quote_all=quote_all)
+    back = R.read_csv_by_name(spark, f"{tmp_path}/t", df.schema).drop("file_path")
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert sorted((tuple(r) for r in back.collect()), key=lambda r: r[0]) == rows
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    folder = tmp_path / "with blank [1]"
+    folder.mkdir()
+    (folder / "fold1_predictions.csv").write_text("article_id,content,p_domains\na1,one,0\n")
+    (folder / "fold2_predictions.csv").write_text('﻿p_domains,"content",article_id\n2,"t\nwo, too",a2\n')
+    (folder / "fold12_predictions.csv").write_text("note,article_id\nx,a3\n")
+    (folder / "other.csv").write_text("article_id\nno\n")
+    path = str(folder).replace("[", "\\[").replace("]", "\\]")
+    got = sorted(tuple(r) for r in R.read_fold_files(spark, path).collect())
+    assert got == [("a1", "one", 0, 1), ("a2", "t\nwo, too", 2, 2), ("a3", None, None, 12)]
+    extra = R.read_csv_by_name(spark, f"{path}/fold*.csv", schemas.FOLD_PREDICTION, extra=True)
+    assert {r.article_id: r.note for r in extra.collect()} == {"a1": None, "a2": None, "a3": "x"}
+    (folder / "twice.csv").write_text("a,a\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        R.read_csv_by_name(spark, f"{path}/twice.csv", schemas.FOLD_PREDICTION)
+
+
+def test_every_json_line_is_a_record_or_a_reject(spark, tmp_path):
+    good = [{"article_id": str(i), "content": "c", "domain": "CC", "labels": {"narrative": ["n"], "subnarrative": []}} for i in range(20)]
+    bad = ['{"article_id": "7", "content": "cut', "[1, 2]", "plain", "null", '{"labels": 3, "article_id": "x"}', '"text"', "{]"]
+    lines = [json.dumps(g) for g in good] + ["", "  "] + bad
+    random.Random(1).shuffle(lines)
+    (tmp_path / "l.jsonl").write_text("\n".join(lines))
+    records, rejects = R.read_jsonl_checked(spark, str(tmp_path / "l.jsonl"))
+    assert sorted(r.article_id for r in records.collect()) == sorted(g["article_id"] for g in good)
+    assert sorted(r.record for r in rejects.collect()) == sorted(bad)
+    assert {r.reason for r in rejects.collect()} == {"no field can be read", "does not fit the schema"}
+    assert records.count() + rejects.count() == len(good) + len(bad)
+    merged = jobs.merge_languages(spark, [str(tmp_path / "l.jsonl")], out_rejects=f"{tmp_path}/rejects")
+    assert merged.count() == len(good) and spark.read.json(f"{tmp_path}/rejects").count() == len(bad)
+
+
+def test_tsv_lines_of_other_lengths(spark, tmp_path):
+    (tmp_path / "g.tsv").write_text('1\ta\tb\n2\tx\n3\ty\tz\tw\n4\t"q\tq"\tz\n')
+    records, rejects = R.read_quoted_checked(spark, str(tmp_path / "g.tsv"))
+    assert records.select("subnarrative").count() == 2 and rejects.count() == 2
+    assert sorted(r.record for r in rejects.select("record").collect()) == ["2\tx", "3\ty\tz\tw"]
+    (tmp_path / "classes").write_text("a\n")
+    args = (str(tmp_path / "g.tsv"), str(tmp_path / "g.tsv"), str(tmp_path / "classes"), str(tmp_path / "classes"))
+    with pytest.raises(ValueError, match="three fields"):
+        jobs.score_files(spark, *args)
+    assert {r.n for r in jobs.score_files(spark, *args, strict=False).collect()} == {2}
+
+
+def literals(seed):
+    rng = random.Random(seed)
+    text = lambda: "".join(rng.choice(["a", "É", "'", '"', "\\", "\n", "\t", "\x00", " ", "😀", "None", ", ", "(", "]", " "]) for _ in range(rng.randrange(8)))
+
+    def value(depth):
+        kind = rng.randrange(8 if depth else 4)
+        if kind < 2:
+            return text()
+        if kind < 4:
+            return rng.choice([None, True, False, 0, -7, 2.5, 1e30])
+        if kind == 4:
+            return tuple(value(depth - 1) for _ in range(rng.randrange(4)))
+        if kind == 5:
+            return {text(): value(depth - 1) for _ in range(rng.randrange(3))}
+        return [value(depth - 1) for _ in range(rng.randrange(4))]
+
+    return [value(3) for _ in range(300)]
+
+
+def test_python_literals_read_as_python_reads_them(spark):
+    values = literals(4) + ["l\n" * 20_000, "'\"" * 5_000, ["\\"] * 200]
+    rows = [(i, repr(v)) for i, v in enumerate(values)] + [(-1, "['open"), (-2, r"['\101\x41A\U0001F600\a\v']"), (-3, None)]
+    got = {r.i: r.j for r in spark.createDataFrame(rows, "i int, t string").select("i", L.literal_to_json("t").alias("j")).collect()}
+    for i, v in enumerate(values):
+        assert json.loads(got[i]) == json.loads(json.dumps(v)), rows[i]
+    assert got[-1] is None and got[-3] is None and json.loads(got[-2]) == ast.literal_eval(rows[-2][1])
+    nested = spark.createDataFrame([("{'narrative': ('a', \"it's\"), 'subnarrative': None}",), ("no literal",)], "labels string")
+    a, b = R.parse_struct(nested, "labels", literal=True).collect()
+    assert (a.labels.narrative, a.labels.subnarrative) == (["a", "it's"], None)
+    assert b.labels is None or (b.labels.narrative, b.labels.subnarrative) == (None, None)
+
+
+def test_annotate_counts_in_the_pass_that_writes(spark, tmp_path):
+    root = tmp_path / "data" / "rel" / "EN"
+    (root / "raw-documents").mkdir(parents=True)
+    (root / "raw-documents" / "a").write_text("text")
+    (root / "subtask-2-annotations.txt").write_text("a\tOther\tOther\na\tURW: X\tURW: X\ngone\tOther\tOther\na\n")
+    args = (spark, f"{tmp_path}/data/rel/*/subtask-2-annotations.txt", f"{tmp_path}/data")
+    want = (1, 2, 1)
+    assert tuple(jobs.annotate(*args)["counts"].first()) == want
+    out = jobs.annotate(*args, out_csv=f"{tmp_path}/csv", out_jsonl=f"{tmp_path}/json")
+    assert tuple(out["counts"].first()) == want and out["rejects"].count() == 3
+    only = jobs.annotate(*args, out_csv=f"{tmp_path}/csv2")
+    assert tuple(only["counts"].first()) == want
+    assert R.read_csv_records(spark, f"{tmp_path}/csv2").count() == 1
+
+
+def test_release_is_a_folder_below_the_root(spark, tmp_path):
+    for at in ("rel/x/r1/EN", "rel/x/r2/EN"):
+        d = tmp_path / at
+        d.mkdir(parents=True)
+        (d / "subtask-2-annotations.txt").write_text("a\tOther\tOther\n")
+    tax = spark.createDataFrame([("Other", "Other", "Other")], schemas.TAXONOMY)
+    counts = lambda release: sum(r["count"] for r in jobs.audit(spark, f"{tmp_path}/rel/x", taxonomy=tax, release=release)["theme_counts"].collect())
+    assert (counts("r1"), counts("x"), counts(None)) == (2, 0, 4)
+
+
+def test_schema_types_survive(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("labels", schemas.LABELS)])
+    df = spark.createDataFrame([(1, (["a", 'b"'], [])), (2, None)], schema)
+    K.write_csv(df, f"{tmp_path}/n")
+    text = T.StructType([T.StructField("id", T.LongType()), T.StructField("labels", T.StringType())])
+    back = R.parse_struct(R.read_csv_by_name(spark, f"{tmp_path}/n", text), "labels").orderBy("id").collect()
+    assert back[0].labels.narrative == ["a", 'b"'] and back[1].labels is None
+    assert df.where(F.col("id") == 1).count() == 1
