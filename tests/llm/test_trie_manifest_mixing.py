@@ -201,7 +201,7 @@ def scores(spark, rows, **more):
 
 
 def test_baseline_matches_plain_counts(spark, monkeypatch):
-    monkeypatch.setattr(CM, "COMMON", 50)  # most tokens go the shuffled way
+    monkeypatch.setattr(CM, "LEXICON", 200)  # most tokens go the shuffled way
     rows = documents() + [(None, "Null ID w1 w2", "en", "b", 1)]
     seen = Counter()
     words = lambda t: [*(t or "").encode().lower().split(), None]
@@ -248,11 +248,13 @@ def test_code_is_a_prefix_code_and_pieces_go_on(monkeypatch):
     assert not any(a != b and b.startswith(a) for a in paths for b in paths)
     lex = B.Lexicon({b"a": 5, b"b": 3}, 2, 4, [1] * 257)
     words = [rng.choice([b"a", b"b", b"cc", b"\xc3\xa9"]) for _ in range(50)]
-    whole = B.Flat(list(CM.parts_of(words, lex)), lex)
+    numbers, others = lex.numbered(words)
+    assert others == [w for w in words if w not in (b"a", b"b")]
+    whole = B.of_words(list(CM.parts_of(numbers, lex.end)), lex)
     monkeypatch.setattr(CM, "PIECE", 7)
-    cut = B.Flat(list(CM.parts_of(words, lex)), lex)
+    cut = B.of_words(list(CM.parts_of(numbers, lex.end)), lex)
     for k in range(B.N):
-        assert sorted(whole.slots(k).tolist()) == sorted(cut.slots(k).tolist())
+        assert whole.slots(k).tolist() == cut.slots(k).tolist()
 
 
 def test_gates_gains_and_tables_change_scores(monkeypatch):
@@ -261,12 +263,15 @@ def test_gates_gains_and_tables_change_scores(monkeypatch):
 
     rng = random.Random(2)
     lex = B.Lexicon({f"w{k}".encode(): 50 for k in range(50)}, 20, 30, [1] * 257)
-    docs = [[f"w{min(49, int(rng.expovariate(0.1)))}".encode() for _ in range(400)] for _ in range(30)]
-    task = B.Counter(lex, 2)
+    docs = [lex.numbered([f"w{min(49, int(rng.expovariate(0.1)))}".encode() for _ in range(400)])[0] for _ in range(30)]
+    task = B.Counter(B.WORD_BITS, B.DEPTHS, 2)
     for d in docs:
-        task.add(list(CM.parts_of(d, lex)))
+        task.add(B.of_words(list(CM.parts_of(d, lex.end)), lex))
     tables = [B.steps(B.log_odds(c[:, 1], c.sum(1))) for c in task.counts]
-    cost = lambda t, w: B.Scorer(lex, t, w).bits(list(CM.parts_of(docs[0], lex)), np.zeros((1, B.CLASSES, 2)))[0][0]
+
+    def cost(t, w):
+        return B.word_bits(B.Mixer(t, w), list(CM.parts_of(docs[0], lex.end)), np.zeros((1, B.CLASSES, 2)), lex)[0][0]
+
     full = cost(tables, task.weights)
     assert task.decisions > 0 and full < cost(tables, np.full_like(task.weights, 0.4))
     assert full < cost([tables[0], tables[1] * 0, tables[2] * 0], task.weights)
@@ -274,6 +279,20 @@ def test_gates_gains_and_tables_change_scores(monkeypatch):
     assert cost(tables, task.weights) != full
 
 
+def test_letters_learn_with_their_counts():
+    import numpy as np
+
+    lex = B.Lexicon({b"the": 9}, 1, 9, [1] * 257)
+    task = B.Counter(B.LETTER_BITS, lex.letters.n_nodes, 2)
+    for _ in range(4):
+        made = B.of_letters([b"banana", b"ban"], lex)
+        task.add(made, np.array([5.0, 1.0])[made.word])
+    assert task.counts[0].sum() == 4 * (5 * lex.letters.length[list(b"banana") + [256]].sum() + lex.letters.length[list(b"ban") + [256]].sum())
+    mixer = B.Mixer([B.steps(B.log_odds(c[:, 1], c.sum(1))) for c in task.counts], task.weights)
+    said = B.letter_bits(mixer, [b"banana", b"zqzqzq"], lex)
+    assert said[0] < said[1] / 3
+
+
 def test_scores_of_empty_tables(spark):
     assert scores(spark, []) == []
     only = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
