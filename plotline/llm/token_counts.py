@@ -10,6 +10,7 @@ lengths inside a block), so no task sees the whole histogram.
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -17,14 +18,34 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plotline.llm.common import shared_table
+
 #: Rank file of a byte-level BPE (base64 token, rank per line), and the
 #: pattern that cuts texts before merging (a fixed value of that vocabulary).
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A run of the pattern's white space that is cut out before the pattern is tried,
+#: which keeps a state for every character of a run and would exhaust its stack.
+LONG_BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{500,}")
 #: Lengths per block of the suffix sums.
 BLOCK = 256
 
 
+def encoded_length(encoding, text: str) -> int:
+    """Tokens of a text. Of a run of white space inside a text, the pattern makes all
+    but the last character one piece, and the last goes to what follows; a run at the
+    end is one piece. Long runs are cut into these pieces here, exactly."""
+    if not text:
+        return 0
+    at, total = 0, 0
+    for found in LONG_BLANKS.finditer(text):
+        end = found.end() if found.end() == len(text) else found.end() - 1
+        total += len(encoding.encode_ordinary(text[at : found.start()]))
+        total += len(encoding._encode_single_piece(text[found.start() : end].encode()))
+        at = end
+    return total + len(encoding.encode_ordinary(text[at:]))
+
+
 def length_histogram(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """n_tokens, n_docs of ``docs`` (text). Null and empty texts have length
     0. The vocabulary file (about 1 MB) is read here and sent to the tasks,
@@ -37,9 +58,9 @@ def length_histogram(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN
 
         pairs = (line.split() for line in vocabulary.value.splitlines())
         merges = {base64.b64decode(a): int(b) for a, b in pairs}
-        encode = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=merges, special_tokens={}).encode_ordinary
+        encoding = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
         for b in batches:
-            found = Counter(len(encode(t)) if t else 0 for t in b["text"])
+            found = Counter(encoded_length(encoding, t) for t in b["text"])
             yield pd.DataFrame({"n_tokens": list(found), "n_docs": list(found.values())})
 
     found = docs.select("text").mapInPandas(run, "n_tokens long, n_docs long")
@@ -99,5 +120,8 @@ def at_limits(sums: DataFrame, limits: list[int]) -> DataFrame:
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
-    """The suffix sums of the whole table; an empty table gives no rows."""
-    return suffix_sums(length_histogram(docs))
+    """The suffix sums of the whole table; an empty table gives no rows. Null and
+    empty texts have length 0; very long texts, and very long runs of white space in
+    them, are encoded whole. Every text is encoded once: the histogram is written,
+    as its rows and its blocks are both read."""
+    return suffix_sums(shared_table(length_histogram(docs), "length_histogram"))
