@@ -6,11 +6,17 @@ unseen word the model falls back to the longest order of character n-grams
 it knows at least one, and adds the mean of their log frequencies. The
 language with the largest sum wins.
 
-The model is fitted on a bounded sample of documents with a language
-(``FIT_ROWS`` expected rows by id hash): word counts per language are summed
-by Spark, the ``KEEP`` most frequent words are the known ones, and the n-gram
-counts are those of their occurrences. Scoring is one pass over the whole
-texts without a shuffle.
+The model is fitted on a bounded sample of documents with a language (``FIT_ROWS``
+expected rows of each language by a hash of id and text): word counts per language
+are summed by Spark, the ``KEEP`` most frequent words of each language are the known
+ones, and the n-gram counts are those of their occurrences. So what is learned of a
+language does not shrink as others grow. Scoring is one pass over the whole texts
+without a shuffle.
+
+Defined results: ``und`` with score 0 for a null text and one without a letter
+(Unicode categories L*; digits and other numerals are none). Rows without id or
+language are scored, not learned from. Repeated rows are scored each. Languages that
+tie go by name.
 """
 
 from __future__ import annotations
@@ -22,20 +28,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plotline.llm.common import bounded_labels, held_out
+from plotline.llm.common import held_out
 
-FIT_ROWS = 6_000
+FIT_ROWS = 3_000
 ORDERS = (5, 4, 3, 2, 1)
-KEEP = 30_000
+KEEP = 15_000
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> Counter:
-    return Counter(WORDS.findall((text or "").lower()))
+    """Runs of letters, lower case, with their numbers."""
+    found = Counter(WORDS.findall((text or "").lower()))
+    for mixed in [w for w in found if not w.isalpha()]:  # numerals that are no digits
+        n = found.pop(mixed)
+        for part in "".join(c if c.isalpha() else " " for c in mixed).split():
+            found[part] += n
+    return found
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -106,8 +118,9 @@ class Scorer:
 
 
 def build(counts: pd.DataFrame) -> Model:
-    """From (word, lang, n): add-half log frequencies of the words and of the
+    """From (word, lang, n), in any order: add-half log frequencies of the words and of the
     n-grams in their occurrences."""
+    counts = counts.sort_values(["word", "lang"])
     names = sorted(counts["lang"].unique())
     column = {l: i for i, l in enumerate(names)}
     found: dict[int, dict[str, list[float]]] = {n: {} for n in (0, *ORDERS)}
@@ -143,10 +156,16 @@ def word_counts(sample: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, rows: int = FIT_ROWS, keep: int = KEEP) -> Model:
     """Fit on documents with text and language that are not held out."""
     ids = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", 4, 2))
-    sample = bounded_labels(ids.select("doc_id", "lang", "text"), "doc_id", rows).select("lang", "text")
-    counts = word_counts(sample).groupBy("word").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    best = counts.orderBy(F.desc("all"), "word").limit(keep)
-    return build(best.select("word", F.inline("by")).toPandas())
+    # one number for each language, kept as one value: the share of its rows that
+    # leaves about ``rows``
+    sizes = ids.groupBy("lang").agg((F.lit(float(rows)) / F.count(F.lit(1))).alias("share"))
+    shares = sizes.select(F.map_from_entries(F.collect_list(F.struct("lang", "share")))).scalar()
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = ids.where(place < F.try_element_at(shares, F.col("lang"))).select("lang", "text")
+    counts = word_counts(sample)
+    first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    known = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= keep).select("word").distinct()
+    return build(counts.join(known, "word").toPandas())
 
 
 def languages(docs: DataFrame) -> DataFrame:
