@@ -25,7 +25,7 @@ def quoted(x: str) -> str:
 DECONTAMINATE = f"""
 WITH it AS (SELECT item_id::VARCHAR AS item, {ITEM_WORDS.format(x='text')} AS w FROM benchmark),
 g AS (SELECT item, least(len(w), {WINDOW}) AS size, w, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS i
-      FROM it WHERE len(w) > 0 AND item IS NOT NULL),
+      FROM it WHERE len(w) > 0),
 gram AS (SELECT DISTINCT item, size, list_slice(w, i, i + size - 1) AS gram FROM g),
 d AS (SELECT doc_id, {ITEM_WORDS.format(x='text')} AS w FROM documents),
 dw AS (SELECT doc_id, k.size, w, unnest(range(1, len(w) - k.size + 2)) AS i
@@ -35,7 +35,7 @@ hit AS (SELECT dw.doc_id, dw.size, dw.i, gram.item
 pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
         FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
 ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-        FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+        FROM (SELECT DISTINCT doc_id, item FROM hit WHERE item IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

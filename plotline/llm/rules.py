@@ -166,7 +166,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, char_distance, word_distance of every row.
 
-    A null text has no words. A null language is a language of its own.
+    A null text has no words. A null and an empty language are one, a
+    language of its own.
     Distances are null for texts below the least lengths; such texts pass
     that rule."""
     rows = measures(docs)
