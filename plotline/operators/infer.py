@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from plotline.functions import labels as L
 from plotline.operators.joins import spread
+from plotline.session import stored
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's prompts.
@@ -256,6 +257,7 @@ def out_of_fold_predictions(
     (after rounding to 9 places) go to the smaller class."""
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"(?U)\W+"), lambda x: x != "")
     rows = df.select(F.col(id_col).alias("__id"), F.col(fold_col).alias("__f"), F.col(label_col).alias("__c"), tokens.alias("__w"))
+    rows = stored(rows, "tokens")  # read four times: folds and words are made once
     words = rows.select("__id", "__f", "__c", F.explode("__w").alias("__t")).groupBy("__id", "__f", "__c", "__t").agg(F.count("*").alias("__n"))
     known = words.where(F.col("__c").isNotNull())
     own = known.groupBy("__f", "__c", "__t").agg(F.sum("__n").alias("__own"))

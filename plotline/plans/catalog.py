@@ -20,7 +20,7 @@ from plotline.operators import infer as IN
 from plotline.operators import labels as LB
 from plotline.operators import score as SC
 from plotline.operators import taxonomy as TX
-from plotline.session import work_path
+from plotline.session import stored, work_path
 from plotline.sources import driver as D
 from plotline.sources import readers as R
 from plotline.sources import schemas
@@ -473,7 +473,7 @@ def q_fold_value_counts_wide(spark, sf):
     + "\nSELECT CASE WHEN fold = 2 THEN 'validation' ELSE 'train' END AS part, lang, count(*) AS count FROM f GROUP BY ALL",
 )
 def q_fold_split(spark, sf):
-    d = FO.stratified_folds(D.table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id")
+    d = stored(FO.stratified_folds(D.table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id"), "folds")
     train, validation = FO.fold_split(d, 2)
     both = train.withColumn("part", F.lit("train")).unionByName(validation.withColumn("part", F.lit("validation")))
     return both.groupBy("part", "lang").agg(F.count(F.lit(1)).alias("count"))
@@ -1137,7 +1137,7 @@ SELECT rows.id AS doc_id, rows.c AS lang, CAST(rows.f AS INTEGER) AS fold, p_dom
 @register("domain_classifier", _NB_SQL)
 def q_domain_classifier(spark, sf):
     docs = D.table(spark, sf, "documents").select("doc_id", "text", "lang")
-    d = FO.stratified_folds(docs, "lang", "doc_id")
+    d = stored(FO.stratified_folds(docs, "lang", "doc_id"), "folds")
     return IN.out_of_fold_predictions(d, "text", "lang", "doc_id").select("doc_id", "lang", "fold", "p_domains")
 
 
@@ -1146,5 +1146,5 @@ def q_trained_classifier(spark, sf):
     """The trained variant on the same folds (no SQL: a fitted model; held-out
     accuracy and fold separation are tested)."""
     docs = D.table(spark, sf, "documents").select("doc_id", "text", "lang")
-    d = FO.stratified_folds(docs, "lang", "doc_id")
+    d = stored(FO.stratified_folds(docs, "lang", "doc_id"), "folds")
     return CL.trained_out_of_fold(d, "text", "lang", "doc_id").select("doc_id", "lang", "fold", "p_domains")

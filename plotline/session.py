@@ -11,7 +11,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on. Applied only where the session leaves them unset.
 DEFAULTS = {
@@ -76,3 +76,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path of this name below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/plotline-{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared checkpoint folder and read back:
+    what is read several times is worked out once."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
