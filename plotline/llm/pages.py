@@ -31,10 +31,14 @@ from pyspark.sql import functions as F
 
 from plotline.llm.common import shared_table
 
+#: The inside of a tag: a quote opens a value only after an equals sign and if it is
+#: closed again; a tag does not go over the start of another. Nothing here is tried
+#: twice, so that a page of broken quotes takes time in proportion to its length.
+INSIDE = r"""(?>[^<>=]+|=\s*+(?:"[^"]*"|'[^']*')?+)*+"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)"
-    r"|<(script|style|noscript|template|svg|math|textarea|select|object|iframe|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
+    r"|<(script|style|noscript|template|svg|math|textarea|select|object|iframe|title)(?=[\s/>])" + INSIDE + r">.*?(?:</\1\s*>|$)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(" + INSIDE + r")>|<[!?][^<>]*+>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-hidden|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)

@@ -59,3 +59,26 @@ def test_a_rare_language_is_learned_beside_a_hot_one(spark, monkeypatch):
     assert unseen and all(got[i].lang_pred == "et" for i in unseen)
     assert all(got[i].lang_pred == "en" for i in range(3000) if i != 7)
     assert got[9000].lang_pred == got[9001].lang_pred == "und"
+
+
+def page_texts(html):
+    from plotline.llm import pages as PG
+
+    return [line.text for line in PG.page_lines(html)]
+
+
+def test_stray_quotes_swallow_no_paragraph():
+    assert page_texts("<p title=it's>First paragraph of the story.</p><p>They don't stop.</p><p>End.</p>") == [
+        "First paragraph of the story.", "They don't stop.", "End.",
+    ]
+    assert page_texts("<p title=\"a>b\" class='x>y' data = \"q\">One.</p><p \"odd>Two.</p><a href=x?a=\"b>link</a><p>Three</p>") == ["One.", "Two.", "link", "Three"]
+    assert page_texts('<script src="a>b">var a="<p>no</p>";</script><p>yes</p>x<img alt="1 > 2">y')[0] == "yes"
+
+
+@pytest.mark.parametrize("junk", ['<a "', '<a x="', "<a x='", "<script ", "<!", "<a x= ", '<a x="\'', "<p title=it's>", "</", "< "])
+def test_a_page_of_broken_markup_takes_linear_time(junk):
+    import time
+
+    start = time.process_time()
+    page_texts(junk * (1_000_000 // len(junk)) + "<p>text</p>")
+    assert time.process_time() - start < 5
