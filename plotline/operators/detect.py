@@ -3,11 +3,11 @@
 A phrase P is found in a text T when ``T rlike (?iU)\\bP\\b`` (P escaped).
 
 * ``in_place`` (phrase table within ``BROADCAST_BYTES``): the phrases are
-  broadcast as an index of word windows. A text's words are looked up among the
-  phrases' first words, which tell the lengths of their phrases; only windows of
-  those lengths are made, looked up, and verified. The texts stay where they are
-  and are split into words once. A phrase without words must be a whole run
-  between two words.
+  broadcast as an index of token windows (words and what is between them). The
+  tokens of a text are looked up among the phrases' first tokens, then their first
+  two words, which tell the lengths of their phrases; only windows of those lengths
+  are made, looked up, and verified. The texts stay where they are and are split into tokens once, in pieces
+  of bounded length. A phrase without words must be a whole run between two words.
 * ``shuffled`` (any size): every phrase has an anchor, its longest word or, without
   any, the phrase itself. Distinct words and runs of the texts are joined with the
   anchors by shuffle, and the candidates with the texts by id.
@@ -25,6 +25,8 @@ from plotline.operators.joins import spread
 
 #: Phrases are broadcast up to this many bytes of phrase text.
 BROADCAST_BYTES = 8 << 20
+#: Tokens of a text whose windows are looked up from one row.
+PIECE = 256
 _REGEX_META = r"([\\\[\]{}()*+?.^$|])"
 _WORD_RUN = r"(?U)\w+"
 _TOKEN = r"(?U)\w+|\W+"
@@ -101,23 +103,47 @@ def _tokens(text_col: str) -> Column:
 
 
 def _in_place(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Word windows. A phrase is matched by one window wherever its words stand in
-    a row, so what the index finds is what the pattern is tried on."""
-    words = F.regexp_extract_all(F.col("__folded"), F.lit(_WORD_RUN), F.lit(0))
-    keyed = ph.withColumn("__w", words).withColumn("__size", F.size("__w"))
-    # one row for each first word, or each run: the window lengths to look up (0: a run)
-    start = F.when(F.col("__size") > 0, F.get("__w", F.lit(0))).otherwise(F.col("__folded"))
-    starts = keyed.groupBy(start.alias("__start")).agg(F.collect_set("__size").alias("__sizes"))
-    key = F.when(F.col("__size") > 0, F.array_join("__w", " ")).otherwise(F.col("__folded"))
-    index = keyed.select(key.alias("__key"), F.col("__size").alias("__n"), "kind", "phrase", "__pat")
-    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), F.regexp_extract_all(fold(text_col), F.lit(_TOKEN), F.lit(0)).alias("__all"))
-    # runs stand between words, so a window of n words is 2 n - 1 tokens
-    at = d.select("__id", "__t", "__all", F.posexplode("__all").alias("__i", "__start"))
-    found = at.join(F.broadcast(starts), "__start").select("__id", "__t", "__all", "__i", "__start", F.explode("__sizes").alias("__n"))
-    span = F.slice("__all", F.col("__i") + 1, F.greatest(2 * F.col("__n") - 1, F.lit(1)))
-    window = F.array_join(F.filter(span, lambda x, k: k % 2 == 0), " ")
-    tried = found.select("__id", "__t", "__n", F.when(F.col("__n") > 0, window).otherwise(F.col("__start")).alias("__key"))
-    return tried.join(F.broadcast(index), ["__key", "__n"]).where(F.regexp_like(F.col("__t"), F.col("__pat"))).select("__id", "kind", "phrase").distinct()
+    """Token windows of bounded pieces. A phrase, without what is no word at its ends,
+    is one window of tokens wherever it is matched, so what the index finds is what
+    the pattern is tried on: on the window and two tokens on each side, which is all
+    that ``\\b`` looks at. Texts are cut into pieces of ``PIECE`` tokens or the longest
+    phrase's, so that no row carries more than that, however long a text is."""
+    trimmed = F.regexp_replace("__folded", r"(?U)^\W+|\W+$", "")
+    keyed = ph.withColumn("__key", F.when(trimmed != "", trimmed).otherwise(F.col("__folded")))
+    keyed = keyed.withColumn("__w", F.regexp_extract_all("__key", F.lit(_TOKEN), F.lit(0))).withColumn("__n", F.size("__w"))
+    # first token -> lengths of heads (a word, or two and what is between); head -> lengths of phrases
+    head_size = F.least("__n", F.lit(3))
+    starts = keyed.groupBy(F.get("__w", F.lit(0)).alias("__start")).agg(F.collect_set(head_size).alias("__heads"))
+    heads = keyed.groupBy(F.array_join(F.slice("__w", 1, 3), "").alias("__head")).agg(F.collect_set("__n").alias("__sizes"))
+    index = keyed.select("__key", "__n", "kind", "phrase", "__pat")
+    longest = keyed.agg(F.max("__n")).first()[0] or 1  # one small job
+    size = max(PIECE, longest)
+    # a piece has the tokens of the windows that start in it, and two more on each side
+    tokens = F.regexp_extract_all(F.col(text_col), F.lit(_TOKEN), F.lit(0))
+    d = docs.select(F.col(id_col).alias("__id"), tokens.alias("__all")).select("__id", "__all", F.transform("__all", fold).alias("__low"))
+
+    def cut(at):
+        before, first = F.least(at - 1, F.lit(2)), F.greatest(at - 2, F.lit(1))
+        own = F.least(F.size("__all") - at + 1, F.lit(size))
+        part = [F.slice(c, first, before + size + longest + 1).alias(c) for c in ("__all", "__low")]
+        return F.struct(before.alias("__before"), own.alias("__own"), *part)
+
+    begins = F.filter(F.sequence(F.lit(1), F.greatest(F.size("__all"), F.lit(1)), F.lit(size)), lambda _: F.size("__all") > 0)
+    pieces = d.select("__id", F.explode(F.transform(begins, cut)).alias("__p")).select("__id", "__p.*")
+    at = pieces.select("*", F.posexplode("__low").alias("__i", "__start"))
+    at = at.where((F.col("__i") >= F.col("__before")) & (F.col("__i") < F.col("__before") + F.col("__own")))
+
+    def window(n):
+        return F.array_join(F.slice("__low", F.col("__i") + 1, F.col(n)), "")
+
+    found = at.join(F.broadcast(starts), "__start").select("__id", "__all", "__low", "__i", F.explode("__heads").alias("__h"))
+    found = found.withColumn("__head", window("__h")).join(F.broadcast(heads), "__head")
+    found = found.select("__id", "__all", "__low", "__i", F.explode("__sizes").alias("__n"))
+    tried = found.select("__id", "__all", "__i", "__n", window("__n").alias("__key"))
+    left = F.least("__i", F.lit(2))
+    around = F.array_join(F.slice("__all", F.col("__i") + 1 - left, left + F.col("__n") + 2), "")
+    hits = tried.join(F.broadcast(index), ["__key", "__n"]).where(F.regexp_like(around, F.col("__pat")))
+    return hits.select("__id", "kind", "phrase").distinct()
 
 
 def _shuffled(docs: DataFrame, ph: DataFrame, id_col: str, text_col: str) -> DataFrame:

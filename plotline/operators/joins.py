@@ -8,6 +8,8 @@ has grown since the last query is planned anew.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 
@@ -20,6 +22,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     splits or more, and any frame that has been shuffled (adaptive execution
     sizes its tasks), is returned as is."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if re.search(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString()):  # a broadcast moves no rows of ``df``
         return df
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -182,3 +182,29 @@ def test_out_of_fold_bayes_by_count_subtraction(spark):
             best.append((-round(math.log(len(train)) + sum(math.log((n[t] + 1) / mass) for t in text.split()), 9), k))
         best.sort()
         assert got[i] == best[0][1] or abs(best[0][0] - best[1][0]) < 1e-6
+
+
+def test_windows_in_long_texts_and_over_the_ends_of_pieces(spark, monkeypatch):
+    import re
+
+    words = [f"w{i}" for i in range(400)]
+    texts = [("a", " ".join(words)), ("b", "--w0 w1--w2"), ("c", ""), ("d", "x(w5) y")]
+    phrases = [("p", " ".join(words[i : i + n])) for i in range(0, 300, 3) for n in (1, 2, 7)]
+    phrases += [("p", "(w5)"), ("p", "--"), ("p", "w398 W399"), ("p", "w399 w400"), ("p", " ".join(words[10:60]))]
+    d, p = spark.createDataFrame(texts, "id string, text string"), spark.createDataFrame(phrases, "kind string, phrase string").distinct()
+    want = {(i, ph) for i, t in texts for _, ph in phrases if re.search(r"\b" + re.escape(ph) + r"\b", t, re.IGNORECASE)}
+    for piece in (1, 8, 50, 256):
+        monkeypatch.setattr(DT, "PIECE", piece)
+        got = [(r["id"], r["phrase"]) for r in DT.find_phrases(d, p, strategy="in_place").collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_no_row_of_a_search_carries_a_long_text(spark):
+    # 60,000 words: with the text and its words beside every word this took minutes
+    import time
+
+    d = spark.createDataFrame([("a", "the cat sat on a mat, " * 10_000 + "the end")], "id string, text string")
+    p = spark.createDataFrame([("p", "the cat"), ("p", "mat, the end"), ("p", "the dog"), ("p", "the cat sat on the")], "kind string, phrase string")
+    began = time.time()
+    assert sorted(r["phrase"] for r in DT.find_phrases(d, p, strategy="in_place").collect()) == ["mat, the end", "the cat"]
+    assert time.time() - began < 30
