@@ -185,9 +185,10 @@ def steps(odds: np.ndarray) -> np.ndarray:
 
 class Counter:
     """What one task learns: per predictor the zeros and ones of its slots, and
-    weights learned online, some batches predicted from the counts before them."""
+    weights learned online, every batch (or one in ``tune_every``) from the second on
+    predicted from the counts before it; before the first there are none."""
 
-    def __init__(self, bits: int, n_gates: int, tune_every: int):
+    def __init__(self, bits: int, n_gates: int, tune_every: int = 1):
         self.every, self.batches, self.decisions = tune_every, 0, 0
         self.counts = [np.zeros((1 << bits, 2), np.int64) for _ in range(N)]
         self.weights = np.full((n_gates * CLASSES, N), FIRST)
@@ -195,7 +196,7 @@ class Counter:
 
     def add(self, made: Decisions, times: np.ndarray | None = None) -> None:
         """Count decisions, each ``times`` times."""
-        if self.batches % self.every == 1:
+        if self.batches and (self.batches - 1) % self.every == 0:
             self.tune(made)
         for k, c in enumerate(self.counts):
             at = made.slots(k).astype(np.int64)

@@ -4,8 +4,8 @@
    in the training documents, counted per batch and summed by shuffle. Its most
    frequent words make the lexicon, at most ``LEXICON`` of them.
 2. ``fitted``: each task codes its training texts as binary decisions (``bitmodel``)
-   and counts zeros and ones under every hashed context; some batches are predicted
-   from the counts so far before they are counted, and the gated mixing weights
+   and counts zeros and ones under every hashed context; every batch is predicted
+   from the counts so far before it is counted, and the gated mixing weights
    learn online from the errors. The tables of all tasks are summed block by block
    in one pass over sorted rows. A table has a fixed number of slots, whatever the
    corpus, so that all of them together are ``TABLE_BYTES`` and are broadcast.
@@ -49,9 +49,9 @@ LEXICON, LONG = 1 << 18, 64
 #: Words of a long document worked on at once; words of a batch, counting and
 #: scoring; letters of a batch.
 PIECE, COUNT_WORDS, SCORE_WORDS, LETTERS = 1 << 14, 120_000, 1 << 15, 300_000
-#: One batch in so many, from the second on, also trains the weights; a task's first
-#: two batches are this much smaller, so that a small task has a second one.
-TUNE_EVERY, FIRST_BATCHES = 12, 32
+#: Every batch from the second on also trains the weights; a task's first two batches
+#: are this much smaller, so that a small task has a second one.
+FIRST_BATCHES = 32
 #: Slots of a block of a table, and the bytes of all tables.
 SLOTS = 1 << 12
 TABLE_BYTES = (B.N << B.WORD_BITS) + (B.N << B.LETTER_BITS)
@@ -120,7 +120,7 @@ def fitted(rows: DataFrame, fill, bits: int, n_gates: int, name: str) -> B.Mixer
     the driver."""
 
     def count(batches):
-        task = B.Counter(bits, n_gates, TUNE_EVERY)
+        task = B.Counter(bits, n_gates)
         fill(task, batches)
         if not task.batches:
             return

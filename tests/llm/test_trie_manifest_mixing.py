@@ -298,3 +298,18 @@ def test_scores_of_empty_tables(spark):
     only = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
     (r,) = scores(spark, [(only, None, None, None, None)])
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (1, 0, 0, 0.0) and r.score < 0
+
+
+def test_every_batch_trains_the_weights():
+    import numpy as np
+
+    from plotline.llm import bitmodel as B
+
+    lex = B.Lexicon({b"a": 9, b"b": 5}, 3, 1, np.ones(257, np.int64))
+    task, sizes = B.Counter(B.WORD_BITS, B.DEPTHS), []
+    for _ in range(5):
+        made = B.of_words([(np.array([0, 1, 0, 0, lex.end]), (lex.end, lex.end))], lex)
+        sizes.append(len(made.bits))
+        task.add(made)
+    # the first batch meets empty tables; all others are predicted before they are counted
+    assert task.decisions == sum(sizes[1:])
