@@ -1,14 +1,16 @@
 """Bradley-Terry quality scores from preference pairs.
 
-A labelled sample gives preference pairs (a document marked 1 over one marked
-0). The logistic loss on differences of document features fits one weight per
-feature; a document's strength is its weighted feature sum. The threshold is
-the quantile of the sample's strengths at the share of documents marked 0,
-and scores are shifted so that it lies at ``CUT``.
-
-The sample is bounded (``FIT_ROWS`` expected rows by id hash); only its
-feature rows, a few numbers each, reach the driver. Scoring is one pass over
-the texts without a shuffle.
+The labelled documents give preference pairs (a document marked 1 over one marked
+0): every one of them is in at least ``EACH`` pairs. The logistic loss on differences
+of document features fits one weight per feature; a document's strength is its
+weighted feature sum. The threshold is the quantile of all strengths at the share of
+documents marked 0, and scores are shifted so that it lies at ``CUT``.
+
+Features are written once. The documents are dealt into groups of about ``GROUP``,
+paired inside their group; a label too rare for that is dealt into several groups.
+Every Newton step is one job that sums gradients and curvatures over the groups; the
+driver gets those sums, a few numbers for each task. Scoring is one pass over the
+texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,10 +24,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotline.llm.common import bounded_labels, held_out
+from plotline.llm.common import held_out, shared_table
 
-FIT_ROWS = 20_000
+#: Documents of a group, the least of them of either label, and pairs of each.
+GROUP, LEAST, EACH = 2_000, 64, 5
 PAIRS = 100_000
+#: Strengths between which the threshold lies come to the driver from so many on.
+NEAR = 10_000
 CUT = 0.7
 
 LOWER, UPPER, DIGITS = (bytes(range(a, b)) for a, b in ((97, 123), (65, 91), (48, 58)))
@@ -102,19 +107,109 @@ def fit_pairs(x: np.ndarray, better: np.ndarray, pairs: int = PAIRS, l2: float =
     return Ranking(mean, scale, w, threshold)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> Ranking:
-    """Fit on labelled documents that are not held out. Null labels and ids
+def dealt(rows: DataFrame, n_up: int, n_down: int) -> DataFrame:
+    """``rows`` (``doc_id, label, x``) with a ``group``. A label with fewer than LEAST
+    rows for each group is repeated in as many groups as it takes."""
+    groups = max(1, (n_up + n_down) // GROUP)
+    copies = [min(groups, -(-LEAST * groups // n)) for n in (n_down, n_up)]
+    k = F.explode(F.sequence(F.lit(0), F.when(F.col("label") == 1, copies[1] - 1).otherwise(copies[0] - 1)))
+    spot = F.pmod(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(groups)) + F.col("k"), F.lit(groups)).cast("int")
+    return rows.select("*", k.alias("k")).select(spot.alias("group"), "doc_id", "label", "x")
+
+
+def differences(up: np.ndarray, down: np.ndarray) -> np.ndarray:
+    """Differences of pairs in which each row occurs EACH times or more."""
+    n = np.arange(max(len(up), len(down)))
+    turns = [(n + k * (len(up) // EACH or 1), n + k * (len(down) // EACH * 2 or 1)) for k in range(EACH)]
+    return np.concatenate([up[i % len(up)] - down[j % len(down)] for i, j in turns])
+
+
+def summed(groups: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number of pairs, gradient and curvature of the pair loss at ``w``."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("doc_id", kind="stable")
+        z = (np.array(pdf["x"].tolist(), float) - mean) / scale
+        up, down = z[pdf["label"] == 1], z[pdf["label"] == 0]
+        if not len(up) or not len(down):
+            return pd.DataFrame({"group": [], "v": []})
+        diff = differences(up, down)
+        p = 1 / (1 + np.exp(np.clip(diff @ w, -500, 500)))  # chance of the wrong order
+        hess = (diff * (p * (1 - p))[:, None]).T @ diff
+        return pd.DataFrame({"group": pdf["group"].iloc[:1], "v": [np.concatenate(([len(diff)], p @ diff, hess.ravel()))]})
+
+    made = groups.groupBy("group").applyInPandas(one, "group int, v array<double>")
+    # sums of a task's groups, then of the tasks
+    sums = made.select("group", F.posexplode("v").alias("i", "v")).groupBy("i").agg(F.sum(F.col("v").cast("decimal(38,12)")).cast("double").alias("v"))
+    got = {r["i"]: r["v"] for r in sums.collect()}
+    d = len(w)
+    return np.array([got.get(i, 0.0) for i in range(1 + d + d * d)])
+
+
+def ranked(strengths: DataFrame, at: int, n: int) -> float:
+    """The middle between the ``at``-th smallest of ``n`` values ``s`` and the next."""
+    low, high = strengths.agg(F.min("s"), F.max("s")).first()
+    below = 0  # values under ``low``
+    inside = strengths
+    count = n
+    while count > NEAR and high > low:
+        edges = np.linspace(low, high, 1025)
+        cut = F.floor((F.col("s") - F.lit(float(low))) / F.lit(float(edges[1] - edges[0])))
+        bins = {r["b"]: r for r in inside.groupBy(cut.alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("s").alias("l"), F.max("s").alias("h")).collect()}
+        for b in sorted(bins):
+            if below + bins[b]["c"] >= at:
+                break
+            below += bins[b]["c"]
+        if bins[b]["c"] == count:
+            break
+        low, high, count = bins[b]["l"], bins[b]["h"], bins[b]["c"]
+        inside = strengths.where(F.col("s").between(float(low), float(high)))
+    ordered = [low] * count if high == low else sorted(r["s"] for r in inside.collect())
+    own = ordered[at - below - 1]
+    if at - below < len(ordered):
+        after = ordered[at - below]
+    else:
+        after = strengths.where(F.col("s") > float(high)).agg(F.min("s")).first()[0]
+    return float((own + (own if after is None else after)) / 2)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Ranking:
+    """Fit on all labelled documents that are not held out. Null labels and ids
     are ignored."""
     marked = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", 4, 2))
-    marked = bounded_labels(marked.select("doc_id", F.col(label).cast("int").alias("label")), "doc_id", rows)
+    marked = marked.select("doc_id", F.col(label).cast("int").alias("label"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"], "x": [features(t) for t in b["text"]]})
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(marked), "doc_id")
-    sample = texts.mapInPandas(run, "doc_id long, label int, x array<double>").toPandas().sort_values("doc_id", kind="stable")
-    return fit_pairs(np.array(sample["x"].tolist(), float), sample["label"].to_numpy())
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(marked, "doc_id")
+    rows = shared_table(texts.mapInPandas(run, "doc_id long, label int, x array<double>"), "quality_features")
+    d = N_FEATURES
+    x = [F.get("x", F.lit(i)) for i in range(d)]
+    n_up, n, *moments = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1)), *[F.avg(c) for c in x], *[F.stddev_pop(c) for c in x]).first()
+    if not n_up or n_up == n:
+        return Ranking(np.zeros(d), np.ones(d), np.zeros(d), 0.0)
+    mean, scale = np.array(moments[:d], float), np.array(moments[d:], float) + 1e-6
+    groups, w, l2 = dealt(rows, n_up, n - n_up), np.zeros(d), 1e-3
+    for _ in range(30):
+        total = summed(groups, mean, scale, w)
+        pairs = total[0]
+        if not pairs:
+            return Ranking(mean, scale, w, 0.0)
+        grad, hess = -total[1 : 1 + d] / pairs + l2 * w, total[1 + d :].reshape(d, d) / pairs + l2 * np.eye(d)
+        step = np.linalg.solve(hess, grad)
+        w = w - step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
+        if np.abs(step).max() < 1e-6:
+            break
+    model = Ranking(mean, scale, w, 0.0)
+
+    def strength(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"s": model.strength(np.array(b["x"].tolist(), float).reshape(-1, d))})
+
+    strengths = shared_table(rows.select("x").mapInPandas(strength, "s double"), "quality_strengths")
+    return Ranking(mean, scale, w, ranked(strengths, int(n - n_up), int(n)))
 
 
 def scored(docs: DataFrame, model: Ranking, columns: list[str]) -> DataFrame:

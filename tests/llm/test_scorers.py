@@ -312,3 +312,30 @@ def test_neighbours_are_exact_across_ranges(spark):
             continue
         best = min(beside, key=lambda o: distance(o[3], r[3]))
         assert near[r[0]]._k == best[0]
+
+
+def test_quality_is_fitted_on_every_labelled_document(spark, monkeypatch):
+    import zlib
+
+    import numpy as np
+
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, f"some good text number {i}. " * (1 + i % 7) if i % 3 else f"#### {i} | " * (1 + i % 5)) for i in range(4000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(4000)], "doc_id long, quality int")
+    monkeypatch.setattr(QU, "GROUP", 100)
+    monkeypatch.setattr(QU, "NEAR", 20)
+    m = QU.fit(docs, labels)
+    x = np.array([QU.features(r["text"].encode()) for r in docs.orderBy("doc_id").collect()])[ids]
+    assert np.allclose(m.mean, x.mean(0)) and np.allclose(m.scale, x.std(0) + 1e-6)
+    s, at = np.sort(m.strength(x)), sum(i % 3 == 0 for i in ids)
+    assert np.isclose(m.threshold, (s[at - 1] + s[at]) / 2)
+    assert ((m.score(x) >= QU.CUT) == (np.array(ids) % 3 > 0)).mean() > 0.99
+
+
+def test_every_row_is_paired():
+    import numpy as np
+
+    for a, b in ((1, 9), (64, 1900), (700, 700), (3, 2)):
+        d = QU.differences(np.arange(a, dtype=float)[:, None] * 10_000, np.arange(b, dtype=float)[:, None])
+        ups = {round((v + b) // 10_000) for v in d[:, 0]} if b < 10_000 else set()
+        assert len(d) >= QU.EACH * max(a, b) and len(ups) == a
