@@ -110,9 +110,14 @@ def route_prompts(
     order: str | None = None,
 ) -> DataFrame:
     """``prompt`` per row; classes without a template get null (they
-    take the fixed answer ``OTHEROTHER`` and never reach the model)."""
+    take the fixed answer ``OTHEROTHER`` and never reach the model).
+
+    The templates, a row for each class, are broadcast whatever their size: every
+    prompt holds one of them anyway, while texts shuffled by class would meet in as
+    many tasks as there are classes."""
     tpl = prompt_templates(taxonomy, order)
-    j = docs.join(tpl, docs[class_col] == tpl["class_id"], "left")
+    docs = spread(docs)
+    j = docs.join(F.broadcast(tpl), docs[class_col] == tpl["class_id"], "left")
     prompt = F.when(F.col("head").isNotNull(), F.concat(F.col("head"), F.col(text_col), F.col("tail")))
     return j.select(*[docs[c] for c in docs.columns], prompt.alias("prompt"))
 

@@ -208,3 +208,18 @@ def test_no_row_of_a_search_carries_a_long_text(spark):
     began = time.time()
     assert sorted(r["phrase"] for r in DT.find_phrases(d, p, strategy="in_place").collect()) == ["mat, the end", "the cat"]
     assert time.time() - began < 30
+
+
+def test_texts_stay_in_place_beside_the_templates(spark):
+    """There are as many templates as classes: texts dealt by class would meet in a
+    few tasks."""
+    tax = spark.createDataFrame(TAX, schemas.TAXONOMY)
+    docs = spark.createDataFrame([(str(i), f"text {i}", i % 3) for i in range(9)], "id string, content string, p_domains int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = IN.route_prompts(docs, tax)
+        assert "hashpartitioning(p_domains" not in p._jdf.queryExecution().executedPlan().toString()
+        assert sum(r["prompt"] is None for r in p.collect()) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
