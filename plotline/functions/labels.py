@@ -240,6 +240,12 @@ def _json_signs(x: Column) -> Column:
     return F.regexp_replace(out, r",([\]}])", "$1")  # the last comma of a tuple
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: an expression that a lambda
+    looks into is worked out again at every step, its own variable is not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def literal_to_json(text) -> Column:
     """The JSON of a Python literal: strings in either quotes with their escapes,
     numbers, None, True, False, lists, tuples and dicts; null if a string does not
@@ -259,14 +265,19 @@ def literal_to_json(text) -> Column:
         )
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("open"), F.array().cast("array<int>").alias("cuts"))
-    found = F.aggregate(pieces, start, step)
-    # places of the quotes, with the ends: signs and strings take turns between them
-    cuts = F.concat(F.array(F.lit(0)), found["cuts"], F.array(found["at"] + 1))
 
-    def part(cut, i):
-        after = F.get(cuts, i + 1)
-        said = F.slice(pieces, cut + 1, F.greatest(after - cut - 1, F.lit(0)))
-        string = F.concat(F.lit('"'), F.array_join(F.transform(said, _json_piece), ""), F.lit('"'))
-        return F.when(after.isNull(), F.lit("")).when(i % 2 == 1, string).otherwise(_json_signs(F.array_join(said, "")))
+    def joined(pieces, cuts):
+        def part(cut, i):
+            after = F.get(cuts, i + 1)
+            said = F.slice(pieces, cut + 1, F.greatest(after - cut - 1, F.lit(0)))
+            string = F.concat(F.lit('"'), F.array_join(F.transform(said, _json_piece), ""), F.lit('"'))
+            return F.when(after.isNull(), F.lit("")).when(i % 2 == 1, string).otherwise(_json_signs(F.array_join(said, "")))
+
+        return F.array_join(F.transform(cuts, part), "")
+
+    def said(pieces):
+        # places of the quotes, with the ends: signs and strings take turns between them
+        ends = lambda found: F.when(found["open"] == "", F.concat(F.array(F.lit(0)), found["cuts"], F.array(found["at"] + 1)))
+        return _let(_let(F.aggregate(pieces, start, step), ends), lambda cuts: joined(pieces, cuts))
 
-    return F.when(found["open"] == "", F.array_join(F.transform(cuts, part), ""))
+    return _let(pieces, said)

@@ -137,3 +137,9 @@ def test_schema_types_survive(spark, tmp_path):
     back = R.parse_struct(R.read_csv_by_name(spark, f"{tmp_path}/n", text), "labels").orderBy("id").collect()
     assert back[0].labels.narrative == ["a", 'b"'] and back[1].labels is None
     assert df.where(F.col("id") == 1).count() == 1
+
+
+def test_a_literal_is_scanned_once(spark):
+    df = spark.createDataFrame([("['a', 'b']",)], "t string").select(L.literal_to_json("t").alias("j"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert df.first()["j"] == '["a","b"]'
