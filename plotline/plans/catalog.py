@@ -942,7 +942,9 @@ def q_csv_round_trip(spark, sf):
 )
 def q_fold_files_by_name(spark, sf):
     """Four fold files, in the schema's order, permuted, with a column
-    more, and with one less, written by the sink and stacked by name."""
+    more, and with one less, written by the sink and stacked by name. A file is a
+    folder of part files, one from each split of the input: cells of several lines
+    keep a reader from splitting a file, so a fold in one file is one task."""
     d = D.table(spark, sf, "documents").withColumn("k", F.col("doc_id") % 4)
     d = d.select(
         "k",
@@ -951,7 +953,6 @@ def q_fold_files_by_name(spark, sf):
         (F.col("doc_id") % 3).cast("int").alias("p_domains"),
         F.col("source").alias("note"),
     )
-    d = d.repartition("k")
     layouts = (["article_id", "content", "p_domains"], ["p_domains", "content", "article_id"], ["note", "p_domains", "article_id", "content"], ["content", "article_id"])
     folder = work_path(spark, "folds")
     for k, columns in enumerate(layouts):

@@ -143,3 +143,23 @@ def test_a_literal_is_scanned_once(spark):
     df = spark.createDataFrame([("['a', 'b']",)], "t string").select(L.literal_to_json("t").alias("j"))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
     assert df.first()["j"] == '["a","b"]'
+
+
+def test_a_fold_is_as_many_files_as_its_input(spark, tmp_path):
+    """Cells of several lines keep a reader from splitting a file: a fold in one file
+    would be read by one task."""
+    from plotline.plans import catalog
+
+    docs = spark.range(400).selectExpr("id doc_id", "'a\nb' text", "'en' lang", "'s' source", "3L n_chars")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    old = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 20))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        out = catalog.QUERIES["fold_files_by_name"](spark, str(tmp_path))
+        folds = [f.split("/")[-2] for f in out.inputFiles()]
+        assert out.count() == 400
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old[0])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[1])
+    assert len(set(folds)) == 4 and all(folds.count(x) > 1 for x in folds)
