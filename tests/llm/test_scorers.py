@@ -339,3 +339,28 @@ def test_every_row_is_paired():
         d = QU.differences(np.arange(a, dtype=float)[:, None] * 10_000, np.arange(b, dtype=float)[:, None])
         ups = {round((v + b) // 10_000) for v in d[:, 0]} if b < 10_000 else set()
         assert len(d) >= QU.EACH * max(a, b) and len(ups) == a
+
+
+def test_features_are_joined_to_labels_not_texts(spark, monkeypatch):
+    """The join by id comes after the features: texts are not shuffled."""
+    from plotline.llm import quality as Q
+
+    plans = {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(Q, "shared_table", kept)
+    docs = spark.createDataFrame([(i, "good words here" if i % 2 else "||| $$$ !!!") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model = Q.fit(docs, labels)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    p = plans["quality_features"]
+    assert 0 <= p.find("SortMergeJoin") < p.find("MapInPandas")
+    up, down = model.strength(np.array([Q.features(b"good words here"), Q.features(b"||| $$$ !!!")]))
+    assert up > down
