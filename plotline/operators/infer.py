@@ -261,22 +261,27 @@ def out_of_fold_predictions(
     rest of the posterior depends only on class, fold and text length. Ties
     (after rounding to 9 places) go to the smaller class."""
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"(?U)\W+"), lambda x: x != "")
-    rows = df.select(F.col(id_col).alias("__id"), F.col(fold_col).alias("__f"), F.col(label_col).alias("__c"), tokens.alias("__w"))
+    rows = df.select(F.col(id_col).alias("__id"), F.col(fold_col).alias("__f"), F.col(label_col).alias("__c"), F.sort_array(tokens).alias("__w"))
+    # words are counted inside their row: sorted, a word is a run, known by its first place
+    first = lambda i: F.get("__w", i).isNotNull() & ((i == 0) | (F.get("__w", i) != F.get("__w", i - 1)))
+    rows = rows.withColumn("__at", F.filter(F.sequence(F.lit(0), F.greatest(F.size("__w") - 1, F.lit(0))), first))
+    run = lambda i, k: F.struct(F.get("__w", i).alias("__t"), (F.coalesce(F.get("__at", k + 1), F.size("__w")) - i).cast("long").alias("__n"))
+    rows = rows.select("__id", "__f", "__c", F.size("__w").alias("__len"), F.transform("__at", run).alias("__words"))
     rows = stored(rows, "tokens")  # read four times: folds and words are made once
-    words = rows.select("__id", "__f", "__c", F.explode("__w").alias("__t")).groupBy("__id", "__f", "__c", "__t").agg(F.count("*").alias("__n"))
+    words = rows.select("__id", "__f", "__c", F.inline("__words"))
     known = words.where(F.col("__c").isNotNull())
     own = known.groupBy("__f", "__c", "__t").agg(F.sum("__n").alias("__own"))
     total = own.groupBy("__c", "__t").agg(F.sum("__own").alias("__all"), F.collect_list(F.struct("__f", "__own")).alias("__by"))
     # rows and words of every class, in all and by fold: a few rows, kept as one array value
     classes = rows.where(F.col("__c").isNotNull()).groupBy("__c", "__f").agg(
-        F.count("*").alias("__d"), F.sum(F.size("__w")).alias("__m")
+        F.count("*").alias("__d"), F.sum("__len").alias("__m")
     )
     per_class = classes.groupBy("__c").agg(
         F.sum("__d").alias("__d"), F.sum("__m").alias("__m"), F.map_from_entries(F.collect_list(F.struct("__f", F.struct("__d", "__m")))).alias("__by")
     )
     every = per_class.select(F.collect_list(F.struct("__c", "__d", "__m", "__by"))).scalar()
     size = own.select(F.count_distinct("__t")).scalar()
-    base = rows.select("__id", "__f", F.size("__w").alias("__len"), F.explode(every).alias("__x"))
+    base = rows.select("__id", "__f", "__len", F.explode(every).alias("__x"))
     mine = F.try_element_at(F.col("__x.__by"), F.col("__f"))
     docs = F.col("__x.__d") - F.coalesce(mine["__d"], F.lit(0))
     mass = F.col("__x.__m") - F.coalesce(mine["__m"], F.lit(0)) + F.lit(smoothing) * size

@@ -223,3 +223,12 @@ def test_texts_stay_in_place_beside_the_templates(spark):
         assert sum(r["prompt"] is None for r in p.collect()) == 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_words_are_counted_inside_their_row(spark):
+    """No aggregate by (row, word): its table would hold every word of a task."""
+    rows = [(1, "b a  b", 0, 1), (2, "c", 1, 2), (3, "", 0, 2), (4, None, None, 1), (5, "c c b", 1, 1)]
+    out = IN.out_of_fold_predictions(spark.createDataFrame(rows, "id long, text string, c int, fold int"), "text", "c", "id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Aggregate" in x and "__id#" in x.split("functions=")[0] and "__t#" in x.split("functions=")[0]]
+    assert {r["id"]: r["p_domains"] for r in out.collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1}
