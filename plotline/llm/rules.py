@@ -13,8 +13,6 @@ row's window hashes.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +27,8 @@ CLASSES = {
     "stop": "[.,;:?'\"()-]",
     "mark": "[\\x00-\\x08\\x0E-\\x1F!#$%&*+/<=>@\\[\\\\\\]^_`{|}~\\x7F]",
 }
+#: Characters counted as symbols, all of them marks.
+SYMBOLS = "[#*$%&|<>]"
 #: Words of a language's reference: its most frequent ones.
 COMMON = 20
 #: Distances above these reject a text.
@@ -82,21 +82,35 @@ def with_repeated_words(rows: DataFrame, size: int = 5) -> DataFrame:
     return rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("_windows", "_sorted")
 
 
+def with_class_counts(rows: DataFrame) -> DataFrame:
+    """``rows`` (text) with chars (counts by class) and n_symbols. Classes share no
+    character: each is taken out of what the ones before it left, run by run, and
+    what is missing then is its count. Symbols are marks, so they are looked for among
+    what the other classes leave. Every rest is a column, worked out once."""
+    names = [c for c in CLASSES if c != "mark"]
+    rows = rows.withColumn("_rest", F.col("text"))
+    for k, name in enumerate([*names, "symbol", "mark"]):
+        pattern = SYMBOLS if name == "symbol" else CLASSES[name]
+        rows = rows.withColumn("_less", F.regexp_replace("_rest", f"{pattern}+", ""))
+        rows = rows.withColumn(f"_n_{name}", (F.length("_rest") - F.length("_less")).cast("long")).withColumn("_rest", F.col("_less"))
+    marks = F.col("_n_symbol") + F.col("_n_mark")
+    counts = [marks if c == "mark" else F.col(f"_n_{c}") for c in CLASSES]
+    return rows.withColumn("chars", F.array(*counts, F.length("_rest").cast("long"))).withColumn("n_symbols", F.col("_n_symbol"))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """doc_id, lang, the base counts, ``chars`` (counts by class) and ``w``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", "lang", text.alias("text"), words(F.col("text")).alias("w"))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    classes = [F.regexp_count("text", F.lit(p)).cast("long") for p in CLASSES.values()]
-    rest = F.length("text").cast("long") - reduce(lambda a, b: a + b, classes)
+    rows = with_class_counts(docs.select("doc_id", "lang", text.alias("text"), words(F.col("text")).alias("w")))
+    rows = rows.withColumn("_lines", F.filter(F.split("text", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
     return rows.select(
         "doc_id",
         "lang",
         F.size("w").cast("long").alias("n_words"),
-        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
-        F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.array(*classes, rest).alias("chars"),
+        (F.length("text") - F.col("_n_space")).cast("long").alias("word_chars"),
+        "n_symbols",
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        "chars",
         "w",
     )
 
