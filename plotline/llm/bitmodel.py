@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -105,8 +106,7 @@ class Lexicon:
     def numbered(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """A number for each word and the end, and the words outside, which get
         numbers above ``escape``."""
-        get = self.ids.get
-        out = np.array([*[get(w, -1) for w in words], self.end], np.int64)
+        out = np.fromiter(chain(map(self.ids.get, words, repeat(-1)), (self.end,)), np.int64, len(words) + 1)
         at = np.flatnonzero(out < 0)
         others = [words[i] for i in at]
         out[at] = [self.escape + 1 + zlib.crc32(w) for w in others]
@@ -114,27 +114,31 @@ class Lexicon:
 
 
 class Decisions:
-    """Binary decisions of several sequences: their bits, contexts and gates."""
+    """Binary decisions of several sequences: their bits, contexts (None: none) and
+    gates."""
 
-    def __init__(self, code: Code, symbols: np.ndarray, hashes: list[np.ndarray], bits: int, deep: bool):
+    def __init__(self, code: Code, symbols: np.ndarray, hashes: list[np.ndarray | None], bits: int, deep: bool):
         self.table_bits = bits
         self.lengths, nodes, self.bits = code.decisions(symbols)
         self.salt = code.salt[nodes]
         self.gate = (code.depth[nodes] if deep else nodes).astype(np.int32) * CLASSES
-        self.hashes = [(h >> np.uint64(32)).astype(np.uint32) for h in hashes]
+        self.hashes = [None if h is None else (h >> np.uint64(32)).astype(np.uint32) for h in hashes]
 
     def slots(self, k: int) -> np.ndarray:
         """The slot of every decision in the table of predictor ``k``."""
-        h = np.repeat(self.hashes[k], self.lengths)
-        h += self.salt
+        if self.hashes[k] is None:
+            h = self.salt.copy()
+        else:
+            h = np.repeat(self.hashes[k], self.lengths)
+            h += self.salt
         h *= np.uint32(0x85EBCA6B)
         h >>= np.uint32(32 - self.table_bits)
         return h
 
 
-def of_words(parts, lexicon: Lexicon) -> Decisions:
+def of_words(parts, lexicon: Lexicon, order: np.ndarray | None = None) -> Decisions:
     """Decisions of parts of documents, ``(numbers, before)``: the words' numbers and
-    the two numbers before the first. Adds ``sizes`` of the parts."""
+    the two numbers before the first; all words in turn, or in this ``order``."""
     numbers = np.concatenate([p[0] for p in parts])
     sizes = np.array([len(p[0]) for p in parts])
     first = np.cumsum(sizes) - sizes
@@ -143,10 +147,10 @@ def of_words(parts, lexicon: Lexicon) -> Decisions:
     one[first], two[first] = before[:, 0], before[:, 1]
     two[first[long] + 1] = before[long, 0]
     one, two = one.astype(np.uint64) + np.uint64(1), two.astype(np.uint64) + np.uint64(1)
-    hashes = [np.zeros(len(numbers), np.uint64), one * _ODD, (one * _ODD + two) * _ODD]
-    out = Decisions(lexicon.words, np.minimum(numbers, lexicon.escape), hashes, WORD_BITS, True)
-    out.sizes = sizes
-    return out
+    if order is not None:
+        numbers, one, two = numbers[order], one[order], two[order]
+    hashes = [None, one * _ODD, (one * _ODD + two) * _ODD]
+    return Decisions(lexicon.words, np.minimum(numbers, lexicon.escape), hashes, WORD_BITS, True)
 
 
 def of_letters(words: list[bytes], lexicon: Lexicon) -> Decisions:
@@ -178,6 +182,12 @@ def log_odds(ones: np.ndarray, both: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
+def looked_up(counts: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Log odds under the counts (zeros, ones) of slots."""
+    pair = np.take(counts, slots, axis=0) + PRIOR
+    return np.log(pair[:, 1] / pair[:, 0])
+
+
 def steps(odds: np.ndarray) -> np.ndarray:
     """Log odds as a table's bytes."""
     return np.clip(np.rint(odds * SCALE), -127, 127).astype(np.int8)
@@ -196,26 +206,28 @@ class Counter:
 
     def add(self, made: Decisions, times: np.ndarray | None = None) -> None:
         """Count decisions, each ``times`` times."""
+        slots = [made.slots(k) for k in range(N)]
         if self.batches and (self.batches - 1) % self.every == 0:
-            self.tune(made)
-        for k, c in enumerate(self.counts):
-            at = made.slots(k).astype(np.int64)
+            self.tune(made, slots)
+        for c in self.counts:
+            at = slots.pop(0).astype(np.int64)
             at *= 2
             at += made.bits
             np.add(c, np.bincount(at, times, c.size).reshape(c.shape), out=c, casting="unsafe")
         self.batches += 1
 
-    def tune(self, made: Decisions) -> None:
-        slots = [made.slots(k) for k in range(N)]
+    def tune(self, made: Decisions, slots: list[np.ndarray]) -> None:
         for a in range(0, len(made.bits), UPDATE):
             cut = slice(a, a + UPDATE)
-            found = [c[at[cut]] for c, at in zip(self.counts, slots)]
-            x = np.stack([log_odds(f[:, 1], f.sum(1)) for f in found], 1)
-            gate = made.gate[cut] + (x[:, 1:] != 0).sum(1)
-            z = np.clip(np.einsum("ij,ij->i", x, self.weights[gate]), -12, 12)
+            x = [looked_up(c, at[cut]) for c, at in zip(self.counts, slots)]
+            gate = made.gate[cut].astype(np.intp)
+            for v in x[1:]:
+                gate += v != 0
+            z = sum(v * np.take(w, gate) for v, w in zip(x, self.weights.T))
+            np.clip(z, -12, 12, out=z)
             error = made.bits[cut] - 1 / (1 + np.exp(-z))
-            for j in range(N):
-                g = np.bincount(gate, error * x[:, j], len(self.weights))
+            for j, v in enumerate(x):
+                g = np.bincount(gate, error * v, len(self.weights))
                 self.squares[:, j] += g * g
                 self.weights[:, j] += RATE * g / np.sqrt(self.squares[:, j] + 1e-3)
             self.decisions += len(z)
@@ -249,16 +261,16 @@ def word_bits(mixer: Mixer, parts, gains: np.ndarray, lexicon: Lexicon) -> tuple
     gains of 1 on the mix of each class and refines them every STEP words: ``gains``
     (parts x CLASSES x 2: gradients and curvatures so far) are returned as they are
     after the part."""
-    made = of_words(parts, lexicon)
-    z, seen = mixer.mixed(made)
-    n, sizes = len(parts), made.sizes
+    n, sizes = len(parts), np.array([len(p[0]) for p in parts])
     part = np.repeat(np.arange(n), sizes)
     step = (np.arange(len(part)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) // STEP
-    steps = np.repeat(step.astype(np.int16), made.lengths)
-    order = np.argsort(steps, kind="stable")
-    cell = (np.repeat((part * CLASSES).astype(np.int32), made.lengths) + seen)[order]
-    z, sign = z[order], (1 - 2 * made.bits)[order].astype(np.float32)
-    ends = np.cumsum(np.bincount(steps))
+    # words are put in order of their steps before they become decisions
+    order = np.argsort(step.astype(np.int16), kind="stable")
+    made = of_words(parts, lexicon, order)
+    z, seen = mixer.mixed(made)
+    cell = np.repeat(part[order] * CLASSES, made.lengths) + seen
+    sign = (1 - 2 * made.bits).astype(np.float32)
+    ends = np.cumsum(np.bincount(step[order], made.lengths)).astype(np.int64)
     slope, bend = gains[..., 0].reshape(-1).copy(), gains[..., 1].reshape(-1).copy()
     cost = np.zeros(n * CLASSES)
     for a, b in zip([0, *ends[:-1]], ends):
