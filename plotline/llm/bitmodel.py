@@ -81,6 +81,7 @@ class Code:
             at, put, left = np.where(on, parent[at], at), put - 1, left - 1
         self.n_nodes = n - 1
         self.depth = np.minimum(depth[n:], DEPTHS - 1)
+        self.gate = (self.depth * CLASSES).astype(np.int32)
         self.salt = ((np.arange(n - 1, dtype=np.uint64) + np.uint64(salt)) * _ODD >> np.uint64(32)).astype(np.uint32)
 
     def decisions(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,7 +122,7 @@ class Decisions:
         self.table_bits = bits
         self.lengths, nodes, self.bits = code.decisions(symbols)
         self.salt = code.salt[nodes]
-        self.gate = (code.depth[nodes] if deep else nodes).astype(np.int32) * CLASSES
+        self.gate = code.gate[nodes] if deep else nodes * np.int32(CLASSES)
         self.hashes = [None if h is None else (h >> np.uint64(32)).astype(np.uint32) for h in hashes]
 
     def slots(self, k: int) -> np.ndarray:
@@ -185,7 +186,8 @@ def log_odds(ones: np.ndarray, both: np.ndarray) -> np.ndarray:
 def looked_up(counts: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Log odds under the counts (zeros, ones) of slots."""
     pair = np.take(counts, slots, axis=0) + PRIOR
-    return np.log(pair[:, 1] / pair[:, 0])
+    odds = pair[:, 1] / pair[:, 0]
+    return np.log(odds, out=odds)
 
 
 def steps(odds: np.ndarray) -> np.ndarray:
@@ -244,7 +246,8 @@ class Mixer:
         """Log odds of a one, and class, of every decision."""
         x = [np.take(table, made.slots(k)) for k, table in enumerate(self.tables)]
         seen = sum((v != 0).view(np.int8) for v in x[1:])
-        gate = made.gate + seen
+        gate = made.gate.astype(np.intp)
+        gate += seen
         return sum(v * np.take(w, gate) for v, w in zip(x, self.weights)), seen
 
 
@@ -276,8 +279,12 @@ def word_bits(mixer: Mixer, parts, gains: np.ndarray, lexicon: Lexicon) -> tuple
     for a, b in zip([0, *ends[:-1]], ends):
         c, raw, s = cell[a:b], z[a:b], sign[a:b]
         gain = np.clip(1 + slope / (bend + FIRM), 0.2, 3).astype(np.float32)
-        odds = np.clip(raw * np.take(gain, c), -12, 12)
-        wrong = 1 / (1 + np.exp(-s * odds))
+        wrong = raw * np.take(gain, c)
+        np.clip(wrong, -12, 12, out=wrong)
+        wrong *= -s
+        np.exp(wrong, out=wrong)
+        wrong += 1
+        np.divide(1, wrong, out=wrong)
         cost += np.bincount(c, -np.log1p(-wrong), len(cost))
         pull = wrong * raw
         slope -= np.bincount(c, s * pull, len(slope))

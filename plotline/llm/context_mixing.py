@@ -277,7 +277,7 @@ def scored(docs: DataFrame, mixer: Broadcast, lexicon: Broadcast, below: float)
                 known = int((lex.counts[own] > 0).sum())
                 seen = Counter(others)
                 said = b" ".join(seen).decode("utf-8", "surrogatepass") if seen else None
-                n_bytes = sum(map(len, words)) + max(0, len(words) - 1)
+                n_bytes = len(b" ".join(words))
                 rows.append(
                     [doc_id, held, len(numbers), known, float(logs[own].sum()), said, list(seen.values()), n_bytes, 0.0, np.zeros((B.CLASSES, 2))]
                 )
