@@ -48,30 +48,36 @@ def words(text: Column) -> Column:
 
 def with_repeated_words(rows: DataFrame, size: int = 5) -> DataFrame:
     """``rows`` (w: words) with n_repeat_words: words inside windows of ``size``
-    words that occur twice or more. Windows are sorted by hash; those equal to
-    a neighbour are repeated, and the positions they cover are united. Each
-    array is a column before a lambda looks into it, else every step of the
-    lambda would build it again."""
+    words that occur twice or more. A window's hash is one of the hashes of shorter
+    windows it is made of. Windows of ``size`` are hashed only where two of about
+    ``size`` / 2 words or more have one hash. Where some hashes are equal, windows are
+    sorted by them; those equal to a neighbour are repeated, and the positions they
+    cover are united. Each array is a column before a lambda looks into it, else every
+    step of the lambda would build it again."""
     n = F.size("w") - size + 1
-    rows = rows.withColumn(
-        "_windows",
-        F.when(
-            n >= 2,
-            F.transform(
-                F.sequence(F.lit(0), n - 1),
-                lambda i: F.struct(F.xxhash64(*[F.get("w", i + k) for k in range(size)]).alias("h"), i.alias("i")),
-            ),
-        ),
-    )
-    repeats = F.size(F.array_distinct(F.col("_windows.h"))) < n
-    rows = rows.withColumn("_sorted", F.when(repeats, F.array_sort("_windows")))
+
+    def joined(a: Column, b: str, at: int) -> Column:
+        return F.zip_with(a, F.slice(b, F.lit(at + 1), F.size("w")), lambda x, y: F.xxhash64(x, y))
+
+    have = 1
+    rows = rows.withColumn("_windows", F.when(n >= 2, F.col("w")))
+    while 2 * have <= size:  # places whose window would pass the end are cut off
+        rows = rows.withColumn("_windows", F.slice(joined(F.col("_windows"), "_windows", have), F.lit(1), F.size("w") - 2 * have + 1))
+        have *= 2
+    rows = rows.withColumn("_windows", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.col("_windows")))
+    for k in range(have, size):
+        rows = rows.withColumn("_windows", joined(F.col("_windows"), "w", k))
+    rows = rows.withColumn("_windows", F.slice("_windows", F.lit(1), F.greatest(n, F.lit(0))))
+    repeats = F.size(F.array_distinct("_windows")) < n
+    rows = rows.withColumn("_sorted", F.when(repeats, F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+    rows = rows.withColumn("_sorted", F.sort_array("_sorted"))
 
     def same(a: Column, b: Column) -> Column:
         equal = (a["h"] == b["h"]) & (F.slice("w", a["i"] + 1, size) == F.slice("w", b["i"] + 1, size))
         return F.coalesce(equal, F.lit(False))
 
     twice = F.filter("_sorted", lambda x, k: same(x, F.get("_sorted", k - 1)) | same(x, F.get("_sorted", k + 1)))
-    starts = F.array_sort(F.transform(twice, lambda x: x["i"]))
+    starts = F.sort_array(F.transform(twice, lambda x: x["i"]))
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate(
         starts,
@@ -83,13 +89,15 @@ def with_repeated_words(rows: DataFrame, size: int = 5) -> DataFrame:
 
 
 def with_class_counts(rows: DataFrame) -> DataFrame:
-    """``rows`` (text) with chars (counts by class) and n_symbols. Classes share no
+    """``rows`` (text, w) with chars (counts by class) and n_symbols. Classes share no
     character: each is taken out of what the ones before it left, run by run, and
-    what is missing then is its count. Symbols are marks, so they are looked for among
-    what the other classes leave. Every rest is a column, worked out once."""
-    names = [c for c in CLASSES if c != "mark"]
-    rows = rows.withColumn("_rest", F.col("text"))
-    for k, name in enumerate([*names, "symbol", "mark"]):
+    what is missing then is its count; the words without what is between them leave
+    all but white space. Symbols are marks, so they are looked for among what the
+    other classes leave. Every rest is a column, worked out once."""
+    names = [c for c in CLASSES if c not in ("mark", "space")]
+    rows = rows.withColumn("_rest", F.array_join("w", ""))
+    rows = rows.withColumn("_n_space", (F.length("text") - F.length("_rest")).cast("long"))
+    for name in [*names, "symbol", "mark"]:
         pattern = SYMBOLS if name == "symbol" else CLASSES[name]
         rows = rows.withColumn("_less", F.regexp_replace("_rest", f"{pattern}+", ""))
         rows = rows.withColumn(f"_n_{name}", (F.length("_rest") - F.length("_less")).cast("long")).withColumn("_rest", F.col("_less"))
@@ -150,10 +158,16 @@ def with_reference(rows: DataFrame, reference: DataFrame) -> DataFrame:
 
 def with_word_counts(rows: DataFrame) -> DataFrame:
     """``rows`` (w, common) with by_word: counts of each common word, and of all
-    other words, last."""
-    rows = rows.withColumn("_inside", F.filter("w", lambda x: F.array_contains("common", x)))
-    counts = F.transform("common", lambda c: F.size(F.filter("_inside", lambda x: x == c)).cast("long"))
-    return rows.withColumn("by_word", F.concat(counts, F.array((F.size("w") - F.size("_inside")).cast("long")))).drop("_inside")
+    other words, last. Common words are taken out one by one; what is missing then is
+    their count."""
+    rest, sizes = F.col("w"), []
+    for k in range(COMMON):
+        sizes.append(F.size(rest))
+        # a place beyond the language's common words takes nothing out: no word is empty
+        rest = F.array_remove(rest, F.coalesce(F.get("common", F.lit(k)), F.lit("")))
+    sizes = [n.cast("long") for n in [*sizes, F.size(rest)]]
+    counts = F.array(*[a - b for a, b in zip(sizes, sizes[1:])])
+    return rows.withColumn("by_word", F.concat(F.slice(counts, F.lit(1), F.size("common")), F.array(sizes[-1])))
 
 
 def measures(docs: DataFrame) -> DataFrame:

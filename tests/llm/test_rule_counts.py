@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import random
 import re
 
 from plotline.llm import rules as RU
@@ -27,3 +28,32 @@ def test_no_list_of_single_characters_is_built(spark):
     with contextlib.redirect_stdout(out):
         RU.measured(spark.createDataFrame([(1, "x", "en")], SCHEMA)).explain(True)
     assert "regexp_extract_all" not in out.getvalue() and "regexp_replace" in out.getvalue()
+
+
+def covered(w, size):
+    at = {}
+    for i in range(len(w) - size + 1):
+        at.setdefault(tuple(w[i : i + size]), []).append(i)
+    return len({k for found in at.values() if len(found) > 1 for i in found for k in range(i, i + size)})
+
+
+def test_repeated_and_common_words_equal_plain_counts(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["a", "b", "c.", "ä", "$1"], k=n)) for n in (0, 1, 4, 5, 6, 7, 9, 30, 400)]
+    texts += ["x y z u v " * 2 + "x y z u", "x y z u q x y z u r", "a a a a a a", "a a a a a", "\\E.* | \\E.* (a"]
+    rows = [(i, t.split(), common) for i, t in enumerate(texts) for common in ([], ["a"], ["\\E.*", "a", "$1", "zz"])]
+    df = spark.createDataFrame(rows, "doc_id long, w array<string>, common array<string>")
+    for size in (2, 3, 4, 5, 8):
+        for r in RU.with_repeated_words(df, size).collect():
+            assert r.n_repeat_words == covered(r.w, size), (size, r.w)
+    for r in RU.with_word_counts(df).collect():
+        assert r.by_word == [*(r.w.count(c) for c in r.common), sum(x not in r.common for x in r.w)]
+
+
+def test_words_are_not_looked_at_one_by_one_for_each_common_word(spark):
+    """A lambda over the words is not compiled; it took most of the time of the counts."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df = spark.createDataFrame([(["a"], ["a"])], "w array<string>, common array<string>")
+        RU.with_word_counts(df).explain(True)
+    assert "lambda" not in out.getvalue()
