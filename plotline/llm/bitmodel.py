@@ -121,21 +121,33 @@ class Decisions:
     def __init__(self, code: Code, symbols: np.ndarray, hashes: list[np.ndarray | None], bits: int, deep: bool):
         self.table_bits = bits
         self.lengths, nodes, self.bits = code.decisions(symbols)
-        self.salt = code.salt[nodes]
+        self.code, self.nodes, self.salt = code, nodes, code.salt[nodes]
         self.gate = code.gate[nodes] if deep else nodes * np.int32(CLASSES)
         self.hashes = [None if h is None else (h >> np.uint64(32)).astype(np.uint32) for h in hashes]
 
     def slots(self, k: int) -> np.ndarray:
         """The slot of every decision in the table of predictor ``k``."""
         if self.hashes[k] is None:
-            h = self.salt.copy()
-        else:
-            h = np.repeat(self.hashes[k], self.lengths)
-            h += self.salt
+            return self.node_slots()[self.nodes]
+        h = np.repeat(self.hashes[k], self.lengths)
+        h += self.salt
+        return self.hashed(h)
+
+    def node_slots(self) -> np.ndarray:
+        """Without a context the slot is the node's own: the slots of all nodes."""
+        return self.hashed(self.code.salt.copy())
+
+    def hashed(self, h: np.ndarray) -> np.ndarray:
         h *= np.uint32(0x85EBCA6B)
         h >>= np.uint32(32 - self.table_bits)
         return h
 
+    def values(self, k: int, table: np.ndarray) -> np.ndarray:
+        """What ``table`` has for predictor ``k`` at every decision."""
+        if self.hashes[k] is None and len(self.code.salt) < len(self.nodes):
+            return np.take(np.take(table, self.node_slots()), self.nodes)
+        return np.take(table, self.slots(k))
+
 
 def of_words(parts, lexicon: Lexicon, order: np.ndarray | None = None) -> Decisions:
     """Decisions of parts of documents, ``(numbers, before)``: the words' numbers and
@@ -185,7 +197,8 @@ def log_odds(ones: np.ndarray, both: np.ndarray) -> np.ndarray:
 
 def looked_up(counts: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Log odds under the counts (zeros, ones) of slots."""
-    pair = np.take(counts, slots, axis=0) + PRIOR
+    pairs = counts.view(f"V{2 * counts.itemsize}").reshape(-1)  # one thing to fetch, not two
+    pair = np.take(pairs, slots).view(counts.dtype).reshape(-1, 2) + PRIOR
     odds = pair[:, 1] / pair[:, 0]
     return np.log(odds, out=odds)
 
@@ -201,8 +214,8 @@ class Counter:
     predicted from the counts before it; before the first there are none."""
 
     def __init__(self, bits: int, n_gates: int, tune_every: int = 1):
-        self.every, self.batches, self.decisions = tune_every, 0, 0
-        self.counts = [np.zeros((1 << bits, 2), np.int64) for _ in range(N)]
+        self.every, self.batches, self.decisions, self.counted = tune_every, 0, 0, 0
+        self.counts = [np.zeros((1 << bits, 2), np.int32) for _ in range(N)]
         self.weights = np.full((n_gates * CLASSES, N), FIRST)
         self.squares = np.zeros_like(self.weights)
 
@@ -211,17 +224,23 @@ class Counter:
         slots = [made.slots(k) for k in range(N)]
         if self.batches and (self.batches - 1) % self.every == 0:
             self.tune(made, slots)
+        self.counted += len(made.bits) if times is None else int(times.sum())
+        if self.counted > np.iinfo(self.counts[0].dtype).max:  # no slot can have more than this
+            self.counts = [c.astype(np.int64) for c in self.counts]
         for c in self.counts:
             at = slots.pop(0).astype(np.int64)
             at *= 2
             at += made.bits
-            np.add(c, np.bincount(at, times, c.size).reshape(c.shape), out=c, casting="unsafe")
+            np.add.at(c.reshape(-1), at, c.dtype.type(1) if times is None else times.astype(c.dtype))
         self.batches += 1
 
     def tune(self, made: Decisions, slots: list[np.ndarray]) -> None:
+        own = None
+        if made.hashes[0] is None:  # one number for each node: worked out once
+            own = looked_up(self.counts[0], made.node_slots())
         for a in range(0, len(made.bits), UPDATE):
             cut = slice(a, a + UPDATE)
-            x = [looked_up(c, at[cut]) for c, at in zip(self.counts, slots)]
+            x = [looked_up(c, at[cut]) if k or own is None else np.take(own, made.nodes[cut]) for k, (c, at) in enumerate(zip(self.counts, slots))]
             gate = made.gate[cut].astype(np.intp)
             for v in x[1:]:
                 gate += v != 0
@@ -244,7 +263,7 @@ class Mixer:
 
     def mixed(self, made: Decisions) -> tuple[np.ndarray, np.ndarray]:
         """Log odds of a one, and class, of every decision."""
-        x = [np.take(table, made.slots(k)) for k, table in enumerate(self.tables)]
+        x = [made.values(k, table) for k, table in enumerate(self.tables)]
         seen = sum((v != 0).view(np.int8) for v in x[1:])
         gate = made.gate.astype(np.intp)
         gate += seen

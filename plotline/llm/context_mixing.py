@@ -14,8 +14,9 @@
 3. ``scored``: every text, whole, in one pass. The predictors' log odds are mixed by
    the weights of the decision's gate, and the mix of each class by a gain that
    the document itself refines as it goes on.
-4. Words outside the lexicon are joined, distinct, with their counts (for the
-   baseline) and spelled once each; their bits come back to the documents by a sum.
+4. Words outside the lexicon, those of the token table and those that only held-out
+   documents have, are spelled once each; their bits and counts (for the baseline)
+   come back to the documents by a join and a sum.
 
 The model's text is the sequence of its words with one space between, A-Z
 lower-cased, and its end: ``bits_per_byte`` counts those bytes.
@@ -37,7 +38,7 @@ import pandas as pd
 import zstandard
 from pyspark import cloudpickle
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotline.llm import bitmodel as B
@@ -83,10 +84,15 @@ def token_table(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def of_lexicon(total: int) -> Column:
+    """Is a row of the token table a word of the lexicon?"""
+    return (F.col("n") >= 2) & (F.col("n") * LEXICON >= total) & (F.octet_length("token") <= LONG) & (F.col("token") != "")
+
+
 def lexicon(tokens: DataFrame, total: int) -> B.Lexicon:
     """The lexicon of a written token table: at most LEXICON words come to the
     driver, and the letters' counts of all others."""
-    own = (F.col("n") >= 2) & (F.col("n") * LEXICON >= total) & (F.octet_length("token") <= LONG) & (F.col("token") != "")
+    own = of_lexicon(total)
     counts = {r["token"].encode("utf-8", "surrogatepass"): r["n"] for r in tokens.where(own).orderBy(F.desc("n"), "token").toLocalIterator()}
 
     def letters(batches):
@@ -130,7 +136,7 @@ def fitted(rows: DataFrame, fill, bits: int, n_gates: int, name: str) -> B.Mixer
             for at in range(0, len(counts), SLOTS):
                 block = counts[at : at + SLOTS]
                 if block.any():
-                    out.append((k, at // SLOTS, pack(block.tobytes())))
+                    out.append((k, at // SLOTS, pack(block.astype(np.int64).tobytes())))
             if out:
                 yield pd.DataFrame(out, columns=["part", "block", "data"])
         if task.decisions:
@@ -316,8 +322,10 @@ def language_model_scores(docs: DataFrame, held_out) -> DataFrame:
     letters = shared_value(spark, letter_model(tokens, shared, lex.letters.n_nodes))
     said = F.posexplode(F.split("rare", " ", -1)).alias("k", "token")
     rare = done.select("_row", "times", said).select("_row", "token", F.get("times", F.col("k")).alias("n"))
-    distinct_rare = rare.select("token").distinct().join(tokens.select("token", F.col("n").alias("c")), "token", "left")
-    costs = shared_table(spelled(distinct_rare.select("token", F.coalesce("c", F.lit(0)).alias("c")), letters, shared), "mixing_spelled")
+    # words outside the lexicon: those of the token table, and what only held-out rows say
+    known = tokens.where(~of_lexicon(total) & (F.col("token") != "")).select("token", F.col("n").alias("c"))
+    new = done.where("held_out").select(F.explode(F.split("rare", " ", -1)).alias("token")).distinct().join(known, "token", "left_anti")
+    costs = shared_table(spelled(known.unionByName(new.withColumn("c", F.lit(0).cast("long"))), letters, shared), "mixing_spelled")
     rare = rare.join(costs, "token").groupBy("_row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_rare"),
         F.sum(F.col("n") * (F.log10(F.col("c") + 1) - F.lit(below))).alias("base_rare"),

@@ -43,3 +43,30 @@ def test_words_put_in_another_order_keep_their_decisions():
     assert (moved.bits == turn.bits[back]).all() and (moved.gate == turn.gate[back]).all()
     for k in range(B.N):
         assert (moved.slots(k) == turn.slots(k)[back]).all()
+
+
+def test_counts_widen_before_they_overflow():
+    lex = small()
+    task = B.Counter(B.LETTER_BITS, lex.letters.n_nodes)
+    words = [b"ab", b"zz"]
+    one = B.of_letters(words, lex)
+    assert all(c.dtype == np.int32 for c in task.counts)  # half the memory while it is enough
+    for _ in range(3):
+        task.add(one, np.full(len(one.bits), float(1 << 30)))
+    for c in task.counts:
+        assert c.dtype == np.int64 and c.sum() == 3 * (1 << 30) * len(one.bits)
+
+
+def test_values_of_nodes_equal_values_of_slots():
+    rng, lex = np.random.default_rng(8), small()
+    _, words = made(rng, lex)
+    task = B.Counter(B.WORD_BITS, B.DEPTHS)
+    table = rng.integers(-127, 128, 1 << B.WORD_BITS).astype(np.int8)
+    for k in range(B.N):
+        assert (words.values(k, table) == table[words.slots(k)]).all()
+    salted = words.salt * np.uint32(0x85EBCA6B) >> np.uint32(32 - B.WORD_BITS)
+    assert (words.slots(0) == salted).all()
+    task.add(words)
+    for k in range(B.N):
+        plain = np.bincount(words.slots(k).astype(np.int64) * 2 + words.bits, minlength=2 << B.WORD_BITS)
+        assert (task.counts[k].reshape(-1) == plain).all()
