@@ -82,21 +82,27 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())  # at most 13 numbers
     small = grams.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     tokens = docs.select(*row_key(), words(F.col("text")).alias("w")).where("size(w) > 0")
-    at = tokens.select("_pl_id", "_pl_text", "w", F.posexplode("w").alias("at", "_word")).drop("_word")
+    length = F.size("w").cast("long").alias("n_words")
+    at = tokens.select("_pl_id", "_pl_text", length, "w", F.posexplode("w").alias("at", "_word")).drop("_word")
     if sizes == [WINDOW] or not sizes:
         at = at.withColumn("size", F.lit(WINDOW)).withColumn("h", window_hash(F.col("w"), F.col("at"), WINDOW))
     else:
         keys = [F.struct(F.lit(k).alias("size"), window_hash(F.col("w"), F.col("at"), k).alias("h")) for k in sizes]
         at = at.withColumn("key", F.explode(F.array(*keys))).select("*", "key.size", "key.h").drop("key")
-    found = at.join(F.broadcast(grams) if small else grams, ["h", "size"])
-    found = found.where(F.slice("w", F.col("at") + 1, F.col("size")) == F.col("gram"))
+    here = F.slice("w", F.col("at") + 1, F.col("size"))
+    if not small:  # a shuffled position takes its window along, not all words of its text
+        at = at.withColumn("here", here).drop("w")
+        here = F.col("here")
+    found = at.join(F.broadcast(grams) if small else grams, ["h", "size"]).where(here == F.col("gram"))
+    # nor does a hit: with all words beside each, a text's hits grow with the square of its length
+    found = found.select("_pl_id", "_pl_text", "n_words", "at", "size", "items")
     span = F.struct(F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
     return (
         found.groupBy("_pl_id", "_pl_text")
         .agg(
             F.array_sort(F.collect_set(span)).alias("spans"),
             F.flatten(F.collect_set("items")).alias("items"),
-            F.max(F.size("w")).cast("long").alias("n_words"),
+            F.max("n_words").alias("n_words"),
         )
         .select("_pl_id", "_pl_text", "spans", "n_words", united(F.col("spans")).alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"))
     )

@@ -82,6 +82,20 @@ def test_items_without_id_contaminate(spark):
     assert [r.doc_id for r in DC.without_contaminated(docs, items).collect()] == [3]
 
 
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_a_hit_takes_no_more_than_its_window_along(spark, monkeypatch, most):
+    monkeypatch.setattr(DC, "BROADCAST_WINDOWS", most)
+    passage = [f"word{i}" for i in range(400)]
+    docs = table(spark, [(1, " ".join(passage * 2), "en", "a", 1)])
+    found = DC.hits(docs, spark.createDataFrame([(7, " ".join(passage))], "item_id long, text string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if re.search(r"Join Inner", line))
+    above = plan[: join + (1 if most else 2)]  # shuffled: what goes into the join too
+    assert not [line for line in above if re.search(r"[\[ ]w#\d+[,\]]", line)]
+    (row,) = found.collect()
+    assert (row["n_words"], row["n_hit"], len(row["spans"]), row["items"]) == (800, 800, 776, ["7"])
+
+
 def test_decontamination_without_items_or_rows(spark):
     docs = table(spark, documents(n=5))
     none = spark.createDataFrame([], "item_id long, text string")
