@@ -34,9 +34,12 @@ def stratified_folds(
     class of their own (the first)."""
     h = "__h"
     b = "__b"
+    # a class inside a struct equals itself also when null, so that the join below has
+    # plain keys, those of the window: whole rows are shuffled once
+    c = "__k"
     d = df.withColumn(h, order_key(id_col, seed)).withColumn(
         b, F.conv(F.substring(F.col(h), 1, bucket_hex), 16, 10).cast("int")
-    )
+    ).withColumn(c, F.struct(class_col))
     counts = d.groupBy(class_col, b).agg(F.count(F.lit(1)).alias("__n"))
     # start of each class: rows of smaller classes (one row per class)
     sizes = counts.groupBy(class_col).agg(F.sum("__n").alias("__cn"))
@@ -58,13 +61,11 @@ def stratified_folds(
     )
     bucket_start = bucket_start.join(
         class_start.withColumnRenamed(class_col, "__c"), F.col(class_col).eqNullSafe(F.col("__c"))
-    ).select(F.col(class_col).alias("__c2"), F.col(b).alias("__b2"), "__bs", "__cs")
-    rank = F.row_number().over(Window.partitionBy(class_col, b).orderBy(h, id_col))
-    d = d.withColumn("__r", rank).join(
-        bucket_start, F.col(class_col).eqNullSafe(F.col("__c2")) & (F.col(b) == F.col("__b2"))
-    )
+    ).select(F.struct(class_col).alias(c), b, "__bs", "__cs")
+    rank = F.row_number().over(Window.partitionBy(c, b).orderBy(h, id_col))
+    d = d.withColumn("__r", rank).join(bucket_start, [c, b])
     idx = F.col("__cs") + F.col("__bs") + F.col("__r") - 1
-    return d.withColumn(out, (F.pmod(idx, F.lit(k)) + 1).cast("int")).drop(h, b, "__r", "__cs", "__bs", "__c2", "__b2")
+    return d.withColumn(out, (F.pmod(idx, F.lit(k)) + 1).cast("int")).drop(h, b, c, "__r", "__cs", "__bs")
 
 
 def fold_split(df: DataFrame, fold: int, col: str = "fold") -> tuple[DataFrame, DataFrame]:
