@@ -16,6 +16,7 @@ weight vector for two classes), which keeps a copy of the features for every fol
 from __future__ import annotations
 
 import math
+import tempfile
 from collections import defaultdict
 from collections.abc import Callable, Generator, Iterator
 from dataclasses import dataclass
@@ -130,22 +131,26 @@ def wolfe_step(x: np.ndarray, value: float, grad: np.ndarray, d: np.ndarray, t:
 def minimised(x: np.ndarray, iterations: int) -> Generator[np.ndarray, Evaluated, np.ndarray]:
     """The point that L-BFGS reaches from ``x``. Yields the points whose value and
     gradient it needs, so that the fits of several folds share a pass over the rows."""
+    # in a file: for all folds these are twenty times their models
+    room = np.asarray(np.memmap(tempfile.TemporaryFile(), np.float64, "w+", shape=(2, MEMORY, len(x))))
     value, grad = yield x
-    first, seen, steps, turns, done, failed = value, [math.inf], [], [], 0, False
+    first, seen, used, done, failed = value, [math.inf], [], 0, False
     while done < iterations and np.linalg.norm(grad) > max(TOLERANCE * value, 1e-8):
         if len(seen) > 1 and abs(value - max(seen)) <= TOLERANCE * first:
             break
         try:
-            d = descent(grad, steps, turns)
+            d = descent(grad, [room[0, k] for k in used], [room[1, k] for k in used])
             t, point, f, g = yield from wolfe_step(x, value, grad, d, 1.0 if done else 1 / np.linalg.norm(d))
             if t * np.linalg.norm(grad) < 1e-10:
                 raise SearchFailed
         except SearchFailed:
             if failed:
                 break
-            failed, steps, turns = True, [], []
+            failed, used = True, []
             continue
-        steps, turns = [point - x, *steps][:MEMORY], [g - grad, *turns][:MEMORY]
+        used = [used[-1] if len(used) == MEMORY else len(used), *used][:MEMORY]
+        np.subtract(point, x, out=room[0, used[0]])
+        np.subtract(g, grad, out=room[1, used[0]])
         x, value, grad, seen = point, f, g, [*seen, f][-LOOK_BACK:]
         done, failed = done + 1, False
     return x
