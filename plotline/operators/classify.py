@@ -19,7 +19,7 @@ import math
 import tempfile
 from collections import defaultdict
 from collections.abc import Callable, Generator, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -205,9 +205,9 @@ def numbers(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return (ends - ends[0]) // size, flat.view(kind)
 
 
-def pieces(b: pa.RecordBatch, folds: list, classes: list[str], kind: str) -> Iterator[Rows]:
-    """A batch in pieces of about PIECE terms. Rows without terms come in a piece of
-    their own, with none."""
+def pieces(b: pa.RecordBatch, folds: list, classes: list[str], kind: str, places: np.ndarray) -> Iterator[Rows]:
+    """A batch in pieces of about PIECE terms, each by its place in ``places``. Rows
+    without terms come in a piece of their own, with none."""
     place = lambda name, values: pc.fill_null(pc.index_in(b.column(name), pa.array(values, b.column(name).type)), -1).to_numpy(zero_copy_only=False)
     fold, label = place("__fold", folds), place("__class", classes)
     ends, term = numbers(b.column(b.schema.get_field_index("__terms")), kind)
@@ -221,7 +221,7 @@ def pieces(b: pa.RecordBatch, folds: list, classes: list[str], kind: str) -> Ite
         z = max(a + 1, int(np.searchsorted(ends[full], s + PIECE)))
         own = full[a:z]
         e = ends[own[-1] + 1]
-        yield Rows(own, fold[own], label[own], ends[own] - s, term[s:e].astype(np.int64), count[s:e].astype(float))
+        yield Rows(own, fold[own], label[own], ends[own] - s, places.take(term[s:e]), count[s:e].astype(float))
         a = z
 
 
@@ -247,18 +247,27 @@ def packed(rows: DataFrame, kind: str) -> DataFrame:
 
 @dataclass
 class Table:
-    """The written term frequencies, with the values that folds and classes have."""
+    """The written term frequencies, with the values that folds and classes have, and
+    the place of each term among the ``features``."""
 
     rows: DataFrame
     folds: list
     classes: list[str]
     features: int
     kind: str
+    places: np.ndarray
+
+    def without(self, unused: np.ndarray) -> Table:
+        """Only the features that occur: so many numbers a model has."""
+        used = np.flatnonzero(~unused)
+        places = np.zeros(self.features, np.int64)
+        places[used] = range(len(used))
+        return replace(self, features=len(used), places=places)
 
     def each(self, of_batch: Callable, rows: DataFrame, schema) -> DataFrame:
         """What ``of_batch`` (partition's batches, as pairs of batch and pieces) yields."""
-        folds, classes, kind = self.folds, self.classes, self.kind
-        return rows.mapInArrow(lambda batches: of_batch((b, pieces(b, folds, classes, kind)) for b in batches), schema)
+        known = self.folds, self.classes, self.kind, self.places
+        return rows.mapInArrow(lambda batches: of_batch((b, pieces(b, *known)) for b in batches), schema)
 
     def summed(self, add: Callable[[np.ndarray, Rows], None], size: int) -> np.ndarray:
         """The sum that ``add`` makes of all pieces. A task for each core adds up its
@@ -280,7 +289,7 @@ class Table:
 
         tasks = self.rows.coalesce(max(1, self.rows.sparkSession.sparkContext.defaultParallelism))
         sums = self.each(run, tasks, "chunk int, part int, v binary").groupBy("chunk").applyInPandas(one, "chunk int, v binary")
-        return np.concatenate([np.frombuffer(r["v"]) for r in sorted(sums.collect(), key=lambda r: r["chunk"])])
+        return np.concatenate([np.empty(0), *(np.frombuffer(r["v"]) for r in sorted(sums.collect(), key=lambda r: r["chunk"]))])
 
 
 @dataclass
@@ -470,14 +479,15 @@ def trained_out_of_fold(
         return df.withColumn(out_col, F.lit(None).cast(column))
     # in the order of Spark's strings, which have UTF-16 units
     classes = sorted({c for own in sizes.values() for c in own} - {None}, key=lambda c: c.encode("utf-16-be", "surrogatepass"))
-    table = Table(rows, values, classes, features, kind)
+    table, n_folds = Table(rows, values, classes, features, kind, np.arange(features)), len(values)
 
-    def add(total: np.ndarray, rows: Rows) -> None:
-        fold = rows.fold[rows.row]
-        own = rows.label[rows.row] >= 0
-        total += np.bincount(fold[own] * features + rows.term[own], minlength=len(total))
+    def add(total: np.ndarray, rows: Rows) -> None:  # the last: rows without a class
+        fold = np.where(rows.label < 0, n_folds, rows.fold)[rows.row]
+        total += np.bincount(fold * features + rows.term, minlength=len(total))
 
-    documents = table.summed(add, len(values) * features).reshape(len(values), features)
+    documents = table.summed(add, (n_folds + 1) * features).reshape(n_folds + 1, features)
+    unused = documents.sum(0) == 0
+    table, documents = table.without(unused), documents[:-1, ~unused]
     every, folds, parts = documents.sum(0), [], []
     for k, value in enumerate(values):
         n = np.array([sum(sizes[f].get(c, 0) for f in values if f != value) for c in classes], float)

@@ -88,6 +88,12 @@ def test_rows_and_labels_of_other_types(spark):
     assert len(got) == 61 and got.pop("z") is None and set(got.values()) == {97, 98}
 
 
+def test_without_any_word_the_shares_of_the_classes_decide(spark):
+    df = spark.createDataFrame([(i, "" if i % 2 else None, "abbb"[i % 4], i % 3 + 1) for i in range(24)], SCHEMA)
+    got = CL.trained_out_of_fold(df, "text", "c", "id", iterations=3).collect()
+    assert len(got) == 24 and {r.p_domains for r in got} == {"b"}
+
+
 def test_folds_shuffle_whole_rows_once(spark):
     rows = [(i, "x" * 50, None if i % 7 == 0 else f"c{i % 3}") for i in range(500)]
     df = spark.createDataFrame(rows, "id long, text string, c string")
