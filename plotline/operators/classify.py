@@ -36,6 +36,8 @@ from plotline.session import work_path
 PIECE, LOOKUP = 1 << 18, 1 << 14
 #: Numbers of one row of a task's sums.
 CHUNK = 1 << 14
+#: Has a pass remove its shuffled sums when it ends, not when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Steps that L-BFGS remembers, its tolerance, function values it looks back on.
 MEMORY, TOLERANCE, LOOK_BACK = 10, 1e-6, 20
 
@@ -287,9 +289,16 @@ class Table:
             total = sum(np.frombuffer(v) for v in pdf.sort_values("part")["v"])
             return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "v": [total.tobytes()]})
 
-        tasks = self.rows.coalesce(max(1, self.rows.sparkSession.sparkContext.defaultParallelism))
-        sums = self.each(run, tasks, "chunk int, part int, v binary").groupBy("chunk").applyInPandas(one, "chunk int, v binary")
-        return np.concatenate([np.empty(0), *(np.frombuffer(r["v"]) for r in sorted(sums.collect(), key=lambda r: r["chunk"]))])
+        spark = self.rows.sparkSession
+        tasks = self.rows.coalesce(max(1, spark.sparkContext.defaultParallelism))
+        kept = spark.conf.get(CLEANUP, None)
+        spark.conf.set(CLEANUP, "true")
+        try:
+            sums = self.each(run, tasks, "chunk int, part int, v binary").groupBy("chunk").applyInPandas(one, "chunk int, v binary")
+            got = sorted(sums.collect(), key=lambda r: r["chunk"])
+        finally:
+            spark.conf.unset(CLEANUP) if kept is None else spark.conf.set(CLEANUP, kept)
+        return np.concatenate([np.empty(0), *(np.frombuffer(r["v"]) for r in got)])
 
 
 @dataclass
@@ -401,7 +410,7 @@ def evaluated(table: Table, folds: list[Fold], points: list[np.ndarray], regular
     for k, (f, x) in enumerate(zip(folds, points, strict=True)):
         a, b, n, (w, _) = ends[k], ends[k + 1], f.rows.sum(), f.parts(x)
         free = total[width * v + a : width * v + b]
-        grad = total[a * v : b * v].reshape(-1, v).T * f.unit[:, None] - f.shift[:, None] * free
+        grad = total[a * v : b * v].reshape(b - a, v).T * f.unit[:, None] - f.shift[:, None] * free
         bent = f.back[:, None] * w * regularisation
         out.append((float(total[width * (v + 1) + k] / n + (w * bent).sum() / 2), np.concatenate(((grad / n + bent).ravel(), free / n))))
     return out
