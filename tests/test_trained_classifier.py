@@ -40,8 +40,11 @@ def by_pyspark_ml(df):
         idf, unit = IDF(inputCol="tf", outputCol="weighted").fit(train), Normalizer(inputCol="weighted", outputCol="x")
         fit = LogisticRegression(featuresCol="x", labelCol="label", predictionCol="p", maxIter=STEPS, regParam=1e-6, standardization=False)
         model = fit.fit(unit.transform(idf.transform(indexer.transform(train))))
-        for r in model.transform(unit.transform(idf.transform(rows.where(F.col("fold") == fold)))).select("id", "p").collect():
-            out[r.id] = indexer.labels[int(r.p)]
+        # by its coefficients: with two classes the model cannot be sent to tasks after an observation in the session
+        weights, free = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+        for r in unit.transform(idf.transform(rows.where(F.col("fold") == fold))).select("id", "x").collect():
+            z = weights @ r.x.toArray() + free
+            out[r.id] = indexer.labels[int(z[0] > 0) if len(z) == 1 else int(z.argmax())]
     rows.unpersist()
     return out
 
